@@ -272,3 +272,65 @@ ORACLE: dict[str, str] = {
 
 def oracle_queries() -> dict[str, str]:
     return {k: with_standins(v) for k, v in ORACLE.items()}
+
+STANDINS.update({
+    "crm_export": f"""SELECT c_custkey AS id, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE c_name END AS lead,
+        CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 7 = 3 THEN lpad((c_custkey + 90000000)::VARCHAR, 14, '0')
+             ELSE lpad(c_custkey::VARCHAR, 14, '0') END AS cnpj,
+        CASE WHEN c_custkey % 12 = 1
+             THEN replace({_STAGE_CANON}[(CASE WHEN c_custkey % 10 = 0 AND c_custkey % 8 > 0 THEN c_custkey % 8 - 1 ELSE c_custkey % 8 END + 1)::INTEGER], ' ', chr(160))
+             ELSE {_STAGE_CANON}[(CASE WHEN c_custkey % 10 = 0 AND c_custkey % 8 > 0 THEN c_custkey % 8 - 1 ELSE c_custkey % 8 END + 1)::INTEGER] END AS stage,
+        {{'value': c_mktsegment}} AS industry,
+        {{'value': CASE WHEN c_custkey % 2 = 0 THEN 'ERP' ELSE 'Site' END}} AS source,
+        '55.11-9' || lpad(c_custkey::VARCHAR, 8, '0') AS phone1,
+        'Rua ' || c_mktsegment || ' ' || c_nationkey::VARCHAR AS street,
+        substr(lpad((c_custkey % 99991)::VARCHAR, 8, '0'), 1, 5) || '-' || substr(lpad((c_custkey % 99991)::VARCHAR, 8, '0'), 6, 3) AS cep,
+        CASE WHEN c_custkey % 19 = 0 THEN 'SN' ELSE (c_custkey % 997)::VARCHAR END AS number,
+        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'Sala ' || (c_custkey % 50)::VARCHAR END AS complement,
+        c_mktsegment AS district,
+        CASE WHEN c_custkey % 4 = 2 THEN lower(n_name) ELSE n_name END AS city, r_name AS state
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE c_custkey % 6 <> 5""",
+    "custom_field_rows": """SELECT * FROM (
+        SELECT c_custkey AS leadId, 1 AS pos, '_cod.gestores' AS id, (c_custkey % 10)::VARCHAR AS value FROM customer WHERE c_custkey % 6 <> 5
+        UNION ALL SELECT c_custkey, 2, '_inscricaoestadual', CASE WHEN c_custkey % 3 = 0 THEN 'ISENTO' WHEN c_custkey % 7 = 0 THEN '99'
+            WHEN c_custkey % 11 = 0 THEN '0' ELSE '1.' || ((c_custkey * 7919) % 1000000)::VARCHAR END FROM customer WHERE c_custkey % 6 <> 5
+        UNION ALL SELECT c_custkey, 3, '_analisefinanceira', CASE WHEN c_custkey % 2 = 0 THEN 'signup' ELSE 'credit ok' END FROM customer WHERE c_custkey % 6 <> 5
+        UNION ALL SELECT c_custkey, 4, '_cod.cliente', c_custkey::VARCHAR FROM customer WHERE c_custkey % 6 <> 5
+        UNION ALL SELECT c_custkey, 5, '_cod.gestores', (c_custkey % 7)::VARCHAR FROM customer WHERE c_custkey % 6 <> 5 AND c_custkey % 5 = 0
+        ) t""",
+    "sale_lines": """SELECT o_custkey AS lead_id, l_orderkey AS sale_id, l_linenumber::BIGINT AS line, l_partkey AS product_id,
+        (CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_extendedprice END)::DECIMAL(18,2) AS final_value,
+        o_orderdate AS sale_date FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+})
+
+STANDINS.update({
+    "crm_contacts": """SELECT event_id AS id, user_id AS leadId, 'Contact ' || event_id::VARCHAR AS name,
+        CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'u' || (event_id // 4)::VARCHAR || '@x.org' END AS email,
+        '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone1,
+        CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Buyer' END AS jobTitle,
+        CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS mainContact
+        FROM events WHERE event_type = 'signup'""",
+    "lead_docs": """SELECT c_custkey AS id, list_filter([
+        {'id': '_cod.gestores', 'value': (c_custkey % 10)::VARCHAR},
+        {'id': '_inscricaoestadual', 'value': CASE WHEN c_custkey % 3 = 0 THEN 'ISENTO' WHEN c_custkey % 7 = 0 THEN '99'
+            WHEN c_custkey % 11 = 0 THEN '0' ELSE '1.' || ((c_custkey * 7919) % 1000000)::VARCHAR END},
+        {'id': '_analisefinanceira', 'value': CASE WHEN c_custkey % 2 = 0 THEN 'signup' ELSE 'credit ok' END},
+        {'id': '_cod.cliente', 'value': c_custkey::VARCHAR},
+        {'id': '_cod.gestores', 'value': CASE WHEN c_custkey % 5 = 0 THEN (c_custkey % 7)::VARCHAR END}],
+        lambda x: x.value IS NOT NULL) AS CustomFields
+        FROM customer WHERE c_custkey % 6 <> 5""",
+    "webhook_docs": f"""SELECT event_id AS doc_id, ts AS received_at, event_type AS kind, user_id AS lead_id,
+        {_STAGE_LIST}[(event_id % 8 + 1)::INTEGER] AS stage,
+        'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR AS company,
+        '5531' || lpad(event_id::VARCHAR, 8, '0') AS phone,
+        '{{"Lead":{{"Id":' || user_id::VARCHAR
+          || CASE WHEN event_id % 3 = 0 THEN ',"Company":"' || 'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR || '"' ELSE '' END
+          || CASE WHEN event_id % 4 = 0 THEN ',"Phone":null' WHEN event_id % 4 = 1 THEN ',"Phone":"' || '5531' || lpad(event_id::VARCHAR, 8, '0') || '"' ELSE '' END
+          || ',"Stage":"' || {_STAGE_LIST}[(event_id % 8 + 1)::INTEGER] || '"}}}}' AS raw
+        FROM events""",
+    "webhook_contacts": """SELECT event_id AS doc_id, user_id AS lead_id, ts AS received_at, event_id * 10 + n AS contact_id,
+        'Person ' || n::VARCHAR || ' of ' || event_id::VARCHAR AS contact_name,
+        'p' || n::VARCHAR || '.' || event_id::VARCHAR || '@x.org' AS contact_email
+        FROM events, (SELECT 1 AS n UNION ALL SELECT 2) t WHERE n = 1 OR event_id % 2 = 0""",
+})

@@ -1 +1,707 @@
-"""Catalog entries beyond the views (filled in as operators land)."""
+"""Catalog entries for scalar functions, joins, change detection, quality,
+merges and payloads.  Each builder runs over whole stand-in tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import functions as X
+from ..operators import fingerprint as FP
+from ..operators import joins as J
+from ..operators import merge as M
+from ..operators import quality as Q
+from ..operators import setops as S
+from ..schemas import (ACTIVATION_STAGE, BUDGET_STAGE, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP,
+                       CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, MAX_LEN, RENAME_MAP, STAGES_ALIAS,
+                       STAGES_CANONICAL, SYNCED_STAGES)
+from ..sources.standins import DomainTables
+from . import views as V
+from .catalog import register
+
+# Exclusion list of the daily reconciliation (lead ids / company names).
+EXCLUDED_LEAD_IDS = [12345678]
+EXCLUDED_COMPANIES = ["Customer#000000007"]
+
+ALIAS_TO_CANON = dict(zip(STAGES_ALIAS, STAGES_CANONICAL))
+CANON_TO_ALIAS = dict(zip(STAGES_CANONICAL, STAGES_ALIAS))
+
+
+def _canon_to_alias(c):
+    m = F.create_map(*[x for a, b in CANON_TO_ALIAS.items() for x in (F.lit(a), F.lit(b))])
+    return F.try_element_at(m, X.nbsp_to_space(c))
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions over whole columns
+# ---------------------------------------------------------------------------
+
+@register("normalize_text")
+def _normalize_text(t: DomainTables) -> DataFrame:
+    d = t.raw("documents")
+    key = X.normalize_key(F.col("text"))
+    return d.select("doc_id", F.md5(key).alias("key_md5"), F.length(key).cast("bigint").alias("key_len"),
+                    F.lower(X.remove_accents(F.col("lang"))).alias("lang"))
+
+
+@register("initcap_words")
+def _initcap(t: DomainTables) -> DataFrame:
+    p = t.raw("part")
+    return p.select("p_partkey", X.initcap_words(F.concat(F.col("p_type"), F.lit("-"), F.col("p_name"))).alias("title"))
+
+
+@register("client_key")
+def _client_key(t: DomainTables) -> DataFrame:
+    b = t.branches
+    return b.select("client", X.oracle_concat(F.col("client"), F.lit("-"), F.col("code"), F.lit("/"),
+                                              F.col("complement")).alias("client_key"))
+
+
+@register("strip_punct")
+def _strip_punct(t: DomainTables) -> DataFrame:
+    e = t.crm_export
+    return e.select("id", X.strip_punct(F.col("phone1")).alias("phone"), X.strip_punct(F.col("cep")).alias("zipcode"))
+
+
+@register("slug")
+def _slug(t: DomainTables) -> DataFrame:
+    p = t.raw("part")
+    return p.select("p_partkey", X.slug(F.concat(F.col("p_brand"), F.lit(" / "), F.col("p_type"), F.lit(", "),
+                                                 F.col("p_name"), F.lit("."))).alias("slug"))
+
+
+@register("field_truncate")
+def _truncate(t: DomainTables) -> DataFrame:
+    p = t.raw("part")
+    return p.select("p_partkey", X.truncate(F.col("p_name"), MAX_LEN["name"]).alias("name"),
+                    X.truncate(F.col("p_type"), MAX_LEN["phone"]).alias("short"),
+                    X.truncate(F.col("p_name"), MAX_LEN["job_title"]).alias("title"))
+
+
+@register("street_token")
+def _street_token(t: DomainTables) -> DataFrame:
+    p = t.raw("part")
+    addr = F.concat(F.col("p_type"), F.lit(" - "), F.col("p_brand"), F.lit(", "), F.col("p_name"))
+    return p.select("p_partkey", X.first_token(F.col("p_name")).alias("first_word"),
+                    X.street_token(addr).alias("street"))
+
+
+@register("int_part")
+def _int_part(t: DomainTables) -> DataFrame:
+    li = t.raw("lineitem")
+    return li.select("l_orderkey", "l_linenumber", X.int_part(F.col("l_quantity")).alias("qty_int"))
+
+
+@register("house_number")
+def _house_number(t: DomainTables) -> DataFrame:
+    e = t.crm_export
+    return e.select("id", X.house_number(F.col("number")).alias("number"),
+                    X.house_number_out(X.house_number(F.col("number")).cast("string")
+                                       .try_cast("int").cast("string")).alias("number_out"))
+
+
+@register("registration_code")
+def _registration(t: DomainTables) -> DataFrame:
+    d = t.lead_docs
+    reg = X.custom_field(F.col("CustomFields"), CF_TAX_REGISTRATION)
+    return d.select("id", reg.alias("raw"), X.registration_to_erp(reg).alias("to_erp"),
+                    X.registration_to_crm(X.registration_to_erp(reg)).alias("to_crm"))
+
+
+@register("flag_map")
+def _flag_map(t: DomainTables) -> DataFrame:
+    c = t.crm_contacts
+    return c.select("id", X.flag_to_sn(F.col("mainContact")).alias("is_primary"),
+                    X.sn_to_bool(X.flag_to_sn(F.col("mainContact"))).alias("is_primary_bool"))
+
+
+@register("default_fill")
+def _default_fill(t: DomainTables) -> DataFrame:
+    l = t.leads
+    return l.select(
+        "id",
+        F.coalesce("address_complement", F.lit(DEFAULTS["address_complement"])).alias("address_complement"),
+        F.coalesce("financial_analysis", F.lit(DEFAULTS["financial_analysis"])).alias("financial_analysis"),
+        F.coalesce("state", F.lit(DEFAULTS["state"])).alias("state"),
+        F.coalesce("phone", F.lit(DEFAULTS["phone"])).alias("phone"))
+
+
+@register("price_fallback")
+def _price_fallback(t: DomainTables) -> DataFrame:
+    e = t.budget_item_quant_delivery
+    return e.select("bid_bdg_number", "bid_item", "bid_quantity", "client_code",
+                    X.price_fallback(F.col("negotiated_price"), F.col("price")).cast("double").alias("price"))
+
+
+@register("row_fingerprint")
+def _row_fp(t: DomainTables) -> DataFrame:
+    b = t.branches
+    return FP.with_row_fingerprint(b).select("client", "fingerprint")
+
+
+# ---------------------------------------------------------------------------
+# Filters and joins
+# ---------------------------------------------------------------------------
+
+@register("stage_filter")
+def _stage_filter(t: DomainTables) -> DataFrame:
+    stages = t.spark.createDataFrame([(s,) for s in SYNCED_STAGES], "stage string")  # fixed vocabulary
+    return t.leads.join(F.broadcast(stages), "stage", "left_semi").select("id", "stage")
+
+
+@register("exclusion_anti")
+def _exclusion(t: DomainTables) -> DataFrame:
+    ids = t.spark.createDataFrame([(i,) for i in EXCLUDED_LEAD_IDS], "x bigint")
+    names = t.spark.createDataFrame([(n,) for n in EXCLUDED_COMPANIES], "x string")
+    e = J.exclude(t.crm_export, "id", ids, "x")
+    return J.exclude(e, "lead", names, "x").select("id", "lead")
+
+
+@register("rename_map")
+def _rename(t: DomainTables) -> DataFrame:
+    inv = {v: k for k, v in RENAME_MAP.items()}
+    old = t.leads.select("id", *[F.col(c).alias(inv[c]) for c in LEAD_COLUMNS if c in inv])
+    return old.withColumnsRenamed(RENAME_MAP)
+
+
+@register("semi_restrict")
+def _semi(t: DomainTables) -> DataFrame:
+    cb = V.client_base(t).where(F.col("id_crm").isNotNull())
+    return J.semi_restrict(cb, "id_crm", t.leads, "id").select("id", "client_code", "id_crm")
+
+
+def custom_field_table(t: DomainTables) -> DataFrame:
+    """Per lead, the last value of each custom field (one aggregate)."""
+    r = t.custom_field_rows
+
+    def last(fid):
+        hit = F.col("id") == fid
+        return F.max_by(F.when(hit, F.col("value")), F.when(hit, F.col("pos")))
+    return r.groupBy(F.col("leadId").alias("lead_id")).agg(
+        last(CF_SALES_REP).alias("sales_rep"), last(CF_TAX_REGISTRATION).alias("tax_registration"),
+        last(CF_FINANCIAL_ANALYSIS).alias("financial_analysis"), last(CF_CLIENT_CODE).alias("client_code"))
+
+
+@register("lead_enrich")
+def _lead_enrich(t: DomainTables) -> DataFrame:
+    e = t.crm_export.select("id", "lead", "cnpj")
+    cf = custom_field_table(t)
+    out = J.enrich(e, "id", (cf, "lead_id"))
+    return out.select("id", "lead", "cnpj", F.col("sales_rep").cast("bigint").alias("sales_rep"),
+                      "tax_registration", "financial_analysis", F.col("client_code").cast("bigint").alias("client_code"))
+
+
+@register("contact_fanout_join")
+def _contact_fanout_join(t: DomainTables) -> DataFrame:
+    new = V.insert_candidates(t).select("taxid", "client_code")
+    cv = V.contact_view(t)
+    j = new.join(cv, new.taxid == cv.client_taxid)
+    return j.select("client_code", "taxid", F.col("id").alias("contact_id"), "name", "email", "phone", "job_title",
+                    X.sn_to_bool(F.col("is_primary")).alias("is_primary"))
+
+
+@register("contact_client_lookup")
+def _contact_client_lookup(t: DomainTables) -> DataFrame:
+    inc = t.incoming_contacts.select("id_crm", "lead_id")
+    leads = J.first_per_key(t.leads.select(F.col("id").alias("lead_id"), "client_code"), ["lead_id"],
+                            [F.col("client_code")])
+    j = inc.join(leads, "lead_id", "left")
+    return j.select("id_crm", "lead_id", "client_code",
+                    F.when(F.col("client_code").isNull(), "quarantine").otherwise("ok").alias("status"))
+
+
+@register("rep_domain")
+def _rep_domain(t: DomainTables) -> DataFrame:
+    out = J.domain_or_default(t.leads.select("id", "sales_rep"), "sales_rep", t.sales_reps, "code", 99,
+                              out="sales_rep_checked")
+    return out.select("id", "sales_rep", F.col("sales_rep_checked").cast("bigint").alias("sales_rep_checked"))
+
+
+@register("city_match")
+def _city_match(t: DomainTables) -> DataFrame:
+    e = t.crm_export.select("id", "city", "state")
+    r = M.resolve_city(e, "city", "state", t.cities, t.states)
+    return r.select("id", F.coalesce("city_code", F.lit(DEFAULTS["city"]).cast("bigint")).alias("city_code"),
+                    F.coalesce(F.col("state_code").cast("string"), F.lit(DEFAULTS["state"])).alias("state_code"),
+                    F.coalesce("country_code", F.lit(DEFAULTS["country"])).alias("country_code"))
+
+
+@register("industry_match")
+def _industry_match(t: DomainTables) -> DataFrame:
+    e = t.crm_export.select("id", F.col("industry.value").alias("industry"))
+    ind = t.industries.groupBy(X.normalize_key(F.col("description")).alias("_k")).agg(F.min("industry").alias("code"))
+    j = e.join(ind, X.normalize_key(F.col("industry")) == F.col("_k"), "left")
+    return j.select("id", F.coalesce("code", F.lit(DEFAULTS["industry"]).cast("bigint")).alias("industry_code"))
+
+
+@register("taxid_match")
+def _taxid_match(t: DomainTables) -> DataFrame:
+    e = t.crm_export.where(F.col("cnpj").isNotNull()).select("id", "cnpj")
+    b = t.branches.select("client", "code", "taxid")
+    return J.taxid_join(e, "cnpj", b, "taxid").select("id", "client", "code")
+
+
+@register("contact_or_match")
+def _or_match(t: DomainTables) -> DataFrame:
+    return J.or_match(t.incoming_contacts, t.contact, ("email", "id_crm"), ("email", "id_crm"), "id_crm", "code")
+
+
+@register("qualification_rows")
+def _qualification(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import qualification_rows
+    return qualification_rows(V.insert_candidates(t).select("taxid"), "taxid")
+
+
+@register("lead_contacts")
+def _lead_contacts(t: DomainTables) -> DataFrame:
+    l = t.leads.select(F.col("id").alias("lead_id"), F.col("taxid").alias("lead_taxid"))
+    c = t.crm_contacts
+    return l.join(c, l.lead_id == c.leadId).select("lead_id", "lead_taxid", F.col("id").alias("contact_id"), "name",
+                                                    "email")
+
+
+@register("contact_fanout")
+def _contact_fanout(t: DomainTables) -> DataFrame:
+    docs = t.webhook_docs.where(F.col("stage").isin(*SYNCED_STAGES))
+    accepted = t.leads.select("id")
+    d = J.semi_restrict(docs, "lead_id", accepted, "id")
+    return d.select("doc_id", "lead_id", F.explode("contacts").alias("c")).select(
+        "doc_id", "lead_id", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
+        F.col("c.Email").alias("contact_email"))
+
+
+@register("first_match")
+def _first_match(t: DomainTables) -> DataFrame:
+    c = t.contact.select("branch_client", "code", "email")
+    return J.first_per_key(c, ["branch_client"], [F.col("code")])
+
+
+@register("latest_event")
+def _latest_event(t: DomainTables) -> DataFrame:
+    d = t.webhook_docs.select("lead_id", "doc_id", "received_at", "stage")
+    return J.last_per_key(d, ["lead_id"], "received_at", "doc_id")
+
+
+@register("custom_field_pivot")
+def _cf_pivot(t: DomainTables) -> DataFrame:
+    d = t.lead_docs
+    return d.select("id", *[X.custom_field(F.col("CustomFields"), f).alias(n) for f, n in [
+        (CF_SALES_REP, "sales_rep"), (CF_TAX_REGISTRATION, "tax_registration"),
+        (CF_FINANCIAL_ANALYSIS, "financial_analysis"), (CF_CLIENT_CODE, "client_code"),
+        ("_missing", "missing")]])
+
+
+@register("key_violations")
+def _key_violations(t: DomainTables) -> DataFrame:
+    return Q.key_violations(t.sales_order_item, ["so_number", "sequence"])
+
+
+@register("batch_limit")
+def _batch_limit(t: DomainTables) -> DataFrame:
+    # The cap is the feature: the next 10 leads to send, by id.
+    return V.lead_diff(t).orderBy("id").limit(10)
+
+
+@register("sym_diff")
+def _sym_diff(t: DomainTables) -> DataFrame:
+    return S.sym_diff(V.crm_lead_rows(t), V.erp_lead_rows(t), left="crm_only", right="erp_only")
+
+
+@register("dataset_fingerprint")
+def _dataset_fp(t: DomainTables) -> DataFrame:
+    return FP.dataset_fingerprint(V.lead_diff(t), V.DIFF_COLS)
+
+
+@register("fingerprint_anti")
+def _fp_anti(t: DomainTables) -> DataFrame:
+    ledger = FP.with_row_fingerprint(V.crm_lead_rows(t), V.DIFF_COLS)
+    return FP.unseen(V.erp_lead_rows(t), ledger, V.DIFF_COLS).select("id", "fingerprint")
+
+
+@register("product_total")
+def _product_total(t: DomainTables) -> DataFrame:
+    s = t.sale_lines
+    return (s.groupBy("lead_id").agg(F.coalesce(F.sum(F.coalesce("final_value", F.lit(0))), F.lit(0))
+                                     .cast("double").alias("total")))
+
+
+@register("contact_route")
+def _contact_route(t: DomainTables) -> DataFrame:
+    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contact)
+    return r.select("id_crm", "email", "matches", "action")
+
+
+@register("sync_metrics")
+def _sync_metrics(t: DomainTables) -> DataFrame:
+    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contact)
+    return r.groupBy("action").agg(F.count(F.lit(1)).alias("records"))
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+
+def validated_export(t: DomainTables) -> DataFrame:
+    e = t.crm_export.withColumn("stage", X.nbsp_to_space(F.col("stage")))
+    cf = custom_field_table(t)
+    e = e.join(cf.select("lead_id", "sales_rep"), e.id == F.col("lead_id"), "left").drop("lead_id")
+    return Q.validate_leads(e, F.col("sales_rep"))
+
+
+@register("lead_validation")
+def _lead_validation(t: DomainTables) -> DataFrame:
+    v = validated_export(t)
+    return v.select("id", F.array_join("failed_fields", ",").alias("failed"),
+                    (F.size("failed_fields") == 0).alias("valid"))
+
+
+@register("missing_field_log")
+def _missing_field_log(t: DomainTables) -> DataFrame:
+    return Q.missing_field_log(validated_export(t))
+
+
+@register("contact_validation")
+def _contact_validation(t: DomainTables) -> DataFrame:
+    v = Q.validate(t.crm_contacts, Q.CONTACT_REQUIRED)
+    return v.select("id", "leadId", F.array_join("failed_fields", ",").alias("failed"),
+                    (F.size("failed_fields") == 0).alias("valid"))
+
+
+@register("contact_quarantine")
+def _contact_quarantine(t: DomainTables) -> DataFrame:
+    """Q-4/S15: incoming contacts that cannot be applied, with a reason."""
+    r = M.contact_route(t.incoming_contacts, t.contact)
+    leads = t.leads.select(F.col("id").alias("_lid"), F.col("client_code").alias("_cc"))
+    j = r.join(leads, r.lead_id == F.col("_lid"), "left")
+    reason = (F.when(F.col("email").isNull(), "no_email").when(F.col("_cc").isNull(), "taxid_not_found")
+              .when(F.col("action") == "ambiguous", "ambiguous_email"))
+    return j.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("id_crm", "lead_id", "reason")
+
+
+# ---------------------------------------------------------------------------
+# Change detection and merges
+# ---------------------------------------------------------------------------
+
+DIFF_FIELDS = ["name", "stage", "taxid", "industry", "source", "phone", "address_street", "address_zipcode",
+               "address_number", "address_complement", "address_district", "city", "state", "sales_rep",
+               "tax_registration", "financial_analysis"]
+
+
+def staged_leads(t: DomainTables) -> DataFrame:
+    """L3 staging: CRM export rows in the synced stages, minus the excluded
+    id, normalised to the lead schema and enriched with custom fields."""
+    e = t.crm_export.withColumn("stage", _canon_to_alias(F.col("stage")))
+    e = e.where(F.col("stage").isin(*SYNCED_STAGES))
+    ids = t.spark.createDataFrame([(i,) for i in EXCLUDED_LEAD_IDS], "x bigint")
+    e = J.exclude(e, "id", ids, "x")
+    cf = custom_field_table(t)
+    j = e.join(cf, e.id == cf.lead_id, "left")
+    return j.select(
+        "id", F.col("lead").alias("name"), "stage", F.col("cnpj").alias("taxid"),
+        F.col("industry.value").alias("industry"), F.col("source.value").alias("source"),
+        X.strip_punct(F.col("phone1")).alias("phone"), F.col("street").alias("address_street"),
+        X.strip_punct(F.col("cep")).alias("address_zipcode"),
+        X.house_number(F.col("number")).alias("address_number"), F.col("complement").alias("address_complement"),
+        F.col("district").alias("address_district"), "city", "state",
+        F.col("sales_rep").try_cast("bigint").alias("sales_rep"),
+        X.registration_to_erp(F.col("tax_registration")).alias("tax_registration"),
+        "financial_analysis")
+
+
+def field_diff(source: DataFrame, target: DataFrame, key: str, cols: list[str], null_safe: bool = False) -> DataFrame:
+    """Source rows missing in the target or with any changed column,
+    plus the list of changed columns.  ``!=`` with a NULL side is not a
+    change unless ``null_safe`` (Q9)."""
+    tg = target.select(F.col(key).alias("tgt_id"), *[F.col(c).alias(f"_t_{c}") for c in cols])
+    j = source.join(tg, F.col(key) == F.col("tgt_id"), "left")
+
+    def changed(c):
+        s, tc = F.col(c), F.col(f"_t_{c}")
+        return ~s.eqNullSafe(tc) if null_safe else F.coalesce(s != tc, F.lit(False))
+    cond = F.col("tgt_id").isNull()
+    for c in cols:
+        cond = cond | changed(c)
+    diff = F.filter(F.array(*[F.when(changed(c), F.lit(c)) for c in cols]), lambda x: x.isNotNull())
+    return j.where(cond).select(*source.columns, "tgt_id", F.array_join(diff, ",").alias("changed"))
+
+
+@register("field_diff")
+def _field_diff(t: DomainTables) -> DataFrame:
+    return field_diff(staged_leads(t), t.leads, "id", DIFF_FIELDS)
+
+
+@register("upsert_leads")
+def _upsert_leads(t: DomainTables) -> DataFrame:
+    d = field_diff(staged_leads(t), t.leads, "id", DIFF_FIELDS).drop("tgt_id", "changed")
+    return M.merge_snapshot(t.leads, d, ["id"], DIFF_FIELDS)
+
+
+@register("stage_regression")
+def _stage_regression(t: DomainTables) -> DataFrame:
+    return M.stage_regression(t.leads, t.crm_export, STAGES_CANONICAL, ALIAS_TO_CANON)
+
+
+@register("stage_update")
+def _stage_update(t: DomainTables) -> DataFrame:
+    docs = J.last_per_key(t.webhook_docs.select(F.col("lead_id").alias("id"), "stage", "received_at", "doc_id"),
+                          ["id"], "received_at", "doc_id")
+    docs = docs.where(F.col("stage") == ACTIVATION_STAGE).select("id", "stage")
+    return M.merge_snapshot(t.leads, docs, ["id"], ["stage"], insert=False).select("id", "stage")
+
+
+@register("stage_route")
+def _stage_route(t: DomainTables) -> DataFrame:
+    return M.route_by_stage(t.webhook_docs.select("doc_id", "lead_id", "stage"), "stage", BUDGET_STAGE,
+                            ACTIVATION_STAGE)
+
+
+@register("partial_update")
+def _partial_update(t: DomainTables) -> DataFrame:
+    raw = F.col("raw")
+    fields = {
+        "name": (F.get_json_object(raw, "$.Lead.Company"), X.json_key_present(raw, "$.Lead", "Company")),
+        "phone": (F.get_json_object(raw, "$.Lead.Phone"), X.json_key_present(raw, "$.Lead", "Phone")),
+        "stage": (F.get_json_object(raw, "$.Lead.Stage"), X.json_key_present(raw, "$.Lead", "Stage")),
+    }
+    docs = t.webhook_docs.select(F.col("lead_id").alias("id"), "raw",
+                                 F.struct("received_at", "doc_id").alias("_ord"))
+    return M.partial_update(t.leads, docs, "id", fields, "_ord").select("id", "name", "phone", "stage")
+
+
+@register("contact_merge")
+def _contact_merge(t: DomainTables) -> DataFrame:
+    ch = t.incoming_contacts.select(F.col("lead_id").alias("client"), "name", "email", "phone", "job_title",
+                                    F.when(F.col("is_primary"), "S").otherwise("N").alias("is_primary"), "id_crm", "op")
+    tgt = t.contact.select("code", "name", "email", "phone", "job_title_desc", "branch_client", "is_primary", "id_crm")
+    return M.contact_merge(tgt, ch)
+
+
+@register("store_crm_id")
+def _store_crm_id(t: DomainTables) -> DataFrame:
+    """M7: write the CRM id back to the branch with that tax id."""
+    pairs = t.crm_export.where(F.col("cnpj").isNotNull()).select(F.col("cnpj").alias("taxid"),
+                                                                 F.col("id").alias("id_crm"))
+    b = t.branches.select("client", "code", "taxid", "id_crm", "integrate_crm")
+    return M.write_back(b, pairs, F.col("taxid"), "taxid",
+                        {"id_crm": F.col("_p_id_crm"), "integrate_crm": F.lit(True)})
+
+
+@register("store_contact_id")
+def _store_contact_id(t: DomainTables) -> DataFrame:
+    """M8: write the CRM contact id back by lower-case e-mail."""
+    pairs = (t.crm_contacts.where(F.col("email").isNotNull())
+             .select(F.lower("email").alias("email"), F.col("id").alias("id_crm")))
+    c = t.contact.select("code", "email", "id_crm")
+    return M.write_back(c, pairs, F.lower(F.col("email")), "email", {"id_crm": F.col("_p_id_crm")})
+
+
+# ---------------------------------------------------------------------------
+# Client cascade (M9-M14), inserts, error log
+# ---------------------------------------------------------------------------
+
+def matched_changes(t: DomainTables) -> DataFrame:
+    """Valid staged leads joined to their ERP client row by tax id key."""
+    s = staged_leads(t)
+    cv = V.client_base(t).join(V.min_industry(t), V.KEYS, "left")
+    cv = cv.select(*[F.col(c).alias(f"erp_{c}") for c in cv.columns])
+    return J.taxid_join(s, "taxid", cv, "erp_taxid")
+
+
+@register("branch_update")
+def _branch_update(t: DomainTables) -> DataFrame:
+    from ..operators.cascade import branch_update
+    return branch_update(matched_changes(t), t.cities, t.states)
+
+
+@register("new_clients")
+def _new_clients(t: DomainTables) -> DataFrame:
+    from ..operators.cascade import new_clients
+    return new_clients(staged_leads(t), t.branches, t.cities, t.states)["branches"]
+
+
+@register("next_sequence")
+def _next_sequence(t: DomainTables) -> DataFrame:
+    m = matched_changes(t).where(F.col("financial_analysis").isNotNull())
+    rows = m.select(F.col("erp_client_code").alias("client_code"), F.col("financial_analysis").alias("observations"),
+                    F.col("id").alias("lead_id"))
+    return M.next_sequence(t.credit_limit_history, rows, "client_code", "sequence", "lead_id")
+
+
+@register("insert_ignore")
+def _insert_ignore(t: DomainTables) -> DataFrame:
+    rows = t.crm_contacts.select(F.col("id").alias("id_crm"), "name", F.lower("email").alias("email"))
+    return M.insert_ignore(t.contact.select("id_crm"), rows, ["id_crm"])
+
+
+@register("error_log_rows")
+def _error_log_rows(t: DomainTables) -> DataFrame:
+    from ..schemas import ERROR_LOG_SCHEMA
+    v = validated_export(t)
+    rej = v.where(F.size("failed_fields") > 0)
+    empty = t.spark.createDataFrame([], ERROR_LOG_SCHEMA)
+    out = Q.error_log_rows(rej, empty, -20012, F.concat(F.lit("missing: "), F.array_join("failed_fields", ",")),
+                           order=["id"])
+    return out.select("log_id", "errorcode", "error_info", "id")
+
+
+@register("replace_product")
+def _replace_product(t: DomainTables) -> DataFrame:
+    from ..schemas import BUDGET_PRODUCT_ID
+    cur = (t.sale_lines.groupBy("lead_id", "product_id")
+           .agg(F.sum(F.coalesce("final_value", F.lit(0))).cast("double").alias("value")))
+    new = V.budget_changes(t).select(F.col("id").alias("lead_id"),
+                                     F.lit(BUDGET_PRODUCT_ID).cast("bigint").alias("product_id"),
+                                     F.col("budget_value").alias("value"))
+    return M.replace_product(cur, new, ["lead_id", "product_id"])
+
+
+@register("mark_values")
+def _mark_values(t: DomainTables) -> DataFrame:
+    """Set budget / order values; a lead the CRM already shows as sold
+    (Activation, Retention) also takes the CRM stage."""
+    b = V.budget_changes(t).select(F.col("id").alias("_bid"), F.col("budget_value").alias("_bv"))
+    s = V.sold_changes(t).select(F.col("id").alias("_sid"), F.col("order_value").alias("_ov"))
+    crm = t.crm_export.select(F.col("id").alias("_cid"), _canon_to_alias(F.col("stage")).alias("_cstage"))
+    j = (t.leads.join(b, F.col("id") == F.col("_bid"), "left").join(s, F.col("id") == F.col("_sid"), "left")
+         .join(crm, F.col("id") == F.col("_cid"), "left"))
+    sold = F.col("_cstage").isin(ACTIVATION_STAGE, "Retention/Expansion")
+    return j.select(
+        "id",
+        F.coalesce(F.col("_bv"), F.col("budget_value").cast("double")).alias("budget_value"),
+        F.coalesce(F.col("_ov"), F.col("order_value").cast("double")).alias("order_value"),
+        F.when(F.col("_bid").isNotNull() & sold, F.col("_cstage")).otherwise(F.col("stage")).alias("stage"))
+
+
+@register("full_reload")
+def _full_reload(t: DomainTables) -> DataFrame:
+    """Validated export rows, projected to the lead schema."""
+    v = validated_export(t)
+    ok, _ = Q.split_valid(v)
+    return ok.select("id", F.col("lead").alias("name"), _canon_to_alias(F.col("stage")).alias("stage"),
+                     F.col("cnpj").alias("taxid"), F.col("industry.value").alias("industry"),
+                     X.strip_punct(F.col("phone1")).alias("phone"), X.house_number(F.col("number")).alias("address_number"))
+
+
+# ---------------------------------------------------------------------------
+# Nested data, sources
+# ---------------------------------------------------------------------------
+
+@register("json_props")
+def _json_props(t: DomainTables) -> DataFrame:
+    e = t.raw("events")
+    parsed = F.from_json(F.col("props"), "k bigint")
+    w = t.webhook_docs.select("doc_id", F.get_json_object("raw", "$.Lead.Stage").alias("stage"))
+    return (e.select("event_id", parsed["k"].alias("k"))
+            .join(w, F.col("event_id") == F.col("doc_id")).select("event_id", "k", "stage"))
+
+
+@register("field_split")
+def _field_split(t: DomainTables) -> DataFrame:
+    d = t.lead_docs.join(t.leads.select("id", "name", "city"), "id")
+    entries = F.concat(F.array(F.struct(F.lit("name").alias("key"), F.col("name").alias("value")),
+                               F.struct(F.lit("city").alias("key"), F.col("city").alias("value"))),
+                       F.transform("CustomFields", lambda x: F.struct(x["id"].alias("key"), x["value"].alias("value"))))
+    plain, custom = X.split_custom(entries)
+    return d.select("id", F.size(plain).cast("bigint").alias("plain_fields"),
+                    F.size(custom).cast("bigint").alias("custom_fields"),
+                    F.array_join(F.transform(custom, lambda x: x["key"]), ",").alias("custom_keys"))
+
+
+@register("array_append_field")
+def _array_append(t: DomainTables) -> DataFrame:
+    d = t.lead_docs
+    arr = X.append_custom_field(F.col("CustomFields"), "_observacao", F.lit("Vazio."))
+    return d.select("id", F.size(arr).cast("bigint").alias("fields"),
+                    F.element_at(arr, -1)["id"].alias("last_id"), F.element_at(arr, -1)["value"].alias("last_value"))
+
+
+@register("sold_products")
+def _sold_products(t: DomainTables) -> DataFrame:
+    """Per lead, the products of its first sale (earliest date, then
+    lowest sale id), one row each."""
+    s = t.sale_lines
+    sales = (s.groupBy("lead_id", "sale_id", "sale_date")
+             .agg(F.collect_list(F.struct("line", "product_id", "final_value")).alias("products")))
+    first = (sales.groupBy("lead_id")
+             .agg(F.min_by(F.struct("sale_id", "sale_date", "products"), F.struct("sale_date", "sale_id")).alias("f")))
+    return first.select("lead_id", F.col("f.sale_id").alias("sale_id"), F.col("f.sale_date").alias("sale_date"),
+                        F.explode("f.products").alias("p")).select(
+        "lead_id", "sale_id", "sale_date", F.col("p.line").alias("line"), F.col("p.product_id").alias("product_id"),
+        F.col("p.final_value").cast("double").alias("final_value"))
+
+
+@register("option_domain")
+def _option_domain(t: DomainTables) -> DataFrame:
+    d = t.lead_docs.select(F.explode("CustomFields").alias("f"))
+    return d.where(F.col("f.id") == CF_SALES_REP).select(F.col("f.value").alias("value")).distinct()
+
+
+@register("page_explode")
+def _page_explode(t: DomainTables) -> DataFrame:
+    """CRM listing landed as pages of 500 (``{page, value: [...]}``) plus
+    an empty terminating page; exploded back to one row per lead."""
+    from ..sources.readers import explode_pages
+    e = t.crm_export.select("id", "lead")
+    pages = e.groupBy(F.floor(F.col("id") / 500).alias("page")).agg(F.collect_list(F.struct("id", "lead")).alias("value"))
+    last = pages.agg((F.max("page") + 1).alias("page")).select("page", F.array().cast(pages.schema["value"].dataType)
+                                                                 .alias("value"))
+    x = explode_pages(pages.unionByName(last))
+    return x.select(F.col("item.id").alias("id"), F.col("item.lead").alias("lead"), F.col("page").cast("bigint"))
+
+
+@register("json_roundtrip")
+def _json_roundtrip(t: DomainTables) -> DataFrame:
+    """Queue the insert candidates as JSON lines (all part files, NULL
+    fields kept) and read them back with the schema, lower-cased."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.readers import read_json_lines
+    from ..sources.sinks import write_queue
+    df = V.insert_candidates(t)
+    path = f"{checkpoint_dir(t.spark).rstrip('/')}/queue/insert/{uuid.uuid4().hex}"
+    write_queue(df.toDF(*[c.upper() for c in df.columns]), path)
+    return read_json_lines(t.spark, path, df.toDF(*[c.upper() for c in df.columns]).schema)
+
+
+# ---------------------------------------------------------------------------
+# Payloads
+# ---------------------------------------------------------------------------
+
+@register("insert_payload")
+def _insert_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import insert_payload
+    c = V.insert_candidates(t)
+    c = J.domain_or_default(c, "sales_rep", t.sales_reps, "code", 99, out="sales_rep_checked")
+    return insert_payload(c)
+
+
+@register("update_payload")
+def _update_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import update_payload
+    d = J.domain_or_default(V.lead_diff(t), "sales_rep", t.sales_reps, "code", 99, out="sales_rep_checked")
+    return update_payload(d)
+
+
+@register("contact_payload")
+def _contact_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import contact_payload
+    return contact_payload(V.contact_diff(t))
+
+
+@register("budget_payload")
+def _budget_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import budget_payload
+    return budget_payload(V.budget_changes(t))
+
+
+@register("sale_payload")
+def _sale_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import sale_payload
+    return sale_payload(V.sold_changes(t))
+
+
+@register("observation_payload")
+def _observation_payload(t: DomainTables) -> DataFrame:
+    from ..operators.payloads import observation_payload
+    c = t.contacts.select("id", F.when(F.col("is_primary"), "S").otherwise("N").alias("flag"))
+    return observation_payload(c, "flag")

@@ -76,12 +76,16 @@ BUDGET_PRODUCT_ID = 10001
 BUDGET_VALUE_OVERRIDES = {1001: 10000}
 ORDER_VALUE_OVERRIDES = {1002: 10000}
 
-# Three qualification questions sent for every new lead (question id, answer).
+# Three qualification answers sent for every new lead (question id, answer id).
 QUALIFICATION_QA = [
-    ("q1", "Sim"),
-    ("q2", "Sim"),
-    ("q3", "Sim"),
+    (100001, 200001),
+    (100002, 200002),
+    (100003, 200003),
 ]
+QUALIFICATION_QUESTION_TYPE = "2"
+PAYLOAD_COUNTRY = "Brasil"
+SALE_REP_EMAIL = "sales@example.com"
+OBSERVATION_TEXT = {"N": "Contato atualizado - Sincronizar", "S": "Contato atualizado - Sincronizado"}
 
 # Old (CRM export) -> canonical column names.
 RENAME_MAP = {

@@ -355,3 +355,138 @@ class DomainTables:
             F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("c_acctbal") * 2).cast(DEC).alias("order_value"),
             F.when(k % 2 == 0, F.lit("signup")).alias("financial_analysis"),
         )
+
+    # ---- CRM-side documents ---------------------------------------------
+    @cached_property
+    def crm_export(self) -> DataFrame:
+        """Full CRM lead export (one row per lead, CRM field names).
+
+        Drift rules: some customers are missing (vanished leads), some are
+        present only here (new leads), stages use CRM names, a few stage
+        names carry a non-breaking space, and a few required fields are
+        missing, formatted with punctuation or 'SN' for no house number.
+        """
+        from ..schemas import STAGES_CANONICAL
+        c = self.raw("customer").where(F.col("c_custkey") % 6 != 5)
+        n = self.raw("nation")
+        r = self.raw("region")
+        j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+        k = F.col("c_custkey")
+        b = self._branch_cols(j)
+        stages = F.array(*[F.lit(s) for s in STAGES_CANONICAL])
+        pos = F.when((k % 10 == 0) & (k % 8 > 0), k % 8 - 1).otherwise(k % 8)
+        stage = F.element_at(stages, (pos + 1).cast("int"))
+        stage = F.when(k % 12 == 1, F.translate(stage, " ", "\u00a0")).otherwise(stage)
+        zipc = b["zipcode"]
+        return j.select(
+            k.alias("id"),
+            F.when(k % 23 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("lead"),
+            F.when(k % 29 == 0, F.lit(None)).when(k % 7 == 3, F.lpad((k + 90000000).cast("string"), 14, "0"))
+             .otherwise(F.lpad(k.cast("string"), 14, "0")).alias("cnpj"),
+            stage.alias("stage"),
+            F.struct(F.col("c_mktsegment").alias("value")).alias("industry"),
+            F.struct(F.when(k % 2 == 0, "ERP").otherwise("Site").alias("value")).alias("source"),
+            F.concat(F.lit("55.11-9"), F.lpad(k.cast("string"), 8, "0")).alias("phone1"),
+            F.concat(F.lit("Rua "), F.col("c_mktsegment"), F.lit(" "), F.col("c_nationkey").cast("string")).alias("street"),
+            F.concat(F.substring(zipc, 1, 5), F.lit("-"), F.substring(zipc, 6, 3)).alias("cep"),
+            F.when(k % 19 == 0, F.lit("SN")).otherwise(b["number"].cast("string")).alias("number"),
+            b["complement"].alias("complement"),
+            F.col("c_mktsegment").alias("district"),
+            F.when(k % 4 == 2, F.lower(F.col("n_name"))).otherwise(F.col("n_name")).alias("city"),
+            F.col("r_name").alias("state"),
+        )
+
+    @cached_property
+    def custom_field_rows(self) -> DataFrame:
+        """CRM custom fields as rows (leadId, id, value); some ids repeat (the
+        later row wins) and registration uses 'ISENTO', '99' or '0'."""
+        c = self.raw("customer").where(F.col("c_custkey") % 6 != 5)
+        k = F.col("c_custkey")
+        reg = (F.when(k % 3 == 0, F.lit("ISENTO")).when(k % 7 == 0, F.lit("99")).when(k % 11 == 0, F.lit("0"))
+               .otherwise(F.concat(F.lit("1."), ((k * 7919) % 1000000).cast("string"))))
+        rows = F.array(
+            F.struct(F.lit(1).alias("pos"), F.lit("_cod.gestores").alias("id"), (k % 10).cast("string").alias("value")),
+            F.struct(F.lit(2).alias("pos"), F.lit("_inscricaoestadual").alias("id"), reg.alias("value")),
+            F.struct(F.lit(3).alias("pos"), F.lit("_analisefinanceira").alias("id"),
+                     F.when(k % 2 == 0, F.lit("signup")).otherwise(F.lit("credit ok")).alias("value")),
+            F.struct(F.lit(4).alias("pos"), F.lit("_cod.cliente").alias("id"), k.cast("string").alias("value")),
+            F.struct(F.lit(5).alias("pos"), F.lit("_cod.gestores").alias("id"),
+                     F.when(k % 5 == 0, (k % 7).cast("string")).alias("value")),
+        )
+        return (c.select(k.alias("leadId"), F.explode(rows).alias("f"))
+                .where(F.col("f.value").isNotNull())
+                .select("leadId", F.col("f.pos").alias("pos"), F.col("f.id").alias("id"), F.col("f.value").alias("value")))
+
+    @cached_property
+    def sale_lines(self) -> DataFrame:
+        """Sold products: one row per (sale, product) with a final value that is
+        sometimes missing; lead = the buying customer."""
+        li = self.raw("lineitem")
+        o = self.raw("orders")
+        j = li.join(o.select("o_orderkey", "o_custkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
+        return j.select(
+            F.col("o_custkey").alias("lead_id"), F.col("l_orderkey").alias("sale_id"),
+            F.col("l_linenumber").cast("bigint").alias("line"),
+            F.col("l_partkey").alias("product_id"),
+            F.when(F.col("l_linenumber") % 5 == 0, F.lit(None)).otherwise(F.col("l_extendedprice")).cast(DEC)
+             .alias("final_value"),
+            F.col("o_orderdate").alias("sale_date"))
+
+    @cached_property
+    def crm_contacts(self) -> DataFrame:
+        """CRM contact export (CRM field names), one row per contact."""
+        e = self._signups()
+        k = e.event_id
+        return e.select(
+            k.alias("id"), e.user_id.alias("leadId"),
+            F.concat(F.lit("Contact "), k.cast("string")).alias("name"),
+            F.when(k % 9 == 0, F.lit(None)).otherwise(self._email(k)).alias("email"),
+            F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone1"),
+            F.when(k % 3 == 0, F.lit(None)).otherwise(F.lit("Buyer")).alias("jobTitle"),
+            F.when(k % 2 == 0, "true").otherwise("false").alias("mainContact"),
+        )
+
+    @cached_property
+    def lead_docs(self) -> DataFrame:
+        """Per CRM lead: its custom fields as an array of {id, value} in CRM
+        order (a repeated id: the later one wins)."""
+        c = self.raw("customer").where(F.col("c_custkey") % 6 != 5)
+        k = F.col("c_custkey")
+        reg = (F.when(k % 3 == 0, F.lit("ISENTO")).when(k % 7 == 0, F.lit("99")).when(k % 11 == 0, F.lit("0"))
+               .otherwise(F.concat(F.lit("1."), ((k * 7919) % 1000000).cast("string"))))
+        arr = F.array(
+            F.struct(F.lit("_cod.gestores").alias("id"), (k % 10).cast("string").alias("value")),
+            F.struct(F.lit("_inscricaoestadual").alias("id"), reg.alias("value")),
+            F.struct(F.lit("_analisefinanceira").alias("id"),
+                     F.when(k % 2 == 0, F.lit("signup")).otherwise(F.lit("credit ok")).alias("value")),
+            F.struct(F.lit("_cod.cliente").alias("id"), k.cast("string").alias("value")),
+            F.struct(F.lit("_cod.gestores").alias("id"), F.when(k % 5 == 0, (k % 7).cast("string")).alias("value")),
+        )
+        return c.select(k.alias("id"), F.filter(arr, lambda x: x["value"].isNotNull()).alias("CustomFields"))
+
+    @cached_property
+    def webhook_docs(self) -> DataFrame:
+        """CRM webhook documents, one per event: lead id = user, kind = event
+        type, a parsed ``Lead`` struct and the raw JSON text (only some keys
+        present; ``Phone`` is sometimes present with a null value)."""
+        e = self.raw("events")
+        k = e.event_id
+        stages = F.array(*[F.lit(s) for s in STAGES_ALIAS])
+        stage = F.element_at(stages, (k % 8 + 1).cast("int"))
+        company = F.concat(F.lit("Company "), e.user_id.cast("string"), F.lit(" "), (k % 3).cast("string"))
+        phone = F.concat(F.lit("5531"), F.lpad(k.cast("string"), 8, "0"))
+        contact = lambda n: F.struct(
+            (k * 10 + n).alias("Id"), e.user_id.alias("LeadId"),
+            F.concat(F.lit(f"Person {n} of "), k.cast("string")).alias("Name"),
+            F.concat(F.lit("p"), F.lit(str(n)), F.lit("."), k.cast("string"), F.lit("@x.org")).alias("Email"),
+            phone.alias("Phone"), F.lit("Buyer").alias("Position"))
+        contacts = F.when(k % 2 == 0, F.array(contact(1), contact(2))).otherwise(F.array(contact(1)))
+        raw = F.concat(
+            F.lit('{"Lead":{"Id":'), e.user_id.cast("string"),
+            F.when(k % 3 == 0, F.concat(F.lit(',"Company":"'), company, F.lit('"'))).otherwise(F.lit("")),
+            F.when(k % 4 == 0, F.lit(',"Phone":null'))
+             .when(k % 4 == 1, F.concat(F.lit(',"Phone":"'), phone, F.lit('"'))).otherwise(F.lit("")),
+            F.lit(',"Stage":"'), stage, F.lit('"}}'))
+        return e.select(
+            k.alias("doc_id"), e.ts.alias("received_at"), e.event_type.alias("kind"), e.user_id.alias("lead_id"),
+            stage.alias("stage"), company.alias("company"), contacts.alias("contacts"), raw.alias("raw"))
