@@ -23,8 +23,11 @@ def remove_accents(c) -> Column:
 
 
 def normalize_key(c) -> Column:
-    """F1+F8: upper-case, accent-free matching key (case/accent-insensitive joins)."""
-    return F.upper(remove_accents(c))
+    """F1+F8: upper-case, accent-free matching key (case/accent-insensitive joins).
+
+    ``ß`` is folded to ``SS`` explicitly so the key does not depend on the
+    engine's upper-casing of it."""
+    return F.upper(F.replace(remove_accents(c), F.lit("ß"), F.lit("ss")))
 
 
 def empty_to_null(c) -> Column:

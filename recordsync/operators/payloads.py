@@ -77,8 +77,9 @@ def contact_payload(diff: DataFrame) -> DataFrame:
 
 
 def _product(value: Column) -> Column:
+    # Money goes out as a plain decimal (a double would print as 1.2E7).
     return F.array(F.struct(F.lit(BUDGET_PRODUCT_ID).alias("productId"), F.lit(1).alias("quantity"),
-                            value.alias("labelValue")))
+                            value.cast("decimal(38,6)").alias("labelValue")))
 
 
 def budget_payload(df: DataFrame, value_col: str = "budget_value") -> DataFrame:
