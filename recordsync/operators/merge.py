@@ -54,19 +54,42 @@ def merge_snapshot(target: DataFrame, changes: DataFrame, keys: list[str], updat
 
 def partial_update(target: DataFrame, docs: DataFrame, key: str, fields: dict[str, tuple[Column, Column]],
                    order_col: str) -> DataFrame:
-    """M2: set only the fields present in each key's latest document.
+    """M2: apply documents that carry only some fields.
 
+    Documents are applied in ``order_col`` order by the source, one at a
+    time, so a field ends with the value of the latest document *containing*
+    it (present-but-null included).  Per key and field that is one
+    ``max_by(value, order if present)`` in a single grouped aggregate
+    (partial aggregation first, so a hot key costs one row per task).
     ``fields`` maps a target column to (new value, presence flag); presence
     comes from the raw JSON keys, so "absent" and "present but null" differ.
-    The latest document per key wins (``max_by``, pre-aggregated).
+
+    When the target carries ``_o_<field>`` columns (the order of the value
+    it holds, as the streaming snapshot does), a document only wins if it is
+    newer, so micro-batches may arrive in any order and replays are no-ops.
     """
-    sel = [F.col(key)]
+    sel = [F.col(key), F.col(order_col).alias("_ord")]
     for c, (val, present) in fields.items():
         sel += [val.alias(f"_v_{c}"), present.alias(f"_p_{c}")]
-    d = last_per_key(docs.select(*sel, F.col(order_col).alias("_ord")), [key], "_ord")
+    d = docs.select(*sel)
+    aggs = []
+    for c in fields:
+        aggs += [F.max_by(F.col(f"_v_{c}"), F.when(F.col(f"_p_{c}"), F.col("_ord"))).alias(f"_v_{c}"),
+                 F.max(F.when(F.col(f"_p_{c}"), F.col("_ord"))).alias(f"_n_{c}")]
+    d = d.groupBy(key).agg(*aggs)
     j = target.join(d, key, "left")
-    out = [F.when(F.coalesce(F.col(f"_p_{c}"), F.lit(False)), F.col(f"_v_{c}").cast(target.schema[c].dataType))
-           .otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in target.columns]
+    out = []
+    for c in target.columns:
+        if c in fields:
+            win = F.col(f"_n_{c}").isNotNull()
+            if f"_o_{c}" in target.columns:
+                win = win & (F.col(f"_o_{c}").isNull() | (F.col(f"_n_{c}") > F.col(f"_o_{c}")))
+            out.append(F.when(win, F.col(f"_v_{c}").cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+        elif c.startswith("_o_") and c[3:] in fields:
+            n = F.col(f"_n_{c[3:]}")
+            out.append(F.when(n.isNotNull() & (F.col(c).isNull() | (n > F.col(c))), n).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.col(c))
     return j.select(*out)
 
 

@@ -241,11 +241,17 @@ ORACLE.update({
         FROM leads l LEFT JOIN latest_docs d ON l.id = d.lead_id""",
     "stage_route": """SELECT doc_id, lead_id, stage, CASE WHEN stage = 'Development/Budget' THEN 'insert_lead'
         WHEN stage = 'Activation' THEN 'update_stage' ELSE 'ignore' END AS action FROM webhook_docs""",
-    "partial_update": """SELECT l.id,
-        CASE WHEN list_contains(json_keys(d.raw, '$.Lead'), 'Company') THEN json_extract_string(d.raw, '$.Lead.Company') ELSE l.name END AS name,
-        CASE WHEN list_contains(json_keys(d.raw, '$.Lead'), 'Phone') THEN json_extract_string(d.raw, '$.Lead.Phone') ELSE l.phone END AS phone,
-        CASE WHEN list_contains(json_keys(d.raw, '$.Lead'), 'Stage') THEN json_extract_string(d.raw, '$.Lead.Stage') ELSE l.stage END AS stage
-        FROM leads l LEFT JOIN latest_docs d ON l.id = d.lead_id""",
+    "partial_update": """WITH f AS (SELECT lead_id, {'t': received_at, 'd': doc_id} AS o,
+            list_contains(json_keys(raw, '$.Lead'), 'Company') AS pc, json_extract_string(raw, '$.Lead.Company') AS vc,
+            list_contains(json_keys(raw, '$.Lead'), 'Phone') AS pp, json_extract_string(raw, '$.Lead.Phone') AS vp,
+            list_contains(json_keys(raw, '$.Lead'), 'Stage') AS ps, json_extract_string(raw, '$.Lead.Stage') AS vs
+            FROM webhook_docs),
+        g AS (SELECT lead_id, bool_or(pc) AS pc, arg_max_null(vc, o) FILTER (WHERE pc) AS vc,
+                     bool_or(pp) AS pp, arg_max_null(vp, o) FILTER (WHERE pp) AS vp,
+                     bool_or(ps) AS ps, arg_max_null(vs, o) FILTER (WHERE ps) AS vs FROM f GROUP BY lead_id)
+        SELECT l.id, CASE WHEN g.pc THEN g.vc ELSE l.name END AS name, CASE WHEN g.pp THEN g.vp ELSE l.phone END AS phone,
+               CASE WHEN g.ps THEN g.vs ELSE l.stage END AS stage
+        FROM leads l LEFT JOIN g ON l.id = g.lead_id""",
     "contact_merge": """WITH ch AS (SELECT lead_id AS client, name, email, phone, job_title,
             CASE WHEN is_primary THEN 'S' ELSE 'N' END AS is_primary, id_crm, op, lower(email) AS cem FROM incoming_contacts),
         t AS (SELECT code, name, email, phone, job_title_desc, branch_client, is_primary, id_crm, lower(email) AS em FROM contact),
@@ -376,4 +382,8 @@ ORACLE.update({
     "observation_payload": """SELECT id, flag, CASE flag WHEN 'N' THEN to_json({'lead': {'description': 'Contato atualizado - Sincronizar'}})
         WHEN 'S' THEN to_json({'description': 'Contato atualizado - Sincronizado'}) END AS payload
         FROM (SELECT id, CASE WHEN is_primary THEN 'S' ELSE 'N' END AS flag FROM contacts)""",
+    "stream_ingest": "SELECT doc_id, lead_id, kind, stage FROM webhook_docs",
+    "stream_dedup": "SELECT doc_id, lead_id, kind, " + fp(["doc_id", "lead_id", "kind", "stage", "raw"])
+        + " AS fingerprint FROM webhook_docs",
 })
+ORACLE["stream_upsert"] = ORACLE["partial_update"]

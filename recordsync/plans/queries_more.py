@@ -705,3 +705,56 @@ def _observation_payload(t: DomainTables) -> DataFrame:
     from ..operators.payloads import observation_payload
     c = t.contacts.select("id", F.when(F.col("is_primary"), "S").otherwise("N").alias("flag"))
     return observation_payload(c, "flag")
+
+
+# ---------------------------------------------------------------------------
+# Streaming (documents landed from the events table into a fresh queue)
+# ---------------------------------------------------------------------------
+
+def _scratch(t: DomainTables, name: str) -> str:
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_ingest")
+def _stream_ingest(t: DomainTables) -> DataFrame:
+    """Queue -> bounded micro-batches -> sink, checkpointed, archived."""
+    from ..streaming import ingest as S_
+    root = _scratch(t, "stream-ingest")
+    S_.land_documents(t.webhook_docs, f"{root}/queue")
+    s = S_.read_queue(t.spark, f"{root}/queue", max_files=1, archive_dir=f"{root}/archive")
+    q = S_.start_sync(s.select("doc_id", "lead_id", "kind", "stage"), f"{root}/ckpt", S_.append_sink(f"{root}/out"))
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").drop("epoch")
+
+
+@register("stream_upsert")
+def _stream_upsert(t: DomainTables) -> DataFrame:
+    """Micro-batches partially merged into versioned lead snapshots; the
+    final version equals the batch ``partial_update``."""
+    from ..streaming import ingest as S_
+    root = _scratch(t, "stream-upsert")
+    S_.land_documents(t.webhook_docs, f"{root}/queue")
+    s = S_.read_queue(t.spark, f"{root}/queue", max_files=1)
+    merge = S_.VersionedMerge(t.spark, t.leads, f"{root}/leads")
+    q = S_.start_sync(s, f"{root}/ckpt", merge)
+    q.awaitTermination()
+    return merge.latest().select("id", "name", "phone", "stage")
+
+
+@register("stream_dedup")
+def _stream_dedup(t: DomainTables) -> DataFrame:
+    """Every document landed twice; the stream keeps one per fingerprint."""
+    from ..streaming import ingest as S_
+    root = _scratch(t, "stream-dedup")
+    S_.land_documents(t.webhook_docs, f"{root}/queue/a")
+    S_.land_documents(t.webhook_docs, f"{root}/queue/b")
+    s = S_.read_queue(t.spark, f"{root}/queue/*", max_files=2)
+    # No watermark: a fingerprint stays known for good, like the source's
+    # queue ledger (state lives in the RocksDB state store).
+    d = S_.dedup_stream(s, ["doc_id", "lead_id", "kind", "stage", "raw"], watermark=None)
+    q = S_.start_sync(d.select("doc_id", "lead_id", "kind", "fingerprint"), f"{root}/ckpt",
+                      S_.append_sink(f"{root}/out"))
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").drop("epoch")
