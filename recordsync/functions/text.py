@@ -82,6 +82,23 @@ def trunc_day(c) -> Column:
     return F.date_trunc("day", _c(c)).cast("timestamp_ntz")
 
 
+def day_window(c, base_ts: str, days: int) -> Column:
+    """F10+P6: ``TRUNC(c) BETWEEN base AND base + days`` as a plain range on
+    ``c`` with literal bounds, so the predicate reaches the parquet scan
+    (row-group skipping) instead of being evaluated after a ``date_trunc``.
+
+    ``TRUNC(c) >= base``  <=>  ``c >= first midnight at or after base``;
+    ``TRUNC(c) <= base + days``  <=>  ``c < midnight after (base + days)``.
+    """
+    import datetime as _dt
+    base = _dt.datetime.fromisoformat(base_ts)
+    day0 = _dt.datetime.combine(base.date(), _dt.time())
+    lower = day0 if base == day0 else day0 + _dt.timedelta(days=1)
+    upper = _dt.datetime.combine((base + _dt.timedelta(days=days)).date(), _dt.time()) + _dt.timedelta(days=1)
+    x = _c(c)
+    return (x >= ts_ntz(lower.isoformat(sep=" "))) & (x < ts_ntz(upper.isoformat(sep=" ")))
+
+
 def plus_days(ts: Column, days: int) -> Column:
     """``date + n``."""
     return ts + F.expr(f"INTERVAL {int(days)} DAYS")

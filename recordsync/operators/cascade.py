@@ -73,7 +73,7 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
     known = branches.select(taxid_key(F.col("taxid")).alias("_tk")).where(F.col("_tk").isNotNull())
     c = changes.where(F.col("taxid").isNotNull()).withColumn("_tk", taxid_key(F.col("taxid")))
     c = c.join(known, "_tk", "left_anti")
-    c = first_per_key(c, ["_tk"], [F.col("id")])
+    c = first_per_key(c, ["_tk"], ["id"])
     c = resolve_city(c, "city", "state", cities, states)
     start = branches.agg(F.coalesce(F.max("client"), F.lit(0)).cast("bigint")).scalar()
     c = assign_ids(c, start, ["_tk"], "client")

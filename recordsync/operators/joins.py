@@ -10,7 +10,7 @@ AQE re-plans from the real shuffle sizes; above it the join is sort-merge.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_key, taxid_key
@@ -52,25 +52,36 @@ def taxid_join(df: DataFrame, taxid_col: str, ref: DataFrame, ref_taxid: str, ho
             .join(ref.withColumn("_tk", taxid_key(F.col(ref_taxid))), "_tk", how).drop("_tk"))
 
 
-def or_match(left: DataFrame, right: DataFrame, left_keys: tuple[str, str], right_keys: tuple[str, str],
-             left_id: str, right_id: str) -> DataFrame:
-    """Match on ``lower(email)`` OR ``id`` without a nested-loop join:
-    the union of two equi-joins, de-duplicated on the (left, right) pair."""
-    le, lid = left_keys
-    re_, rid = right_keys
-    r = right.select(F.col(right_id).alias("_rid"), F.lower(F.col(re_)).alias("_re"), F.col(rid).alias("_rk"))
-    l1 = left.select(F.col(left_id).alias("_lid"), F.lower(F.col(le)).alias("_le"), F.col(lid).alias("_lk"))
-    by_email = l1.join(r, l1._le == r._re).select("_lid", "_rid", F.lit("email").alias("matched_by"))
-    by_id = l1.join(r, l1._lk == r._rk).select("_lid", "_rid", F.lit("id").alias("matched_by"))
-    u = by_email.unionByName(by_id)
-    return (u.groupBy("_lid", "_rid").agg(F.min("matched_by").alias("matched_by"))
-            .withColumnRenamed("_lid", left_id).withColumnRenamed("_rid", f"match_{right_id}"))
-
-
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Deterministic first row per key (``row_number() = 1``)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def or_match(changes: DataFrame, target: DataFrame, change_keys: tuple[str, str], target_keys: tuple[str, str],
+             change_id: str, target_id: str) -> DataFrame:
+    """For each target row, the change that applies to it when a change
+    matches on ``lower(email)`` OR on the CRM id (the highest change id wins).
+
+    No nested loop and no pair explosion: changes are first reduced to one
+    per e-mail (the winner) and one per id, so each equi-join emits at most
+    one row per target row, even when one address holds a third of all rows.
+    """
+    ce, cid = change_keys
+    te, tid = target_keys
+    c = changes.select(F.col(change_id).alias("_win"), F.lower(F.col(ce)).alias("_em"), F.col(cid).alias("_k"))
+    by_em_c = c.where(F.col("_em").isNotNull()).groupBy("_em").agg(F.max("_win").alias("_win"))
+    by_id_c = c.where(F.col("_k").isNotNull()).groupBy("_k").agg(F.max("_win").alias("_win"))
+    t = target.select(F.col(target_id).alias("_tid"), F.lower(F.col(te)).alias("_em"), F.col(tid).alias("_k"))
+    by_em = t.join(by_em_c, "_em").select("_tid", "_win", F.lit(True).alias("_e"), F.lit(False).alias("_i"))
+    by_id = t.join(by_id_c, "_k").select("_tid", "_win", F.lit(False).alias("_e"), F.lit(True).alias("_i"))
+    u = by_em.unionByName(by_id)
+    return (u.groupBy("_tid").agg(F.max("_win").alias(change_id), F.max("_e").alias("by_email"),
+                                  F.max("_i").alias("by_id"))
+            .withColumnRenamed("_tid", target_id))
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Deterministic first row per key (smallest ``order``), as a
+    ``min_by`` aggregate: partial aggregation keeps one candidate per key and
+    task, so a key with a third of all rows is never sorted in one task."""
+    others = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_r"))
+    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
 def last_per_key(df: DataFrame, keys: list[str], by: str, tie: str | None = None) -> DataFrame:

@@ -193,12 +193,25 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFr
 def next_sequence(history: DataFrame, new_rows: DataFrame, key: str, seq_col: str = "sequence",
                   order: str | None = None) -> DataFrame:
     """``NVL(max(seq), 0) + n`` per key; several new rows of one key
-    get consecutive numbers (``row_number`` within the key)."""
+    get consecutive numbers in ``order``.
+
+    Numbering inside a key does not use a window over the whole key (a key
+    with a third of the rows would land in one task): rows are range
+    partitioned on (key, order), each partition numbers its own rows of the
+    key, and a per-(key, partition) count table gives each partition its
+    offset within the key.
+    """
     from pyspark.sql import Window
+    order = order or key
     mx = history.groupBy(key).agg(F.max(seq_col).alias("_max"))
-    w = Window.partitionBy(key).orderBy(order or key)
-    j = new_rows.join(mx, key, "left")
-    return j.withColumn(seq_col, (F.coalesce(F.col("_max"), F.lit(0)) + F.row_number().over(w)).cast("bigint")).drop("_max")
+    parts = new_rows.repartitionByRange(key, order).withColumn("_pid", F.spark_partition_id())
+    local = parts.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order)))
+    counts = local.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = local.join(offs.select(key, "_pid", "_off"), [key, "_pid"]).join(mx, key, "left")
+    seq = F.coalesce(F.col("_max"), F.lit(0)) + F.col("_off") + F.col("_pos")
+    return j.withColumn(seq_col, seq.cast("bigint")).drop("_max", "_pid", "_pos", "_off")
 
 
 def stage_regression(leads: DataFrame, crm_state: DataFrame, stages: list[str], alias_of: dict[str, str],

@@ -176,10 +176,11 @@ ORACLE.update({
         FROM crm_export e""",
     "taxid_match": """SELECT e.id, b.client, b.code FROM crm_export e JOIN branches b
         ON ltrim(lpad(e.cnpj, 14, '0')) = ltrim(lpad(b.taxid, 14, '0')) WHERE e.cnpj IS NOT NULL""",
-    "contact_or_match": """SELECT i.id_crm, c.code AS match_code,
-        CASE WHEN bool_or(lower(i.email) = lower(c.email)) THEN 'email' ELSE 'id' END AS matched_by
+    "contact_or_match": """SELECT c.code, max(i.id_crm) AS id_crm,
+        coalesce(bool_or(lower(i.email) = lower(c.email)), false) AS by_email,
+        coalesce(bool_or(i.id_crm = c.id_crm), false) AS by_id
         FROM incoming_contacts i JOIN contact c ON lower(i.email) = lower(c.email) OR i.id_crm = c.id_crm
-        GROUP BY 1, 2""",
+        WHERE i.op <> 'D' GROUP BY c.code""",
     "qualification_rows": """SELECT taxid, q AS question_id,
         to_json({'leadId': taxid, 'answersList': [{'questionId': q, 'questionType': '2', 'answersIds': [a]}]}) AS payload
         FROM (SELECT taxid FROM insert_cands) n, (VALUES (100001, 200001), (100002, 200002), (100003, 200003)) qa(q, a)""",

@@ -204,7 +204,7 @@ def _contact_fanout_join(t: DomainTables) -> DataFrame:
 def _contact_client_lookup(t: DomainTables) -> DataFrame:
     inc = t.incoming_contacts.select("id_crm", "lead_id")
     leads = J.first_per_key(t.leads.select(F.col("id").alias("lead_id"), "client_code"), ["lead_id"],
-                            [F.col("client_code")])
+                            ["client_code"])
     j = inc.join(leads, "lead_id", "left")
     return j.select("id_crm", "lead_id", "client_code",
                     F.when(F.col("client_code").isNull(), "quarantine").otherwise("ok").alias("status"))
@@ -243,7 +243,8 @@ def _taxid_match(t: DomainTables) -> DataFrame:
 
 @register("contact_or_match")
 def _or_match(t: DomainTables) -> DataFrame:
-    return J.or_match(t.incoming_contacts, t.contact, ("email", "id_crm"), ("email", "id_crm"), "id_crm", "code")
+    return J.or_match(t.incoming_contacts.where(F.col("op") != "D"), t.contact, ("email", "id_crm"),
+                      ("email", "id_crm"), "id_crm", "code")
 
 
 @register("qualification_rows")
@@ -273,7 +274,7 @@ def _contact_fanout(t: DomainTables) -> DataFrame:
 @register("first_match")
 def _first_match(t: DomainTables) -> DataFrame:
     c = t.contact.select("branch_client", "code", "email")
-    return J.first_per_key(c, ["branch_client"], [F.col("code")])
+    return J.first_per_key(c, ["branch_client"], ["code"])
 
 
 @register("latest_event")

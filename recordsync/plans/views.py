@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (bool_to_yn, decode_eq, initcap_words, oracle_concat, plus_days, price_fallback,
-                              pad_taxid, trunc_day, ts_ntz)
+from ..functions.text import (bool_to_yn, day_window, decode_eq, initcap_words, oracle_concat, plus_days,
+                              price_fallback, pad_taxid, trunc_day, ts_ntz)
 from ..schemas import BUDGET_VALUE_OVERRIDES, ORDER_VALUE_OVERRIDES, SYNCED_STAGES
 from ..sources.standins import DomainTables
 from ..operators.setops import chained_diff
@@ -26,6 +26,15 @@ def _base(base_ts) -> Column:
     return ts_ntz(base_ts) if isinstance(base_ts, str) else base_ts
 
 
+def _in_window(col: Column, base_ts, days: int) -> Column:
+    """``TRUNC(col) BETWEEN base AND base + days``; literal range bounds (pushed
+    to the scan) when the base is a constant."""
+    if isinstance(base_ts, str):
+        return day_window(col, base_ts, days)
+    day = trunc_day(col)
+    return (day >= base_ts) & (day <= plus_days(base_ts, days))
+
+
 def with_override(client: Column, value: Column, overrides: dict) -> Column:
     """V9: fixed value for listed clients, else the computed one."""
     if not overrides:
@@ -118,12 +127,13 @@ def _to_person(per_pers: DataFrame, t: DomainTables) -> DataFrame:
 def order_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365, overrides=None) -> DataFrame:
     """Σ item qty × unit value of billed deliveries whose item day is
     within [base, base + horizon]; clients without items are absent (NULL)."""
-    base = _base(base_ts)
     it = t.sales_order_item
-    day = trunc_day(it.item_date)
-    it = it.where((day >= base) & (day <= plus_days(base, horizon_days)))
+    it = it.where(_in_window(it.item_date, base_ts, horizon_days))
     e = t.sales_order_item_delivery.where(F.col("billing_client") == "Y")
     so = t.sales_order
+    # Items, deliveries and orders are all keyed by order number first: each
+    # side is shuffled once on it and both joins run inside the partitions.
+    it, e, so = it.repartition("so_number"), e.repartition("sod_number"), so.repartition("number")
     j = (it.join(e, (it.so_company_code == e.sod_company_code) & (it.so_number == e.sod_number)
                  & (it.sequence == e.sequence))
            .join(so, (so.company_code == it.so_company_code) & (so.number == it.so_number)))
@@ -144,6 +154,28 @@ def order_presence(t: DomainTables, base_ts=BASE_TS, retention_days: int = 30) -
                       bool_to_yn(F.col("_last") >= plus_days(base, retention_days)).alias("has_retention"))
 
 
+def order_measures(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365, retention_days: int = 30) -> DataFrame:
+    """A2 + J17 + V8 in one pass over the order items: the items on or after
+    base (a superset of the value window) are joined once to their orders and
+    billed deliveries, and one aggregate per person gives the order value
+    (window rows only), ``has_order`` and ``has_retention``."""
+    if not isinstance(base_ts, str):
+        return order_presence(t, base_ts, retention_days).join(order_value(t, base_ts, horizon_days), KEYS, "full")
+    base = _base(base_ts)
+    it = t.sales_order_item.where(F.col("item_date") >= base)
+    e = t.sales_order_item_delivery.where(F.col("billing_client") == "Y")
+    so = t.sales_order
+    it, e, so = it.repartition("so_number"), e.repartition("sod_number"), so.repartition("number")
+    j = (it.join(e, (it.so_company_code == e.sod_company_code) & (it.so_number == e.sod_number)
+                 & (it.sequence == e.sequence), "left")
+           .join(so, (so.company_code == it.so_company_code) & (so.number == it.so_number)))
+    v = F.when(_in_window(F.col("item_date"), base_ts, horizon_days), F.col("item_qty") * F.col("unit_value"))
+    per = j.groupBy("pers_code").agg(F.sum(v).alias("_v"), F.max("item_date").alias("_last"))
+    out = _to_person(per, t).groupBy(*KEYS).agg(F.sum("_v").alias("_v"), F.max("_last").alias("_last"))
+    return out.select(*KEYS, F.col("_v").cast("double").alias("order_value"), F.lit("Y").alias("has_order"),
+                      bool_to_yn(F.col("_last") >= plus_days(base, retention_days)).alias("has_retention"))
+
+
 def has_order(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
     """X4 for every branch: (client, branch, 'Y'/'N')."""
     p = order_presence(t, base_ts).select(*KEYS, "has_order")
@@ -181,7 +213,7 @@ def has_service_order(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
 def min_tier(t: DomainTables) -> DataFrame:
     """A3: rows of each budget item at its smallest quantity (ties kept)."""
     from pyspark.sql import Window
-    q = t.budget_item_quantity
+    q = t.budget_item_quantity.repartition("bit_bdg_number")
     w = Window.partitionBy("bit_bdg_number", "bit_item")
     return q.withColumn("_min", F.min("quantity").over(w)).where(F.col("quantity") == F.col("_min")).drop("_min")
 
@@ -194,16 +226,21 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     All joins are keyed by budget number first, so the fact side is shuffled
     on it; the tier minimum is a window over the same key.
     """
-    base = _base(base_ts)
     i = t.budget_item
-    day = trunc_day(i.date)
-    i = i.where((day >= base) & (day <= plus_days(base, horizon_days)) & (i.generated != "N"))
+    i = i.where(_in_window(i.date, base_ts, horizon_days) & (i.generated != "N"))
     o = t.budget
     q = min_tier(t)
     e = t.budget_item_quant_delivery
     ie = (t.budget_item_delivery.where((F.col("billing_client") == "Y") & F.col("approval_date").isNotNull())
           .select(F.col("bit_bdg_number").alias("ie_bdg"), F.col("bit_item").alias("ie_item"),
                   F.col("client_code").alias("ie_client"), F.col("branch_code").alias("ie_branch")))
+    # Co-partition every budget input on the budget number: one shuffle per
+    # input, then the tier window and the three joins (whose keys all start
+    # with the budget number) run partition-local.  Budget numbers are
+    # fine-grained, so a hot client does not make a hot partition here; the
+    # per-client sum below is pre-aggregated before its own shuffle.
+    i, q = i.repartition("bdg_number"), q.repartition("bit_bdg_number")
+    e, ie = e.repartition("bid_bdg_number"), ie.repartition("ie_bdg")
     j = (i.join(o, o.number == i.bdg_number)
           .join(q, (q.bit_bdg_number == i.bdg_number) & (q.bit_item == i.item))
           .join(e, (e.bid_bdg_number == q.bit_bdg_number) & (e.bid_item == q.bit_item)
@@ -227,8 +264,7 @@ def client_view(t: DomainTables, base_ts=BASE_TS, budget_overrides=None, order_o
     j = (base.join(min_industry(t), KEYS, "left")
              .join(fa, "client_code", "left")
              .join(budget_value(t, base_ts), KEYS, "left")
-             .join(order_presence(t, base_ts), KEYS, "left")
-             .join(order_value(t, base_ts), KEYS, "left")
+             .join(order_measures(t, base_ts), KEYS, "left")
              .join(reps, base.sales_rep == reps._rep, "left"))
     return j.select(
         "id", "client_code", "branch_code", "company_name", "taxid", "sales_rep", "country", "state", "city",

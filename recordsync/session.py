@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     # ANSI is on by default in Spark 4; operators use try_* where the
     # reference fell back on exceptions.
     "spark.sql.ansi.enabled": "true",
+    # Joins whose keys extend an existing hash partitioning (e.g. budget
+    # number, then item) reuse it instead of shuffling again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Streaming dedup/merge state can grow with the key space: keep it off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -490,3 +490,36 @@ class DomainTables:
         return e.select(
             k.alias("doc_id"), e.ts.alias("received_at"), e.event_type.alias("kind"), e.user_id.alias("lead_id"),
             stage.alias("stage"), company.alias("company"), contacts.alias("contacts"), raw.alias("raw"))
+
+
+# Main key of each domain table: staged files are hash-partitioned on it, so
+# scans run in parallel and rows of one key sit in one file.
+STAGE_KEYS = {
+    "cities": "id", "states": "code", "countries": "code", "clients": "client_code", "branches": "client",
+    "industries": "industry", "client_industries": "client", "credit_limit_history": "client_code",
+    "sales_reps": "code", "person": "code", "sales_order": "number", "sales_order_item": "so_number",
+    "sales_order_item_delivery": "sod_number", "budget": "number", "budget_item": "bdg_number",
+    "budget_item_delivery": "bit_bdg_number", "budget_item_quantity": "bit_bdg_number",
+    "budget_item_quant_delivery": "bid_bdg_number", "service_order": "number", "service_order_item": "soi_number",
+    "contact": "branch_client", "contact_job_titles": "job_title_code", "contacts": "id",
+    "incoming_contacts": "id_crm", "leads": "id", "crm_export": "id", "custom_field_rows": "leadId",
+    "sale_lines": "lead_id", "crm_contacts": "id", "lead_docs": "id", "webhook_docs": "lead_id",
+}
+
+
+def stage(t: DomainTables, root: str, partitions: int | None = None) -> DomainTables:
+    """Write every domain table once as parquet under ``root`` (shared
+    storage) and point ``t`` at the written copies.
+
+    This is the staging step a deployment has anyway (the ERP/CRM extracts
+    land as tables); queries then read domain tables instead of re-deriving
+    them from the driver tables each time.  Rows are hash-partitioned on the
+    table's main key into ``partitions`` files.
+    """
+    n = partitions or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    root = root.rstrip("/")
+    for name, key in STAGE_KEYS.items():
+        path = f"{root}/{name}"
+        getattr(t, name).repartition(n, key).write.mode("overwrite").parquet(path)
+        t.__dict__[name] = t.spark.read.parquet(path)
+    return t

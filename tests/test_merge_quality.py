@@ -127,3 +127,35 @@ def test_stage_regression(spark):
     crm = spark.createDataFrame([(1, "Ativação"), (2, "Novos leads"), (3, "???")], "id bigint, stage string")
     got = {r.id: r.reason for r in M.stage_regression(leads, crm, STAGES_CANONICAL, alias_of).collect()}
     assert got == {2: "stage_regressed", 3: "unknown_stage", 4: "missing_in_crm"}
+
+
+def test_next_sequence_hot_key_spread(spark):
+    """A key holding most of the new rows is numbered across partitions."""
+    hist = spark.createDataFrame([(1, 10)], "client bigint, sequence bigint")
+    new = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 5)
+                                      .cast("bigint").alias("client"), F.col("id").alias("obs"))
+    out = M.next_sequence(hist, new, "client", "sequence", "obs").collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.client, []).append((r.obs, r.sequence))
+    hot = sorted(by[1])
+    assert [s for _, s in hot] == list(range(11, 11 + len(hot)))
+    for k, v in by.items():
+        if k != 1:
+            assert [s for _, s in sorted(v)] == list(range(1, len(v) + 1))
+
+
+def test_or_match_linear_and_winner(spark):
+    from recordsync.operators.joins import or_match
+    tgt = spark.createDataFrame([(1, "A@x.org", None), (2, "a@x.org", 7), (3, "z@x.org", 9), (4, None, None)],
+                                "code bigint, email string, id_crm bigint")
+    ch = spark.createDataFrame([(5, "a@X.org"), (6, "a@x.org"), (9, "q@x.org")], "id_crm bigint, email string")
+    got = {r.code: (r.id_crm, r.by_email, r.by_id)
+           for r in or_match(ch, tgt, ("email", "id_crm"), ("email", "id_crm"), "id_crm", "code").collect()}
+    assert got == {1: (6, True, False), 2: (6, True, False), 3: (9, False, True)}
+
+
+def test_first_per_key_aggregate(spark):
+    from recordsync.operators.joins import first_per_key
+    df = spark.createDataFrame([(1, 5, "e"), (1, 3, "c"), (2, 9, "x"), (1, 4, "d")], "k int, o int, v string")
+    assert sorted(tuple(r) for r in first_per_key(df, ["k"], ["o"]).collect()) == [(1, 3, "c"), (2, 9, "x")]
