@@ -139,7 +139,12 @@ def contact_merge(target: DataFrame, changes: DataFrame) -> DataFrame:
                  .select("code", *pick))
         return by_em.unionByName(by_id)
 
-    deleted = hits(dels, []).select("code").distinct()
+    # Delete keys are de-duplicated first, so a repeated e-mail or id never
+    # multiplies the target rows it matches.
+    del_em = dels.where(F.col("_cem").isNotNull()).select(F.col("_cem").alias("_em")).distinct()
+    del_id = dels.where(F.col("id_crm").isNotNull()).select(F.col("id_crm").alias("_cid")).distinct()
+    deleted = (t.join(del_em, "_em", "left_semi").select("code")
+               .unionByName(t.join(del_id, t.id_crm == F.col("_cid"), "left_semi").select("code")))
     # Updates apply only for changes whose e-mail exists in the target.
     known = ups.join(t.select(F.col("_em").alias("_cem")).distinct(), "_cem", "left_semi")
     upd_cols = ["name", "phone", "job_title", "is_primary", "id_crm"]
