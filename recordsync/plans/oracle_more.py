@@ -388,3 +388,13 @@ ORACLE.update({
         + " AS fingerprint FROM webhook_docs",
 })
 ORACLE["stream_upsert"] = ORACLE["partial_update"]
+ORACLE["client_code_payload"] = ORACLE["new_clients"].replace(
+    "SELECT (SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk) AS client, 1::BIGINT AS code,",
+    "SELECT id AS lead_id, to_json({'Id': id, 'Fields': [{'field_name': '_cod.cliente', 'field_value': "
+    "((SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk))::VARCHAR}]}) AS payload, 1::BIGINT AS code,",
+    1)
+ORACLE["client_code_payload"] = "SELECT lead_id, payload FROM (" + ORACLE["client_code_payload"].replace(
+    "WITH n0 AS", "WITH n0 AS", 1) + ")"
+ORACLE["placeholder_contact_payload"] = f"""SELECT id AS lead_id, to_json({{'name': 'Dummy contact', 'leadId': id}}) AS payload
+    FROM leads WHERE stage IN {SYNCED} AND id NOT IN (SELECT leadId FROM crm_contacts WHERE leadId IS NOT NULL)"""
+

@@ -759,3 +759,20 @@ def _stream_dedup(t: DomainTables) -> DataFrame:
                       S_.append_sink(f"{root}/out"))
     q.awaitTermination()
     return t.spark.read.parquet(f"{root}/out").drop("epoch")
+
+
+@register("client_code_payload")
+def _client_code_payload(t: DomainTables) -> DataFrame:
+    """Write the generated client code back to each new lead."""
+    from ..operators.cascade import new_clients
+    from ..operators.documents import client_code_payload
+    return client_code_payload(new_clients(staged_leads(t), t.branches, t.cities, t.states)["branches"])
+
+
+@register("placeholder_contact_payload")
+def _placeholder_contact(t: DomainTables) -> DataFrame:
+    """Leads in the synced stages with no CRM contact get a placeholder."""
+    from ..operators.documents import placeholder_contact_payload
+    leads = t.leads.where(F.col("stage").isin(*SYNCED_STAGES))
+    no_contact = J.exclude(leads, "id", t.crm_contacts, "leadId")
+    return placeholder_contact_payload(no_contact)

@@ -40,17 +40,21 @@ def land_documents(docs: DataFrame, queue_dir: str, files: int = 4) -> str:
 
 
 def read_queue(spark: SparkSession, queue_dir: str, glob: str = "*.json", max_files: int | None = None,
-               archive_dir: str | None = None, schema: T.StructType = DOC_SCHEMA) -> DataFrame:
-    """Streaming scan of a queue directory.
+               archive_dir: str | None = None, schema: T.StructType = DOC_SCHEMA,
+               delete_consumed: bool = False) -> DataFrame:
+    """Streaming scan of a queue directory.
 
     ``glob`` selects a document kind by file name, ``max_files`` bounds a
-    micro-batch, ``archive_dir`` moves consumed files there (``cleanSource``).
+    micro-batch, ``archive_dir`` moves consumed files there and
+    ``delete_consumed`` removes them instead (``cleanSource``).
     """
     r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    elif delete_consumed:
+        r = r.option("cleanSource", "delete")
     return r.json(queue_dir)
 
 
