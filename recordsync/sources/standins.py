@@ -327,8 +327,8 @@ class DomainTables:
         c = self.raw("customer").where(F.col("c_custkey") % 3 != 0)
         n = self.raw("nation")
         r = self.raw("region")
-        j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-              .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+        j = (c.join(n, c.c_nationkey == n.n_nationkey)
+              .join(r, F.col("n_regionkey") == r.r_regionkey))
         k = F.col("c_custkey")
         b = self._branch_cols(j)
         stages = F.array(*[F.lit(s) for s in STAGES_ALIAS])
