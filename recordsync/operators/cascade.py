@@ -117,3 +117,42 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
                                     .select(F.col("client"), F.col("code").alias("branch"),
                                             F.col("_code").alias("industry"), F.lit("A").alias("status")))
     return out
+
+
+def client_cascade(changes: DataFrame, client_view: DataFrame, branches: DataFrame, cities: DataFrame,
+                   states: DataFrame, history: DataFrame, industries: DataFrame | None = None,
+                   initial_load: bool = False) -> dict[str, DataFrame]:
+    """Everything a batch of CRM lead changes does to the ERP.
+
+    ``changes`` are staged leads (lead schema), ``client_view`` the ERP
+    client view with ``industry``.  Initial load only links branches to
+    their CRM id by tax id; otherwise matched leads update their branch
+    (and append a credit-history row when an analysis is given) and
+    unmatched ones become new clients.  Returns one change DataFrame per
+    target table; each is derived from the same matched frame.
+    """
+    from .merge import next_sequence, write_back
+    from .joins import taxid_join
+    if initial_load:
+        pairs = changes.select(taxid_key(F.col("taxid")).alias("taxid"), F.col("id").alias("id_crm"))
+        linked = write_back(branches, pairs, taxid_key(F.col("taxid")), "taxid",
+                            {"id_crm": F.col("_p_id_crm"), "integrate_crm": F.lit(True)})
+        return {"branches": linked}
+    cv = client_view.select(*[F.col(c).alias(f"erp_{c}") for c in client_view.columns])
+    matched = taxid_join(changes, "taxid", cv, "erp_taxid")
+    out = {"branch_updates": branch_update(matched, cities, states)}
+    hist_rows = matched.where(F.col("financial_analysis").isNotNull()).select(
+        F.col("erp_client_code").alias("client_code"), F.col("financial_analysis").alias("observations"),
+        F.col("id").alias("lead_id"))
+    out["credit_limit_history"] = next_sequence(history, hist_rows, "client_code", "sequence", "lead_id")
+    if industries is not None:
+        ind = industries.groupBy(normalize_key(F.col("description")).alias("_ki")).agg(F.min("industry").alias("_code"))
+        chg = matched.where(_ne(normalize_key(F.col("erp_industry")), normalize_key(F.col("industry"))))
+        out["client_industries"] = (chg.join(ind, normalize_key(F.col("industry")) == F.col("_ki"), "left")
+                                    .select(F.col("erp_client_code").alias("client"),
+                                            F.col("erp_branch_code").alias("branch"),
+                                            F.coalesce(F.col("_code"), F.lit(DEFAULTS["industry"]).cast("bigint"))
+                                            .alias("industry")))
+    new = new_clients(changes, branches, cities, states, industries)
+    out.update({f"new_{k}": v for k, v in new.items()})
+    return out

@@ -113,3 +113,21 @@ def error_log_rows(rejects: DataFrame, existing_log: DataFrame, code: int, info:
                       F.lit(code).cast("bigint").alias("errorcode"), F.lit(None).cast("string").alias("callstack"),
                       F.lit(None).cast("string").alias("errorstack"), F.lit(None).cast("string").alias("backtrace"),
                       "error_info", *(order or []))
+
+
+def full_reload(export: DataFrame, contacts: DataFrame, lead_projection: list, contact_key: str = "leadId",
+                sales_rep=None) -> dict[str, DataFrame]:
+    """Validate the full CRM export, keep the valid leads (projected to
+    the lead schema by ``lead_projection``), keep the contacts of accepted
+    leads that pass their own checks (semi join, J21), and return the
+    rejects of both with reasons.  The caller overwrites the tables with a
+    new version (never the path being read)."""
+    v = validate_leads(export, sales_rep)
+    ok, rej = split_valid(v)
+    leads = ok.select(*lead_projection)
+    cv = validate(contacts, CONTACT_REQUIRED)
+    c_ok, c_rej = split_valid(cv)
+    accepted = ok.select(F.col("id").alias("_acc"))
+    return {"leads": leads,
+            "contacts": c_ok.join(accepted, F.col(contact_key) == F.col("_acc"), "left_semi"),
+            "lead_rejects": rej, "contact_rejects": c_rej}

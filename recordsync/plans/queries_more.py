@@ -321,9 +321,8 @@ def _fp_anti(t: DomainTables) -> DataFrame:
 
 @register("product_total")
 def _product_total(t: DomainTables) -> DataFrame:
-    s = t.sale_lines
-    return (s.groupBy("lead_id").agg(F.coalesce(F.sum(F.coalesce("final_value", F.lit(0))), F.lit(0))
-                                     .cast("double").alias("total")))
+    from ..operators.changes import product_total
+    return product_total(t.sale_lines)
 
 
 @register("contact_route")
@@ -409,21 +408,7 @@ def staged_leads(t: DomainTables) -> DataFrame:
         "financial_analysis")
 
 
-def field_diff(source: DataFrame, target: DataFrame, key: str, cols: list[str], null_safe: bool = False) -> DataFrame:
-    """Source rows missing in the target or with any changed column,
-    plus the list of changed columns.  ``!=`` with a NULL side is not a
-    change unless ``null_safe`` (Q9)."""
-    tg = target.select(F.col(key).alias("tgt_id"), *[F.col(c).alias(f"_t_{c}") for c in cols])
-    j = source.join(tg, F.col(key) == F.col("tgt_id"), "left")
-
-    def changed(c):
-        s, tc = F.col(c), F.col(f"_t_{c}")
-        return ~s.eqNullSafe(tc) if null_safe else F.coalesce(s != tc, F.lit(False))
-    cond = F.col("tgt_id").isNull()
-    for c in cols:
-        cond = cond | changed(c)
-    diff = F.filter(F.array(*[F.when(changed(c), F.lit(c)) for c in cols]), lambda x: x.isNotNull())
-    return j.where(cond).select(*source.columns, "tgt_id", F.array_join(diff, ",").alias("changed"))
+from ..operators.changes import field_diff  # noqa: E402
 
 
 @register("field_diff")
@@ -576,11 +561,13 @@ def _mark_values(t: DomainTables) -> DataFrame:
 @register("full_reload")
 def _full_reload(t: DomainTables) -> DataFrame:
     """Validated export rows, projected to the lead schema."""
-    v = validated_export(t)
-    ok, _ = Q.split_valid(v)
-    return ok.select("id", F.col("lead").alias("name"), _canon_to_alias(F.col("stage")).alias("stage"),
-                     F.col("cnpj").alias("taxid"), F.col("industry.value").alias("industry"),
-                     X.strip_punct(F.col("phone1")).alias("phone"), X.house_number(F.col("number")).alias("address_number"))
+    e = t.crm_export.withColumn("stage", X.nbsp_to_space(F.col("stage")))
+    cf = custom_field_table(t)
+    e = e.join(cf.select("lead_id", "sales_rep"), e.id == F.col("lead_id"), "left").drop("lead_id")
+    proj = ["id", F.col("lead").alias("name"), _canon_to_alias(F.col("stage")).alias("stage"),
+            F.col("cnpj").alias("taxid"), F.col("industry.value").alias("industry"),
+            X.strip_punct(F.col("phone1")).alias("phone"), X.house_number(F.col("number")).alias("address_number")]
+    return Q.full_reload(e, t.crm_contacts, proj, sales_rep=F.col("sales_rep"))["leads"]
 
 
 # ---------------------------------------------------------------------------

@@ -86,3 +86,34 @@ def test_lead_diff_synced_only_is_subset(spark):
     full = set(map(tuple, V.lead_diff(t).collect()))
     synced = set(map(tuple, V.lead_diff(t, synced_only=True).collect()))
     assert synced <= full and len(synced) < len(full)
+
+
+def test_client_cascade_matches_registered_parts(spark):
+    from conftest import SMOKE
+    import __spark_entry__ as E
+    from recordsync.operators.cascade import client_cascade
+    from recordsync.plans import queries_more as QM
+    t = DomainTables(spark, SMOKE)
+    cv = V.client_base(t).join(V.min_industry(t), V.KEYS, "left")
+    out = client_cascade(QM.staged_leads(t), cv, t.branches, t.cities, t.states, t.credit_limit_history,
+                         t.industries)
+    assert {"branch_updates", "credit_limit_history", "client_industries", "new_branches", "new_clients",
+            "new_sales_rep_branches", "new_billing_addresses", "new_credit_limit_history"} <= set(out)
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert same(out["branch_updates"], E.queries()["branch_update"](spark, SMOKE))
+    assert same(out["new_branches"], E.queries()["new_clients"](spark, SMOKE))
+    linked = client_cascade(QM.staged_leads(t), cv, t.branches, t.cities, t.states, t.credit_limit_history,
+                            initial_load=True)["branches"]
+    assert linked.count() == t.branches.count()
+
+
+def test_full_reload_contacts_of_accepted_leads(spark):
+    from conftest import SMOKE
+    from pyspark.sql import functions as F
+    from recordsync.operators.quality import full_reload
+    t = DomainTables(spark, SMOKE)
+    e = t.crm_export
+    out = full_reload(e, t.crm_contacts, ["id", "lead"])
+    acc = {r.id for r in out["leads"].collect()}
+    assert all(r.leadId in acc for r in out["contacts"].collect())
+    assert out["contacts"].where(F.col("email").isNull()).count() == 0
