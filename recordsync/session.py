@@ -62,3 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
+
+
+def cut_lineage(df, eager: bool = True):
+    """Materialise ``df`` in the cluster's checkpoint folder and cut its
+    lineage: later actions (several outputs of one frame) read the files,
+    and a lost executor does not force recomputing the whole plan.  Never
+    a local checkpoint (that would live on the lost executor)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
