@@ -719,16 +719,16 @@ def _stream_ingest(t: DomainTables) -> DataFrame:
 
 @register("stream_upsert")
 def _stream_upsert(t: DomainTables) -> DataFrame:
-    """Micro-batches partially merged into versioned lead snapshots; the
-    final version equals the batch ``partial_update``."""
+    """Micro-batches append per-field changes to a log; the snapshot
+    (base + log) equals the batch ``partial_update``."""
     from ..streaming import ingest as S_
     root = _scratch(t, "stream-upsert")
     S_.land_documents(t.webhook_docs, f"{root}/queue")
     s = S_.read_queue(t.spark, f"{root}/queue", max_files=1)
-    merge = S_.VersionedMerge(t.spark, t.leads, f"{root}/leads")
+    merge = S_.ChangeLogMerge(f"{root}/leads")
     q = S_.start_sync(s, f"{root}/ckpt", merge)
     q.awaitTermination()
-    return merge.latest().select("id", "name", "phone", "stage")
+    return merge.snapshot(t.spark, t.leads).select("id", "name", "phone", "stage")
 
 
 @register("stream_dedup")
