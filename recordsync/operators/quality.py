@@ -50,11 +50,14 @@ def validate(df: DataFrame, required: list[str], applies: Column | None = None,
     return df.withColumn(out, arr)
 
 
-def validate_leads(export: DataFrame, sales_rep: Column | None = None) -> DataFrame:
-    """Q-1: CRM leads in the synced stages need a sales rep and 11 fields."""
+def validate_leads(export: DataFrame, sales_rep: Column | None = None, initial_load: bool = False) -> DataFrame:
+    """Q-1: CRM leads in the synced stages need 11 fields; during an initial
+    load the sales rep is required too (the regular full sync runs with the
+    initial-load flag off, so a missing rep does not reject a lead there)."""
     from ..schemas import STAGES_ALIAS, STAGES_CANONICAL
     synced_canon = [STAGES_CANONICAL[STAGES_ALIAS.index(s)] for s in SYNCED_STAGES]
-    extra = {"REPRESENTANTE": falsy(sales_rep, T.StringType())} if sales_rep is not None else None
+    extra = ({"REPRESENTANTE": falsy(sales_rep, T.StringType())}
+             if sales_rep is not None and initial_load else None)
     return validate(export, LEAD_REQUIRED, applies=F.coalesce(F.col("stage").isin(*synced_canon), F.lit(False)),
                     extra=extra)
 
@@ -116,13 +119,15 @@ def error_log_rows(rejects: DataFrame, existing_log: DataFrame, code: int, info:
 
 
 def full_reload(export: DataFrame, contacts: DataFrame, lead_projection: list, contact_key: str = "leadId",
-                sales_rep=None) -> dict[str, DataFrame]:
-    """Validate the full CRM export, keep the valid leads (projected to
-    the lead schema by ``lead_projection``), keep the contacts of accepted
-    leads that pass their own checks (semi join, J21), and return the
-    rejects of both with reasons.  The caller overwrites the tables with a
-    new version (never the path being read)."""
-    v = validate_leads(export, sales_rep)
+                sales_rep=None, initial_load: bool = False) -> dict[str, DataFrame]:
+    """Validate the full CRM export, keep the valid leads of the synced
+    stages (projected to the lead schema by ``lead_projection``), keep the
+    contacts of accepted leads that pass their own checks (semi join, J21),
+    and return the rejects of both with reasons.  The caller overwrites the
+    tables with a new version (never the path being read)."""
+    from ..schemas import STAGES_ALIAS, STAGES_CANONICAL
+    synced_canon = [STAGES_CANONICAL[STAGES_ALIAS.index(s)] for s in SYNCED_STAGES]
+    v = validate_leads(export.where(F.col("stage").isin(*synced_canon)), sales_rep, initial_load)
     ok, rej = split_valid(v)
     leads = ok.select(*lead_projection)
     cv = validate(contacts, CONTACT_REQUIRED)

@@ -69,7 +69,6 @@ STANDINS.update({
         LEFT JOIN custom_fields_t cf ON cf.lead_id = e.id
         WHERE m.alias IN {SYNCED} AND e.id <> 12345678""",
     "validated": f"""SELECT e.*, CASE WHEN replace(e.stage, chr(160), ' ') IN {SYNCED_CANON} THEN concat_ws(',',
-            CASE WHEN cf.sales_rep IS NULL OR cf.sales_rep = '' THEN 'REPRESENTANTE' END,
             CASE WHEN e.id IS NULL OR e.id = 0 THEN 'id' END,
             CASE WHEN e.lead IS NULL OR e.lead = '' THEN 'lead' END,
             CASE WHEN e.cnpj IS NULL OR e.cnpj = '' THEN 'cnpj' END,
@@ -330,9 +329,16 @@ ORACLE.update({
         FROM leads l LEFT JOIN budget_changes_rows b ON l.id = b.id LEFT JOIN sold_changes_rows s ON l.id = s.id
         LEFT JOIN (SELECT e.id, m.alias FROM crm_export e LEFT JOIN stage_table m
                    ON replace(e.stage, chr(160), ' ') = m.canonical) c ON l.id = c.id""",
-    "full_reload": f"""SELECT v.id, v.lead AS name, m.alias AS stage, v.cnpj AS taxid, v.industry.value AS industry,
-        {strip('v.phone1')} AS phone, coalesce(TRY_CAST(v.number AS INTEGER), 0) AS address_number
-        FROM validated v LEFT JOIN stage_table m ON replace(v.stage, chr(160), ' ') = m.canonical WHERE v.failed = ''""",
+    "full_reload": f"""SELECT v.id, substr(v.lead, 1, 40) AS name, m.alias AS stage, v.cnpj AS taxid,
+        v.industry.value AS industry, v.source.value AS source, v.phone1 AS phone,
+        regexp_split_to_array(trim(v.street), '\\s+')[1] AS address_street, {strip('v.cep')} AS address_zipcode,
+        coalesce(TRY_CAST(v.number AS INTEGER), 0) AS address_number, v.complement AS address_complement,
+        v.district AS address_district, v.city, v.state, TRY_CAST(cf.sales_rep AS BIGINT) AS sales_rep,
+        CASE WHEN cf.tax_registration = '99' THEN 'ISENTO' ELSE cf.tax_registration END AS tax_registration,
+        cf.financial_analysis
+        FROM validated v JOIN stage_table m ON replace(v.stage, chr(160), ' ') = m.canonical
+        LEFT JOIN custom_fields_t cf ON cf.lead_id = v.id
+        WHERE v.failed = '' AND m.alias IN {SYNCED}""",
     "json_props": """SELECT e.event_id, CAST(json_extract(e.props, '$.k') AS BIGINT) AS k,
         json_extract_string(w.raw, '$.Lead.Stage') AS stage FROM events e JOIN webhook_docs w ON e.event_id = w.doc_id""",
     "field_split": """SELECT id, len(list_filter(entries, lambda x: NOT starts_with(x.key, '_')))::BIGINT AS plain_fields,

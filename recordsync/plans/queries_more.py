@@ -560,13 +560,22 @@ def _mark_values(t: DomainTables) -> DataFrame:
 
 @register("full_reload")
 def _full_reload(t: DomainTables) -> DataFrame:
-    """Validated export rows, projected to the lead schema."""
+    """Valid CRM leads of the synced stages in the lead schema, shaped
+    as the full sync loads them (name cut to 40, street = first word, zip
+    without punctuation, registration '99' shown as ISENTO)."""
     e = t.crm_export.withColumn("stage", X.nbsp_to_space(F.col("stage")))
     cf = custom_field_table(t)
-    e = e.join(cf.select("lead_id", "sales_rep"), e.id == F.col("lead_id"), "left").drop("lead_id")
-    proj = ["id", F.col("lead").alias("name"), _canon_to_alias(F.col("stage")).alias("stage"),
+    e = e.join(cf, e.id == F.col("lead_id"), "left").drop("lead_id")
+    reg = F.col("tax_registration")
+    proj = ["id", X.truncate(F.col("lead"), 40).alias("name"), _canon_to_alias(F.col("stage")).alias("stage"),
             F.col("cnpj").alias("taxid"), F.col("industry.value").alias("industry"),
-            X.strip_punct(F.col("phone1")).alias("phone"), X.house_number(F.col("number")).alias("address_number")]
+            F.col("source.value").alias("source"), F.col("phone1").alias("phone"),
+            X.first_token(F.col("street")).alias("address_street"),
+            X.strip_punct(F.col("cep")).alias("address_zipcode"),
+            X.house_number(F.col("number")).alias("address_number"), F.col("complement").alias("address_complement"),
+            F.col("district").alias("address_district"), "city", "state",
+            F.col("sales_rep").try_cast("bigint").alias("sales_rep"),
+            F.when(reg == "99", F.lit("ISENTO")).otherwise(reg).alias("tax_registration"), "financial_analysis"]
     return Q.full_reload(e, t.crm_contacts, proj, sales_rep=F.col("sales_rep"))["leads"]
 
 
