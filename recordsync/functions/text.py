@@ -41,6 +41,12 @@ def pad_taxid(c, width: int = 14) -> Column:
     return F.lpad(_c(c).cast("string"), width, "0")
 
 
+def zfill(c, width: int = 14) -> Column:
+    """F2 (payload side): Python ``zfill``: pad with zeros, never cut."""
+    x = _c(c).cast("string")
+    return F.when(F.length(x) >= width, x).otherwise(F.lpad(x, width, "0"))
+
+
 def taxid_key(c, width: int = 14) -> Column:
     """``ltrim(lpad(x, 14, '0'))``."""
     return F.ltrim(pad_taxid(c, width))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nested import _c
-from ..functions.text import int_part, pad_taxid, registration_to_erp, strip_punct
+from ..functions.text import int_part, registration_to_erp, strip_punct, zfill
 from ..schemas import (BUDGET_PRODUCT_ID, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION,
                        OBSERVATION_TEXT, PAYLOAD_COUNTRY, QUALIFICATION_QA, QUALIFICATION_QUESTION_TYPE,
                        SALE_REP_EMAIL)
@@ -40,7 +40,7 @@ def insert_payload(cands: DataFrame, rep_col: str = "sales_rep_checked") -> Data
         F.col("name").alias("name"), F.col("industry").alias("industry"), F.col("address").alias("address"),
         _s("zipcode").alias("zipcode"), _s("phone").alias("phone"), _s("number").alias("addressNumber"),
         F.col("complement").alias("addressComplement"), F.col("district").alias("neighborhood"),
-        F.col("city").alias("city"), F.col("state").alias("state"), pad_taxid(F.col("taxid")).alias("cpfcnpj"),
+        F.col("city").alias("city"), F.col("state").alias("state"), zfill(F.col("taxid")).alias("cpfcnpj"),
         F.lit(PAYLOAD_COUNTRY).alias("country"),
         F.array(_cf_option(CF_SALES_REP, _s(rep_col)), _cf_value(CF_CLIENT_CODE, _s("client_code")),
                 _cf_value(CF_TAX_REGISTRATION, reg)).alias("customFields"))
@@ -58,7 +58,7 @@ def update_payload(diff: DataFrame, rep_col: str = "sales_rep_checked") -> DataF
         F.coalesce(int_part(F.col("address_number")), F.lit("SN")).alias("addressNumber"),
         F.coalesce(F.col("address_complement"), F.lit("")).alias("addressComplement"),
         F.col("address_district").alias("neighborhood"), F.col("city").alias("city"), F.col("state").alias("state"),
-        pad_taxid(int_part(F.col("taxid"))).alias("cpfcnpj"), F.lit(PAYLOAD_COUNTRY).alias("country"),
+        zfill(int_part(F.col("taxid"))).alias("cpfcnpj"), F.lit(PAYLOAD_COUNTRY).alias("country"),
         F.array(_cf_option(CF_SALES_REP, _s(rep_col)), _cf_value(CF_CLIENT_CODE, _s("client_code")),
                 _cf_value(CF_TAX_REGISTRATION, F.when(reg == "ISENTO", F.lit("99")).otherwise(reg)),
                 _cf_value(CF_FINANCIAL_ANALYSIS, F.coalesce(F.col("financial_analysis"), F.lit("Vazio."))))

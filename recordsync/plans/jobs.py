@@ -31,7 +31,8 @@ def outbound_updates(t: DomainTables, ledger: DataFrame | None, out_root: str, r
     """
     diff = cut_lineage(FP.with_row_fingerprint(V.lead_diff(t), V.DIFF_COLS))
     fresh = diff if ledger is None else FP.unseen(diff.drop("fingerprint"), ledger, V.DIFF_COLS)
-    fresh = J.domain_or_default(fresh, "sales_rep", t.sales_reps, "code", 99, out="sales_rep_checked")
+    from .queries_more import rep_options
+    fresh = J.domain_or_default(fresh, "sales_rep", rep_options(t), "code", 99, out="sales_rep_checked")
     root = out_root.rstrip("/")
     paths = {"outbound": f"{root}/outbound/run={run_id}", "ledger": f"{root}/ledger/run={run_id}"}
     update_payload(fresh).write.mode("overwrite").parquet(paths["outbound"])

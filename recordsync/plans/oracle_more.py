@@ -53,6 +53,8 @@ _LEAD_A = ORACLE["lead_diff"].split("\nEXCEPT\n")[0]
 _LEAD_B = ORACLE["lead_diff"].split("\nEXCEPT\n")[1].split("\nUNION\n")[0]
 
 STANDINS.update({
+    "rep_options": """SELECT DISTINCT CAST(f.value AS BIGINT) AS code
+        FROM (SELECT unnest(CustomFields) AS f FROM lead_docs) WHERE f.id = '_cod.gestores'""",
     "custom_fields_t": """SELECT leadId AS lead_id,
         arg_max(value, pos) FILTER (WHERE id = '_cod.gestores') AS sales_rep,
         arg_max(value, pos) FILTER (WHERE id = '_inscricaoestadual') AS tax_registration,
@@ -165,7 +167,7 @@ ORACLE.update({
         CASE WHEN l.client_code IS NULL THEN 'quarantine' ELSE 'ok' END AS status
         FROM incoming_contacts i LEFT JOIN (SELECT id, min(client_code) AS client_code FROM leads GROUP BY id) l
           ON i.lead_id = l.id""",
-    "rep_domain": """SELECT id, sales_rep, (CASE WHEN sales_rep IN (SELECT code FROM sales_reps) THEN sales_rep ELSE 99 END)::BIGINT
+    "rep_domain": """SELECT id, sales_rep, (CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END)::BIGINT
         AS sales_rep_checked FROM leads""",
     "city_match": """SELECT e.id, coalesce(r.city_code, 10000)::BIGINT AS city_code,
         coalesce(r.state_code::VARCHAR, 'XX') AS state_code, coalesce(r.country_code, 'US') AS country_code
@@ -360,24 +362,24 @@ ORACLE.update({
     "insert_payload": "SELECT client_code, " + drop_nulls("""to_json({'duplicityValidation': 'true', 'lead': {
         'name': name, 'industry': industry, 'address': address, 'zipcode': zipcode::VARCHAR, 'phone': phone::VARCHAR,
         'addressNumber': number::VARCHAR, 'addressComplement': complement, 'neighborhood': district, 'city': city,
-        'state': state, 'cpfcnpj': lpad(taxid::VARCHAR, 14, '0'), 'country': 'Brasil',
+        'state': state, 'cpfcnpj': CASE WHEN length(taxid::VARCHAR) >= 14 THEN taxid::VARCHAR ELSE lpad(taxid::VARCHAR, 14, '0') END, 'country': 'Brasil',
         'customFields': [
             {'id': '_cod.gestores', 'value': NULL::VARCHAR, 'options': [{'value': rep::VARCHAR}]},
             {'id': '_cod.cliente', 'value': client_code::VARCHAR, 'options': NULL::STRUCT(value VARCHAR)[]},
             {'id': '_inscricaoestadual', 'value': """ + reg_to_erp("tax_registration") + """, 'options': NULL::STRUCT(value VARCHAR)[]}]}})""")
-        + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM sales_reps) THEN sales_rep ELSE 99 END AS rep
+        + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END AS rep
         FROM insert_cands)""",
     "update_payload": "SELECT id, " + drop_nulls("""to_json({'duplicityValidation': 'true', 'lead': {
         'name': name, 'address': address_street, 'zipcode': split_part(address_zipcode::VARCHAR, '.', 1),
         'addressNumber': coalesce(split_part(address_number::VARCHAR, '.', 1), 'SN'),
         'addressComplement': coalesce(address_complement, ''), 'neighborhood': address_district, 'city': city,
-        'state': state, 'cpfcnpj': lpad(split_part(taxid::VARCHAR, '.', 1), 14, '0'), 'country': 'Brasil',
+        'state': state, 'cpfcnpj': CASE WHEN length(split_part(taxid::VARCHAR, '.', 1)) >= 14 THEN split_part(taxid::VARCHAR, '.', 1) ELSE lpad(split_part(taxid::VARCHAR, '.', 1), 14, '0') END, 'country': 'Brasil',
         'customFields': [
             {'id': '_cod.gestores', 'value': NULL::VARCHAR, 'options': [{'value': rep::VARCHAR}]},
             {'id': '_cod.cliente', 'value': client_code::VARCHAR, 'options': NULL::STRUCT(value VARCHAR)[]},
             {'id': '_inscricaoestadual', 'value': CASE WHEN trim(tax_registration) = 'ISENTO' THEN '99' ELSE trim(tax_registration) END, 'options': NULL::STRUCT(value VARCHAR)[]},
             {'id': '_analisefinanceira', 'value': coalesce(financial_analysis, 'Vazio.'), 'options': NULL::STRUCT(value VARCHAR)[]}]}})""")
-        + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM sales_reps) THEN sales_rep ELSE 99 END AS rep
+        + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END AS rep
         FROM lead_diff_rows)""",
     "contact_payload": "SELECT id, " + drop_nulls("""to_json({'leadId': lead_id, 'name': name, 'email': email,
         'phone1': coalesce(phone, '5500000000'), 'jobTitle': job_title, 'mainContact': upper(is_primary) = 'S'})""")

@@ -210,9 +210,15 @@ def _contact_client_lookup(t: DomainTables) -> DataFrame:
                     F.when(F.col("client_code").isNull(), "quarantine").otherwise("ok").alias("status"))
 
 
+def rep_options(t: DomainTables) -> DataFrame:
+    """The CRM's allowed sales-rep codes (options of the custom field)."""
+    d = t.lead_docs.select(F.explode("CustomFields").alias("f")).where(F.col("f.id") == CF_SALES_REP)
+    return d.select(F.col("f.value").cast("bigint").alias("code")).distinct()
+
+
 @register("rep_domain")
 def _rep_domain(t: DomainTables) -> DataFrame:
-    out = J.domain_or_default(t.leads.select("id", "sales_rep"), "sales_rep", t.sales_reps, "code", 99,
+    out = J.domain_or_default(t.leads.select("id", "sales_rep"), "sales_rep", rep_options(t), "code", 99,
                               out="sales_rep_checked")
     return out.select("id", "sales_rep", F.col("sales_rep_checked").cast("bigint").alias("sales_rep_checked"))
 
@@ -668,14 +674,14 @@ def _json_roundtrip(t: DomainTables) -> DataFrame:
 def _insert_payload(t: DomainTables) -> DataFrame:
     from ..operators.payloads import insert_payload
     c = V.insert_candidates(t)
-    c = J.domain_or_default(c, "sales_rep", t.sales_reps, "code", 99, out="sales_rep_checked")
+    c = J.domain_or_default(c, "sales_rep", rep_options(t), "code", 99, out="sales_rep_checked")
     return insert_payload(c)
 
 
 @register("update_payload")
 def _update_payload(t: DomainTables) -> DataFrame:
     from ..operators.payloads import update_payload
-    d = J.domain_or_default(V.lead_diff(t), "sales_rep", t.sales_reps, "code", 99, out="sales_rep_checked")
+    d = J.domain_or_default(V.lead_diff(t), "sales_rep", rep_options(t), "code", 99, out="sales_rep_checked")
     return update_payload(d)
 
 

@@ -19,6 +19,8 @@ def test_taxid_padding_and_cut(spark):
     assert one(spark, X.pad_taxid, "123456789012345") == "12345678901234"  # lpad cuts
     assert one(spark, X.taxid_too_long, "123456789012345") is True
     assert one(spark, X.pad_taxid, None) is None
+    assert one(spark, X.zfill, "123456789012345") == "123456789012345"  # zfill never cuts
+    assert one(spark, X.zfill, "42") == "00000000000042"
 
 
 def test_accents_and_keys(spark):
