@@ -189,7 +189,7 @@ ORACLE.update({
         FROM leads l JOIN crm_contacts c ON l.id = c.leadId""",
     "contact_fanout": f"""SELECT w.doc_id, w.lead_id, w.contact_id, w.contact_name, w.contact_email
         FROM webhook_contacts w JOIN webhook_docs d ON w.doc_id = d.doc_id
-        WHERE d.stage IN {SYNCED} AND w.lead_id IN (SELECT id FROM leads)""",
+        WHERE d.stage IN {SYNCED_CANON} AND w.lead_id IN (SELECT id FROM leads)""",
     "first_match": """SELECT branch_client, code, email FROM contact c
         WHERE code = (SELECT min(code) FROM contact c2 WHERE c2.branch_client = c.branch_client)""",
     "latest_event": "SELECT lead_id, doc_id, received_at, stage FROM latest_docs",
@@ -239,21 +239,10 @@ ORACLE.update({
         LEFT JOIN stage_table old_t ON old_t.alias = l.stage
         WHERE c.id IS NULL OR c.stage IS NULL OR now_t.ordinal IS NULL OR old_t.ordinal IS NULL
            OR now_t.ordinal < old_t.ordinal""",
-    "stage_update": """SELECT l.id, CASE WHEN d.stage = 'Activation' THEN d.stage ELSE l.stage END AS stage
+    "stage_update": """SELECT l.id, CASE WHEN d.stage = 'Ativação' THEN 'Activation' ELSE l.stage END AS stage
         FROM leads l LEFT JOIN latest_docs d ON l.id = d.lead_id""",
-    "stage_route": """SELECT doc_id, lead_id, stage, CASE WHEN stage = 'Development/Budget' THEN 'insert_lead'
-        WHEN stage = 'Activation' THEN 'update_stage' ELSE 'ignore' END AS action FROM webhook_docs""",
-    "partial_update": """WITH f AS (SELECT lead_id, {'t': received_at, 'd': doc_id} AS o,
-            list_contains(json_keys(raw, '$.Lead'), 'Company') AS pc, json_extract_string(raw, '$.Lead.Company') AS vc,
-            list_contains(json_keys(raw, '$.Lead'), 'Phone') AS pp, json_extract_string(raw, '$.Lead.Phone') AS vp,
-            list_contains(json_keys(raw, '$.Lead'), 'Stage') AS ps, json_extract_string(raw, '$.Lead.Stage') AS vs
-            FROM webhook_docs),
-        g AS (SELECT lead_id, bool_or(pc) AS pc, arg_max_null(vc, o) FILTER (WHERE pc) AS vc,
-                     bool_or(pp) AS pp, arg_max_null(vp, o) FILTER (WHERE pp) AS vp,
-                     bool_or(ps) AS ps, arg_max_null(vs, o) FILTER (WHERE ps) AS vs FROM f GROUP BY lead_id)
-        SELECT l.id, CASE WHEN g.pc THEN g.vc ELSE l.name END AS name, CASE WHEN g.pp THEN g.vp ELSE l.phone END AS phone,
-               CASE WHEN g.ps THEN g.vs ELSE l.stage END AS stage
-        FROM leads l LEFT JOIN g ON l.id = g.lead_id""",
+    "stage_route": """SELECT doc_id, lead_id, stage, CASE WHEN stage = 'Desenvolvimento/Orçamento' THEN 'insert_lead'
+        WHEN stage = 'Ativação' THEN 'update_stage' ELSE 'ignore' END AS action FROM webhook_docs""",
     "contact_merge": """WITH ch AS (SELECT lead_id AS client, name, email, phone, job_title,
             CASE WHEN is_primary THEN 'S' ELSE 'N' END AS is_primary, id_crm, op, lower(email) AS cem FROM incoming_contacts),
         t AS (SELECT code, name, email, phone, job_title_desc, branch_client, is_primary, id_crm, lower(email) AS em FROM contact),
@@ -395,7 +384,6 @@ ORACLE.update({
     "stream_dedup": "SELECT doc_id, lead_id, kind, " + fp(["doc_id", "lead_id", "kind", "stage", "raw"])
         + " AS fingerprint FROM webhook_docs",
 })
-ORACLE["stream_upsert"] = ORACLE["partial_update"]
 ORACLE["client_code_payload"] = ORACLE["new_clients"].replace(
     "SELECT (SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk) AS client, 1::BIGINT AS code,",
     "SELECT id AS lead_id, to_json({'Id': id, 'Fields': [{'field_name': '_cod.cliente', 'field_value': "
@@ -406,3 +394,41 @@ ORACLE["client_code_payload"] = "SELECT lead_id, payload FROM (" + ORACLE["clien
 ORACLE["placeholder_contact_payload"] = f"""SELECT id AS lead_id, to_json({{'name': 'Dummy contact', 'leadId': id}}) AS payload
     FROM leads WHERE stage IN {SYNCED} AND id NOT IN (SELECT leadId FROM crm_contacts WHERE leadId IS NOT NULL)"""
 
+
+def _partial_update_sql() -> str:
+    keys = {"stage": ("$.Lead", "Stage"), "taxid": ("$.Lead", "CpfCnpj"), "industry": ("$.Lead.Industry", "value"),
+            "source": ("$.Lead.Origin", "value"), "phone": ("$.Lead", "Phone"), "name": ("$.Lead", "Company"),
+            "address_zipcode": ("$.Lead.Address", "ZipCode"),
+            "address_complement": ("$.Lead.Address", "AddAddressInformation"),
+            "city": ("$.Lead.Address", "City"), "state": ("$.Lead.Address", "State")}
+    custom = {"sales_rep": "_cod.gestores", "tax_registration": "_inscricaoestadual",
+              "client_code": "_cod.cliente", "financial_analysis": "_analisefinanceira"}
+    cols = []
+    for c, (parent, key) in keys.items():
+        v = f"json_extract_string(raw, '{parent}.{key}')"
+        if c == "name":
+            v = f"substr({v}, 1, 40)"
+        elif c == "address_zipcode":
+            v = strip(v)
+        elif c == "stage":
+            v = f"(SELECT alias FROM stage_table WHERE canonical = replace({v}, chr(160), ' '))"
+        cols.append(f"coalesce(list_contains(json_keys(raw, '{parent}'), '{key}'), false) AS p_{c}, {v} AS v_{c}")
+    for c, fid in custom.items():
+        v = (f"list_filter(CAST(json_extract(raw, '$.Lead.CustomFields') AS STRUCT(id VARCHAR, value VARCHAR)[]), "
+             f"lambda x: x.id = '{fid}')[1].value")
+        cols.append(f"coalesce({v} IS NOT NULL AND {v} <> '', false) AS p_{c}, "
+                    + (f"TRY_CAST({v} AS BIGINT)" if c in ("sales_rep", "client_code") else v) + f" AS v_{c}")
+    fields = list(keys) + list(custom)
+    f = ("SELECT lead_id, {'t': received_at, 'd': doc_id} AS o, " + ", ".join(cols)
+         + f" FROM webhook_docs WHERE replace(json_extract_string(raw, '$.Lead.Stage'), chr(160), ' ') IN {SYNCED_CANON}")
+    g = ("SELECT lead_id, " + ", ".join(f"bool_or(p_{c}) AS p_{c}, arg_max_null(v_{c}, o) FILTER (WHERE p_{c}) AS v_{c}"
+                                       for c in fields) + " FROM f GROUP BY lead_id")
+    out = ["l.id"] + [f"CASE WHEN g.p_{c} THEN g.v_{c} ELSE l.{c} END AS {c}" for c in
+                      ["name", "phone", "stage", "taxid", "industry", "source", "address_zipcode", "address_complement",
+                       "city", "state", "sales_rep", "tax_registration", "client_code", "financial_analysis"]]
+    return f"WITH f AS ({f}), g AS ({g}) SELECT " + ", ".join(out) + " FROM leads l LEFT JOIN g ON l.id = g.lead_id"
+
+
+ORACLE["partial_update"] = _partial_update_sql()
+ORACLE["stream_upsert"] = ORACLE["partial_update"]
+

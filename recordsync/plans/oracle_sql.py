@@ -328,13 +328,19 @@ STANDINS.update({
         lambda x: x.value IS NOT NULL) AS CustomFields
         FROM customer WHERE c_custkey % 6 <> 5""",
     "webhook_docs": f"""SELECT event_id AS doc_id, ts AS received_at, event_type AS kind, user_id AS lead_id,
-        {_STAGE_LIST}[(event_id % 8 + 1)::INTEGER] AS stage,
-        'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR AS company,
-        '5531' || lpad(event_id::VARCHAR, 8, '0') AS phone,
+        {_STAGE_CANON}[(event_id % 8 + 1)::INTEGER] AS stage,
+        'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR
+          || CASE WHEN event_id % 9 = 0 THEN ' Comercio Industria e Servicos Limitada' ELSE '' END AS company,
         '{{"Lead":{{"Id":' || user_id::VARCHAR
-          || CASE WHEN event_id % 3 = 0 THEN ',"Company":"' || 'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR || '"' ELSE '' END
+          || CASE WHEN event_id % 3 = 0 THEN ',"Company":"' || 'Company ' || user_id::VARCHAR || ' ' || (event_id % 3)::VARCHAR
+               || CASE WHEN event_id % 9 = 0 THEN ' Comercio Industria e Servicos Limitada' ELSE '' END || '"' ELSE '' END
           || CASE WHEN event_id % 4 = 0 THEN ',"Phone":null' WHEN event_id % 4 = 1 THEN ',"Phone":"' || '5531' || lpad(event_id::VARCHAR, 8, '0') || '"' ELSE '' END
-          || ',"Stage":"' || {_STAGE_LIST}[(event_id % 8 + 1)::INTEGER] || '"}}}}' AS raw
+          || CASE WHEN event_id % 5 = 0 THEN ',"CpfCnpj":"' || lpad(user_id::VARCHAR, 14, '0') || '"' ELSE '' END
+          || CASE WHEN event_id % 6 = 0 THEN ',"Address":{{"ZipCode":"' || substr(lpad((event_id % 99991)::VARCHAR, 8, '0'), 1, 5) || '-'
+               || substr(lpad((event_id % 99991)::VARCHAR, 8, '0'), 6, 3) || '","City":"Cidade ' || (event_id % 25)::VARCHAR || '"}}' ELSE '' END
+          || CASE WHEN event_id % 7 == 0 THEN ',"CustomFields":[{{"id":"_cod.gestores","value":"' || (event_id % 10)::VARCHAR
+               || '"}},{{"id":"_cod.gestores","value":"x"}}]' ELSE '' END
+          || ',"Stage":"' || {_STAGE_CANON}[(event_id % 8 + 1)::INTEGER] || '"}}}}' AS raw
         FROM events""",
     "webhook_contacts": """SELECT event_id AS doc_id, user_id AS lead_id, ts AS received_at, event_id * 10 + n AS contact_id,
         'Person ' || n::VARCHAR || ' of ' || event_id::VARCHAR AS contact_name,

@@ -269,7 +269,7 @@ def _lead_contacts(t: DomainTables) -> DataFrame:
 
 @register("contact_fanout")
 def _contact_fanout(t: DomainTables) -> DataFrame:
-    docs = t.webhook_docs.where(F.col("stage").isin(*SYNCED_STAGES))
+    docs = t.webhook_docs.where(F.col("stage").isin(*[ALIAS_TO_CANON[x] for x in SYNCED_STAGES]))
     accepted = t.leads.select("id")
     d = J.semi_restrict(docs, "lead_id", accepted, "id")
     return d.select("doc_id", "lead_id", F.explode("contacts").alias("c")).select(
@@ -437,27 +437,30 @@ def _stage_regression(t: DomainTables) -> DataFrame:
 def _stage_update(t: DomainTables) -> DataFrame:
     docs = J.last_per_key(t.webhook_docs.select(F.col("lead_id").alias("id"), "stage", "received_at", "doc_id"),
                           ["id"], "received_at", "doc_id")
-    docs = docs.where(F.col("stage") == ACTIVATION_STAGE).select("id", "stage")
+    docs = docs.where(F.col("stage") == ALIAS_TO_CANON[ACTIVATION_STAGE]).select(
+        "id", F.lit(ACTIVATION_STAGE).alias("stage"))
     return M.merge_snapshot(t.leads, docs, ["id"], ["stage"], insert=False).select("id", "stage")
 
 
 @register("stage_route")
 def _stage_route(t: DomainTables) -> DataFrame:
-    return M.route_by_stage(t.webhook_docs.select("doc_id", "lead_id", "stage"), "stage", BUDGET_STAGE,
-                            ACTIVATION_STAGE)
+    return M.route_by_stage(t.webhook_docs.select("doc_id", "lead_id", "stage"), "stage",
+                            ALIAS_TO_CANON[BUDGET_STAGE], ALIAS_TO_CANON[ACTIVATION_STAGE])
+
+
+PARTIAL_COLUMNS = ["id", "name", "phone", "stage", "taxid", "industry", "source", "address_zipcode",
+                   "address_complement", "city", "state", "sales_rep", "tax_registration", "client_code",
+                   "financial_analysis"]
 
 
 @register("partial_update")
 def _partial_update(t: DomainTables) -> DataFrame:
+    """M2: webhook documents of synced-stage leads set the fields they carry."""
+    from ..sources.webhook import is_synced, lead_update_fields
     raw = F.col("raw")
-    fields = {
-        "name": (F.get_json_object(raw, "$.Lead.Company"), X.json_key_present(raw, "$.Lead", "Company")),
-        "phone": (F.get_json_object(raw, "$.Lead.Phone"), X.json_key_present(raw, "$.Lead", "Phone")),
-        "stage": (F.get_json_object(raw, "$.Lead.Stage"), X.json_key_present(raw, "$.Lead", "Stage")),
-    }
-    docs = t.webhook_docs.select(F.col("lead_id").alias("id"), "raw",
-                                 F.struct("received_at", "doc_id").alias("_ord"))
-    return M.partial_update(t.leads, docs, "id", fields, "_ord").select("id", "name", "phone", "stage")
+    docs = t.webhook_docs.where(is_synced(raw)).select(F.col("lead_id").alias("id"), "raw",
+                                                         F.struct("received_at", "doc_id").alias("_ord"))
+    return M.partial_update(t.leads, docs, "id", lead_update_fields(raw), "_ord").select(*PARTIAL_COLUMNS)
 
 
 @register("contact_merge")
@@ -743,7 +746,7 @@ def _stream_upsert(t: DomainTables) -> DataFrame:
     merge = S_.ChangeLogMerge(f"{root}/leads")
     q = S_.start_sync(s, f"{root}/ckpt", merge)
     q.awaitTermination()
-    return merge.snapshot(t.spark, t.leads).select("id", "name", "phone", "stage")
+    return merge.snapshot(t.spark, t.leads).select(*PARTIAL_COLUMNS)
 
 
 @register("stream_dedup")

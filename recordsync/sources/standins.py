@@ -467,14 +467,18 @@ class DomainTables:
     @cached_property
     def webhook_docs(self) -> DataFrame:
         """CRM webhook documents, one per event: lead id = user, kind = event
-        type, a parsed ``Lead`` struct and the raw JSON text (only some keys
-        present; ``Phone`` is sometimes present with a null value)."""
+        type, the stage in CRM (canonical) names and the raw JSON text, which
+        carries only some keys (``Phone`` sometimes present with null)."""
+        from ..schemas import STAGES_CANONICAL
         e = self.raw("events")
         k = e.event_id
-        stages = F.array(*[F.lit(s) for s in STAGES_ALIAS])
+        stages = F.array(*[F.lit(s) for s in STAGES_CANONICAL])
         stage = F.element_at(stages, (k % 8 + 1).cast("int"))
-        company = F.concat(F.lit("Company "), e.user_id.cast("string"), F.lit(" "), (k % 3).cast("string"))
+        company = F.concat(F.lit("Company "), e.user_id.cast("string"), F.lit(" "), (k % 3).cast("string"),
+                           F.when(k % 9 == 0, F.lit(" Comercio Industria e Servicos Limitada")).otherwise(F.lit("")))
         phone = F.concat(F.lit("5531"), F.lpad(k.cast("string"), 8, "0"))
+        zipc = F.lpad((k % 99991).cast("string"), 8, "0")
+        zip_fmt = F.concat(F.substring(zipc, 1, 5), F.lit("-"), F.substring(zipc, 6, 3))
         contact = lambda n: F.struct(
             (k * 10 + n).alias("Id"), e.user_id.alias("LeadId"),
             F.concat(F.lit(f"Person {n} of "), k.cast("string")).alias("Name"),
@@ -486,12 +490,18 @@ class DomainTables:
             F.when(k % 3 == 0, F.concat(F.lit(',"Company":"'), company, F.lit('"'))).otherwise(F.lit("")),
             F.when(k % 4 == 0, F.lit(',"Phone":null'))
              .when(k % 4 == 1, F.concat(F.lit(',"Phone":"'), phone, F.lit('"'))).otherwise(F.lit("")),
+            F.when(k % 5 == 0, F.concat(F.lit(',"CpfCnpj":"'), F.lpad(e.user_id.cast("string"), 14, "0"), F.lit('"')))
+             .otherwise(F.lit("")),
+            F.when(k % 6 == 0, F.concat(F.lit(',"Address":{"ZipCode":"'), zip_fmt, F.lit('","City":"Cidade '),
+                                        (k % 25).cast("string"), F.lit('"}'))).otherwise(F.lit("")),
+            F.when(k % 7 == 0, F.concat(F.lit(',"CustomFields":[{"id":"_cod.gestores","value":"'),
+                                        (k % 10).cast("string"), F.lit('"},{"id":"_cod.gestores","value":"x"}]')))
+             .otherwise(F.lit("")),
             F.lit(',"Stage":"'), stage, F.lit('"}}'))
         return e.select(
             k.alias("doc_id"), e.ts.alias("received_at"), e.event_type.alias("kind"), e.user_id.alias("lead_id"),
             stage.alias("stage"), company.alias("company"), contacts.alias("contacts"), raw.alias("raw"))
 
-
 # Main key of each domain table: staged files are hash-partitioned on it, so
 # scans run in parallel and rows of one key sit in one file.
 STAGE_KEYS = {

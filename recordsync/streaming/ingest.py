@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nested import json_key_present
 from ..functions.text import row_fingerprint
 from ..operators.merge import partial_update
+from ..sources.webhook import LEAD_CUSTOM, LEAD_KEYS, is_synced, lead_update_fields
 
 DOC_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -75,13 +75,11 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     return fn
 
 
-LEAD_FIELDS = {"name": "Company", "phone": "Phone", "stage": "Stage"}
+LEAD_FIELDS = list(LEAD_KEYS) + list(LEAD_CUSTOM)
 
 
 def doc_fields(raw_col: str = "raw") -> dict:
-    raw = F.col(raw_col)
-    return {c: (F.get_json_object(raw, f"$.Lead.{k}"), json_key_present(raw, "$.Lead", k))
-            for c, k in LEAD_FIELDS.items()}
+    return lead_update_fields(F.col(raw_col))
 
 
 class VersionedMerge:
@@ -106,8 +104,8 @@ class VersionedMerge:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         prev = self._base() if self.last_epoch is None else self.spark.read.parquet(self.path(self.last_epoch))
-        docs = batch.select(F.col("lead_id").alias(self.key), "raw",
-                            F.struct("received_at", "doc_id").alias("_ord"))
+        docs = batch.where(is_synced(F.col("raw"))).select(F.col("lead_id").alias(self.key), "raw",
+                                                           F.struct("received_at", "doc_id").alias("_ord"))
         out = partial_update(prev, docs, self.key, doc_fields(), "_ord")
         out.write.mode("overwrite").parquet(self.path(epoch))
         self.last_epoch = epoch
@@ -152,7 +150,8 @@ class ChangeLogMerge:
         fields = doc_fields()
         entries = F.array(*[F.struct(F.lit(c).alias("field"), v.cast("string").alias("value"), p.alias("present"))
                             for c, (v, p) in fields.items()])
-        rows = (batch.select(F.col("lead_id").alias(k), F.struct("received_at", "doc_id").alias("ord"),
+        rows = (batch.where(is_synced(F.col("raw")))
+                .select(F.col("lead_id").alias(k), F.struct("received_at", "doc_id").alias("ord"),
                              F.explode(entries).alias("e"))
                 .where(F.col("e.present"))
                 .groupBy(k, F.col("e.field").alias("field"))
@@ -171,7 +170,7 @@ class ChangeLogMerge:
             F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"_v_{c}"),
             F.max(F.when(F.col("field") == c, F.lit(1))).alias(f"_p_{c}"))])
         j = base.join(wide, k, "left")
-        return j.select(*[F.when(F.col(f"_p_{c}") == 1, F.col(f"_v_{c}").cast(base.schema[c].dataType))
+        return j.select(*[F.when(F.col(f"_p_{c}") == 1, F.col(f"_v_{c}").try_cast(base.schema[c].dataType))
                           .otherwise(F.col(c)).alias(c) if c in LEAD_FIELDS else F.col(c) for c in base.columns])
 
     def compact(self, spark: SparkSession, base: DataFrame, version: str) -> str:

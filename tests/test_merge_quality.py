@@ -159,3 +159,20 @@ def test_first_per_key_aggregate(spark):
     from recordsync.operators.joins import first_per_key
     df = spark.createDataFrame([(1, 5, "e"), (1, 3, "c"), (2, 9, "x"), (1, 4, "d")], "k int, o int, v string")
     assert sorted(tuple(r) for r in first_per_key(df, ["k"], ["o"]).collect()) == [(1, 3, "c"), (2, 9, "x")]
+
+
+def test_webhook_fields_first_custom_field_and_shaping(spark):
+    from recordsync.sources.webhook import is_synced, lead_update_fields
+    raw = ('{"Lead":{"Id":1,"Company":"' + "A" * 50 + '","Address":{"ZipCode":"12.345-678"},'
+           '"CustomFields":[{"id":"_cod.gestores","value":"7"},{"id":"_cod.gestores","value":"8"},'
+           '{"id":"_inscricaoestadual","value":""}],"Stage":"Ativação"}}')
+    df = spark.createDataFrame([(raw,), ('{"Lead":{"Id":2,"Stage":"Novos leads"}}',)], "raw string")
+    f = lead_update_fields(F.col("raw"))
+    r = df.select(*[v.alias(f"v_{c}") for c, (v, p) in f.items()], *[p.alias(f"p_{c}") for c, (v, p) in f.items()],
+                  is_synced(F.col("raw")).alias("synced")).collect()
+    a, b = r
+    assert a.v_name == "A" * 40 and a.v_address_zipcode == "12345678" and a.v_stage == "Activation"
+    assert a.v_sales_rep == 7 and a.p_sales_rep  # first entry wins
+    assert not a.p_tax_registration  # empty custom value is not applied
+    assert not a.p_city and a.p_address_zipcode and not a.p_phone
+    assert a.synced and not b.synced
