@@ -256,3 +256,31 @@ def resolve_city(df: DataFrame, city_col: str, state_col: str, cities: DataFrame
     return (j.join(ref, ["_kc", "_ks"], "left")
             .select(*df.columns, F.col("_r.city_code").alias("city_code"), F.col("_r.state_code").alias("state_code"),
                     F.col("_r.country_code").alias("country_code")))
+
+
+def contact_upsert(target: DataFrame, incoming: DataFrame, clients: DataFrame) -> DataFrame:
+    """M5: CRM contacts into the CRM-copy contact table, routed by e-mail count.
+
+    ``target`` (id, name, email, phone, job_title, client_code, is_primary);
+    ``incoming`` (id_crm, name, email, phone, job_title, lead_id, is_primary);
+    ``clients`` (lead_id, client_code) resolves the client of the contact's
+    lead.  Contacts without e-mail or client are left out (see the
+    quarantine key).  With one target row for the (lower-case) e-mail the
+    row whose id is the contact's id is updated; with none the first new
+    contact per e-mail is inserted (the source handled documents one by one,
+    so later ones found the e-mail already present); with more nothing
+    happens (Q16).  Phone is cut to 13 characters, job title to 30.
+    """
+    from .joins import first_per_key
+    inc = (incoming.join(clients, "lead_id", "left")
+           .where(F.col("email").isNotNull() & F.col("client_code").isNotNull()))
+    routed = contact_route(inc, target)
+    shaped = routed.select(
+        F.col("id_crm").alias("id"), "name", "email", F.substring("phone", 1, 13).alias("phone"),
+        F.substring("job_title", 1, 30).alias("job_title"), F.col("client_code").cast("string").alias("client_code"),
+        "is_primary", "action")
+    upd = shaped.where(F.col("action") == "update").drop("action")
+    new = shaped.where(F.col("action") == "insert").drop("action").withColumn("_em", F.lower("email"))
+    new = first_per_key(new, ["_em"], ["id"]).drop("_em")
+    updated = merge_snapshot(target, upd, ["id"], insert=False)
+    return updated.unionByName(insert_ignore(target, new, ["id"]).select(*target.columns))

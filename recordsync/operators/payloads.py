@@ -69,10 +69,12 @@ def update_payload(diff: DataFrame, rep_col: str = "sales_rep_checked") -> DataF
 
 def contact_payload(diff: DataFrame) -> DataFrame:
     """Update-contact body; rows without a lead id are skipped."""
-    body = F.struct(F.col("lead_id").alias("leadId"), F.col("name").alias("name"), F.col("email").alias("email"),
-                    F.coalesce(F.col("phone"), F.lit("5500000000")).alias("phone1"),
+    p = F.upper(F.col("is_primary"))
+    body = F.struct(F.col("lead_id").alias("leadId"), F.col("name").alias("name"),
+                    F.lower(F.col("email")).alias("email"),
+                    F.coalesce(int_part(F.col("phone")), F.lit("5500000000")).alias("phone1"),
                     F.col("job_title").alias("jobTitle"),
-                    F.when(F.upper(F.col("is_primary")) == "S", F.lit(True)).otherwise(F.lit(False)).alias("mainContact"))
+                    F.when(p == "S", F.lit(True)).when(p == "N", F.lit(False)).alias("mainContact"))
     return diff.where(F.col("lead_id").isNotNull()).select("id", F.to_json(body).alias("payload"))
 
 

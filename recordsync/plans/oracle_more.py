@@ -111,7 +111,7 @@ STANDINS.update({
     "route": """SELECT i.*, coalesce(c.cnt, 0)::BIGINT AS matches,
         CASE WHEN i.email IS NULL THEN 'reject_no_email' WHEN coalesce(c.cnt, 0) = 0 THEN 'insert'
              WHEN c.cnt = 1 THEN 'update' ELSE 'ambiguous' END AS action
-        FROM incoming_contacts i LEFT JOIN (SELECT lower(email) AS em, count(*) AS cnt FROM contact
+        FROM incoming_contacts i LEFT JOIN (SELECT lower(email) AS em, count(*) AS cnt FROM contacts
                                             WHERE email IS NOT NULL GROUP BY 1) c ON lower(i.email) = c.em""",
     "budget_changes_rows": """SELECT l.id, e.budget_value, l.taxid FROM leads l JOIN vw_crm_clients e ON l.id = e.id_crm
         WHERE e.budget_value IS NOT NULL AND COALESCE(CAST(l.budget_value AS DOUBLE), -1) <> e.budget_value""",
@@ -370,8 +370,9 @@ ORACLE.update({
             {'id': '_analisefinanceira', 'value': coalesce(financial_analysis, 'Vazio.'), 'options': NULL::STRUCT(value VARCHAR)[]}]}})""")
         + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END AS rep
         FROM lead_diff_rows)""",
-    "contact_payload": "SELECT id, " + drop_nulls("""to_json({'leadId': lead_id, 'name': name, 'email': email,
-        'phone1': coalesce(phone, '5500000000'), 'jobTitle': job_title, 'mainContact': upper(is_primary) = 'S'})""")
+    "contact_payload": "SELECT id, " + drop_nulls("""to_json({'leadId': lead_id, 'name': name, 'email': lower(email),
+        'phone1': coalesce(split_part(phone, '.', 1), '5500000000'), 'jobTitle': job_title,
+        'mainContact': CASE upper(is_primary) WHEN 'S' THEN true WHEN 'N' THEN false END})""")
         + " AS payload FROM (SELECT * FROM contact_a EXCEPT SELECT * FROM contact_b UNION SELECT * FROM contact_b EXCEPT SELECT * FROM contact_a) WHERE lead_id IS NOT NULL",
     "budget_payload": """SELECT id, to_json({'leadId': id, 'products': [{'productId': 10001, 'quantity': 1,
         'labelValue': CAST(budget_value AS DECIMAL(38,6))}]}) AS payload FROM budget_changes_rows""",
@@ -432,3 +433,21 @@ def _partial_update_sql() -> str:
 ORACLE["partial_update"] = _partial_update_sql()
 ORACLE["stream_upsert"] = ORACLE["partial_update"]
 
+ORACLE["contact_upsert"] = """WITH inc AS (SELECT i.*, l.client_code FROM incoming_contacts i LEFT JOIN leads l ON i.lead_id = l.id
+        WHERE i.email IS NOT NULL AND l.client_code IS NOT NULL),
+    cnt AS (SELECT lower(email) AS em, count(*) AS n FROM contacts WHERE email IS NOT NULL GROUP BY 1),
+    r AS (SELECT inc.*, coalesce(cnt.n, 0) AS n FROM inc LEFT JOIN cnt ON lower(inc.email) = cnt.em),
+    upd AS (SELECT * FROM r WHERE n = 1),
+    ins AS (SELECT * FROM r WHERE n = 0 QUALIFY row_number() OVER (PARTITION BY lower(email) ORDER BY id_crm) = 1)
+    SELECT c.id, CASE WHEN u.id_crm IS NOT NULL THEN u.name ELSE c.name END AS name,
+        CASE WHEN u.id_crm IS NOT NULL THEN u.email ELSE c.email END AS email,
+        CASE WHEN u.id_crm IS NOT NULL THEN substr(u.phone, 1, 13) ELSE c.phone END AS phone,
+        CASE WHEN u.id_crm IS NOT NULL THEN substr(u.job_title, 1, 30) ELSE c.job_title END AS job_title,
+        CASE WHEN u.id_crm IS NOT NULL THEN u.client_code::VARCHAR ELSE c.client_code END AS client_code,
+        CASE WHEN u.id_crm IS NOT NULL THEN u.is_primary ELSE c.is_primary END AS is_primary
+    FROM contacts c LEFT JOIN upd u ON c.id = u.id_crm
+    UNION ALL
+    SELECT id_crm AS id, name, email, substr(phone, 1, 13) AS phone, substr(job_title, 1, 30) AS job_title,
+        client_code::VARCHAR AS client_code, is_primary
+    FROM ins WHERE id_crm NOT IN (SELECT id FROM contacts)"""
+

@@ -333,13 +333,13 @@ def _product_total(t: DomainTables) -> DataFrame:
 
 @register("contact_route")
 def _contact_route(t: DomainTables) -> DataFrame:
-    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contact)
+    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contacts)
     return r.select("id_crm", "email", "matches", "action")
 
 
 @register("sync_metrics")
 def _sync_metrics(t: DomainTables) -> DataFrame:
-    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contact)
+    r = M.contact_route(t.incoming_contacts.select("id_crm", "email"), t.contacts)
     return r.groupBy("action").agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -376,7 +376,7 @@ def _contact_validation(t: DomainTables) -> DataFrame:
 @register("contact_quarantine")
 def _contact_quarantine(t: DomainTables) -> DataFrame:
     """Q-4/S15: incoming contacts that cannot be applied, with a reason."""
-    r = M.contact_route(t.incoming_contacts, t.contact)
+    r = M.contact_route(t.incoming_contacts, t.contacts)
     leads = t.leads.select(F.col("id").alias("_lid"), F.col("client_code").alias("_cc"))
     j = r.join(leads, r.lead_id == F.col("_lid"), "left")
     reason = (F.when(F.col("email").isNull(), "no_email").when(F.col("_cc").isNull(), "taxid_not_found")
@@ -781,3 +781,10 @@ def _placeholder_contact(t: DomainTables) -> DataFrame:
     leads = t.leads.where(F.col("stage").isin(*SYNCED_STAGES))
     no_contact = J.exclude(leads, "id", t.crm_contacts, "leadId")
     return placeholder_contact_payload(no_contact)
+
+
+@register("contact_upsert")
+def _contact_upsert(t: DomainTables) -> DataFrame:
+    """M5: incoming CRM contacts upserted into the CRM-copy contact table."""
+    clients = t.leads.select(F.col("id").alias("lead_id"), "client_code")
+    return M.contact_upsert(t.contacts, t.incoming_contacts, clients)
