@@ -220,13 +220,20 @@ def next_sequence(history: DataFrame, new_rows: DataFrame, key: str, seq_col: st
 
 
 def stage_regression(leads: DataFrame, crm_state: DataFrame, stages: list[str], alias_of: dict[str, str],
-                     lead_stage_col: str = "stage", crm_stage_col: str = "stage") -> DataFrame:
+                     lead_stage_col: str = "stage", crm_stage_col: str = "stage", lead_key: str = "taxid",
+                     crm_key: str = "cnpj") -> DataFrame:
     """Leads to delete, with a reason: missing from the CRM
     (or no CRM stage), or the CRM stage is earlier than the stored one; an
-    unknown stage is quarantined instead of aborting (Q14)."""
+    unknown stage is quarantined instead of aborting (Q14).  The current CRM
+    stage is looked up by tax id (``ltrim(lpad(.., 14, '0'))`` on both sides),
+    as the source does; one CRM row per tax id (the lowest CRM id)."""
+    from ..functions.text import taxid_key
+    from .joins import first_per_key
     m = F.create_map(*[x for a, c in alias_of.items() for x in (F.lit(a), F.lit(c))])
-    cur = crm_state.select(F.col("id").alias("_cid"), F.col(crm_stage_col).alias("_crm_stage"))
-    j = leads.join(cur, leads.id == F.col("_cid"), "left")
+    cur = crm_state.where(F.col(crm_key).isNotNull()).select(
+        taxid_key(F.col(crm_key)).alias("_ck"), F.col("id").alias("_cid"), F.col(crm_stage_col).alias("_crm_stage"))
+    cur = first_per_key(cur, ["_ck"], ["_cid"])
+    j = leads.join(cur, taxid_key(F.col(lead_key)) == F.col("_ck"), "left")
     stored = F.coalesce(F.try_element_at(m, F.col(lead_stage_col)), F.col(lead_stage_col))
     o_now = stage_ordinal(F.col("_crm_stage"), stages)
     o_old = stage_ordinal(stored, stages)

@@ -207,8 +207,10 @@ ORACLE.update({
         FROM lead_diff_rows""",
     "fingerprint_anti": f"""SELECT id, {fp(DIFF_COLS)} AS fingerprint FROM lead_b
         WHERE {fp(DIFF_COLS)} NOT IN (SELECT {fp(DIFF_COLS)} FROM lead_a)""",
-    "product_total": """SELECT lead_id, CAST(coalesce(sum(coalesce(final_value, 0)), 0) AS DOUBLE) AS total
-        FROM sale_lines GROUP BY lead_id""",
+    "product_total": """WITH first AS (SELECT lead_id, sale_id FROM (SELECT DISTINCT lead_id, sale_id, sale_date FROM sale_lines)
+            QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY sale_date, sale_id) = 1)
+        SELECT s.lead_id, CAST(coalesce(sum(coalesce(s.final_value, 0)), 0) AS DOUBLE) AS total
+        FROM sale_lines s JOIN first f ON s.lead_id = f.lead_id AND s.sale_id = f.sale_id GROUP BY s.lead_id""",
     "contact_route": "SELECT id_crm, email, matches, action FROM route",
     "sync_metrics": "SELECT action, count(*) AS records FROM route GROUP BY action",
     "lead_validation": "SELECT id, failed, failed = '' AS valid FROM validated",
@@ -234,7 +236,9 @@ ORACLE.update({
         CASE WHEN c.id IS NULL OR c.stage IS NULL THEN 'missing_in_crm'
              WHEN now_t.ordinal IS NULL OR old_t.ordinal IS NULL THEN 'unknown_stage'
              WHEN now_t.ordinal < old_t.ordinal THEN 'stage_regressed' END AS reason
-        FROM leads l LEFT JOIN crm_export c ON l.id = c.id
+        FROM leads l LEFT JOIN (SELECT * FROM crm_export WHERE cnpj IS NOT NULL
+                                QUALIFY row_number() OVER (PARTITION BY ltrim(lpad(cnpj, 14, '0')) ORDER BY id) = 1) c
+          ON ltrim(lpad(l.taxid, 14, '0')) = ltrim(lpad(c.cnpj, 14, '0'))
         LEFT JOIN stage_table now_t ON now_t.canonical = replace(c.stage, chr(160), ' ')
         LEFT JOIN stage_table old_t ON old_t.alias = l.stage
         WHERE c.id IS NULL OR c.stage IS NULL OR now_t.ordinal IS NULL OR old_t.ordinal IS NULL

@@ -327,8 +327,10 @@ def _fp_anti(t: DomainTables) -> DataFrame:
 
 @register("product_total")
 def _product_total(t: DomainTables) -> DataFrame:
+    """Σ product values of each lead's sale as the CRM reports it (the
+    first sale), a missing value counting as 0."""
     from ..operators.changes import product_total
-    return product_total(t.sale_lines)
+    return product_total(_sold_products(t))
 
 
 @register("contact_route")
