@@ -122,9 +122,11 @@ def test_key_violations(spark):
 def test_stage_regression(spark):
     from recordsync.schemas import STAGES_ALIAS, STAGES_CANONICAL
     alias_of = dict(zip(STAGES_ALIAS, STAGES_CANONICAL))
-    leads = spark.createDataFrame([(1, "Activation"), (2, "Activation"), (3, "Handoff"), (4, "Handoff")],
-                                  "id bigint, stage string")
-    crm = spark.createDataFrame([(1, "Ativação"), (2, "Novos leads"), (3, "???")], "id bigint, stage string")
+    leads = spark.createDataFrame([(1, "11", "Activation"), (2, "22", "Activation"), (3, "33", "Handoff"),
+                                   (4, "44", "Handoff")], "id bigint, taxid string, stage string")
+    # looked up by tax id (zero-padded on the CRM side), not by id
+    crm = spark.createDataFrame([(9, "00000000000011", STAGES_CANONICAL[6]), (8, "00000000000022", "Novos\u00a0leads"),
+                                 (7, "00000000000033", "???")], "id bigint, cnpj string, stage string")
     got = {r.id: r.reason for r in M.stage_regression(leads, crm, STAGES_CANONICAL, alias_of).collect()}
     assert got == {2: "stage_regressed", 3: "unknown_stage", 4: "missing_in_crm"}
 
