@@ -291,3 +291,43 @@ def contact_upsert(target: DataFrame, incoming: DataFrame, clients: DataFrame) -
     new = first_per_key(new, ["_em"], ["id"]).drop("_em")
     updated = merge_snapshot(target, upd, ["id"], insert=False)
     return updated.unionByName(insert_ignore(target, new, ["id"]).select(*target.columns))
+
+
+def converted_lead_rows(docs: DataFrame, add_info: DataFrame, budget_stage_alias: str, raw_col: str = "raw",
+                        id_col: str = "lead_id", order: str = "received_at", tie: str = "doc_id") -> DataFrame:
+    """M4 (insert branch) + J9: lead rows for documents whose lead reached
+    the budget stage.
+
+    The latest such document per lead is used; address data the document
+    lacks comes from ``add_info`` (CRM export: phone1, number, complement,
+    district, city, state) in one left join.  Shaping follows the source:
+    company cut to 40; street = text before ',' then before '-', cut to 50;
+    zip without punctuation; number parsed, else 0 (Q19); custom fields:
+    the last entry of an id wins; registration '99'/'0'/missing -> '99'.
+    """
+    from ..functions.text import strip_punct
+    from .joins import last_per_key
+    raw = F.col(raw_col)
+    d = last_per_key(docs.select(id_col, raw_col, order, tie), [id_col], order, tie)
+    cfs = F.from_json(F.get_json_object(raw, "$.Lead.CustomFields"), "array<struct<id:string,value:string>>")
+
+    def last(fid):
+        return F.try_element_at(F.filter(cfs, lambda x: x["id"] == F.lit(fid)), F.lit(-1))["value"]
+    a = add_info.select(F.col("id").alias("_aid"), "phone1", "number", "complement", "district", "city", "state")
+    j = d.join(a, F.col(id_col) == F.col("_aid"), "left")
+    maps = F.get_json_object(raw, "$.Lead.Address.Address_Maps")
+    reg = last("_inscricaoestadual")
+    return j.select(
+        F.col(id_col).alias("id"), F.get_json_object(raw, "$.Lead.CpfCnpj").alias("taxid"),
+        F.substring(F.get_json_object(raw, "$.Lead.Company"), 1, 40).alias("name"),
+        F.lit(budget_stage_alias).alias("stage"),
+        F.get_json_object(raw, "$.Lead.Industry.value").alias("industry"),
+        F.get_json_object(raw, "$.Lead.Origin.value").alias("source"),
+        F.col("phone1").alias("phone"),
+        F.substring(F.substring_index(F.substring_index(maps, ",", 1), "-", 1), 1, 50).alias("address_street"),
+        strip_punct(F.get_json_object(raw, "$.Lead.Address.ZipCode")).alias("address_zipcode"),
+        F.coalesce(F.col("number").try_cast("int"), F.lit(0)).alias("address_number"),
+        F.col("complement").alias("address_complement"), F.col("district").alias("address_district"),
+        "city", "state", last("_cod.gestores").try_cast("bigint").alias("sales_rep"),
+        F.when(reg.isNull() | reg.isin("99", "0"), F.lit("99")).otherwise(reg).alias("tax_registration"),
+        last("_analisefinanceira").alias("financial_analysis"))

@@ -455,3 +455,27 @@ ORACLE["contact_upsert"] = """WITH inc AS (SELECT i.*, l.client_code FROM incomi
         client_code::VARCHAR AS client_code, is_primary
     FROM ins WHERE id_crm NOT IN (SELECT id FROM contacts)"""
 
+def _cf_last(fid: str) -> str:
+    return (f"list_filter(CAST(json_extract(d.raw, '$.Lead.CustomFields') AS STRUCT(id VARCHAR, value VARCHAR)[]), "
+            f"lambda x: x.id = '{fid}')[-1].value")
+
+
+ORACLE["converted_insert"] = f"""WITH d AS (SELECT * FROM webhook_docs
+        WHERE replace(json_extract_string(raw, '$.Lead.Stage'), chr(160), ' ') = 'Desenvolvimento/Orçamento'
+        QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY received_at DESC, doc_id DESC) = 1)
+    SELECT d.lead_id AS id, json_extract_string(d.raw, '$.Lead.CpfCnpj') AS taxid,
+        substr(json_extract_string(d.raw, '$.Lead.Company'), 1, 40) AS name, 'Development/Budget' AS stage,
+        json_extract_string(d.raw, '$.Lead.Industry.value') AS industry,
+        json_extract_string(d.raw, '$.Lead.Origin.value') AS source, a.phone1 AS phone,
+        substr(split_part(split_part(json_extract_string(d.raw, '$.Lead.Address.Address_Maps'), ',', 1), '-', 1), 1, 50)
+            AS address_street,
+        {strip("json_extract_string(d.raw, '$.Lead.Address.ZipCode')")} AS address_zipcode,
+        coalesce(TRY_CAST(a.number AS INTEGER), 0) AS address_number, a.complement AS address_complement,
+        a.district AS address_district, a.city, a.state,
+        TRY_CAST({_cf_last('_cod.gestores')} AS BIGINT) AS sales_rep,
+        CASE WHEN {_cf_last('_inscricaoestadual')} IS NULL OR {_cf_last('_inscricaoestadual')} IN ('99', '0') THEN '99'
+             ELSE {_cf_last('_inscricaoestadual')} END AS tax_registration,
+        {_cf_last('_analisefinanceira')} AS financial_analysis
+    FROM d LEFT JOIN crm_export a ON d.lead_id = a.id
+    WHERE d.lead_id NOT IN (SELECT id FROM leads)"""
+

@@ -790,3 +790,13 @@ def _contact_upsert(t: DomainTables) -> DataFrame:
     """M5: incoming CRM contacts upserted into the CRM-copy contact table."""
     clients = t.leads.select(F.col("id").alias("lead_id"), "client_code")
     return M.contact_upsert(t.contacts, t.incoming_contacts, clients)
+
+
+@register("converted_insert")
+def _converted_insert(t: DomainTables) -> DataFrame:
+    """Leads that reached the budget stage in the CRM, built from their
+    latest document and the CRM export, appended unless the id exists."""
+    canon = ALIAS_TO_CANON[BUDGET_STAGE]
+    docs = t.webhook_docs.where(X.nbsp_to_space(F.get_json_object("raw", "$.Lead.Stage")) == canon)
+    rows = M.converted_lead_rows(docs, t.crm_export, BUDGET_STAGE)
+    return M.insert_ignore(t.leads.select("id"), rows, ["id"])
