@@ -67,7 +67,10 @@ register("has_budget")(lambda t: V.has_budget(t))
 register("has_service_order")(lambda t: V.has_service_order(t))
 register("latest_observation")(V.latest_observation)
 register("min_industry")(V.min_industry)
-register("min_tier")(V.min_tier)
+@register("min_tier")
+def _min_tier(t: DomainTables) -> DataFrame:
+    q = V.min_tier(t)
+    return q.select("bit_bdg_number", "bit_item", F.col("quantity").cast("double").alias("quantity"))
 register("budget_changes")(lambda t: V.budget_changes(t))
 register("sold_changes")(lambda t: V.sold_changes(t))
 

@@ -146,7 +146,7 @@ ORACLE.update({
     "default_fill": """SELECT id, coalesce(address_complement, '') AS address_complement,
         coalesce(financial_analysis, 'Vazio.') AS financial_analysis, coalesce(state, 'XX') AS state,
         coalesce(phone, '5500000000') AS phone FROM leads""",
-    "price_fallback": """SELECT bid_bdg_number, bid_item, bid_quantity, client_code,
+    "price_fallback": """SELECT bid_bdg_number, bid_item, CAST(bid_quantity AS DOUBLE) AS bid_quantity, client_code,
         CAST(CASE WHEN coalesce(negotiated_price, 0) = 0 THEN price ELSE negotiated_price END AS DOUBLE) AS price
         FROM budget_item_quant_delivery""",
     "row_fingerprint": f"SELECT client, {fp(BRANCH_COLS)} AS fingerprint FROM branches",
@@ -154,8 +154,9 @@ ORACLE.update({
     "exclusion_anti": """SELECT id, lead FROM crm_export WHERE id NOT IN (12345678)
         AND (lead IS NULL OR lead NOT IN ('Customer#000000007'))""",
     "rename_map": """SELECT id, name, taxid, industry, source, phone, address_street, address_zipcode, address_number,
-        address_complement, address_district, city, state, sales_rep, tax_registration, client_code, budget_value,
-        order_value, financial_analysis FROM leads""",
+        address_complement, address_district, city, state, sales_rep, tax_registration, client_code,
+        CAST(budget_value AS DOUBLE) AS budget_value, CAST(order_value AS DOUBLE) AS order_value, financial_analysis
+        FROM leads""",
     "semi_restrict": "SELECT id, client_code, id_crm FROM vw_base WHERE id_crm IS NOT NULL AND id_crm IN (SELECT id FROM leads)",
     "lead_enrich": """SELECT e.id, e.lead, e.cnpj, CAST(cf.sales_rep AS BIGINT) AS sales_rep, cf.tax_registration,
         cf.financial_analysis, CAST(cf.client_code AS BIGINT) AS client_code
@@ -230,7 +231,8 @@ ORACLE.update({
     "upsert_leads": "SELECT " + ", ".join(
         ["coalesce(t.id, d.id) AS id"]
         + [f"CASE WHEN d.id IS NOT NULL THEN d.{c} ELSE t.{c} END AS {c}" for c in LEAD_COLUMNS if c in DIFF_FIELDS]
-        + [f"t.{c} AS {c}" for c in LEAD_COLUMNS if c not in DIFF_FIELDS and c != "id"])
+        + [(f"CAST(t.{c} AS DOUBLE) AS {c}" if c in ("budget_value", "order_value") else f"t.{c} AS {c}")
+           for c in LEAD_COLUMNS if c not in DIFF_FIELDS and c != "id"])
         + " FROM leads t FULL OUTER JOIN field_diff_rows d ON t.id = d.id",
     "stage_regression": """SELECT l.id, l.stage AS stored_stage, c.stage AS crm_stage,
         CASE WHEN c.id IS NULL OR c.stage IS NULL THEN 'missing_in_crm'

@@ -259,7 +259,7 @@ ORACLE: dict[str, str] = {
              THEN 'Y' ELSE 'N' END AS has_service_order FROM branches b""",
     "latest_observation": "SELECT * FROM vw_fa",
     "min_industry": "SELECT * FROM vw_industry",
-    "min_tier": """SELECT * FROM budget_item_quantity Q
+    "min_tier": """SELECT bit_bdg_number, bit_item, CAST(quantity AS DOUBLE) AS quantity FROM budget_item_quantity Q
         WHERE Q.quantity = (SELECT min(Q2.quantity) FROM budget_item_quantity Q2
                             WHERE Q2.bit_bdg_number = Q.bit_bdg_number AND Q2.bit_item = Q.bit_item)""",
     "value_override": """SELECT b.client_code, b.branch_code,

@@ -129,7 +129,8 @@ def _default_fill(t: DomainTables) -> DataFrame:
 @register("price_fallback")
 def _price_fallback(t: DomainTables) -> DataFrame:
     e = t.budget_item_quant_delivery
-    return e.select("bid_bdg_number", "bid_item", "bid_quantity", "client_code",
+    return e.select("bid_bdg_number", "bid_item", F.col("bid_quantity").cast("double").alias("bid_quantity"),
+                    "client_code",
                     X.price_fallback(F.col("negotiated_price"), F.col("price")).cast("double").alias("price"))
 
 
@@ -161,7 +162,8 @@ def _exclusion(t: DomainTables) -> DataFrame:
 def _rename(t: DomainTables) -> DataFrame:
     inv = {v: k for k, v in RENAME_MAP.items()}
     old = t.leads.select("id", *[F.col(c).alias(inv[c]) for c in LEAD_COLUMNS if c in inv])
-    return old.withColumnsRenamed(RENAME_MAP)
+    out = old.withColumnsRenamed(RENAME_MAP)
+    return out.withColumns({c: F.col(c).cast("double") for c in ("budget_value", "order_value")})
 
 
 @register("semi_restrict")
@@ -427,7 +429,8 @@ def _field_diff(t: DomainTables) -> DataFrame:
 @register("upsert_leads")
 def _upsert_leads(t: DomainTables) -> DataFrame:
     d = field_diff(staged_leads(t), t.leads, "id", DIFF_FIELDS).drop("tgt_id", "changed")
-    return M.merge_snapshot(t.leads, d, ["id"], DIFF_FIELDS)
+    out = M.merge_snapshot(t.leads, d, ["id"], DIFF_FIELDS)
+    return out.withColumns({c: F.col(c).cast("double") for c in ("budget_value", "order_value")})
 
 
 @register("stage_regression")
