@@ -39,14 +39,15 @@ def sym_diff(a: DataFrame, b: DataFrame, side_col: str = "side",
              left: str = "a_only", right: str = "b_only") -> DataFrame:
     """Symmetric difference with a side label.
 
-    One full-outer pass instead of two anti joins: rows are de-duplicated and
-    tagged on each side, grouped by all columns (null-safe grouping), and
-    kept when present on exactly one side.
+    One grouped aggregate instead of two EXCEPTs: rows of both sides are
+    tagged, grouped by all columns (null-safe grouping; duplicates collapse
+    in the partial aggregation before the single shuffle), and kept when
+    present on exactly one side.
     """
     a, b = _align(a, b)
     cols = a.columns
-    tagged = (a.distinct().withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
-              .unionByName(b.distinct().withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))))
+    tagged = (a.withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
+              .unionByName(b.withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))))
     g = tagged.groupBy(*cols).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
     return (g.where(F.col("_a") + F.col("_b") == 1)
             .select(*cols, F.when(F.col("_a") == 1, F.lit(left)).otherwise(F.lit(right)).alias(side_col)))
