@@ -53,3 +53,11 @@ def json_key_present(raw, path: str, key: str) -> Column:
     text, even when its value is null (a parsed struct loses that)."""
     keys = F.json_object_keys(F.get_json_object(_c(raw), path))
     return F.coalesce(F.array_contains(keys, F.lit(key)), F.lit(False))
+
+
+def main_contact_flag(contacts, contact_id, id_field: str = "id", flag_field: str = "mainContact") -> Column:
+    """N8: 'S' when the contact with ``contact_id`` is marked main in the
+    lead's contact array (flag text 'true'), else 'N'."""
+    cid = contact_id if isinstance(contact_id, Column) else F.lit(contact_id)
+    hit = F.exists(_c(contacts), lambda x: (x[id_field] == cid) & (F.lower(x[flag_field].cast("string")) == "true"))
+    return F.when(F.coalesce(hit, F.lit(False)), F.lit("S")).otherwise(F.lit("N"))

@@ -35,7 +35,9 @@ def outbound_updates(t: DomainTables, ledger: DataFrame | None, out_root: str, r
     fresh = J.domain_or_default(fresh, "sales_rep", rep_options(t), "code", 99, out="sales_rep_checked")
     root = out_root.rstrip("/")
     paths = {"outbound": f"{root}/outbound/run={run_id}", "ledger": f"{root}/ledger/run={run_id}"}
-    update_payload(fresh).write.mode("overwrite").parquet(paths["outbound"])
+    # A10: run counters collected while the rows are written (no extra pass).
+    out = update_payload(fresh).observe("outbound_metrics", F.count(F.lit(1)).alias("payloads"))
+    out.write.mode("overwrite").parquet(paths["outbound"])
     fresh.select("fingerprint", F.lit(run_id).alias("run_id")).write.mode("overwrite").parquet(paths["ledger"])
     return paths
 

@@ -20,7 +20,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # ANSI is on by default in Spark 4; operators use try_* where the
-    # reference fell back on exceptions.
+    # source system fell back on exceptions.
     "spark.sql.ansi.enabled": "true",
     # Joins whose keys extend an existing hash partitioning (e.g. budget
     # number, then item) reuse it instead of shuffling again.

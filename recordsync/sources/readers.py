@@ -38,7 +38,7 @@ REQUIRED_JDBC = ("url", "user", "password", "driver")
 def jdbc_options(settings: dict) -> dict:
     """Connection settings; fail when any required one is missing.
 
-    Values are never logged (the reference printed credentials).
+    Values are never logged.
     """
     missing = [k for k in REQUIRED_JDBC if not settings.get(k)]
     if missing:

@@ -107,3 +107,10 @@ def test_json_key_presence(spark):
     df = spark.createDataFrame([('{"Lead":{"Id":1,"Phone":null}}',), ('{"Lead":{"Id":1}}',)], "raw string")
     got = [r[0] for r in df.select(X.json_key_present("raw", "$.Lead", "Phone")).collect()]
     assert got == [True, False]
+
+
+def test_main_contact_flag(spark):
+    df = spark.createDataFrame([([(1, "true"), (2, "false")],)], "c array<struct<id:int,mainContact:string>>")
+    got = df.select(X.main_contact_flag("c", 1).alias("a"), X.main_contact_flag("c", 2).alias("b"),
+                    X.main_contact_flag("c", 3).alias("c")).first()
+    assert (got.a, got.b, got.c) == ("S", "N", "N")
