@@ -517,19 +517,29 @@ STAGE_KEYS = {
 }
 
 
-def stage(t: DomainTables, root: str, partitions: int | None = None) -> DomainTables:
+def stage(t: DomainTables, root: str, partitions: int | None = None, parallel: int = 8) -> DomainTables:
     """Write every domain table once as parquet under ``root`` (shared
     storage) and point ``t`` at the written copies.
 
     This is the staging step a deployment has anyway (the ERP/CRM extracts
     land as tables); queries then read domain tables instead of re-deriving
     them from the driver tables each time.  Rows are hash-partitioned on the
-    table's main key into ``partitions`` files.
+    table's main key into ``partitions`` files.  The writes are independent
+    Spark jobs, submitted from ``parallel`` threads so small ones share the
+    cluster instead of queueing.
     """
+    from concurrent.futures import ThreadPoolExecutor
     n = partitions or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     root = root.rstrip("/")
-    for name, key in STAGE_KEYS.items():
+    frames = {name: getattr(t, name) for name in STAGE_KEYS}  # plans built on this thread
+
+    def write(name: str) -> str:
         path = f"{root}/{name}"
-        getattr(t, name).repartition(n, key).write.mode("overwrite").parquet(path)
+        frames[name].repartition(n, STAGE_KEYS[name]).write.mode("overwrite").parquet(path)
+        return path
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        paths = dict(zip(STAGE_KEYS, pool.map(write, STAGE_KEYS)))
+    for name, path in paths.items():
         t.__dict__[name] = t.spark.read.parquet(path)
     return t
