@@ -92,6 +92,11 @@ def assign_ids(df: DataFrame, start: Column | int, order: list[str], out: str =
     the position inside it come from ``monotonically_increasing_id`` (upper
     and lower bits); a per-partition count (one row per partition, so a
     bounded broadcast) gives each partition its offset.
+
+    ``order`` should be unique (ties are numbered in arbitrary order).  The
+    range bounds are fixed once sampled and rows are sorted inside each
+    partition, so a task re-run after an executor loss numbers its rows the
+    same way.
     """
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
