@@ -120,7 +120,8 @@ def contact_merge(target: DataFrame, changes: DataFrame) -> DataFrame:
 
     ``target``: (code, name, email, phone, job_title_desc, branch_client,
     is_primary, id_crm); ``changes``: (client, name, email, phone, job_title,
-    is_primary, id_crm, op).  op 'D' deletes contacts matching the CRM id or
+    is_primary, id_crm, op).  The operation code (F6: A = add/update,
+    D = delete) selects the branch with ``when``.  op 'D' deletes contacts matching the CRM id or
     the lower-case e-mail; otherwise contacts matching either are updated
     when some contact has the e-mail, else a new contact is inserted (no
     client -> no-op; an existing CRM id -> ignored, M15).  Matching is the

@@ -1,7 +1,8 @@
 """Outbound payload tables.
 
 A payload is a nested struct built with ``struct``/``array`` and serialised
-with ``to_json`` (NULL fields are omitted, N10).  Delivery is left to a sink
+with ``to_json`` (NULL fields are omitted, N10); numbers the CRM expects as
+text are cast to string (F27).  Delivery is left to a sink
 (``foreachBatch``/``foreachPartition`` with a caller-supplied client, or an
 outbound table); no HTTP happens here.
 """

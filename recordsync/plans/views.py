@@ -219,7 +219,7 @@ def min_tier(t: DomainTables) -> DataFrame:
 
 
 def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> DataFrame:
-    """Σ tier quantity / 1000 × (negotiated price, or list price when
+    """Σ tier quantity / 1000 × (negotiated price, or list price when
     null/0) at each item's smallest tier, for approved client-billed items of
     generated budgets dated within [base, base + horizon].
 

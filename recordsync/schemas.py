@@ -50,7 +50,7 @@ CF_FINANCIAL_ANALYSIS = "_analisefinanceira"
 EXEMPT_TEXT = "ISENTO"
 EXEMPT_CODE = "99"
 
-# Defaults used when a field is absent.
+# Defaults used when a field is absent.
 DEFAULTS = {
     "phone": "5500000000",
     "financial_analysis": "Vazio.",

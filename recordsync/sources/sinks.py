@@ -24,7 +24,9 @@ def write_snapshot(df: DataFrame, root: str, version: str) -> str:
 
 
 def append_rows(df: DataFrame, path: str) -> str:
-    """Bulk append (error log, missing-field log)."""
+    """Bulk append (error log, missing-field log).  Row-at-a-time
+    inserts of the source become this one append; per-row failure isolation
+    is the validity split done before it (``quality.split_valid``)."""
     df.write.mode("append").parquet(path)
     return path
 
@@ -38,3 +40,10 @@ def write_jdbc(df: DataFrame, settings: dict, table: str, mode: str = "append",
     if truncate:
         w = w.option("truncate", "true")
     w.save()
+
+
+def register_staging(df: DataFrame, name: str) -> DataFrame:
+    """Session-scoped staging table (the source's temporary table) as a
+    temp view over the lazily evaluated frame."""
+    df.createOrReplaceTempView(name)
+    return df
