@@ -50,7 +50,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster checkpoint dir; only when unset (tests) create one."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no SparkContext)
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            d = tempfile.mkdtemp(prefix="recordsync-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return d
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         # Only reached when the cluster names no shared folder (local tests).
