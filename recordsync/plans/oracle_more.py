@@ -481,3 +481,5 @@ ORACLE["converted_insert"] = f"""WITH d AS (SELECT * FROM webhook_docs
     FROM d LEFT JOIN crm_export a ON d.lead_id = a.id
     WHERE d.lead_id NOT IN (SELECT id FROM leads)"""
 
+ORACLE["stream_chain"] = ORACLE["contact_fanout"]
+

@@ -735,3 +735,16 @@ def _converted_insert(t: DomainTables) -> DataFrame:
     docs = t.webhook_docs.where(X.nbsp_to_space(F.get_json_object("raw", "$.Lead.Stage")) == canon)
     rows = M.converted_lead_rows(docs, t.crm_export, BUDGET_STAGE)
     return M.insert_ignore(t.leads.select("id"), rows, ["id"])
+
+
+@register("stream_chain")
+def _stream_chain(t: DomainTables) -> DataFrame:
+    """Lead changes and the contact fan-out of accepted leads in one
+    foreachBatch; the fan-out equals the batch ``contact_fanout``."""
+    from ..streaming import ingest as S_
+    root = _scratch(t, "stream-chain")
+    S_.land_documents(t.webhook_docs, f"{root}/queue")
+    chain = S_.LeadChangeChain(f"{root}/out", t.leads.select("id"))
+    q = S_.start_sync(S_.read_queue(t.spark, f"{root}/queue", max_files=1), f"{root}/ckpt", chain)
+    q.awaitTermination()
+    return t.spark.read.parquet(f"{root}/out/contacts").drop("epoch")

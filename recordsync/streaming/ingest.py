@@ -21,6 +21,12 @@ from ..functions.text import row_fingerprint
 from ..operators.merge import partial_update
 from ..sources.webhook import LEAD_CUSTOM, LEAD_KEYS, is_synced, lead_update_fields
 
+CONTACT = T.StructType([
+    T.StructField("Id", T.LongType()), T.StructField("LeadId", T.LongType()), T.StructField("Name", T.StringType()),
+    T.StructField("Email", T.StringType()), T.StructField("Phone", T.StringType()),
+    T.StructField("Position", T.StringType()),
+])
+
 DOC_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("received_at", T.TimestampType()),
@@ -28,6 +34,7 @@ DOC_SCHEMA = T.StructType([
     T.StructField("lead_id", T.LongType()),
     T.StructField("stage", T.StringType()),
     T.StructField("raw", T.StringType()),
+    T.StructField("contacts", T.ArrayType(CONTACT)),
 ])
 
 
@@ -179,3 +186,27 @@ class ChangeLogMerge:
         path = f"{self.root}/base/v={version}"
         self.snapshot(spark, base).write.mode("overwrite").parquet(path)
         return path
+
+
+class LeadChangeChain:
+    """R6 (L2 flow): per micro-batch, apply the lead changes (change log) and
+    fan the contacts of accepted leads out to the next step, one record per
+    contact (N5 + J21), written as ``contacts/epoch=N``.
+
+    ``accepted`` is the set of lead ids known to the ERP (a semi join, so a
+    lead with many documents never multiplies rows).
+    """
+
+    def __init__(self, root: str, accepted: DataFrame, key: str = "id"):
+        self.root = root.rstrip("/")
+        self.leads = ChangeLogMerge(f"{self.root}/leads", key)
+        self.accepted = accepted.select(F.col(key).alias("_acc"))
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        self.leads(batch, epoch)
+        docs = batch.where(is_synced(F.col("raw"))).join(self.accepted, F.col("lead_id") == F.col("_acc"), "left_semi")
+        out = docs.select("doc_id", "lead_id", F.explode("contacts").alias("c")).select(
+            "doc_id", "lead_id", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
+            F.col("c.Email").alias("contact_email"))
+        out.write.mode("overwrite").parquet(f"{self.root}/contacts/epoch={epoch}")
+
