@@ -26,6 +26,12 @@ def _base(base_ts) -> Column:
     return ts_ntz(base_ts) if isinstance(base_ts, str) else base_ts
 
 
+def _by(t: DomainTables, df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` unless the tables are already
+    bucketed on it (then the buckets are used as they are)."""
+    return df if t.bucketed else df.repartition(key)
+
+
 def _in_window(col: Column, base_ts, days: int) -> Column:
     """``TRUNC(col) BETWEEN base AND base + days``; literal range bounds (pushed
     to the scan) when the base is a constant."""
@@ -133,7 +139,7 @@ def order_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365, overr
     so = t.sales_order
     # Items, deliveries and orders are all keyed by order number first: each
     # side is shuffled once on it and both joins run inside the partitions.
-    it, e, so = it.repartition("so_number"), e.repartition("sod_number"), so.repartition("number")
+    it, e, so = _by(t, it, "so_number"), _by(t, e, "sod_number"), _by(t, so, "number")
     j = (it.join(e, (it.so_company_code == e.sod_company_code) & (it.so_number == e.sod_number)
                  & (it.sequence == e.sequence))
            .join(so, (so.company_code == it.so_company_code) & (so.number == it.so_number)))
@@ -165,7 +171,7 @@ def order_measures(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365, re
     it = t.sales_order_item.where(F.col("item_date") >= base)
     e = t.sales_order_item_delivery.where(F.col("billing_client") == "Y")
     so = t.sales_order
-    it, e, so = it.repartition("so_number"), e.repartition("sod_number"), so.repartition("number")
+    it, e, so = _by(t, it, "so_number"), _by(t, e, "sod_number"), _by(t, so, "number")
     j = (it.join(e, (it.so_company_code == e.sod_company_code) & (it.so_number == e.sod_number)
                  & (it.sequence == e.sequence), "left")
            .join(so, (so.company_code == it.so_company_code) & (so.number == it.so_number)))
@@ -213,7 +219,7 @@ def has_service_order(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
 def min_tier(t: DomainTables) -> DataFrame:
     """A3: rows of each budget item at its smallest quantity (ties kept)."""
     from pyspark.sql import Window
-    q = t.budget_item_quantity.repartition("bit_bdg_number")
+    q = _by(t, t.budget_item_quantity, "bit_bdg_number")
     w = Window.partitionBy("bit_bdg_number", "bit_item")
     return q.withColumn("_min", F.min("quantity").over(w)).where(F.col("quantity") == F.col("_min")).drop("_min")
 
@@ -239,8 +245,8 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     # with the budget number) run partition-local.  Budget numbers are
     # fine-grained, so a hot client does not make a hot partition here; the
     # per-client sum below is pre-aggregated before its own shuffle.
-    i, q = i.repartition("bdg_number"), q.repartition("bit_bdg_number")
-    e, ie = e.repartition("bid_bdg_number"), ie.repartition("ie_bdg")
+    i, q = _by(t, i, "bdg_number"), _by(t, q, "bit_bdg_number")
+    e, ie = _by(t, e, "bid_bdg_number"), _by(t, ie, "ie_bdg")
     j = (i.join(o, o.number == i.bdg_number)
           .join(q, (q.bit_bdg_number == i.bdg_number) & (q.bit_item == i.item))
           .join(e, (e.bid_bdg_number == q.bit_bdg_number) & (e.bid_item == q.bit_item)
