@@ -104,3 +104,23 @@ def enrich(base: DataFrame, key: str, *sides: tuple[DataFrame, str]) -> DataFram
         s = side.withColumnRenamed(side_key, "_ek")
         out = out.join(s, F.col(key) == F.col("_ek"), "left").drop("_ek")
     return out
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_buckets: int = 16, how: str = "inner",
+                salt_by: list[str] | None = None) -> DataFrame:
+    """Equi-join that spreads a hot key over ``salt_buckets`` tasks.
+
+    For when one key may hold a third of the big side and AQE cannot split
+    it (no shuffle to split, e.g. bucketed inputs, or a full outer join):
+    each big row gets a salt from a hash of ``salt_by`` columns (default: all
+    its columns), the small side is replicated once per salt, and the join
+    runs on (keys, salt).  Every big row meets exactly one copy of its
+    partner, so the output equals the plain join, rows are never dropped or
+    capped, and the small side grows by a fixed factor only.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins (the replicated side is the right one)")
+    cols = salt_by or big.columns
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")

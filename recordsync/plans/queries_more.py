@@ -174,11 +174,13 @@ def _lead_enrich(t: DomainTables) -> DataFrame:
 
 @register("contact_fanout_join")
 def _contact_fanout_join(t: DomainTables) -> DataFrame:
-    new = V.insert_candidates(t).select("taxid", "client_code")
+    # New leads are few, a client's contacts may be many: the contacts of
+    # one tax id are spread over salt buckets instead of one task.
+    new = V.insert_candidates(t).select(F.col("taxid").alias("client_taxid"), "client_code")
     cv = V.contact_view(t)
-    j = new.join(cv, new.taxid == cv.client_taxid)
-    return j.select("client_code", "taxid", F.col("id").alias("contact_id"), "name", "email", "phone", "job_title",
-                    X.sn_to_bool(F.col("is_primary")).alias("is_primary"))
+    j = J.salted_join(cv, new, ["client_taxid"], salt_buckets=8, salt_by=["id"])
+    return j.select("client_code", F.col("client_taxid").alias("taxid"), F.col("id").alias("contact_id"), "name",
+                    "email", "phone", "job_title", X.sn_to_bool(F.col("is_primary")).alias("is_primary"))
 
 
 @register("contact_client_lookup")

@@ -178,3 +178,13 @@ def test_webhook_fields_first_custom_field_and_shaping(spark):
     assert not a.p_tax_registration  # empty custom value is not applied
     assert not a.p_city and a.p_address_zipcode and not a.p_phone
     assert a.synced and not b.synced
+
+
+def test_salted_join_equals_plain_join_on_hot_key(spark):
+    from recordsync.operators.joins import salted_join
+    big = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50)
+                                      .alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(7, "hot"), (1, "one"), (99, "none")], "k long, name string")
+    plain = sorted(map(tuple, big.join(small, "k", "left").collect()), key=repr)
+    salted = sorted(map(tuple, salted_join(big, small, ["k"], 8, "left").select("k", "v", "name").collect()), key=repr)
+    assert salted == plain
