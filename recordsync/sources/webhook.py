@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.nested import json_key_present
 from ..functions.text import nbsp_to_space, strip_punct, truncate
 from ..schemas import (CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION, STAGES_ALIAS,
                        STAGES_CANONICAL, SYNCED_STAGES)
@@ -57,19 +56,46 @@ def is_synced(raw: Column) -> Column:
     return F.coalesce(doc_stage(raw).isin(*SYNCED_CANONICAL), F.lit(False))
 
 
+# Typed view of the fields a lead document may carry (values parsed once).
+LEAD_DOC_TYPE = ("struct<Lead:struct<Stage:string,CpfCnpj:string,Industry:struct<value:string>,"
+                 "Origin:struct<value:string>,Phone:string,Company:string,"
+                 "Address:struct<ZipCode:string,AddAddressInformation:string,City:string,State:string>,"
+                 "CustomFields:array<struct<id:string,value:string>>>>")
+
+
+def _keys(text: Column) -> Column:
+    """Key -> raw value text of a JSON object (keys with a null value kept)."""
+    return F.from_json(text, "map<string,string>")
+
+
 def lead_update_fields(raw: Column) -> dict[str, tuple[Column, Column]]:
-    """Column -> (new value, present) for one raw webhook document."""
+    """Column -> (new value, present) for one raw webhook document.
+
+    The document is parsed once into a typed struct for the values and once
+    into a key map of ``Lead`` for presence (nested objects come back as
+    their JSON text and are key-mapped in turn), instead of one JSON scan
+    per field.
+    """
+    doc = F.from_json(raw, LEAD_DOC_TYPE)["Lead"]
+    lead_keys = F.from_json(raw, "struct<Lead:map<string,string>>")["Lead"]
+    parents = {"$.Lead": lead_keys}
+    for sub in ("Industry", "Origin", "Address"):
+        parents[f"$.Lead.{sub}"] = _keys(F.try_element_at(lead_keys, F.lit(sub)))
     out: dict[str, tuple[Column, Column]] = {}
     for col, (parent, key) in LEAD_KEYS.items():
-        v = F.get_json_object(raw, f"{parent}.{key}")
+        node = doc
+        for part in parent.split(".")[2:]:
+            node = node[part]
+        v = node[key]
         if col == "name":
             v = truncate(v, 40)
         elif col == "address_zipcode":
             v = strip_punct(v)
         elif col == "stage":
             v = stage_alias(v)
-        out[col] = (v, json_key_present(raw, parent, key))
-    cfs = F.from_json(F.get_json_object(raw, "$.Lead.CustomFields"), "array<struct<id:string,value:string>>")
+        present = F.coalesce(F.map_contains_key(parents[parent], F.lit(key)), F.lit(False))
+        out[col] = (v, present)
+    cfs = doc["CustomFields"]
     for col, fid in LEAD_CUSTOM.items():
         v = F.try_element_at(F.filter(cfs, lambda x: x["id"] == F.lit(fid)), F.lit(1))["value"]
         present = F.coalesce(v.isNotNull() & (v != ""), F.lit(False))
