@@ -207,24 +207,36 @@ def with_standins(body: str) -> str:
 # Query bodies, one per catalog key
 # ---------------------------------------------------------------------------
 
-_LEAD_A = """SELECT id, upper(name) AS name, lpad(taxid, 14, '0') AS taxid, upper(address_street) AS address_street,
-    address_zipcode, address_number, upper(address_complement) AS address_complement,
-    upper(address_district) AS address_district, upper(city) AS city, upper(state) AS state, sales_rep, client_code,
-    tax_registration, financial_analysis
-    FROM leads WHERE stage IN ('Development/Budget', 'Activation', 'Retention/Expansion')"""
-_LEAD_B = """SELECT id_crm AS id, upper(company_name) AS name, lpad(taxid, 14, '0') AS taxid,
-    upper(address_street) AS address_street, address_zipcode, address_number,
-    upper(address_complement) AS address_complement, upper(address_district) AS address_district,
-    upper(city) AS city, upper(state) AS state, sales_rep, client_code, tax_registration, financial_analysis
-    FROM vw_crm_clients WHERE id_crm IS NOT NULL AND id_crm IN (SELECT id FROM leads)"""
+# Normalisation applied to both sides of the lead / contact change sets:
+# column -> SQL template over the side's own column ({c}); id and name come
+# from differently named columns on each side.
+_LEAD_NORM = {"taxid": "lpad({c}, 14, '0')", "address_street": "upper({c})", "address_zipcode": "{c}",
+              "address_number": "{c}", "address_complement": "upper({c})", "address_district": "upper({c})",
+              "city": "upper({c})", "state": "upper({c})", "sales_rep": "{c}", "client_code": "{c}",
+              "tax_registration": "{c}", "financial_analysis": "{c}"}
 
-_CONTACT_A = """SELECT C.id, upper(C.name) AS name, upper(C.email) AS email, C.phone AS phone,
-    upper(C.job_title) AS job_title, upper(CASE WHEN C.is_primary THEN 'S' ELSE 'N' END) AS is_primary, L.id AS lead_id
-    FROM contacts C, leads L WHERE CAST(C.client_code AS BIGINT) = L.client_code"""
-_CONTACT_B = """SELECT con.id_crm AS id, upper(con.name) AS name, upper(con.email) AS email, con.phone AS phone,
-    upper(con.job_title) AS job_title, upper(con.is_primary) AS is_primary, cli.id_crm AS lead_id
-    FROM vw_contacts con, vw_base cli
-    WHERE con.id_crm IS NOT NULL AND con.client_taxid = cli.taxid AND con.id_crm IN (SELECT id FROM contacts)"""
+
+def _lead_side(source: str, id_col: str, name_col: str, where: str) -> str:
+    cols = [f"{id_col} AS id", f"upper({name_col}) AS name"]
+    cols += [f"{tpl.format(c=c)} AS {c}" for c, tpl in _LEAD_NORM.items()]
+    return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}"
+
+
+_LEAD_A = _lead_side("leads", "id", "name", "stage IN ('Development/Budget', 'Activation', 'Retention/Expansion')")
+_LEAD_B = _lead_side("vw_crm_clients", "id_crm", "company_name", "id_crm IS NOT NULL AND id_crm IN (SELECT id FROM leads)")
+
+
+def _contact_side(t: str, select_id: str, lead_id: str, primary: str, source: str, where: str) -> str:
+    cols = [f"{select_id} AS id", f"upper({t}.name) AS name", f"upper({t}.email) AS email", f"{t}.phone AS phone",
+            f"upper({t}.job_title) AS job_title", f"upper({primary}) AS is_primary", f"{lead_id} AS lead_id"]
+    return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}"
+
+
+_CONTACT_A = _contact_side("c", "c.id", "l.id", "CASE WHEN c.is_primary THEN 'S' ELSE 'N' END",
+                           "contacts c JOIN leads l ON CAST(c.client_code AS BIGINT) = l.client_code", "true")
+_CONTACT_B = _contact_side("con", "con.id_crm", "cli.id_crm", "con.is_primary",
+                           "vw_contacts con JOIN vw_base cli ON con.client_taxid = cli.taxid",
+                           "con.id_crm IS NOT NULL AND con.id_crm IN (SELECT id FROM contacts)")
 
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
