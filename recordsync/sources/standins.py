@@ -60,6 +60,21 @@ class DomainTables:
         # True once the tables are bucketed on their main keys (see ``stage``).
         self.bucketed = False
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, bucketed: bool = False, **tables: DataFrame) -> "DomainTables":
+        """Domain tables of a real deployment: pass the ERP/CRM DataFrames by
+        their domain name (``branches=..., leads=..., budget_item=...``).
+        Every view and operator then reads them instead of the stand-ins;
+        ``bucketed`` tells the measures the inputs are already bucketed on
+        their main keys (``STAGE_KEYS``)."""
+        t = cls(spark, "")
+        unknown = sorted(set(tables) - set(STAGE_KEYS))
+        if unknown:
+            raise ValueError(f"unknown domain tables: {unknown}")
+        t.__dict__.update(tables)
+        t.bucketed = bucketed
+        return t
+
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 

@@ -117,3 +117,16 @@ def test_full_reload_contacts_of_accepted_leads(spark):
     acc = {r.id for r in out["leads"].collect()}
     assert all(r.leadId in acc for r in out["contacts"].collect())
     assert out["contacts"].where(F.col("email").isNull()).count() == 0
+
+
+def test_from_frames_uses_given_tables(spark):
+    from conftest import SMOKE
+    import pytest
+    base = DomainTables(spark, SMOKE)
+    t = DomainTables.from_frames(spark, leads=base.leads.limit(5), branches=base.branches, clients=base.clients,
+                                 cities=base.cities, countries=base.countries, states=base.states,
+                                 credit_limit_history=base.credit_limit_history)
+    assert t.leads.count() == 5
+    assert V.lead_diff(t).count() <= V.lead_diff(base).count()
+    with pytest.raises(ValueError):
+        DomainTables.from_frames(spark, nonsense=base.leads)
