@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nested import _c
-from ..functions.text import int_part, registration_to_erp, strip_punct, zfill
+from ..functions.text import int_part, strip_punct, zfill
 from ..schemas import (BUDGET_PRODUCT_ID, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION,
                        OBSERVATION_TEXT, PAYLOAD_COUNTRY, QUALIFICATION_QA, QUALIFICATION_QUESTION_TYPE,
                        SALE_REP_EMAIL)
@@ -35,8 +35,9 @@ def _cf_option(fid: str, value: Column) -> Column:
 
 def insert_payload(cands: DataFrame, rep_col: str = "sales_rep_checked") -> DataFrame:
     """B1: create-lead body for each insert candidate (numbers as text, tax
-    id zero-filled, registration 'ISENTO' -> '99')."""
-    reg = registration_to_erp(F.col("tax_registration"))
+    id zero-filled, registration without '.'/'-' and 'ISENTO' -> '99')."""
+    stripped = strip_punct(F.col("tax_registration"))
+    reg = F.when(stripped == "ISENTO", F.lit("99")).otherwise(stripped)
     lead = F.struct(
         F.col("name").alias("name"), F.col("industry").alias("industry"), F.col("address").alias("address"),
         _s("zipcode").alias("zipcode"), _s("phone").alias("phone"), _s("number").alias("addressNumber"),

@@ -361,7 +361,8 @@ ORACLE.update({
         'customFields': [
             {'id': '_cod.gestores', 'value': NULL::VARCHAR, 'options': [{'value': rep::VARCHAR}]},
             {'id': '_cod.cliente', 'value': client_code::VARCHAR, 'options': NULL::STRUCT(value VARCHAR)[]},
-            {'id': '_inscricaoestadual', 'value': """ + reg_to_erp("tax_registration") + """, 'options': NULL::STRUCT(value VARCHAR)[]}]}})""")
+            {'id': '_inscricaoestadual', 'value': CASE WHEN """ + strip("tax_registration") + """ = 'ISENTO' THEN '99'
+                ELSE """ + strip("tax_registration") + """ END, 'options': NULL::STRUCT(value VARCHAR)[]}]}})""")
         + """ AS payload FROM (SELECT *, CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END AS rep
         FROM insert_cands)""",
     "update_payload": "SELECT id, " + drop_nulls("""to_json({'duplicityValidation': 'true', 'lead': {
