@@ -188,3 +188,13 @@ def test_salted_join_equals_plain_join_on_hot_key(spark):
     plain = sorted(map(tuple, big.join(small, "k", "left").collect()), key=repr)
     salted = sorted(map(tuple, salted_join(big, small, ["k"], 8, "left").select("k", "v", "name").collect()), key=repr)
     assert salted == plain
+
+
+def test_field_diff_null_semantics(spark):
+    from recordsync.operators.changes import field_diff
+    src = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y"), (4, "d", "z")], "id bigint, n string, v string")
+    tgt = spark.createDataFrame([(1, "a", "old"), (2, "B", "x"), (3, "c", "y")], "id bigint, n string, v string")
+    plain = {r.id: r.changed for r in field_diff(src, tgt, "id", ["n", "v"]).collect()}
+    assert plain == {2: "n", 4: ""}  # NULL vs value is no change (Q9); 4 is missing in the target
+    safe = {r.id: r.changed for r in field_diff(src, tgt, "id", ["n", "v"], null_safe=True).collect()}
+    assert safe == {1: "v", 2: "n", 4: "n,v"}
