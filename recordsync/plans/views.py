@@ -235,7 +235,11 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     i = t.budget_item
     i = i.where(_in_window(i.date, base_ts, horizon_days) & (i.generated != "N"))
     o = t.budget
-    q = min_tier(t)
+    # Smallest tier per budget item as a hash aggregate (partial, no sort);
+    # the delivery join below keeps only rows at that quantity, which is the
+    # same as joining the tier rows at their minimum (A3).
+    q = (_by(t, t.budget_item_quantity, "bit_bdg_number")
+         .groupBy("bit_bdg_number", "bit_item").agg(F.min("quantity").alias("quantity")))
     e = t.budget_item_quant_delivery
     ie = (t.budget_item_delivery.where((F.col("billing_client") == "Y") & F.col("approval_date").isNotNull())
           .select(F.col("bit_bdg_number").alias("ie_bdg"), F.col("bit_item").alias("ie_item"),
@@ -245,7 +249,7 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     # with the budget number) run partition-local.  Budget numbers are
     # fine-grained, so a hot client does not make a hot partition here; the
     # per-client sum below is pre-aggregated before its own shuffle.
-    i, q = _by(t, i, "bdg_number"), _by(t, q, "bit_bdg_number")
+    i = _by(t, i, "bdg_number")
     e, ie = _by(t, e, "bid_bdg_number"), _by(t, ie, "ie_bdg")
     j = (i.join(o, o.number == i.bdg_number)
           .join(q, (q.bit_bdg_number == i.bdg_number) & (q.bit_item == i.item))
