@@ -264,12 +264,20 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     return agg.select(*KEYS, (F.col("_v").cast("double") / 1000.0).alias("budget_value"))
 
 
+def rep_emails(t: DomainTables) -> DataFrame:
+    """Rep e-mail by rep code as a scalar lookup: at most one row per
+    code (the smallest e-mail if the table ever repeats a code), so the
+    left join can never multiply client rows."""
+    return (t.sales_reps.groupBy(F.col("code").alias("_rep"))
+            .agg(F.min("email").alias("sales_rep_email")))
+
+
 def client_view(t: DomainTables, base_ts=BASE_TS, budget_overrides=None, order_overrides=None) -> DataFrame:
     """V1: 27-column client master view."""
     bo = BUDGET_VALUE_OVERRIDES if budget_overrides is None else budget_overrides
     oo = ORDER_VALUE_OVERRIDES if order_overrides is None else order_overrides
     base = client_base(t)
-    reps = t.sales_reps.select(F.col("code").alias("_rep"), F.col("email").alias("sales_rep_email"))
+    reps = rep_emails(t)
     fa = latest_observation(t)
     j = (base.join(min_industry(t), KEYS, "left")
              .join(fa, "client_code", "left")
@@ -396,7 +404,7 @@ def sold_changes(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
     from ..schemas import ACTIVATION_STAGE
     l = t.leads.select("id", "stage", F.col("order_value").alias("_lo"))
     cb = client_base(t).select("client_code", "branch_code", "id_crm", "sales_rep")
-    reps = t.sales_reps.select(F.col("code").alias("_rep"), F.col("email").alias("sales_rep_email"))
+    reps = rep_emails(t)
     e = (cb.join(budget_value(t, base_ts), KEYS, "left").join(order_value(t, base_ts), KEYS, "left")
          .join(reps, F.col("sales_rep") == F.col("_rep"), "left")
          .select("id_crm", "sales_rep_email",
