@@ -120,45 +120,66 @@ STANDINS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         WHERE c_custkey % 3 <> 0""",
     # ---- views in the source system's shape --------------------------------
-    "vw_base": f"""SELECT B.client::VARCHAR || '-' || B.code::VARCHAR AS id, B.client AS client_code, B.code AS branch_code,
-        B.description AS company_name, B.taxid, B.sales_rep,
-        {initcap2('P.name')} AS country,
-        CASE WHEN P.code = 'US' THEN {initcap2('S.name')} ELSE NULL END AS state,
-        {initcap2('CT.city_name')} AS city, CT.city_code,
-        B.zipcode AS address_zipcode, B.address AS address_street, B.number AS address_number,
-        B.district AS address_district, B.complement AS address_complement, B.email, B.tax_registration, B.phone,
-        B.id_crm, CASE WHEN coalesce(B.integrate_crm, false) THEN 'Y' ELSE 'N' END AS integrate_crm
-        FROM clients C, branches B, cities CT, countries P, states S
-        WHERE C.client_code = B.client AND CT.id = B.city AND P.code = CT.country_code AND CT.state_code = S.code""",
+    "vw_base": f"""SELECT br.client::VARCHAR || '-' || br.code::VARCHAR AS id, br.client AS client_code,
+        br.code AS branch_code, br.description AS company_name, br.taxid, br.sales_rep,
+        {initcap2('co.name')} AS country,
+        CASE WHEN co.code = 'US' THEN {initcap2('st.name')} END AS state,
+        {initcap2('ci.city_name')} AS city, ci.city_code,
+        br.zipcode AS address_zipcode, br.address AS address_street, br.number AS address_number,
+        br.district AS address_district, br.complement AS address_complement, br.email, br.tax_registration, br.phone,
+        br.id_crm, CASE WHEN coalesce(br.integrate_crm, false) THEN 'Y' ELSE 'N' END AS integrate_crm
+        FROM branches br
+        JOIN clients cl ON cl.client_code = br.client
+        JOIN cities ci ON ci.id = br.city
+        JOIN countries co ON co.code = ci.country_code
+        JOIN states st ON st.code = ci.state_code""",
     "vw_industry": f"""SELECT Ic.client AS client_code, Ic.branch AS branch_code, min({initcap2('m.description')}) AS industry
         FROM client_industries Ic, industries m WHERE Ic.industry = m.industry GROUP BY 1, 2""",
-    "vw_fa": """SELECT H.client_code, max(H.observations) AS financial_analysis FROM credit_limit_history H
-        WHERE H.date = (SELECT max(H1.date) FROM credit_limit_history H1 WHERE H1.client_code = H.client_code)
+    "vw_fa": """WITH last_day AS (SELECT client_code, max(date) AS d FROM credit_limit_history GROUP BY 1)
+        SELECT h.client_code, max(h.observations) AS financial_analysis
+        FROM credit_limit_history h JOIN last_day l ON l.client_code = h.client_code AND h.date = l.d
         GROUP BY 1""",
-    "vw_budget": f"""SELECT O.client_billing_code AS client_code, O.branch_billing_code AS branch_code,
-        CAST(sum(Q.quantity * CASE WHEN coalesce(E.negotiated_price, 0) = 0 THEN E.price ELSE E.negotiated_price END)
-             AS DOUBLE) / 1000.0 AS budget_value
-        FROM budget_item I, budget O, budget_item_delivery IE, budget_item_quantity Q, budget_item_quant_delivery E
-        WHERE O.number = I.bdg_number AND Q.bit_bdg_number = I.bdg_number AND Q.bit_item = I.item
-          AND Q.quantity = (SELECT min(Q2.quantity) FROM budget_item_quantity Q2
-                            WHERE Q2.bit_bdg_number = I.bdg_number AND Q2.bit_item = I.item)
-          AND E.bid_bdg_number = Q.bit_bdg_number AND E.bid_item = Q.bit_item AND E.bid_quantity = Q.quantity
-          AND IE.bit_bdg_number = I.bdg_number AND IE.bit_item = I.item AND IE.billing_client = 'Y'
-          AND IE.approval_date IS NOT NULL AND E.client_code = IE.client_code AND E.branch_code = IE.branch_code
-          AND date_trunc('day', I.date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY
-          AND I.generated <> 'N'
-        GROUP BY 1, 2""",
-    "vw_order": f"""SELECT D.key1 AS client_code, D.key2 AS branch_code, CAST(sum(I.item_qty * E.unit_value) AS DOUBLE) AS order_value
-        FROM person D, sales_order P, sales_order_item I, sales_order_item_delivery E
-        WHERE D.code = P.pers_code AND P.company_code = I.so_company_code AND P.number = I.so_number
-          AND I.so_company_code = E.sod_company_code AND I.so_number = E.sod_number AND I.sequence = E.sequence
-          AND E.billing_client = 'Y' AND date_trunc('day', I.item_date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY
-        GROUP BY 1, 2""",
-    "vw_has_order": f"""SELECT D.key1 AS client_code, D.key2 AS branch_code,
-        'Y' AS has_order, CASE WHEN max(I.item_date) >= {BASE} + INTERVAL 30 DAY THEN 'Y' ELSE 'N' END AS has_retention
-        FROM person D, sales_order P, sales_order_item I
-        WHERE D.code = P.pers_code AND P.company_code = I.so_company_code AND P.number = I.so_number
-          AND I.item_date >= {BASE}
+    "vw_budget": f"""WITH window_items AS (
+            SELECT bi.bdg_number, bi.item, b.client_billing_code, b.branch_billing_code
+            FROM budget_item bi JOIN budget b ON b.number = bi.bdg_number
+            WHERE bi.generated <> 'N'
+              AND date_trunc('day', bi.date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY),
+        smallest_tier AS (
+            SELECT bit_bdg_number, bit_item, min(quantity) AS tier FROM budget_item_quantity GROUP BY 1, 2),
+        approved AS (
+            SELECT bit_bdg_number, bit_item, client_code, branch_code FROM budget_item_delivery
+            WHERE billing_client = 'Y' AND approval_date IS NOT NULL),
+        priced AS (
+            SELECT w.client_billing_code, w.branch_billing_code,
+                   d.bid_quantity * (CASE WHEN d.negotiated_price IS NULL OR d.negotiated_price = 0 THEN d.price
+                                          ELSE d.negotiated_price END) AS amount
+            FROM window_items w
+            JOIN smallest_tier st ON st.bit_bdg_number = w.bdg_number AND st.bit_item = w.item
+            JOIN budget_item_quant_delivery d
+              ON d.bid_bdg_number = w.bdg_number AND d.bid_item = w.item AND d.bid_quantity = st.tier
+            JOIN approved a ON a.bit_bdg_number = w.bdg_number AND a.bit_item = w.item
+                           AND a.client_code = d.client_code AND a.branch_code = d.branch_code)
+        SELECT client_billing_code AS client_code, branch_billing_code AS branch_code,
+               CAST(sum(amount) AS DOUBLE) / 1000.0 AS budget_value
+        FROM priced GROUP BY 1, 2""",
+    "vw_order": f"""WITH billed AS (
+            SELECT sod_company_code, sod_number, sequence, unit_value FROM sales_order_item_delivery
+            WHERE billing_client = 'Y'),
+        lines AS (
+            SELECT so.pers_code, it.item_qty * bd.unit_value AS amount
+            FROM sales_order_item it
+            JOIN billed bd ON bd.sod_company_code = it.so_company_code AND bd.sod_number = it.so_number
+                          AND bd.sequence = it.sequence
+            JOIN sales_order so ON so.company_code = it.so_company_code AND so.number = it.so_number
+            WHERE date_trunc('day', it.item_date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY)
+        SELECT p.key1 AS client_code, p.key2 AS branch_code, CAST(sum(l.amount) AS DOUBLE) AS order_value
+        FROM lines l JOIN person p ON p.code = l.pers_code GROUP BY 1, 2""",
+    "vw_has_order": f"""SELECT p.key1 AS client_code, p.key2 AS branch_code, 'Y' AS has_order,
+        CASE WHEN max(it.item_date) >= {BASE} + INTERVAL 30 DAY THEN 'Y' ELSE 'N' END AS has_retention
+        FROM sales_order_item it
+        JOIN sales_order so ON so.company_code = it.so_company_code AND so.number = it.so_number
+        JOIN person p ON p.code = so.pers_code
+        WHERE it.item_date >= {BASE}
         GROUP BY 1, 2""",
     "vw_crm_clients": """SELECT b.*, ind.industry, fa.financial_analysis,
         CASE WHEN b.client_code = 1001 THEN 10000.0 ELSE bv.budget_value END AS budget_value,
@@ -172,10 +193,10 @@ STANDINS = {
         LEFT JOIN vw_budget bv ON bv.client_code = b.client_code AND bv.branch_code = b.branch_code
         LEFT JOIN vw_has_order ho ON ho.client_code = b.client_code AND ho.branch_code = b.branch_code
         LEFT JOIN vw_order ov ON ov.client_code = b.client_code AND ov.branch_code = b.branch_code""",
-    "vw_contacts": """SELECT c.code AS id, c.name, c.email, c.phone, coalesce(c.job_title_desc, g.title) AS job_title,
-        f.taxid AS client_taxid, c.id_crm, c.is_primary
-        FROM contact c JOIN branches f ON c.branch_client = f.client AND c.branch_code = f.code
-        LEFT JOIN contact_job_titles g ON c.job_title_code = g.job_title_code""",
+    "vw_contacts": """SELECT ct.code AS id, ct.name, ct.email, ct.phone, coalesce(ct.job_title_desc, jt.title) AS job_title,
+        br.taxid AS client_taxid, ct.id_crm, ct.is_primary
+        FROM contact ct JOIN branches br ON br.client = ct.branch_client AND br.code = ct.branch_code
+        LEFT JOIN contact_job_titles jt ON jt.job_title_code = ct.job_title_code""",
     "stage_table": f"""SELECT i::BIGINT AS ordinal, {_STAGE_CANON}[i] AS canonical, {_STAGE_LIST}[i] AS alias
         FROM range(1, 9) t(i)""",
 }
@@ -251,24 +272,27 @@ ORACLE: dict[str, str] = {
     "contact_diff": f"{_CONTACT_A}\nEXCEPT\n{_CONTACT_B}\nUNION\n{_CONTACT_B}\nEXCEPT\n{_CONTACT_A}",
     "budget_value": "SELECT * FROM vw_budget",
     "order_value": "SELECT * FROM vw_order",
-    "has_order": """SELECT b.client AS client_code, b.code AS branch_code,
-        CASE WHEN EXISTS (SELECT 1 FROM person D, sales_order P, sales_order_item I
-                          WHERE D.code = P.pers_code AND P.company_code = I.so_company_code AND P.number = I.so_number
-                            AND I.item_date >= TIMESTAMP '1998-01-01' AND D.key1 = b.client AND D.key2 = b.code)
-             THEN 'Y' ELSE 'N' END AS has_order FROM branches b""",
+    "has_order": """SELECT br.client AS client_code, br.code AS branch_code,
+        CASE WHEN hit.key1 IS NULL THEN 'N' ELSE 'Y' END AS has_order
+        FROM branches br LEFT JOIN (
+            SELECT DISTINCT p.key1, p.key2 FROM sales_order_item it
+            JOIN sales_order so ON so.company_code = it.so_company_code AND so.number = it.so_number
+            JOIN person p ON p.code = so.pers_code
+            WHERE it.item_date >= TIMESTAMP '1998-01-01') hit ON hit.key1 = br.client AND hit.key2 = br.code""",
     "has_retention": """SELECT client_code, branch_code, has_order, has_retention FROM vw_has_order""",
-    "has_budget": """SELECT b.client AS client_code, b.code AS branch_code,
-        CASE WHEN EXISTS (SELECT 1 FROM budget_item I, budget O
-                          WHERE O.client_billing_code = b.client AND O.branch_billing_code = b.code
-                            AND O.number = I.bdg_number AND I.date >= TIMESTAMP '1998-01-01' AND I.generated <> 'N')
-             THEN 'Y' ELSE 'N' END AS has_budget FROM branches b""",
-    "has_service_order": """SELECT b.client AS client_code, b.code AS branch_code,
-        CASE WHEN EXISTS (SELECT 1 FROM service_order_item I, service_order O
-                          WHERE O.client = b.client AND O.branch = b.code AND O.company_code = I.soi_company_code
-                            AND O.branch_code = I.soi_branch_code AND O.sales_rep_code = I.soi_sales_rep_code
-                            AND O.number = I.soi_number AND I.create_date >= TIMESTAMP '1998-01-01'
-                            AND I.status <> 'C')
-             THEN 'Y' ELSE 'N' END AS has_service_order FROM branches b""",
+    "has_budget": """SELECT br.client AS client_code, br.code AS branch_code,
+        CASE WHEN hit.c IS NULL THEN 'N' ELSE 'Y' END AS has_budget
+        FROM branches br LEFT JOIN (
+            SELECT DISTINCT b.client_billing_code AS c, b.branch_billing_code AS k FROM budget b
+            JOIN budget_item bi ON bi.bdg_number = b.number
+            WHERE bi.date >= TIMESTAMP '1998-01-01' AND bi.generated <> 'N') hit ON hit.c = br.client AND hit.k = br.code""",
+    "has_service_order": """SELECT br.client AS client_code, br.code AS branch_code,
+        CASE WHEN hit.c IS NULL THEN 'N' ELSE 'Y' END AS has_service_order
+        FROM branches br LEFT JOIN (
+            SELECT DISTINCT so.client AS c, so.branch AS k FROM service_order so
+            JOIN service_order_item si ON si.soi_company_code = so.company_code AND si.soi_branch_code = so.branch_code
+                 AND si.soi_sales_rep_code = so.sales_rep_code AND si.soi_number = so.number
+            WHERE si.create_date >= TIMESTAMP '1998-01-01' AND si.status <> 'C') hit ON hit.c = br.client AND hit.k = br.code""",
     "latest_observation": "SELECT * FROM vw_fa",
     "min_industry": "SELECT * FROM vw_industry",
     "min_tier": """SELECT bit_bdg_number, bit_item, CAST(quantity AS DOUBLE) AS quantity FROM budget_item_quantity Q
