@@ -229,8 +229,9 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
     null/0) at each item's smallest tier, for approved client-billed items of
     generated budgets dated within [base, base + horizon].
 
-    All joins are keyed by budget number first, so the fact side is shuffled
-    on it; the tier minimum is a window over the same key.
+    All joins are keyed by budget number first, so each input is shuffled
+    once on it (or read from buckets on it); the tier minimum is a hash
+    aggregate over the same key.
     """
     i = t.budget_item
     i = i.where(_in_window(i.date, base_ts, horizon_days) & (i.generated != "N"))
@@ -245,7 +246,7 @@ def budget_value(t: DomainTables, base_ts=BASE_TS, horizon_days: int = 365) -> D
           .select(F.col("bit_bdg_number").alias("ie_bdg"), F.col("bit_item").alias("ie_item"),
                   F.col("client_code").alias("ie_client"), F.col("branch_code").alias("ie_branch")))
     # Co-partition every budget input on the budget number: one shuffle per
-    # input, then the tier window and the three joins (whose keys all start
+    # input, then the tier minimum and the three joins (whose keys all start
     # with the budget number) run partition-local.  Budget numbers are
     # fine-grained, so a hot client does not make a hot partition here; the
     # per-client sum below is pre-aggregated before its own shuffle.
