@@ -133,8 +133,8 @@ STANDINS = {
         JOIN cities ci ON ci.id = br.city
         JOIN countries co ON co.code = ci.country_code
         JOIN states st ON st.code = ci.state_code""",
-    "vw_industry": f"""SELECT Ic.client AS client_code, Ic.branch AS branch_code, min({initcap2('m.description')}) AS industry
-        FROM client_industries Ic, industries m WHERE Ic.industry = m.industry GROUP BY 1, 2""",
+    "vw_industry": f"""SELECT ci.client AS client_code, ci.branch AS branch_code, min({initcap2('ind.description')}) AS industry
+        FROM client_industries ci JOIN industries ind ON ind.industry = ci.industry GROUP BY 1, 2""",
     "vw_fa": """WITH last_day AS (SELECT client_code, max(date) AS d FROM credit_limit_history GROUP BY 1)
         SELECT h.client_code, max(h.observations) AS financial_analysis
         FROM credit_limit_history h JOIN last_day l ON l.client_code = h.client_code AND h.date = l.d
@@ -295,20 +295,22 @@ ORACLE: dict[str, str] = {
             WHERE si.create_date >= TIMESTAMP '1998-01-01' AND si.status <> 'C') hit ON hit.c = br.client AND hit.k = br.code""",
     "latest_observation": "SELECT * FROM vw_fa",
     "min_industry": "SELECT * FROM vw_industry",
-    "min_tier": """SELECT bit_bdg_number, bit_item, CAST(quantity AS DOUBLE) AS quantity FROM budget_item_quantity Q
-        WHERE Q.quantity = (SELECT min(Q2.quantity) FROM budget_item_quantity Q2
-                            WHERE Q2.bit_bdg_number = Q.bit_bdg_number AND Q2.bit_item = Q.bit_item)""",
+    "min_tier": """WITH lowest AS (SELECT bit_bdg_number, bit_item, min(quantity) AS lo FROM budget_item_quantity GROUP BY 1, 2)
+        SELECT t.bit_bdg_number, t.bit_item, CAST(t.quantity AS DOUBLE) AS quantity
+        FROM budget_item_quantity t JOIN lowest w ON w.bit_bdg_number = t.bit_bdg_number AND w.bit_item = t.bit_item
+        WHERE t.quantity = w.lo""",
     "value_override": """SELECT b.client_code, b.branch_code,
         CASE WHEN b.client_code = 1001 THEN 10000.0 ELSE bv.budget_value END AS budget_value,
         CASE WHEN b.client_code = 1002 THEN 10000.0 ELSE ov.order_value END AS order_value
         FROM vw_base b LEFT JOIN vw_budget bv USING (client_code, branch_code)
         LEFT JOIN vw_order ov USING (client_code, branch_code)""",
-    "budget_changes": """SELECT l.id, e.budget_value, l.taxid FROM leads l JOIN vw_crm_clients e ON l.id = e.id_crm
-        WHERE e.budget_value IS NOT NULL AND COALESCE(CAST(l.budget_value AS DOUBLE), -1) <> e.budget_value""",
-    "sold_changes": """SELECT crm.id, erp.order_value, erp.sales_rep_email FROM leads crm JOIN vw_crm_clients erp
-        ON crm.id = erp.id_crm
-        WHERE erp.budget_value IS NOT NULL AND crm.stage <> 'Activation'
-          AND COALESCE(CAST(crm.order_value AS DOUBLE), -1) <> erp.order_value""",
+    "budget_changes": """SELECT ld.id, cv.budget_value, ld.taxid
+        FROM leads ld JOIN vw_crm_clients cv ON cv.id_crm = ld.id
+        WHERE cv.budget_value IS NOT NULL AND coalesce(CAST(ld.budget_value AS DOUBLE), -1) <> cv.budget_value""",
+    "sold_changes": """SELECT ld.id, cv.order_value, cv.sales_rep_email
+        FROM leads ld JOIN vw_crm_clients cv ON cv.id_crm = ld.id
+        WHERE cv.budget_value IS NOT NULL AND ld.stage <> 'Activation'
+          AND coalesce(CAST(ld.order_value AS DOUBLE), -1) <> cv.order_value""",
 }
 
 
