@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import maglev
+from . import maglev, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_winnowing": winnowing.op2_winnowing,
         "op7_maglev_sharding": maglev.op7_maglev_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_winnowing": winnowing.OP2_SQL,
         "op7_maglev_sharding": maglev.op7_sql(),
     }
