@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import maglev, winnowing
+from . import line_index, maglev, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_winnowing": winnowing.op2_winnowing,
+        "op6_line_index": line_index.op6_line_index,
         "op7_maglev_sharding": maglev.op7_maglev_sharding,
     }
 
@@ -21,5 +22,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_winnowing": winnowing.OP2_SQL,
+        "op6_line_index": line_index.OP6_SQL,
         "op7_maglev_sharding": maglev.op7_sql(),
     }

@@ -124,11 +124,11 @@ def summary(found: DataFrame) -> DataFrame:
         "k1", "k2", "n_hit", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("joined"))
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", item_text: str = "text",
-                  item_id: str = "item_id", span: int = SPAN, k: int = K) -> DataFrame:
+def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  item_text: str = "text", item_id: str = "item_id", span: int = SPAN, k: int = K) -> DataFrame:
     """``docs`` (all rows, all columns but clashing ones) with n_words, n_hit, n_items, items_sha256, contaminated."""
     made = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    key = row_key(F.col(f"`{text}`"))
+    key = row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))  # with the id, copies of one text spread over the tasks
     sides = docs.select(*key, F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
     asked = bench.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("item"),
                          F.col(f"`{item_text}`").alias("text"))
