@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_index, maglev, winnowing
+from . import lattice, line_index, maglev, piece_counts, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,8 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_winnowing": winnowing.op2_winnowing,
+        "op4_piece_counts": piece_counts.op4_piece_counts,
         "op6_line_index": line_index.op6_line_index,
         "op7_maglev_sharding": maglev.op7_maglev_sharding,
+        "op10_lattice": lattice.op10_lattice,
     }
 
 
