@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lattice, line_index, maglev, piece_counts, winnowing
+from . import jaccard_join, lattice, line_index, maglev, piece_counts, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_jaccard_join": jaccard_join.op1_jaccard_join,
         "op2_winnowing": winnowing.op2_winnowing,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_piece_counts": piece_counts.op4_piece_counts,
         "op6_line_index": line_index.op6_line_index,
         "op7_maglev_sharding": maglev.op7_maglev_sharding,
