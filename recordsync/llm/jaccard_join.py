@@ -15,8 +15,10 @@ Heavy: larger sets enter inverted lists, each with the prefix of its elements
 them.  The bits in which two sketches differ are at most the elements in which
 the sets differ, so a scan of a list can drop pairs without losing a link.  A
 list yields a forest over the pairs left, not the pairs; the forest's edges are
-verified on the whole sets.  A list with a refuted edge is scanned again and
-then yields every pair left between the parts that the verified edges made.
+verified on the whole sets.  A list with a refuted edge is scanned again with
+sketches doubled ``FINER`` times, which differ in nearly as many bits as the
+sets do in elements, and yields every pair left between the parts that the
+verified edges made; these are few, and are verified too.
 Lists beyond ``BLOCK`` members are dealt out in blocks, each pair of blocks to
 its own task.
 
@@ -50,6 +52,8 @@ BLOCK = 8192
 #: Cost of one scanned posting, by that of one emitted subset.
 SCAN_COST = 40
 LARGEST_LIGHT = 64
+#: Doublings of a sketch's length for the second scan.
+FINER = 4
 #: Most frequent elements that are moved to the end of every prefix (8 bytes each, broadcast).
 FREQUENT = 200_000
 
@@ -107,8 +111,8 @@ def boundary(rule: Rule, sizes: dict[int, int]) -> int:
 
 
 def sketch_bits(rule: Rule, size: np.ndarray) -> np.ndarray:
-    """Bits of the sketch of a class of sizes: about 4 to 8 times what linked sets may differ in."""
-    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, 4 * rule.differ(size, size)))).astype(int))
+    """Bits of the sketch of a class of sizes: about 8 to 16 times what linked sets may differ in."""
+    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, 8 * rule.differ(size, size)))).astype(int))
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -297,7 +301,7 @@ def scan_list(rule: Rule, ids: np.ndarray, size: np.ndarray, sketch: np.ndarray,
                     root[root == root[i]] = root[j]
 
 
-def _scan(rule: Rule, parted: bool):
+def _scan(rule: Rule, parted: bool, finer: int):
     """Scans lists whose rows come sorted: one list is held at a time, short ones many at once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["bits", "element", "i", "j"]
@@ -313,7 +317,7 @@ def _scan(rule: Rule, parted: bool):
             part = rows.part.to_numpy() if parted else None
             for a, b in zip(bounds[:-1], bounds[1:]):
                 if b - a > 1:
-                    bits = np.stack([_folded(x, 1 << int(keys[a, 0])) for x in sketch[a:b]])
+                    bits = np.stack([_folded(x, 1 << int(keys[a, 0] + finer)) for x in sketch[a:b]])
                     found += [(*keys[a, :2].tolist(), *pair) for pair in scan_list(
                         rule, ids[a:b], size[a:b], bits, side[a:b], None if part is None else part[a:b])]
             return pd.DataFrame(found, columns=["bits", "element", "a", "b"])
@@ -349,7 +353,8 @@ def heavy_pairs(lists: DataFrame, index: DataFrame, rule: Rule, part: DataFrame
             "part", F.coalesce("part", "id"))
     key = ["bits", "element", "i", "j"]
     dealt = rows.repartition(partitions(lists.sparkSession), *key).sortWithinPartitions(*key, "id")
-    return dealt.mapInPandas(_scan(rule, part is not None), "bits long, element long, a long, b long")
+    finer = 0 if part is None else FINER
+    return dealt.mapInPandas(_scan(rule, part is not None, finer), "bits long, element long, a long, b long")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, rule: Rule) -> DataFrame:
@@ -378,6 +383,24 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, rule: Rule) -> DataFrame:
     return compared.groupBy("a", "b").agg(F.max("linked").alias("linked"))  # an id may have several texts
 
 
+def finer_sketches(reps: DataFrame, docs: DataFrame, k: int, rule: Rule) -> DataFrame:
+    """(id, sketch) of ``reps`` (id, n, h1, h2), longer ones than document_sets gives."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, bounds, value in shingle_sets(batch.column("text"), k):
+                h1, h2 = _set_hash(value, bounds)
+                size = np.diff(bounds)
+                bits = sketch_bits(rule, size * rule.q // rule.p) << FINER
+                sketch = [_sketch(value[x:y], b) for x, y, b in zip(bounds[:-1], bounds[1:], bits.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(row, len(size)), pa.array(size), pa.array(h1), pa.array(h2),
+                     pa.array(sketch, pa.binary())], ["id", "n", "h1", "h2", "sketch"])
+    asked = docs.select("id", "text").join(reps.select("id").distinct(), "id", "left_semi")
+    made = asked.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch binary")
+    key = ["id", "n", "h1", "h2"]
+    return made.join(reps.select(*key), key, "left_semi").dropDuplicates(key).select("id", "sketch")
+
+
 def heavy_edges(reps: DataFrame, docs: DataFrame, k: int, rule: Rule, light: int) -> DataFrame:
     """(a, b) links of sets above the boundary with any set, enough of them to connect what links connect."""
     floor = rule.least(light + 1)
@@ -395,7 +418,9 @@ def heavy_edges(reps: DataFrame, docs: DataFrame, k: int, rule: Rule, light: int
     if refuted.isEmpty():
         return linked
     again = pairs.join(refuted, ["a", "b"], "left_semi").select("bits", "element").distinct()
-    more = heavy_pairs(lists.join(again, ["bits", "element"], "left_semi"), index, rule, components(linked))
+    rescanned = written(lists.join(again, ["bits", "element"], "left_semi"))
+    index = written(finer_sketches(reps.join(rescanned.select("id").distinct(), "id", "left_semi"), docs, k, rule))
+    more = heavy_pairs(rescanned, index, rule, components(linked))
     more = written(more.select("a", "b").distinct().join(refuted, ["a", "b"], "left_anti"))
     return linked.unionByName(verify(more, docs, k, rule).where("linked").select("a", "b"))
 

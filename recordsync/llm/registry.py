@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, lattice, line_index, maglev, piece_counts, toxicity, winnowing
+from . import dom_model, jaccard_join, lattice, line_index, lsh_forest, maglev, piece_counts, raking, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +17,11 @@ def queries() -> dict[str, Query]:
         "op2_winnowing": winnowing.op2_winnowing,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_piece_counts": piece_counts.op4_piece_counts,
+        "op5_raking": raking.op5_raking,
         "op6_line_index": line_index.op6_line_index,
         "op7_maglev_sharding": maglev.op7_maglev_sharding,
+        "op8_lsh_forest": lsh_forest.op8_lsh_forest,
+        "op9_dom_model": dom_model.op9_dom_model,
         "op10_lattice": lattice.op10_lattice,
     }
 
@@ -26,6 +29,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_winnowing": winnowing.OP2_SQL,
+        "op5_raking": raking.op5_sql(),
         "op6_line_index": line_index.OP6_SQL,
         "op7_maglev_sharding": maglev.op7_sql(),
     }
