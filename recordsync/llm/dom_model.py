@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from .common import read, without
 
 CUT = 0.5
-TRAIN_PAGES = 120
+TRAIN_PAGES = 60
 TRAIN_BYTES = 30_000
-EPOCHS, RATE, DECAY = 80, 0.4, 2e-4
+EPOCHS, RATE, DECAY = 60, 0.4, 2e-4
 #: Weight of a built-in page, by that of a page of the table (whose shapes are alike).
-BUILT_IN = 10.0
+BUILT_IN = 3.0
 
 # Elements of HTML by their part in a page.
 SILENT = set("script style noscript template svg math head title iframe object embed audio video canvas map select option "
@@ -260,8 +260,13 @@ _TEXT = ("The river had risen in the night, and by morning the lower road was go
 
 
 def labelled_pages() -> list[str]:
-    """Small pages of common shapes; data-y says what is content (1) and what isn't (0), and is inherited."""
-    p = "".join(f"<p>{t}</p>" for t in _TEXT)
+    """Pages of common shapes, each with short, middling and long texts; data-y says what is content (1)
+    and what isn't (0), and is inherited."""
+    return [page for texts in (_TEXT[:1], _TEXT[1:3], _TEXT, _TEXT * 4) for page in _shapes(texts)]
+
+
+def _shapes(texts: tuple[str, ...]) -> list[str]:
+    p = "".join(f"<p>{t}</p>" for t in texts)
     nav = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li><li><a href='/s'>Sport</a></li></ul></nav>"
     bar = "<div class='menu'><a href='/'>Home</a> <a href='/n'>News</a> <a href='/w'>Weather today</a></div>"
     head = "<header><a href='/'>The Daily</a><p>News from the valley since 1911.</p></header>"
@@ -276,7 +281,8 @@ def labelled_pages() -> list[str]:
     table = "<table><tr><th>Year</th><th>Level</th></tr><tr><td>1953</td><td>4.2 m</td></tr></table>"
     points = "<ul><li>The road is closed.</li><li>The school stays open, for now.</li></ul>"
     title = "<h1>High water</h1>"
-    body = f"{title}{p}<h2>What comes next</h2><p>{_TEXT[0]} {_TEXT[1]}</p>{points}{table}<blockquote>{_TEXT[2]}</blockquote>"
+    brief = f"{title}{p}" + (points if len(texts) > 1 else "")
+    body = brief if len(texts) < 3 else f"{title}{p}<h2>What comes next</h2><p>{_TEXT[0]} {_TEXT[1]}</p>{points}{table}<blockquote>{_TEXT[2]}</blockquote>"
 
     def shape(inner: str, before: str = "", after: str = "") -> str:
         return f"<html><body>{before}{inner}{after}</body></html>"
@@ -295,10 +301,14 @@ def labelled_pages() -> list[str]:
         shape(f"<section class='story' data-y='1'>{title}{p}{p}</section>", nav + cookie, notes + aside + foot),
         shape(f"<table><tr><td class='nav'><a href='/'>Home</a><br><a href='/n'>News</a></td><td data-y='1'>{title}{p}{p}</td></tr></table>"),
         shape(f"<div data-y='1'>{title}{p}{p}</div>", bar, "<div class='related'><a href='/1'>More on floods</a></div>"),
-        shape(f"<div class='page'>{head}<div class='text' data-y='1'><p>{'<p>'.join(_TEXT)}</div>{ad}{foot}</div>"),
+        shape(f"<div class='page'>{head}<div class='text' data-y='1'><p>{'<p>'.join(texts)}</div>{ad}{foot}</div>"),
         shape(f"<article data-y='1'><p><b>{_TEXT[0]}<br><p>{_TEXT[1]}<p>{_TEXT[2]}</article>", nav + ad, foot),
         shape(f"<article data-y='1'><h1>Brief</h1><p>Short.</p><p>Sun.</p></article>", nav + ad, foot + notes),
         shape(f"<main><article data-y='1'>{body}</article>{drop(notes)}{drop(aside)}</main>", head, foot),
+        shape(f"<article data-y='1'>{title}{p}{drop(aside)}{p}{drop(ad)}{p}{drop(form)}</article>", nav, foot),
+        shape(f"<main data-y='1'>{body}{drop(notes)}</main>", head.replace("<a href='/'>The Daily</a>", "<h1>The Daily</h1>"), foot),
+        shape(f"<div class='article-body' data-y='1'>{body}</div>", bar, aside.replace("aside", "div") + notes + cookie),
+        shape(f"<div role='main' data-y='1'>{body}</div>", nav + form, ad + share + foot),
     ]
 
 
