@@ -48,8 +48,9 @@ def zfill(c, width: int = 14) -> Column:
 
 
 def taxid_key(c, width: int = 14) -> Column:
-    """``ltrim(lpad(x, 14, '0'))``."""
-    return F.ltrim(pad_taxid(c, width))
+    """``ltrim(lpad(x, 14, '0'))``; NULL for a value that lpad would cut,
+    so a tax id that is too long matches nobody instead of another client."""
+    return F.when(~taxid_too_long(c, width), F.ltrim(pad_taxid(c, width)))
 
 
 def taxid_too_long(c, width: int = 14) -> Column:

@@ -91,18 +91,19 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
         format_registration(F.col("tax_registration"), F.lit("XX")).alias("tax_registration"),
         F.col("address_number").alias("number"), F.col("address_complement").alias("complement"),
         F.col("id").alias("id_crm"), F.lit(True).alias("integrate_crm"),
-        F.col("financial_analysis"), F.col("industry"))
+        F.col("financial_analysis"), F.col("industry"), F.col("address_street").alias("_street"),
+        F.col("sales_rep").alias("_rep"))
     out = {
-        "branches": base.drop("financial_analysis", "industry"),
+        "branches": base.drop("financial_analysis", "industry", "_street", "_rep"),
         "clients": base.select(F.col("client").alias("client_code"), F.col("description").alias("company_name"),
                                "address", "district", "city", F.col("state").alias("state_code"), "zipcode",
                                "country", "number", "complement"),
         "sales_rep_branches": base.select(F.col("client").alias("client_code"), F.col("code").alias("branch_code"),
-                                          F.col("sales_rep").alias("sales_rep_code"),
+                                          F.col("_rep").alias("sales_rep_code"),
                                           F.col("client").alias("from_to_client"),
                                           F.col("code").alias("from_to_branch")),
         "billing_addresses": base.select(F.col("client").alias("client_code"), F.col("code").alias("branch_code"),
-                                         F.col("address").alias("billing_address"),
+                                         F.col("_street").alias("billing_address"),
                                          F.col("zipcode").alias("billing_zipcode"), F.col("city").alias("city_code"),
                                          F.col("state").alias("state_code"), F.col("country").alias("country_code"),
                                          F.col("district").alias("billing_district"),
@@ -112,7 +113,7 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
             F.col("financial_analysis").alias("observations")),
     }
     if industries is not None:
-        ind = industries.select(normalize_key(F.col("description")).alias("_ki"), F.col("industry").alias("_code"))
+        ind = industries.groupBy(normalize_key(F.col("description")).alias("_ki")).agg(F.min("industry").alias("_code"))
         out["client_industries"] = (base.join(ind, normalize_key(F.col("industry")) == F.col("_ki"))
                                     .select(F.col("client"), F.col("code").alias("branch"),
                                             F.col("_code").alias("industry"), F.lit("A").alias("status")))

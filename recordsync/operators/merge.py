@@ -115,62 +115,73 @@ def contact_route(incoming: DataFrame, target: DataFrame, email_col: str = "emai
                         .when(m == 0, "insert").when(m == 1, "update").otherwise("ambiguous")))
 
 
-def contact_merge(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """Contact upsert/delete.
+def contact_merge(target: DataFrame, changes: DataFrame, order: str = "id_crm") -> DataFrame:
+    """Contact upsert/delete, in the arrival order of the changes.
 
     ``target``: (code, name, email, phone, job_title_desc, branch_client,
     is_primary, id_crm); ``changes``: (client, name, email, phone, job_title,
-    is_primary, id_crm, op).  The operation code (F6: A = add/update,
-    D = delete) selects the branch with ``when``.  op 'D' deletes contacts matching the CRM id or
-    the lower-case e-mail; otherwise contacts matching either are updated
-    when some contact has the e-mail, else a new contact is inserted (no
-    client -> no-op; an existing CRM id -> ignored, M15).  Matching is the
-    union of two equi-joins, never a nested loop.
+    is_primary, id_crm, op) and ``order``, which is unique.  Op 'D' deletes the contacts with
+    the CRM id or the lower-case e-mail.  Any other op needs a client: where
+    contacts have the e-mail at that time, they and those with the CRM id are
+    updated; else (also without an e-mail) a contact is inserted, unless its
+    CRM id exists (M15).
+
+    Changes of one e-mail act in order: after its last delete the first add
+    inserts (without a delete only where the target lacks the e-mail), and the
+    last one sets the values.  CRM ids are matched with the target as it was
+    before the batch.  The target is read once for both keys of its rows.
     """
+    ch = changes.withColumn("_cem", F.lower("email")).withColumn("_o", F.col(order))
+    is_del = F.coalesce(F.col("op"), F.lit("A")) == "D"
+    adds = ch.where(~is_del & F.col("client").isNotNull())
+    dels = ch.where(is_del)
     t = target.withColumn("_em", F.lower("email"))
-    ch = changes.withColumn("_cem", F.lower("email"))
-    dels = ch.where(F.col("op") == "D")
-    ups = ch.where(F.coalesce(F.col("op"), F.lit("A")) != "D").where(F.col("client").isNotNull())
-    # A change per e-mail / per id: the highest CRM id wins on conflicts.
-    ups = last_per_key(ups.where(F.col("_cem").isNotNull()), ["_cem"], "id_crm")
-
-    def hits(src: DataFrame, pick: list[str], id_col: str = "id_crm") -> DataFrame:
-        by_em = t.join(src.select(F.col("_cem").alias("_em"), *pick), "_em").select("code", *pick)
-        by_id = (t.join(src.select(F.col(id_col).alias("_cid"), *pick), t.id_crm == F.col("_cid"))
-                 .select("code", *pick))
-        return by_em.unionByName(by_id)
-
-    # Delete keys are de-duplicated first, so a repeated e-mail or id never
-    # multiplies the target rows it matches.
-    del_em = dels.where(F.col("_cem").isNotNull()).select(F.col("_cem").alias("_em")).distinct()
-    del_id = dels.where(F.col("id_crm").isNotNull()).select(F.col("id_crm").alias("_cid")).distinct()
-    deleted = (t.join(del_em, "_em", "left_semi").select("code")
-               .unionByName(t.join(del_id, t.id_crm == F.col("_cid"), "left_semi").select("code")))
-    # Updates apply only for changes whose e-mail exists in the target.
-    known = ups.join(t.select(F.col("_em").alias("_cem")).distinct(), "_cem", "left_semi")
-    upd_cols = ["name", "phone", "job_title", "is_primary", "id_crm"]
-    u = hits(known.select("_cem", *[F.col(c).alias(f"_u_{c}") for c in upd_cols]),
-             [f"_u_{c}" for c in upd_cols], "_u_id_crm")
-    u = last_per_key(u, ["code"], "_u_id_crm")
-    kept = t.join(deleted, "code", "left_anti").join(u, "code", "left")
+    has = t.where(F.col("_em").isNotNull()).groupBy("_em").agg(F.lit(True).alias("_known"))
+    last_del = dels.where(F.col("_cem").isNotNull()).groupBy("_cem").agg(F.max("_o").alias("_del"))
+
+    # Adds after the last delete of their e-mail are what is left of it.
+    live = (adds.where(F.col("_cem").isNotNull()).join(last_del, "_cem", "left")
+            .where(F.col("_del").isNull() | (F.col("_o") > F.col("_del"))))
+    values = ["name", "phone", "job_title", "is_primary", "id_crm"]
+    row = F.struct("client", *values)
+    per_mail = live.groupBy("_cem", F.col("_del").isNotNull().alias("_gone")).agg(
+        F.min_by(row, "_o").alias("_first"), F.max_by(row, "_o").alias("_last"), F.max("_o").alias("_at"),
+        F.count(F.lit(1)).alias("_n")).join(has.withColumnRenamed("_em", "_cem"), "_cem", "left")
+    updates = F.coalesce(F.col("_known"), F.lit(False)) & ~F.col("_gone")
+
+    # What each target row meets: deletes by either key, updates by e-mail or by CRM id.
+    by_mail = per_mail.where(updates).select(F.col("_cem").alias("_em"), F.col("_last").alias("_m"), F.col("_at").alias("_mo"))
+    inserting = per_mail.where(~updates).select("_cem", F.col("_first.id_crm").alias("_iid"))
+    by_id = live.join(inserting, (live["_cem"] == inserting["_cem"]) & live["id_crm"].eqNullSafe(F.col("_iid")), "left_anti")
+    by_id = by_id.where(F.col("id_crm").isNotNull()).groupBy(F.col("id_crm").alias("_cid")).agg(
+        F.max_by(row, "_o").alias("_i"), F.max("_o").alias("_io"))
+    del_id = dels.where(F.col("id_crm").isNotNull()).select(F.col("id_crm").alias("_did")).distinct()
+    kept = (t.join(last_del.select(F.col("_cem").alias("_em")), "_em", "left_anti")
+            .join(del_id, F.col("id_crm") == F.col("_did"), "left_anti")
+            .join(by_mail, "_em", "left").join(by_id, F.col("id_crm") == F.col("_cid"), "left"))
+    use_id = F.col("_io").isNotNull() & (F.col("_mo").isNull() | (F.col("_io") > F.col("_mo")))
+    kept = kept.withColumn("_u", F.when(use_id, F.col("_i")).otherwise(F.col("_m")))
+
+    def to(value: Column, old: str) -> Column:
+        return F.when(F.col("_u").isNotNull(), value).otherwise(F.col(old)).alias(old)
     updated = kept.select(
-        "code",
-        F.when(F.col("_u_id_crm").isNotNull(), F.col("_u_name")).otherwise(F.col("name")).alias("name"),
-        "email",
-        F.when(F.col("_u_id_crm").isNotNull(), F.col("_u_phone")).otherwise(F.col("phone")).alias("phone"),
-        F.when(F.col("_u_id_crm").isNotNull(), F.upper(F.col("_u_job_title"))).otherwise(F.col("job_title_desc"))
-         .alias("job_title_desc"),
-        "branch_client",
-        F.when(F.col("_u_id_crm").isNotNull(), F.col("_u_is_primary")).otherwise(F.col("is_primary")).alias("is_primary"),
-        F.when(F.col("_u_id_crm").isNotNull(), F.col("_u_id_crm")).otherwise(F.col("id_crm")).alias("id_crm"),
-    )
-    new = (ups.join(t.select(F.col("_em").alias("_cem")).distinct(), "_cem", "left_anti")
-           .join(t.select(F.col("id_crm").alias("_x")).where(F.col("_x").isNotNull()),
-                 F.col("id_crm") == F.col("_x"), "left_anti"))
+        "code", to(F.col("_u.name"), "name"), "email", to(F.col("_u.phone"), "phone"),
+        to(F.upper("_u.job_title"), "job_title_desc"), "branch_client", to(F.col("_u.is_primary"), "is_primary"),
+        to(F.col("_u.id_crm"), "id_crm"))
+
+    title = F.when(F.col("_n") > 1, F.upper("_last.job_title")).otherwise(F.col("_last.job_title"))
+    mailed = per_mail.where(~updates).select(
+        F.col("_last.name").alias("name"), F.col("_cem").alias("email"), F.col("_last.phone").alias("phone"),
+        title.alias("job_title_desc"), F.col("_first.client").alias("branch_client"),
+        F.col("_last.is_primary").alias("is_primary"), F.col("_last.id_crm").alias("id_crm"),
+        F.col("_first.id_crm").alias("_iid"))
+    unmailed = adds.where(F.col("_cem").isNull()).select(
+        "name", "email", "phone", F.col("job_title").alias("job_title_desc"), F.col("client").alias("branch_client"),
+        "is_primary", "id_crm", F.col("id_crm").alias("_iid"))
+    new = mailed.unionByName(unmailed).join(
+        updated.select(F.col("id_crm").alias("_x")).where(F.col("_x").isNotNull()), F.col("_iid") == F.col("_x"), "left_anti")
     start = target.agg(F.coalesce(F.max("code"), F.lit(0)).cast("bigint")).scalar()
-    ins = assign_ids(new.select(F.col("name"), F.col("_cem").alias("email"), "phone",
-                                F.col("job_title").alias("job_title_desc"), F.col("client").alias("branch_client"),
-                                "is_primary", "id_crm"), start, ["id_crm"], "code")
+    ins = assign_ids(new, start, ["_iid", "email"], "code")
     return updated.unionByName(ins.select(*updated.columns))
 
 
@@ -189,11 +200,14 @@ def write_back(target: DataFrame, pairs: DataFrame, target_key: Column, pair_key
     return j.select(*out)
 
 
-def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows to append, skipping keys already present (and duplicate keys
-    within the batch) instead of failing."""
-    fresh = rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
-    return fresh
+def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Rows to append, skipping keys already present instead of failing;
+    of rows with one key the first by ``order`` (default: all other columns) is
+    taken."""
+    from .joins import first_per_key
+    others = [c for c in rows.columns if c not in keys]
+    once = first_per_key(rows, keys, order or others) if others else rows.distinct()
+    return once.select(*rows.columns).join(target.select(*keys), keys, "left_anti")
 
 
 def next_sequence(history: DataFrame, new_rows: DataFrame, key: str, seq_col: str = "sequence",
@@ -205,13 +219,16 @@ def next_sequence(history: DataFrame, new_rows: DataFrame, key: str, seq_col: st
     with a third of the rows would land in one task): rows are range
     partitioned on (key, order), each partition numbers its own rows of the
     key, and a per-(key, partition) count table gives each partition its
-    offset within the key.
+    offset within the key.  The numbered rows are checkpointed before both
+    uses, so that counts and rows agree on the partitions.
     """
     from pyspark.sql import Window
+
+    from ..session import cut_lineage
     order = order or key
     mx = history.groupBy(key).agg(F.max(seq_col).alias("_max"))
     parts = new_rows.repartitionByRange(key, order).withColumn("_pid", F.spark_partition_id())
-    local = parts.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order)))
+    local = cut_lineage(parts.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order))))
     counts = local.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -90,17 +90,18 @@ def assign_ids(df: DataFrame, start: Column | int, order: list[str], out: str =
 
     Rows are range-partitioned and sorted on ``order``; the partition id and
     the position inside it come from ``monotonically_increasing_id`` (upper
-    and lower bits); a per-partition count (one row per partition, so a
-    bounded broadcast) gives each partition its offset.
+    and lower bits).  The numbered frame is checkpointed in the shared folder
+    before it is used twice: for the per-partition counts (one row per
+    partition, so a bounded broadcast), which give each partition its offset,
+    and for the rows.  Both so see the same partitions, also after an
+    executor is lost.
 
-    ``order`` should be unique (ties are numbered in arbitrary order).  The
-    range bounds are fixed once sampled and rows are sorted inside each
-    partition, so a task re-run after an executor loss numbers its rows the
-    same way.
+    ``order`` should be unique (ties are numbered in arbitrary order).
     """
+    from ..session import cut_lineage
     parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
-    tagged = parts.withColumn("_pid", F.shiftright(mid, 33)).withColumn("_pos", (mid % (1 << 33)) + 1)
+    tagged = cut_lineage(parts.withColumn("_pid", F.shiftright(mid, 33)).withColumn("_pos", (mid % (1 << 33)) + 1))
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")

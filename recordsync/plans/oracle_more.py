@@ -164,10 +164,10 @@ ORACLE.update({
     "contact_fanout_join": """SELECT n.client_code, n.taxid, cv.id AS contact_id, cv.name, cv.email, cv.phone, cv.job_title,
         CASE WHEN upper(cv.is_primary) IN ('S', 'Y') THEN true WHEN upper(cv.is_primary) = 'N' THEN false END AS is_primary
         FROM insert_cands n JOIN vw_contacts cv ON n.taxid = cv.client_taxid""",
-    "contact_client_lookup": """SELECT i.id_crm, i.lead_id, l.client_code,
-        CASE WHEN l.client_code IS NULL THEN 'quarantine' ELSE 'ok' END AS status
-        FROM incoming_contacts i LEFT JOIN (SELECT id, min(client_code) AS client_code FROM leads GROUP BY id) l
-          ON i.lead_id = l.id""",
+    "contact_client_lookup": """SELECT id_crm, lead_id, found AS client_code,
+        CASE WHEN found IS NULL THEN 'quarantine' ELSE 'ok' END AS status
+        FROM (SELECT i.*, (SELECT min(c_custkey) FROM customer WHERE c_custkey = i.lead_taxid::BIGINT) AS found
+              FROM incoming_contacts i)""",
     "rep_domain": """SELECT id, sales_rep, (CASE WHEN sales_rep IN (SELECT code FROM rep_options) THEN sales_rep ELSE 99 END)::BIGINT
         AS sales_rep_checked FROM leads""",
     "city_match": """SELECT e.id, coalesce(r.city_code, 10000)::BIGINT AS city_code,
@@ -183,9 +183,9 @@ ORACLE.update({
         coalesce(bool_or(i.id_crm = c.id_crm), false) AS by_id
         FROM incoming_contacts i JOIN contact c ON lower(i.email) = lower(c.email) OR i.id_crm = c.id_crm
         WHERE i.op <> 'D' GROUP BY c.code""",
-    "qualification_rows": """SELECT taxid, q AS question_id,
-        to_json({'leadId': taxid, 'answersList': [{'questionId': q, 'questionType': '2', 'answersIds': [a]}]}) AS payload
-        FROM (SELECT taxid FROM insert_cands) n, (VALUES (100001, 200001), (100002, 200002), (100003, 200003)) qa(q, a)""",
+    "qualification_rows": """SELECT id, q AS question_id,
+        to_json({'leadId': id, 'answersList': [{'questionId': q, 'questionType': '2', 'answersIds': [a]}]}) AS payload
+        FROM (SELECT id FROM leads WHERE id IS NOT NULL) n, (VALUES (100001, 200001), (100002, 200002), (100003, 200003)) qa(q, a)""",
     "lead_contacts": """SELECT l.id AS lead_id, l.taxid AS lead_taxid, c.id AS contact_id, c.name, c.email
         FROM leads l JOIN crm_contacts c ON l.id = c.leadId""",
     "contact_fanout": f"""SELECT w.doc_id, w.lead_id, w.contact_id, w.contact_name, w.contact_email
@@ -200,7 +200,7 @@ ORACLE.update({
         {cf('CustomFields', '_cod.cliente')} AS client_code, {cf('CustomFields', '_missing')} AS missing FROM lead_docs""",
     "key_violations": """SELECT so_number, sequence, count(*) AS occurrences FROM sales_order_item
         GROUP BY so_number, sequence HAVING count(*) > 1""",
-    "batch_limit": "SELECT * FROM lead_diff_rows ORDER BY id LIMIT 10",
+    "batch_limit": "SELECT *, row_number() OVER (ORDER BY id) <= 10 AS in_batch FROM lead_diff_rows",
     "sym_diff": """SELECT *, 'crm_only' AS side FROM (SELECT * FROM lead_a EXCEPT SELECT * FROM lead_b)
         UNION ALL SELECT *, 'erp_only' AS side FROM (SELECT * FROM lead_b EXCEPT SELECT * FROM lead_a)""",
     "dataset_fingerprint": f"""SELECT count(*) AS rows,
@@ -225,7 +225,7 @@ ORACLE.update({
          AND coalesce(phone1, '') <> '' AND coalesce(jobTitle, '') <> '') AS valid FROM crm_contacts""",
     "contact_quarantine": """SELECT id_crm, lead_id, reason FROM (
         SELECT r.id_crm, r.lead_id, CASE WHEN r.email IS NULL THEN 'no_email'
-            WHEN NOT EXISTS (SELECT 1 FROM leads l WHERE l.id = r.lead_id AND l.client_code IS NOT NULL) THEN 'taxid_not_found'
+            WHEN r.lead_taxid IS NULL OR r.lead_taxid::BIGINT NOT IN (SELECT c_custkey FROM customer) THEN 'taxid_not_found'
             WHEN r.action = 'ambiguous' THEN 'ambiguous_email' END AS reason FROM route r) WHERE reason IS NOT NULL""",
     "field_diff": "SELECT * FROM field_diff_rows",
     "upsert_leads": "SELECT " + ", ".join(
@@ -245,33 +245,45 @@ ORACLE.update({
         LEFT JOIN stage_table old_t ON old_t.alias = l.stage
         WHERE c.id IS NULL OR c.stage IS NULL OR now_t.ordinal IS NULL OR old_t.ordinal IS NULL
            OR now_t.ordinal < old_t.ordinal""",
-    "stage_update": """SELECT l.id, CASE WHEN d.stage = 'Ativação' THEN 'Activation' ELSE l.stage END AS stage
-        FROM leads l LEFT JOIN latest_docs d ON l.id = d.lead_id""",
+    "stage_update": """SELECT id, CASE WHEN id IN (SELECT lead_id FROM webhook_docs WHERE stage = 'Ativação') THEN 'Activation'
+        ELSE stage END AS stage FROM leads""",
     "stage_route": """SELECT doc_id, lead_id, stage, CASE WHEN stage = 'Desenvolvimento/Orçamento' THEN 'insert_lead'
         WHEN stage = 'Ativação' THEN 'update_stage' ELSE 'ignore' END AS action FROM webhook_docs""",
-    "contact_merge": """WITH ch AS (SELECT lead_id AS client, name, email, phone, job_title,
-            CASE WHEN is_primary THEN 'S' ELSE 'N' END AS is_primary, id_crm, op, lower(email) AS cem FROM incoming_contacts),
-        t AS (SELECT code, name, email, phone, job_title_desc, branch_client, is_primary, id_crm, lower(email) AS em FROM contact),
-        dels AS (SELECT * FROM ch WHERE op = 'D'),
-        ups AS (SELECT * FROM ch WHERE coalesce(op, 'A') <> 'D' AND client IS NOT NULL AND cem IS NOT NULL
-                QUALIFY row_number() OVER (PARTITION BY cem ORDER BY id_crm DESC) = 1),
-        deleted AS (SELECT t.code FROM t JOIN dels ON t.em = dels.cem OR t.id_crm = dels.id_crm),
-        known AS (SELECT * FROM ups WHERE cem IN (SELECT em FROM t WHERE em IS NOT NULL)),
-        u AS (SELECT t.code, k.name AS u_name, k.phone AS u_phone, k.job_title AS u_job, k.is_primary AS u_prim, k.id_crm AS u_id
-              FROM t JOIN known k ON t.em = k.cem OR t.id_crm = k.id_crm
-              QUALIFY row_number() OVER (PARTITION BY t.code ORDER BY k.id_crm DESC) = 1),
-        updated AS (SELECT t.code, CASE WHEN u.u_id IS NOT NULL THEN u.u_name ELSE t.name END AS name, t.email,
-              CASE WHEN u.u_id IS NOT NULL THEN u.u_phone ELSE t.phone END AS phone,
-              CASE WHEN u.u_id IS NOT NULL THEN upper(u.u_job) ELSE t.job_title_desc END AS job_title_desc,
-              t.branch_client, CASE WHEN u.u_id IS NOT NULL THEN u.u_prim ELSE t.is_primary END AS is_primary,
-              CASE WHEN u.u_id IS NOT NULL THEN u.u_id ELSE t.id_crm END AS id_crm
-              FROM t LEFT JOIN u ON t.code = u.code WHERE t.code NOT IN (SELECT code FROM deleted)),
-        new AS (SELECT * FROM ups WHERE cem NOT IN (SELECT em FROM t WHERE em IS NOT NULL)
-                AND id_crm NOT IN (SELECT id_crm FROM t WHERE id_crm IS NOT NULL))
-        SELECT * FROM updated
+    # The changes of an address are applied one after the other: what is left of its contacts (orig, and
+    # whether a change set their values), and a new contact with its values.
+    "contact_merge": """WITH RECURSIVE asked AS (
+            SELECT *, lower(email) AS cem, row_number() OVER (PARTITION BY lower(email) ORDER BY id_crm) AS k FROM incoming_contacts),
+        state AS (
+            SELECT cem, 0::BIGINT AS k, cem IN (SELECT lower(email) FROM contact WHERE email IS NOT NULL) AS orig, false AS was_set,
+                   false AS fresh, NULL::BIGINT AS owner, NULL::BIGINT AS first_id, NULL::VARCHAR AS name, NULL::VARCHAR AS phone,
+                   NULL::VARCHAR AS title, NULL::VARCHAR AS prim, NULL::BIGINT AS id_crm
+            FROM (SELECT DISTINCT cem FROM asked WHERE cem IS NOT NULL)
+            UNION ALL
+            SELECT s.cem, a.k, s.orig AND a.op <> 'D', s.was_set AND a.op <> 'D' OR s.orig AND a.op <> 'D',
+                   a.op <> 'D' AND (s.fresh OR NOT s.orig),
+                   CASE WHEN s.fresh THEN s.owner ELSE a.lead_id END, CASE WHEN s.fresh THEN s.first_id ELSE a.id_crm END,
+                   a.name, a.phone, CASE WHEN s.orig OR s.fresh THEN upper(a.job_title) ELSE a.job_title END,
+                   CASE WHEN a.is_primary THEN 'S' ELSE 'N' END, a.id_crm
+            FROM state s JOIN asked a ON a.cem = s.cem AND a.k = s.k + 1),
+        ended AS (SELECT * FROM state QUALIFY row_number() OVER (PARTITION BY cem ORDER BY k DESC) = 1),
+        left_over AS (
+            SELECT c.code, CASE WHEN e.was_set THEN e.name ELSE c.name END AS name, c.email,
+                   CASE WHEN e.was_set THEN e.phone ELSE c.phone END AS phone,
+                   CASE WHEN e.was_set THEN e.title ELSE c.job_title_desc END AS job_title_desc, c.branch_client,
+                   CASE WHEN e.was_set THEN e.prim ELSE c.is_primary END AS is_primary,
+                   CASE WHEN e.was_set THEN e.id_crm ELSE c.id_crm END AS id_crm
+            FROM contact c LEFT JOIN ended e ON lower(c.email) = e.cem
+            WHERE coalesce(e.orig, true) AND (c.id_crm IS NULL OR c.id_crm NOT IN (SELECT id_crm FROM asked WHERE op = 'D'))),
+        added AS (
+            SELECT first_id, name, cem AS email, phone, title AS job_title_desc, owner AS branch_client, prim AS is_primary, id_crm
+            FROM ended WHERE fresh
+            UNION ALL
+            SELECT id_crm, name, NULL, phone, job_title, lead_id, CASE WHEN is_primary THEN 'S' ELSE 'N' END, id_crm
+            FROM asked WHERE cem IS NULL AND op <> 'D' AND lead_id IS NOT NULL)
+        SELECT * FROM left_over
         UNION ALL
-        SELECT (SELECT max(code) FROM contact) + row_number() OVER (ORDER BY id_crm) AS code, name, cem AS email, phone,
-               job_title AS job_title_desc, client AS branch_client, is_primary, id_crm FROM new""",
+        SELECT (SELECT max(code) FROM contact) + row_number() OVER (ORDER BY first_id), name, email, phone, job_title_desc,
+               branch_client, is_primary, id_crm FROM added WHERE first_id NOT IN (SELECT id_crm FROM left_over WHERE id_crm IS NOT NULL)""",
     "store_crm_id": """SELECT b.client, b.code, b.taxid, CASE WHEN p.taxid IS NOT NULL THEN p.id_crm ELSE b.id_crm END AS id_crm,
         CASE WHEN p.taxid IS NOT NULL THEN true ELSE b.integrate_crm END AS integrate_crm
         FROM branches b LEFT JOIN (SELECT cnpj AS taxid, max(id) AS id_crm FROM crm_export WHERE cnpj IS NOT NULL GROUP BY cnpj) p

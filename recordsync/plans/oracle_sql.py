@@ -96,7 +96,8 @@ STANDINS = {
     "incoming_contacts": """SELECT event_id AS id_crm, 'Contact ' || event_id::VARCHAR AS name,
         CASE WHEN event_id % 9 = 0 THEN NULL ELSE upper('u' || (event_id // 4)::VARCHAR || '@x.org') END AS email,
         '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone, 'Buyer' AS job_title, user_id AS lead_id,
-        (event_id % 2 = 0) AS is_primary, CASE WHEN event_id % 10 = 3 THEN 'D' ELSE 'A' END AS op
+        (event_id % 2 = 0) AS is_primary, CASE WHEN event_id % 10 = 3 THEN 'D' ELSE 'A' END AS op,
+        CASE WHEN event_id % 29 <> 0 THEN lpad(user_id::VARCHAR, 14, '0') END AS lead_taxid
         FROM events WHERE event_type = 'click'""",
     "leads": f"""SELECT c_custkey AS id,
         CASE WHEN c_custkey % 7 = 0 THEN c_name || ' LTDA' ELSE c_name END AS name,
@@ -219,6 +220,8 @@ def with_standins(body: str) -> str:
         return body
     head = "WITH " + ",\n".join(ctes)
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + head[5:] + ",\n" + stripped[15:]
     if stripped[:5].upper() == "WITH ":
         return head + ",\n" + stripped[5:]
     return head + "\n" + body

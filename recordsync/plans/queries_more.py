@@ -183,12 +183,16 @@ def _contact_fanout_join(t: DomainTables) -> DataFrame:
                     "email", "phone", "job_title", X.sn_to_bool(F.col("is_primary")).alias("is_primary"))
 
 
+def with_client(contacts: DataFrame, t: DomainTables) -> DataFrame:
+    """The ERP client of a contact, by the tax id of its lead (the lowest client of a tax id)."""
+    erp = V.client_base(t).select(X.taxid_key(F.col("taxid")).alias("_ck"), "client_code").where(F.col("_ck").isNotNull())
+    erp = J.first_per_key(erp, ["_ck"], ["client_code"])
+    return contacts.join(erp, X.taxid_key(F.col("lead_taxid")) == F.col("_ck"), "left").drop("_ck")
+
+
 @register("contact_client_lookup")
 def _contact_client_lookup(t: DomainTables) -> DataFrame:
-    inc = t.incoming_contacts.select("id_crm", "lead_id")
-    leads = J.first_per_key(t.leads.select(F.col("id").alias("lead_id"), "client_code"), ["lead_id"],
-                            ["client_code"])
-    j = inc.join(leads, "lead_id", "left")
+    j = with_client(t.incoming_contacts.select("id_crm", "lead_id", "lead_taxid"), t)
     return j.select("id_crm", "lead_id", "client_code",
                     F.when(F.col("client_code").isNull(), "quarantine").otherwise("ok").alias("status"))
 
@@ -233,7 +237,7 @@ def _or_match(t: DomainTables) -> DataFrame:
 @register("qualification_rows")
 def _qualification(t: DomainTables) -> DataFrame:
     from ..operators.payloads import qualification_rows
-    return qualification_rows(V.insert_candidates(t).select("taxid"), "taxid")
+    return qualification_rows(t.leads.where(F.col("id").isNotNull()).select("id"), "id")
 
 
 @register("lead_contacts")
@@ -280,10 +284,20 @@ def _key_violations(t: DomainTables) -> DataFrame:
     return Q.key_violations(t.sales_order_item, ["so_number", "sequence"])
 
 
+BATCH = 10
+
+
+def next_batch(df: DataFrame, key: str, limit: int = BATCH) -> DataFrame:
+    """``df`` with ``in_batch``: the ``limit`` smallest keys are sent in this run, the rest remains.
+    The batch's keys (``limit`` rows) are broadcast; nothing is dropped."""
+    first = df.select(F.col(key).alias("_k")).orderBy("_k").limit(limit).withColumn("_in", F.lit(True))
+    return df.join(F.broadcast(first), F.col(key) == F.col("_k"), "left").select(
+        *df.columns, F.coalesce("_in", F.lit(False)).alias("in_batch"))
+
+
 @register("batch_limit")
 def _batch_limit(t: DomainTables) -> DataFrame:
-    # The cap is the feature: the next 10 leads to send, by id.
-    return V.lead_diff(t).orderBy("id").limit(10)
+    return next_batch(V.lead_diff(t), "id")
 
 
 @register("sym_diff")
@@ -349,9 +363,8 @@ def _contact_validation(t: DomainTables) -> DataFrame:
 def _contact_quarantine(t: DomainTables) -> DataFrame:
     """Q-4/S15: incoming contacts that cannot be applied, with a reason."""
     r = M.contact_route(t.incoming_contacts, t.contacts)
-    leads = t.leads.select(F.col("id").alias("_lid"), F.col("client_code").alias("_cc"))
-    j = r.join(leads, r.lead_id == F.col("_lid"), "left")
-    reason = (F.when(F.col("email").isNull(), "no_email").when(F.col("_cc").isNull(), "taxid_not_found")
+    j = with_client(r, t)
+    reason = (F.when(F.col("email").isNull(), "no_email").when(F.col("client_code").isNull(), "taxid_not_found")
               .when(F.col("action") == "ambiguous", "ambiguous_email"))
     return j.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("id_crm", "lead_id", "reason")
 
@@ -382,10 +395,9 @@ def _stage_regression(t: DomainTables) -> DataFrame:
 
 @register("stage_update")
 def _stage_update(t: DomainTables) -> DataFrame:
-    docs = J.last_per_key(t.webhook_docs.select(F.col("lead_id").alias("id"), "stage", "received_at", "doc_id"),
-                          ["id"], "received_at", "doc_id")
-    docs = docs.where(F.col("stage") == ALIAS_TO_CANON[ACTIVATION_STAGE]).select(
-        "id", F.lit(ACTIVATION_STAGE).alias("stage"))
+    # Every activation document acts, whatever documents of other stages come after it.
+    docs = t.webhook_docs.where(F.col("stage") == ALIAS_TO_CANON[ACTIVATION_STAGE]).select(
+        F.col("lead_id").alias("id"), F.lit(ACTIVATION_STAGE).alias("stage")).distinct()
     return M.merge_snapshot(t.leads, docs, ["id"], ["stage"], insert=False).select("id", "stage")
 
 
@@ -696,11 +708,9 @@ def _stream_dedup(t: DomainTables) -> DataFrame:
     S_.land_documents(t.webhook_docs, f"{root}/queue/a")
     S_.land_documents(t.webhook_docs, f"{root}/queue/b")
     s = S_.read_queue(t.spark, f"{root}/queue/*", max_files=2)
-    # No watermark: a fingerprint stays known for good, like the source's
-    # queue ledger (state lives in the RocksDB state store).
-    d = S_.dedup_stream(s, ["doc_id", "lead_id", "kind", "stage", "raw"], watermark=None)
-    q = S_.start_sync(d.select("doc_id", "lead_id", "kind", "fingerprint"), f"{root}/ckpt",
-                      S_.append_sink(f"{root}/out"))
+    # A fingerprint stays known for good, in the written ledger.
+    q = S_.start_sync(s, f"{root}/ckpt", S_.LedgerDedup(
+        f"{root}/out", ["doc_id", "lead_id", "kind", "stage", "raw"], ["doc_id", "lead_id", "kind"]))
     q.awaitTermination()
     return t.spark.read.parquet(f"{root}/out").drop("epoch")
 
@@ -735,6 +745,7 @@ def _converted_insert(t: DomainTables) -> DataFrame:
     latest document and the CRM export, appended unless the id exists."""
     canon = ALIAS_TO_CANON[BUDGET_STAGE]
     docs = t.webhook_docs.where(X.nbsp_to_space(F.get_json_object("raw", "$.Lead.Stage")) == canon)
+    docs = docs.where(~F.col("lead_id").isin(*EXCLUDED_LEAD_IDS))
     rows = M.converted_lead_rows(docs, t.crm_export, BUDGET_STAGE)
     return M.insert_ignore(t.leads.select("id"), rows, ["id"])
 

@@ -8,6 +8,7 @@ none (local tests), because lineage cuts must go to shared storage.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,19 +49,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _own_folder(master: str | None) -> str:
+    """A folder of this machine, where all tasks run on it; else an error."""
+    if not re.match(r"local(\[|$)", master or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
+                           "a folder of one machine holds no intermediate data of a cluster")
+    return tempfile.mkdtemp(prefix="recordsync-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster checkpoint dir; only when unset (tests) create one."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no SparkContext)
         d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            d = tempfile.mkdtemp(prefix="recordsync-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        return d
+        return d or _own_folder(spark.conf.get("spark.master", None))
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached when the cluster names no shared folder (local tests).
-        d = tempfile.mkdtemp(prefix="recordsync-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _own_folder(sc.master)  # only where no shared folder is named (local tests)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -336,6 +336,7 @@ class DomainTables:
             e.user_id.alias("lead_id"),
             (k % 2 == 0).alias("is_primary"),
             F.when(k % 10 == 3, "D").otherwise("A").alias("op"),
+            F.when(k % 29 != 0, F.lpad(e.user_id.cast("string"), 14, "0")).alias("lead_taxid"),
         )
 
     # ---- CRM leads -------------------------------------------------------

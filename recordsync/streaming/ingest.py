@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,46 +83,13 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 LEAD_FIELDS = list(LEAD_KEYS) + list(LEAD_CUSTOM)
+ORDER_TYPE = "struct<received_at:timestamp,doc_id:bigint>"
 
 
 def doc_fields(raw_col: str = "raw") -> dict:
     return lead_update_fields(F.col(raw_col))
 
 
-class VersionedMerge:
-    """foreachBatch function that partial-merges each micro-batch into
-    the lead snapshot and writes it as version ``epoch``.
-
-    Version N reads version N-1 (or ``base``), so no path is overwritten
-    while it is read, and a replayed epoch rewrites the same version from
-    the same inputs.  ``latest`` is the newest version written.
-    """
-
-    def __init__(self, spark: SparkSession, base: DataFrame, root: str, key: str = "id"):
-        self.spark, self.base, self.root, self.key = spark, base, root.rstrip("/"), key
-        self.last_epoch: int | None = None
-
-    def path(self, epoch: int) -> str:
-        return f"{self.root}/v={epoch}"
-
-    def _base(self) -> DataFrame:
-        order_t = "struct<received_at:timestamp,doc_id:bigint>"
-        return self.base.select("*", *[F.lit(None).cast(order_t).alias(f"_o_{c}") for c in LEAD_FIELDS])
-
-    def __call__(self, batch: DataFrame, epoch: int) -> None:
-        prev = self._base() if self.last_epoch is None else self.spark.read.parquet(self.path(self.last_epoch))
-        docs = batch.where(is_synced(F.col("raw"))).select(F.col("lead_id").alias(self.key), "raw",
-                                                           F.struct("received_at", "doc_id").alias("_ord"))
-        out = partial_update(prev, docs, self.key, doc_fields(), "_ord")
-        out.write.mode("overwrite").parquet(self.path(epoch))
-        self.last_epoch = epoch
-
-    def latest(self) -> DataFrame:
-        if self.last_epoch is None:
-            return self.base
-        return self.spark.read.parquet(self.path(self.last_epoch)).drop(*[f"_o_{c}" for c in LEAD_FIELDS])
-
-
 def dedup_stream(stream: DataFrame, cols: list[str], watermark: str | None = "1 day") -> DataFrame:
     """Drop repeated documents by content fingerprint; with a watermark
     the dedup state is bounded (older keys are evicted)."""
@@ -132,6 +99,35 @@ def dedup_stream(stream: DataFrame, cols: list[str], watermark: str | None = "1
     return s.dropDuplicates(["fingerprint"])
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet (any other error is raised)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+class LedgerDedup:
+    """R7 without unbounded state: a foreachBatch sink that writes the
+    documents whose fingerprint no earlier epoch has, with the fingerprint.
+    What is written is the ledger; it grows on storage, not in memory, and a
+    replayed epoch rewrites only its own folder."""
+
+    def __init__(self, root: str, fingerprint_of: list[str], keep: list[str]):
+        self.root, self.fingerprint_of, self.keep = root.rstrip("/"), fingerprint_of, keep
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        new = batch.withColumn("fingerprint", row_fingerprint(*self.fingerprint_of)).select(*self.keep, "fingerprint")
+        new = new.dropDuplicates(["fingerprint"])
+        seen = _read_if_there(batch.sparkSession, self.root)
+        if seen is not None:
+            new = new.join(seen.where(F.col("epoch") < epoch).select("fingerprint"), "fingerprint", "left_anti")
+        new.select(*self.keep, "fingerprint").write.mode("overwrite").parquet(f"{self.root}/epoch={epoch}")
+
+
 class ChangeLogMerge:
     """R6 at scale: append-only per-field change log instead of rewriting
     the snapshot every micro-batch.
@@ -165,26 +161,35 @@ class ChangeLogMerge:
                 .agg(F.max_by(F.col("e.value"), F.col("ord")).alias("value"), F.max("ord").alias("ord")))
         rows.write.mode("overwrite").parquet(f"{self.log}/epoch={epoch}")
 
-    def snapshot(self, spark: SparkSession, base: DataFrame) -> DataFrame:
-        from pyspark.errors import AnalysisException
+    def snapshot(self, spark: SparkSession, base: DataFrame, keep_order: bool = False) -> DataFrame:
+        """``base`` with the log applied.  A base made by ``compact`` has the
+        order of each value (``_o_<field>``); only newer entries replace it."""
         k = self.key
-        try:
-            log = spark.read.parquet(self.log).drop("epoch")
-        except AnalysisException:  # no micro-batch written yet: nothing to apply
-            return base
-        latest = log.groupBy(k, "field").agg(F.max_by("value", "ord").alias("value"))
+        columns = [c for c in base.columns if not c.startswith("_o_")]
+        order_of = {c: F.col(f"_o_{c}") if f"_o_{c}" in base.columns else F.lit(None).cast(ORDER_TYPE) for c in LEAD_FIELDS}
+        log = _read_if_there(spark, self.log)
+        if log is None:  # no micro-batch written yet: nothing to apply
+            return base.select(*columns, *([order_of[c].alias(f"_o_{c}") for c in LEAD_FIELDS] if keep_order else []))
+        latest = log.groupBy(k, "field").agg(F.max_by("value", "ord").alias("value"), F.max("ord").alias("ord"))
         wide = latest.groupBy(k).agg(*[x for c in LEAD_FIELDS for x in (
             F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"_v_{c}"),
-            F.max(F.when(F.col("field") == c, F.lit(1))).alias(f"_p_{c}"))])
+            F.max(F.when(F.col("field") == c, F.col("ord"))).alias(f"_n_{c}"))])
         j = base.join(wide, k, "left")
-        return j.select(*[F.when(F.col(f"_p_{c}") == 1, F.col(f"_v_{c}").try_cast(base.schema[c].dataType))
-                          .otherwise(F.col(c)).alias(c) if c in LEAD_FIELDS else F.col(c) for c in base.columns])
+
+        def newer(c: str) -> Column:
+            return F.col(f"_n_{c}").isNotNull() & (order_of[c].isNull() | (F.col(f"_n_{c}") > order_of[c]))
+        out = [F.when(newer(c), F.col(f"_v_{c}").try_cast(base.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+               if c in LEAD_FIELDS else F.col(c) for c in columns]
+        if keep_order:
+            out += [F.when(newer(c), F.col(f"_n_{c}")).otherwise(order_of[c]).alias(f"_o_{c}") for c in LEAD_FIELDS]
+        return j.select(*out)
 
     def compact(self, spark: SparkSession, base: DataFrame, version: str) -> str:
-        """Write the applied snapshot as a new base version (the log of the
-        next period starts empty under a new root)."""
+        """Write the applied snapshot, with the order of its values, as a new
+        base version (the log of the next period starts empty under a new
+        root)."""
         path = f"{self.root}/base/v={version}"
-        self.snapshot(spark, base).write.mode("overwrite").parquet(path)
+        self.snapshot(spark, base, keep_order=True).write.mode("overwrite").parquet(path)
         return path
 
 

@@ -38,11 +38,10 @@ def test_stream_versioned_and_changelog_agree(spark, tmp_path):
     t = DomainTables(spark, SMOKE)
     S_.land_documents(t.webhook_docs, str(tmp_path / "q"), files=3)
     batch = sorted(map(tuple, E.queries()["partial_update"](spark, SMOKE).collect()))
-    for name, merge in [("v", S_.VersionedMerge(spark, t.leads, str(tmp_path / "v"))),
-                        ("c", S_.ChangeLogMerge(str(tmp_path / "c")))]:
+    for name, merge in [("c", S_.ChangeLogMerge(str(tmp_path / "c")))]:
         s = S_.read_queue(spark, str(tmp_path / "q"), max_files=1)
         S_.start_sync(s, str(tmp_path / f"ckpt-{name}"), merge).awaitTermination()
-        snap = merge.latest() if name == "v" else merge.snapshot(spark, t.leads)
+        snap = merge.snapshot(spark, t.leads)
         assert sorted(map(tuple, snap.select(*QM.PARTIAL_COLUMNS).collect())) == batch
 
 
