@@ -40,10 +40,11 @@ BITS = 18
 RUNS = (3, 4, 5)
 EPOCHS, BATCH, RATE = 8, 128, 0.01
 #: Bounds of the training sample.
-PER_CLASS = 2000
-TRAIN_BYTES = 20_000
+PER_CLASS = 1200
+TRAIN_BYTES = 12_000
 THRESHOLD = 0.3
 _BATCH_WINDOWS = 4096
+_BATCH_WORDS = 20_000
 
 WORD = np.zeros(256, bool)
 WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -88,7 +89,7 @@ def read_words(offsets: np.ndarray, data: np.ndarray) -> Words:
     runs, owner = (np.concatenate(parts), np.concatenate(owners)) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
     order = np.argsort(owner, kind="stable")
     first = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(at)))])
-    return Words(row, of.reshape(-1), (distinct >> np.uint64(64 - BITS)).astype(np.int64), runs[order].astype(np.int64), first)
+    return Words(row, of.reshape(-1), (distinct >> np.uint64(64 - BITS)).astype(np.int64), runs[order].astype(np.int32), first)
 
 
 def windows(row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,11 +105,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _means(table: np.ndarray, words: Words) -> np.ndarray:
-    """Mean over each word's runs of the table's rows (every word has runs: with its marks it has 3 bytes)."""
-    return np.add.reduceat(table[words.runs], words.first[:-1]) / np.diff(words.first)[:, None]
-
-
 @dataclass
 class Network:
     odds_word: np.ndarray
@@ -133,11 +129,18 @@ class Network:
         return cls(odds_word, odds_run, *tables, dense)
 
     def features(self, words: Words) -> np.ndarray:
-        odds = self.odds_run[words.runs]
-        evidence = [self.odds_word[words.bucket], np.maximum.reduceat(odds, words.first[:-1]),
-                    np.add.reduceat(odds, words.first[:-1]) / np.diff(words.first)]
-        return np.concatenate([self.table_word[words.bucket], _means(self.table_run, words), np.stack(evidence, 1)],
-                              axis=1).astype(np.float32)
+        """Inputs of the distinct words.  Every word has runs: with its marks it has 3 bytes."""
+        out = np.empty((len(words.bucket), 2 * WIDTH + 3), np.float32)
+        out[:, :WIDTH] = self.table_word[words.bucket]
+        out[:, -3] = self.odds_word[words.bucket]
+        for k in range(0, len(out), _BATCH_WORDS):
+            bounds = words.first[k:k + _BATCH_WORDS + 1]
+            runs, at = words.runs[bounds[0]:bounds[-1]], bounds[:-1] - bounds[0]
+            part, n, odds = slice(k, k + len(at)), np.diff(bounds), self.odds_run[runs]
+            out[part, WIDTH:2 * WIDTH] = np.add.reduceat(self.table_run[runs], at) / n[:, None]
+            out[part, -2] = np.maximum.reduceat(odds, at)
+            out[part, -1] = np.add.reduceat(odds, at) / n
+        return out
 
     def _pass(self, side: str, given: list[np.ndarray], mask: np.ndarray) -> list[tuple]:
         gates, state = self.dense[f"gates_{side}"], self.dense[f"state_{side}"]
@@ -218,20 +221,19 @@ class Network:
 
 def log_odds(words: Words, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smoothed log-odds, toxic against clean texts, of each word bucket and each bucket of character runs."""
-    size, out = 1 << BITS, []
-    per_word = np.diff(words.first)
-    pairs = np.unique(np.stack([words.row, words.of]), axis=1)
-    runs = np.repeat(pairs[0], per_word[pairs[1]])
-    begin = np.repeat(words.first[pairs[1]] - (np.cumsum(per_word[pairs[1]]) - per_word[pairs[1]]), per_word[pairs[1]])
-    for text, bucket in ((pairs[0], words.bucket[pairs[1]]), (runs, words.runs[begin + np.arange(len(runs))])):
-        met = np.unique(text.astype(np.int64) * size + bucket)
-        bad, at = toxic[met // size], met % size
-        prior = 4.0
-        share = toxic.mean()
-        n_bad, n = np.bincount(at[bad], minlength=size), np.bincount(at, minlength=size)
-        rate = (n_bad + prior * share) / (n + prior)
-        out.append((np.log(rate / (1 - rate)) - np.log(share / (1 - share))).astype(np.float32))
-    return out[0], out[1]
+    size = 1 << BITS
+    met = np.zeros((2, 2, size), np.int32)  # words and runs, clean and toxic
+    texts, begin = np.unique(words.row, return_index=True)
+    for text, a, b in zip(texts, begin, np.append(begin[1:], len(words.row))):
+        own = np.unique(words.of[a:b])
+        n = np.diff(words.first)[own]
+        runs = words.runs[np.repeat(words.first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        for kind, bucket in enumerate((words.bucket[own], runs)):
+            met[kind, int(toxic[text]), np.unique(bucket)] += 1
+    prior, share = 4.0, toxic.mean()
+    rate = (met[:, 1] + prior * share) / (met.sum(axis=1) + prior)
+    odds = (np.log(rate / (1 - rate)) - np.log(share / (1 - share))).astype(np.float32)
+    return odds[0], odds[1]
 
 
 def train(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0, seed: int = 7) -> Network:
