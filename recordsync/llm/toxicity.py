@@ -9,7 +9,7 @@ training texts.  A forward and a backward gated recurrent pass read the
 window, attention pools their states, and a logistic unit scores it.  A
 document scores as its worst window.
 
-Training is numpy on the driver, on a sample of ``PER_CLASS`` labelled rows of
+Training is numpy in one task, on a sample of ``PER_CLASS`` labelled rows of
 each class with texts of up to ``TRAIN_BYTES`` (the documented bound; chosen
 by a hash of doc_id).  Labels are given to texts, not to windows, so every
 epoch trains on the window that scores worst at the time, and for clean texts
@@ -23,10 +23,12 @@ labels of both classes every score is the share of toxic labels (0 if none).
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -317,22 +319,21 @@ def _calibrate(net: Network, text: np.ndarray, logit: np.ndarray, toxic: np.ndar
     net.middle = float((ranked[best] + below) / 2)
 
 
-def sample(docs: DataFrame, labels: DataFrame, learns: Column, text: str) -> tuple[list[str], np.ndarray, float, float]:
-    """(texts, toxic, clean weight, share of toxic labels): a bounded sample of the labelled rows that ``learns`` allows."""
+def sample(docs: DataFrame, labels: DataFrame, learns: Column, text: str) -> tuple[DataFrame | None, float, float]:
+    """(rows (doc_id, text, toxic), clean weight, share of toxic labels): a bounded sample of the labelled rows
+    that ``learns`` allows; None without labels of both classes."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") == 1).alias("toxic")).where(learns)
     n = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     total = sum(n.values())
     share = n.get(True, 0) / total if total else 0.0
     if len(n) < 2:
-        return [], np.zeros(0, bool), 1.0, share
+        return None, 1.0, share
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     taken = known.where(draw < F.when(F.col("toxic"), PER_CLASS / n[True]).otherwise(PER_CLASS / n[False]))
     fit = docs.where(F.octet_length(F.col(f"`{text}`")).between(1, TRAIN_BYTES))
-    rows = fit.select("doc_id", F.col(f"`{text}`").alias("text")).join(
-        F.broadcast(taken), "doc_id").orderBy("doc_id", "text").limit(4 * PER_CLASS).collect()  # 2 * PER_CLASS expected
-    return ([r.text for r in rows], np.array([r.toxic for r in rows], bool),
-            max(1.0, n[False] / PER_CLASS) / max(1.0, n[True] / PER_CLASS), share)
+    rows = fit.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(taken), "doc_id")  # 2 * PER_CLASS expected
+    return rows, max(1.0, n[False] / PER_CLASS) / max(1.0, n[True] / PER_CLASS), share
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -340,10 +341,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Network | None, float]:
-    texts, toxic, weight, share = sample(docs, labels, ~held_out(), text)
-    if len(set(toxic.tolist())) < 2:
+    """The network, trained in one task on the bounded sample, and the share of toxic labels."""
+    rows, weight, share = sample(docs, labels, ~held_out(), text)
+    if rows is None:
         return None, share
-    return train(texts, toxic, weight), share
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts: list[str] = []
+        toxic: list[bool] = []
+        for batch in batches:
+            room = 4 * PER_CLASS - len(texts)  # only repeated rows of sampled ids can come near
+            texts += batch.text.tolist()[:room]
+            toxic += batch.toxic.tolist()[:room]
+        if len(set(toxic)) == 2:
+            yield pd.DataFrame({"network": [pickle.dumps(train(texts, np.array(toxic, bool), weight))]})
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text")
+    made = ordered.mapInPandas(learn, "network binary").collect()
+    return (pickle.loads(made[0].network) if made else None), share
 
 
 def score(docs: DataFrame, network: Network | None, share: float = 0.0, text: str = "text",
