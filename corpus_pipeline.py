@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordsync.llm import jaccard_join, maglev, raking, toxicity, winnowing
-from recordsync.llm.common import read, row_key, written
+from recordsync.llm.common import read, row_key, small, written
 
 #: Near duplicates: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
 SHINGLE, RATIO = 5, (80, 100)
@@ -26,9 +26,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id; of rows that repeat it, one.
     Rows without an id have no group and stay."""
-    part = jaccard_join.join(docs, k=SHINGLE, ratio=RATIO)
-    firsts = written(part.where("doc_id = component_id").select("doc_id").distinct())
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    part = written(jaccard_join.join(docs, k=SHINGLE, ratio=RATIO))
+    gone = small(part.where("doc_id <> component_id").select("doc_id").distinct(), jaccard_join.BROADCAST_IDS)
+    kept = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    if not part.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 

@@ -36,6 +36,12 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` written out, and broadcast in joins if it has at most ``rows`` rows; else Spark shuffles it."""
+    kept = written(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytespans import BLANK, LOWER, chunks, hashes, mixed, spans
-from .common import partitions, read, written
+from .common import partitions, read, small, written
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 3, 90, 100
@@ -53,7 +53,9 @@ BLOCK = 8192
 SCAN_COST = 40
 LARGEST_LIGHT = 64
 #: Doublings of a sketch's length for the second scan.
-FINER = 4
+FINER = 5
+#: Ids that a semi join broadcasts at most (8 bytes each).
+BROADCAST_IDS = 500_000
 #: Most frequent elements that are moved to the end of every prefix (8 bytes each, broadcast).
 FREQUENT = 200_000
 
@@ -111,8 +113,8 @@ def boundary(rule: Rule, sizes: dict[int, int]) -> int:
 
 
 def sketch_bits(rule: Rule, size: np.ndarray) -> np.ndarray:
-    """Bits of the sketch of a class of sizes: about 8 to 16 times what linked sets may differ in."""
-    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, 8 * rule.differ(size, size)))).astype(int))
+    """Bits of the sketch of a class of sizes: about 4 to 8 times what linked sets may differ in."""
+    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, 4 * rule.differ(size, size)))).astype(int))
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -174,8 +176,10 @@ def frequent_elements(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         if total > FREQUENT:
             break
         least = level
-    rows = counted.where(F.col("level") >= least).orderBy("element").collect()  # at most FREQUENT
-    return np.array([r.element for r in rows], np.int64), np.array([r.level for r in rows], np.int16)
+    rows = counted.where(F.col("level") >= least).toArrow()  # at most FREQUENT
+    elements, levels = rows["element"].to_numpy(), rows["level"].to_numpy()
+    order = np.argsort(elements)
+    return elements[order].astype(np.int64), levels[order].astype(np.int16)
 
 
 def _sketch(part: np.ndarray, bits: int) -> bytes:
@@ -360,7 +364,8 @@ def heavy_pairs(lists: DataFrame, index: DataFrame, rule: Rule, part: DataFrame
 def verify(pairs: DataFrame, docs: DataFrame, k: int, rule: Rule) -> DataFrame:
     """(a, b, linked): the pairs compared on their whole sets; docs: id, text."""
     pairs = pairs.select("a", "b").distinct()
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    needed = small(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(),
+                   BROADCAST_IDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -395,7 +400,7 @@ def finer_sketches(reps: DataFrame, docs: DataFrame, k: int, rule: Rule) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(row, len(size)), pa.array(size), pa.array(h1), pa.array(h2),
                      pa.array(sketch, pa.binary())], ["id", "n", "h1", "h2", "sketch"])
-    asked = docs.select("id", "text").join(reps.select("id").distinct(), "id", "left_semi")
+    asked = docs.select("id", "text").join(small(reps.select("id").distinct(), BROADCAST_IDS), "id", "left_semi")
     made = asked.mapInArrow(run, "id long, n long, h1 long, h2 long, sketch binary")
     key = ["id", "n", "h1", "h2"]
     return made.join(reps.select(*key), key, "left_semi").dropDuplicates(key).select("id", "sketch")

@@ -6,10 +6,9 @@ an angle; a tree hashes it to a string of ``BITS`` signs of random projections.
 Each tree is the sorted array of its strings.  A query descends in all trees to
 its own string and ascends in all of them at once: the prefix shared with the
 query is shortened bit by bit until the entries that share it, over all trees,
-are ``goal`` times the
-index's size, and ``2 * k`` per tree besides.  Where even ``TOP`` bits are shared by more, each
-tree descends further by itself.  Entries that share the prefix stand side by
-side in the sorted array and are scored by the exact product on the original
+are ``goal`` times the index's size, and ``2 * k`` per tree besides.  Where
+even ``TOP`` bits are shared by more, each tree descends further by itself.
+Entries that share the prefix stand side by side in the sorted array and are scored by the exact product on the original
 vectors in double precision; every tree returns its best.
 
 The arrays are cut into blocks of about ``BLOCK`` entries at prefixes of
@@ -190,8 +189,8 @@ def nearest(df: DataFrame, is_query, vec_id: str = "vec_id", vector: str = "embe
     placed = index.select("rep", "vector", F.posexplode("codes").alias("tree", "code"))
     top = F.shiftright("code", BITS - TOP)
     counts = np.zeros((TREES, 1 << TOP), np.int64)
-    for r in placed.groupBy("tree", top.alias("prefix")).count().collect():  # TREES * 2**TOP rows at most
-        counts[r.tree, r.prefix] = r["count"]
+    met = placed.groupBy("tree", top.alias("prefix")).count().toArrow()  # TREES * 2**TOP rows at most
+    counts[met["tree"].to_numpy(), met["prefix"].to_numpy()] = met["count"].to_numpy()
     layout = Layout(counts)
     shared = spark.sparkContext.broadcast(layout)
     wanted = entries.join(asking.select("rep").distinct(), "rep", "left_semi")

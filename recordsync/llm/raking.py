@@ -69,9 +69,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     for _ in range(rounds):
         for dim, target in targets.items():
             margin = now.groupBy(dim).agg(F.sum("raked").alias("__sum"))
-            factor = margin.join(target, dim, "left").select(dim, F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0))
+            factor = margin.join(target.hint("shuffle_hash"), dim, "left").select(dim, F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0))
                                                              * F.lit(float(total)) / F.col("__sum")).otherwise(0.0).alias("__f"))
-            now = now.join(factor, dim).withColumn("raked", F.col("raked") * F.col("__f")).drop("__f")
+            now = now.join(factor.hint("shuffle_hash"), dim).withColumn("raked", F.col("raked") * F.col("__f")).drop("__f")
         now = written(now)
     return now
 

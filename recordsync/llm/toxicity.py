@@ -45,6 +45,8 @@ EPOCHS, BATCH, RATE = 8, 128, 0.01
 PER_CLASS = 1200
 TRAIN_BYTES = 12_000
 THRESHOLD = 0.3
+#: Rows of each class that the part kept back needs; else the whole sample is learned and judged.
+FEW = 10
 _BATCH_WINDOWS = 4096
 _BATCH_WORDS = 20_000
 
@@ -243,7 +245,7 @@ def train(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0, seed:
     by toxic ones."""
     rng = np.random.default_rng(seed)
     kept_back = rng.random(len(texts)) < 0.25
-    if len(set(toxic[kept_back])) < 2 or len(set(toxic[~kept_back])) < 2:
+    if min(toxic[kept_back].sum(), (~toxic[kept_back]).sum()) < FEW:  # too few to find a threshold on
         kept_back[:] = False
     learn = np.flatnonzero(~kept_back)
     column = pa.array(texts, pa.large_string())
@@ -313,6 +315,7 @@ def _calibrate(net: Network, text: np.ndarray, logit: np.ndarray, toxic: np.ndar
     bad = toxic[use][order]
     caught, wrong = np.cumsum(bad), np.cumsum(~bad) * clean_weight
     f1 = 2 * caught / (caught + wrong + max(1, bad.sum()))
+    f1[caught + wrong > 2 * bad.sum()] = 0  # a network that learned nothing isn't to flag everything
     best = int(np.argmax(f1))
     ranked = worst[use][order]
     below = ranked[best + 1] if best + 1 < len(ranked) else ranked[best] - 1
