@@ -74,6 +74,22 @@ def test_contact_merge_cases(spark):
     assert not [r for r in out.values() if r.id_crm == 300]
 
 
+def test_contact_merge_arrival_order(spark):
+    """Delete then add, add then delete, adds without an e-mail, and updates of what the batch inserted."""
+    schema = ("code bigint, name string, email string, phone string, job_title_desc string, branch_client bigint, "
+              "is_primary string, id_crm bigint")
+    tgt = spark.createDataFrame([(1, "Ann", "a@x.org", "1", "T", 5, "S", 100), (2, "Bob", "b@x.org", "2", "T", 5, "N", None)], schema)
+    ch = spark.createDataFrame([
+        (5, "gone", "A@x.org", None, None, "N", 201, "D"), (6, "Ann 2", "a@x.org", "9", "dev", "S", 202, "A"),
+        (6, "Bob 2", "b@x.org", "8", "dev", "S", 203, "A"), (6, "gone", "b@x.org", None, None, "N", 204, "D"),
+        (7, "None", None, "3", "dev", "N", 205, "A"), (8, "New", "n@x.org", "4", "dev", "N", 206, "A"),
+        (9, "New 2", "N@x.org", "5", "ops", "S", 207, "A")],
+        "client bigint, name string, email string, phone string, job_title string, is_primary string, id_crm bigint, op string")
+    out = sorted(tuple(r)[1:] for r in M.contact_merge(tgt, ch).collect())
+    assert out == [("Ann 2", "a@x.org", "9", "dev", 6, "S", 202), ("New 2", "n@x.org", "5", "OPS", 8, "S", 207),
+                   ("None", None, "3", "dev", 7, "N", 205)]
+
+
 def test_write_back_by_key(spark):
     t = spark.createDataFrame([(1, "a@x.org", None), (2, "B@x.org", 5)], "code bigint, email string, id_crm bigint")
     pairs = spark.createDataFrame([("b@x.org", 7), ("b@x.org", 9)], "email string, id_crm bigint")
@@ -88,6 +104,16 @@ def test_assign_ids_contiguous_across_partitions(spark):
     assert [k for k, _ in ids] == sorted(k for k, _ in ids)
 
 
+def test_assign_ids_keeps_every_row(spark):
+    """Wide rows over many partitions, with columns that one use of the numbered frame doesn't need."""
+    n = 300_000
+    wide = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(c)), 256).alias(c)
+                                                                       for c in "abcd"]).repartition(40)
+    got = Q.assign_ids(wide, 0, ["k"], "new_id").agg(
+        F.count("*"), F.countDistinct("new_id"), F.min("new_id"), F.max("new_id"), F.max(F.abs(F.col("new_id") - F.col("k") - 1))).first()
+    assert tuple(got) == (n, n, 1, n, 0)
+
+
 def test_next_sequence(spark):
     hist = spark.createDataFrame([(1, 3), (1, 5), (2, 1)], "client bigint, sequence bigint")
     new = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "client bigint, obs string")
