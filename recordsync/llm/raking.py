@@ -71,8 +71,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             margin = now.groupBy(dim).agg(F.sum("raked").alias("__sum"))
             factor = margin.join(target.hint("shuffle_hash"), dim, "left").select(dim, F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0))
                                                              * F.lit(float(total)) / F.col("__sum")).otherwise(0.0).alias("__f"))
-            now = now.join(factor.hint("shuffle_hash"), dim).withColumn("raked", F.col("raked") * F.col("__f")).drop("__f")
-        now = written(now)
+            # Written each time: the margin and its use read one small table, and no plan holds earlier steps twice.
+            now = written(now.join(factor.hint("shuffle_hash"), dim).withColumn("raked", F.col("raked") * F.col("__f")).drop("__f"))
     return now
 
 
