@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from ..operators import joins as J
 from ..operators import quality as Q
-from ..schemas import (CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION, STAGES_ALIAS,
-                       STAGES_CANONICAL, SYNCED_STAGES)
+from ..schemas import (CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION, DIFF_FIELDS,
+                       STAGES_ALIAS, STAGES_CANONICAL, SYNCED_STAGES)
 from ..sources.standins import DomainTables
 from . import views as V
 
@@ -50,11 +50,6 @@ def validated_export(t: DomainTables) -> DataFrame:
     return Q.validate_leads(e, F.col("sales_rep"))
 
 
-DIFF_FIELDS = ["name", "stage", "taxid", "industry", "source", "phone", "address_street", "address_zipcode",
-               "address_number", "address_complement", "address_district", "city", "state", "sales_rep",
-               "tax_registration", "financial_analysis"]
-
-
 def staged_leads(t: DomainTables) -> DataFrame:
     """L3 staging: CRM export rows in the synced stages, minus the excluded
     id, normalised to the lead schema and enriched with custom fields."""

@@ -17,6 +17,7 @@ from ..operators.changes import field_diff
 from ..operators.merge import merge_snapshot
 from ..operators.payloads import update_payload
 from ..session import cut_lineage
+from ..schemas import LEAD_DIFF_COLS
 from ..sources.standins import DomainTables
 from . import views as V
 
@@ -29,8 +30,8 @@ def outbound_updates(t: DomainTables, ledger: DataFrame | None, out_root: str, r
     fingerprints are appended to the ledger.  The change set is
     checkpointed once (Q4: the source scanned its view four times).
     """
-    diff = cut_lineage(FP.with_row_fingerprint(V.lead_diff(t), V.DIFF_COLS))
-    fresh = diff if ledger is None else FP.unseen(diff.drop("fingerprint"), ledger, V.DIFF_COLS)
+    diff = cut_lineage(FP.with_row_fingerprint(V.lead_diff(t), LEAD_DIFF_COLS))
+    fresh = diff if ledger is None else FP.unseen(diff.drop("fingerprint"), ledger, LEAD_DIFF_COLS)
     from .queries_more import rep_options
     fresh = J.domain_or_default(fresh, "sales_rep", rep_options(t), "code", 99, out="sales_rep_checked")
     root = out_root.rstrip("/")

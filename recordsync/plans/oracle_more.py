@@ -1,11 +1,12 @@
 """Oracle SQL (DuckDB) for the operator keys beyond the views.
 
-Written the way the source system states each rule (OR joins, correlated
-sub-queries, NOT EXISTS, CASE), independently of the Spark operators.
+Each body states its rule over the stand-ins or over the views of ``oracle_sql``,
+mostly by OR joins, sub-queries, NOT EXISTS and CASE.
 """
 
 from __future__ import annotations
 
+from ..schemas import DIFF_FIELDS, LEAD_COLUMNS, LEAD_DIFF_COLS
 from .oracle_sql import ORACLE, STANDINS, initcap2
 
 SYNCED = "('Development/Budget', 'Activation', 'Retention/Expansion')"
@@ -38,19 +39,8 @@ def fp(cols: list[str]) -> str:
     return f"md5(concat_ws('|', {parts}))"
 
 
-DIFF_COLS = ["id", "name", "taxid", "address_street", "address_zipcode", "address_number", "address_complement",
-             "address_district", "city", "state", "sales_rep", "client_code", "tax_registration", "financial_analysis"]
 BRANCH_COLS = ["client", "code", "description", "taxid", "sales_rep", "city", "zipcode", "address", "number",
                "district", "complement", "email", "tax_registration", "phone", "id_crm", "integrate_crm"]
-DIFF_FIELDS = ["name", "stage", "taxid", "industry", "source", "phone", "address_street", "address_zipcode",
-               "address_number", "address_complement", "address_district", "city", "state", "sales_rep",
-               "tax_registration", "financial_analysis"]
-LEAD_COLUMNS = ["id", "name", "stage", "taxid", "industry", "source", "phone", "address_street", "address_zipcode",
-                "address_number", "address_complement", "address_district", "city", "state", "sales_rep",
-                "tax_registration", "client_code", "budget_value", "order_value", "financial_analysis"]
-
-_LEAD_A = ORACLE["lead_diff"].split("\nEXCEPT\n")[0]
-_LEAD_B = ORACLE["lead_diff"].split("\nEXCEPT\n")[1].split("\nUNION\n")[0]
 
 STANDINS.update({
     "rep_options": """SELECT DISTINCT CAST(f.value AS BIGINT) AS code
@@ -91,8 +81,6 @@ STANDINS.update({
         country, industry, sales_rep, client_code, tax_registration
         FROM vw_base b LEFT JOIN vw_industry i USING (client_code, branch_code)
         WHERE integrate_crm = 'Y' AND id_crm IS NULL""",
-    "lead_a": _LEAD_A,
-    "lead_b": _LEAD_B,
     "lead_diff_rows": "SELECT * FROM lead_b EXCEPT SELECT * FROM lead_a",
     "latest_docs": """SELECT * FROM webhook_docs
         QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY received_at DESC, doc_id DESC) = 1""",
@@ -113,13 +101,8 @@ STANDINS.update({
              WHEN c.cnt = 1 THEN 'update' ELSE 'ambiguous' END AS action
         FROM incoming_contacts i LEFT JOIN (SELECT lower(email) AS em, count(*) AS cnt FROM contacts
                                             WHERE email IS NOT NULL GROUP BY 1) c ON lower(i.email) = c.em""",
-    "budget_changes_rows": """SELECT ld.id, cv.budget_value, ld.taxid FROM leads ld JOIN vw_crm_clients cv ON cv.id_crm = ld.id
-        WHERE cv.budget_value IS NOT NULL AND coalesce(CAST(ld.budget_value AS DOUBLE), -1) <> cv.budget_value""",
-    "sold_changes_rows": """SELECT ld.id, cv.order_value, cv.sales_rep_email FROM leads ld JOIN vw_crm_clients cv
-        ON cv.id_crm = ld.id WHERE cv.budget_value IS NOT NULL AND ld.stage <> 'Activation'
-          AND coalesce(CAST(ld.order_value AS DOUBLE), -1) <> cv.order_value""",
-    "contact_a": ORACLE["contact_diff"].split("\nEXCEPT\n")[0],
-    "contact_b": ORACLE["contact_diff"].split("\nEXCEPT\n")[1].split("\nUNION\n")[0],
+    "budget_changes_rows": ORACLE["budget_changes"],
+    "sold_changes_rows": ORACLE["sold_changes"],
 })
 
 ORACLE.update({
@@ -204,10 +187,10 @@ ORACLE.update({
     "sym_diff": """SELECT *, 'crm_only' AS side FROM (SELECT * FROM lead_a EXCEPT SELECT * FROM lead_b)
         UNION ALL SELECT *, 'erp_only' AS side FROM (SELECT * FROM lead_b EXCEPT SELECT * FROM lead_a)""",
     "dataset_fingerprint": f"""SELECT count(*) AS rows,
-        coalesce(sum(CAST(('0x' || substr({fp(DIFF_COLS)}, 1, 15)) AS BIGINT)::HUGEINT), 0)::VARCHAR AS digest
+        coalesce(sum(CAST(('0x' || substr({fp(LEAD_DIFF_COLS)}, 1, 15)) AS BIGINT)::HUGEINT), 0)::VARCHAR AS digest
         FROM lead_diff_rows""",
-    "fingerprint_anti": f"""SELECT id, {fp(DIFF_COLS)} AS fingerprint FROM lead_b
-        WHERE {fp(DIFF_COLS)} NOT IN (SELECT {fp(DIFF_COLS)} FROM lead_a)""",
+    "fingerprint_anti": f"""SELECT id, {fp(LEAD_DIFF_COLS)} AS fingerprint FROM lead_b
+        WHERE {fp(LEAD_DIFF_COLS)} NOT IN (SELECT {fp(LEAD_DIFF_COLS)} FROM lead_a)""",
     "product_total": """WITH first AS (SELECT lead_id, sale_id FROM (SELECT DISTINCT lead_id, sale_id, sale_date FROM sale_lines)
             QUALIFY row_number() OVER (PARTITION BY lead_id ORDER BY sale_date, sale_id) = 1)
         SELECT s.lead_id, CAST(coalesce(sum(coalesce(s.final_value, 0)), 0) AS DOUBLE) AS total
@@ -392,7 +375,7 @@ ORACLE.update({
     "contact_payload": "SELECT id, " + drop_nulls("""to_json({'leadId': lead_id, 'name': name, 'email': lower(email),
         'phone1': coalesce(split_part(phone, '.', 1), '5500000000'), 'jobTitle': job_title,
         'mainContact': CASE upper(is_primary) WHEN 'S' THEN true WHEN 'N' THEN false END})""")
-        + " AS payload FROM (SELECT * FROM contact_a EXCEPT SELECT * FROM contact_b UNION SELECT * FROM contact_b EXCEPT SELECT * FROM contact_a) WHERE lead_id IS NOT NULL",
+        + " AS payload FROM (" + ORACLE["contact_diff"] + ") unlike WHERE lead_id IS NOT NULL",
     "budget_payload": """SELECT id, to_json({'leadId': id, 'products': [{'productId': 10001, 'quantity': 1,
         'labelValue': CAST(budget_value AS DECIMAL(38,6))}]}) AS payload FROM budget_changes_rows""",
     "sale_payload": """SELECT id, to_json({'leadId': id, 'salesRepEmail': 'sales@example.com', 'ignoreSalesRep': false,

@@ -1,14 +1,15 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
-These are written independently of the Spark code, in the shape of the
-source system's SQL (correlated scalar sub-queries, chained MINUS/UNION),
-over the same stand-in rules as ``sources.standins`` expressed as CTEs.  The
-driver tables are pre-registered views with the same names.
+The stand-in rules of ``sources.standins`` are CTEs over the driver tables.  The
+client and contact views and their measures are computed from the driver tables,
+client by client, and the change sets by comparing (id, field, value) rows or
+whole sets, so they share no plan with the Spark side.  Other bodies read the
+stand-ins.  The driver tables are pre-registered views with the same names.
 """
 
 from __future__ import annotations
 
-from ..schemas import STAGES_ALIAS, STAGES_CANONICAL
+from ..schemas import LEAD_DIFF_COLS, STAGES_ALIAS, STAGES_CANONICAL
 
 _STAGE_LIST = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in STAGES_ALIAS) + "]"
 _STAGE_CANON = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in STAGES_CANONICAL) + "]"
@@ -120,84 +121,89 @@ STANDINS = {
         CASE WHEN c_custkey % 2 = 0 THEN 'signup' END AS financial_analysis
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         WHERE c_custkey % 3 <> 0""",
-    # ---- views in the source system's shape --------------------------------
-    "vw_base": f"""SELECT br.client::VARCHAR || '-' || br.code::VARCHAR AS id, br.client AS client_code,
-        br.code AS branch_code, br.description AS company_name, br.taxid, br.sales_rep,
-        {initcap2('co.name')} AS country,
-        CASE WHEN co.code = 'US' THEN {initcap2('st.name')} END AS state,
-        {initcap2('ci.city_name')} AS city, ci.city_code,
-        br.zipcode AS address_zipcode, br.address AS address_street, br.number AS address_number,
-        br.district AS address_district, br.complement AS address_complement, br.email, br.tax_registration, br.phone,
-        br.id_crm, CASE WHEN coalesce(br.integrate_crm, false) THEN 'Y' ELSE 'N' END AS integrate_crm
-        FROM branches br
-        JOIN clients cl ON cl.client_code = br.client
-        JOIN cities ci ON ci.id = br.city
-        JOIN countries co ON co.code = ci.country_code
-        JOIN states st ON st.code = ci.state_code""",
-    "vw_industry": f"""SELECT ci.client AS client_code, ci.branch AS branch_code, min({initcap2('ind.description')}) AS industry
-        FROM client_industries ci JOIN industries ind ON ind.industry = ci.industry GROUP BY 1, 2""",
-    "vw_fa": """WITH last_day AS (SELECT client_code, max(date) AS d FROM credit_limit_history GROUP BY 1)
-        SELECT h.client_code, max(h.observations) AS financial_analysis
-        FROM credit_limit_history h JOIN last_day l ON l.client_code = h.client_code AND h.date = l.d
-        GROUP BY 1""",
-    "vw_budget": f"""WITH window_items AS (
-            SELECT bi.bdg_number, bi.item, b.client_billing_code, b.branch_billing_code
-            FROM budget_item bi JOIN budget b ON b.number = bi.bdg_number
-            WHERE bi.generated <> 'N'
-              AND date_trunc('day', bi.date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY),
-        smallest_tier AS (
-            SELECT bit_bdg_number, bit_item, min(quantity) AS tier FROM budget_item_quantity GROUP BY 1, 2),
-        approved AS (
-            SELECT bit_bdg_number, bit_item, client_code, branch_code FROM budget_item_delivery
-            WHERE billing_client = 'Y' AND approval_date IS NOT NULL),
-        priced AS (
-            SELECT w.client_billing_code, w.branch_billing_code,
-                   d.bid_quantity * (CASE WHEN d.negotiated_price IS NULL OR d.negotiated_price = 0 THEN d.price
-                                          ELSE d.negotiated_price END) AS amount
-            FROM window_items w
-            JOIN smallest_tier st ON st.bit_bdg_number = w.bdg_number AND st.bit_item = w.item
-            JOIN budget_item_quant_delivery d
-              ON d.bid_bdg_number = w.bdg_number AND d.bid_item = w.item AND d.bid_quantity = st.tier
-            JOIN approved a ON a.bit_bdg_number = w.bdg_number AND a.bit_item = w.item
-                           AND a.client_code = d.client_code AND a.branch_code = d.branch_code)
-        SELECT client_billing_code AS client_code, branch_billing_code AS branch_code,
-               CAST(sum(amount) AS DOUBLE) / 1000.0 AS budget_value
-        FROM priced GROUP BY 1, 2""",
-    "vw_order": f"""WITH billed AS (
-            SELECT sod_company_code, sod_number, sequence, unit_value FROM sales_order_item_delivery
-            WHERE billing_client = 'Y'),
-        lines AS (
-            SELECT so.pers_code, it.item_qty * bd.unit_value AS amount
-            FROM sales_order_item it
-            JOIN billed bd ON bd.sod_company_code = it.so_company_code AND bd.sod_number = it.so_number
-                          AND bd.sequence = it.sequence
-            JOIN sales_order so ON so.company_code = it.so_company_code AND so.number = it.so_number
-            WHERE date_trunc('day', it.item_date) BETWEEN {BASE} AND {BASE} + INTERVAL 365 DAY)
-        SELECT p.key1 AS client_code, p.key2 AS branch_code, CAST(sum(l.amount) AS DOUBLE) AS order_value
-        FROM lines l JOIN person p ON p.code = l.pers_code GROUP BY 1, 2""",
-    "vw_has_order": f"""SELECT p.key1 AS client_code, p.key2 AS branch_code, 'Y' AS has_order,
-        CASE WHEN max(it.item_date) >= {BASE} + INTERVAL 30 DAY THEN 'Y' ELSE 'N' END AS has_retention
-        FROM sales_order_item it
-        JOIN sales_order so ON so.company_code = it.so_company_code AND so.number = it.so_number
-        JOIN person p ON p.code = so.pers_code
-        WHERE it.item_date >= {BASE}
-        GROUP BY 1, 2""",
-    "vw_crm_clients": """SELECT b.*, ind.industry, fa.financial_analysis,
-        CASE WHEN b.client_code = 1001 THEN 10000.0 ELSE bv.budget_value END AS budget_value,
-        coalesce(ho.has_order, 'N') AS has_order,
-        CASE WHEN b.client_code = 1002 THEN 10000.0 ELSE ov.order_value END AS order_value,
-        coalesce(ho.has_retention, 'N') AS has_retention,
-        (SELECT r.email FROM sales_reps r WHERE r.code = b.sales_rep) AS sales_rep_email
-        FROM vw_base b
-        LEFT JOIN vw_industry ind ON ind.client_code = b.client_code AND ind.branch_code = b.branch_code
-        LEFT JOIN vw_fa fa ON fa.client_code = b.client_code
-        LEFT JOIN vw_budget bv ON bv.client_code = b.client_code AND bv.branch_code = b.branch_code
-        LEFT JOIN vw_has_order ho ON ho.client_code = b.client_code AND ho.branch_code = b.branch_code
-        LEFT JOIN vw_order ov ON ov.client_code = b.client_code AND ov.branch_code = b.branch_code""",
-    "vw_contacts": """SELECT ct.code AS id, ct.name, ct.email, ct.phone, coalesce(ct.job_title_desc, jt.title) AS job_title,
-        br.taxid AS client_taxid, ct.id_crm, ct.is_primary
-        FROM contact ct JOIN branches br ON br.client = ct.branch_client AND br.code = ct.branch_code
-        LEFT JOIN contact_job_titles jt ON jt.job_title_code = ct.job_title_code""",
+    # ---- what a view must say of each client or contact, computed from the driver tables -----------------
+    "vw_base": f"""SELECT c_custkey::VARCHAR || '-1' AS id, c_custkey AS client_code, 1::BIGINT AS branch_code,
+        c_name AS company_name, lpad(c_custkey::VARCHAR, 14, '0') AS taxid, (c_custkey % 10)::BIGINT AS sales_rep,
+        {initcap2('r_name')} AS country, CASE r_regionkey WHEN 1 THEN {initcap2('r_name')} END AS state,
+        {initcap2('n_name')} AS city, n_nationkey::BIGINT AS city_code,
+        lpad((c_custkey % 99991)::VARCHAR, 8, '0') AS address_zipcode,
+        concat('Rua ', c_mktsegment, ' ', n_nationkey) AS address_street, (c_custkey % 997)::INTEGER AS address_number,
+        c_mktsegment AS address_district,
+        CASE WHEN c_custkey % 4 <> 0 THEN concat('Sala ', c_custkey % 50) END AS address_complement,
+        concat('client', c_custkey, '@example.com') AS email,
+        CASE WHEN c_custkey % 3 = 0 THEN 'ISENTO' ELSE ((c_custkey * 7919) % 1000000)::VARCHAR END AS tax_registration,
+        '55119' || lpad(c_custkey::VARCHAR, 8, '0') AS phone, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey END AS id_crm,
+        ['Y', 'N'][c_custkey % 2 + 1] AS integrate_crm
+        FROM customer, nation, region WHERE n_nationkey = c_nationkey AND r_regionkey = n_regionkey""",
+    "vw_industry": """SELECT c_custkey AS client_code, 1::BIGINT AS branch_code, list_min(CASE WHEN c_custkey % 3 = 0
+            THEN [own, names[list_position(names, own) % 5 + 1]] ELSE [own] END) AS industry
+        FROM (SELECT c_custkey, c_mktsegment[1] || lower(c_mktsegment[2:]) AS own,
+                     ['Automobile', 'Building', 'Furniture', 'Household', 'Machinery'] AS names FROM customer) t""",
+    "vw_fa": """SELECT user_id AS client_code, max({'day': CAST(ts AS DATE), 'seen': event_type}).seen AS financial_analysis
+        FROM events GROUP BY user_id""",
+    "vw_budget": f"""SELECT o_custkey AS client_code, 1::BIGINT AS branch_code,
+        CAST(sum(qty * CASE WHEN l_linenumber % 3 = 2 AND price <> qty THEN price - qty ELSE price END) AS DOUBLE) / 1000.0
+            AS budget_value
+        FROM (SELECT l_orderkey, l_linenumber, l_quantity::DECIMAL(18,2) AS qty, l_extendedprice::DECIMAL(18,2) AS price,
+                     l_quantity = min(l_quantity) OVER (PARTITION BY l_orderkey, l_returnflag) AS is_tier FROM lineitem) l
+        SEMI JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0
+                     AND date_diff('day', {BASE}, o_orderdate) BETWEEN 0 AND 365) ok ON ok.o_orderkey = l.l_orderkey
+        JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE is_tier GROUP BY o_custkey""",
+    "vw_order": f"""SELECT o_custkey AS client_code, 1::BIGINT AS branch_code, CAST(sum(qty * price) AS DOUBLE) AS order_value
+        FROM (SELECT l_orderkey, l_linenumber,
+                     CAST(sum(l_quantity::DECIMAL(18,2)) FILTER (date_diff('day', {BASE}, l_shipdate) BETWEEN 0 AND 365)
+                          AS DECIMAL(18,2)) AS qty,
+                     CAST(sum(l_extendedprice::DECIMAL(18,2)) FILTER (l_linestatus = 'O') AS DECIMAL(18,2)) AS price
+              FROM lineitem GROUP BY ALL) per_line  -- a line's number may repeat: every item meets every delivery
+        JOIN orders ON o_orderkey = l_orderkey WHERE qty IS NOT NULL AND price IS NOT NULL GROUP BY o_custkey""",
+    "vw_has_order": f"""SELECT o_custkey AS client_code, 1::BIGINT AS branch_code, 'Y' AS has_order,
+        ['N', 'Y'][bool_or(l_shipdate >= {BASE} + INTERVAL 30 DAY)::INTEGER + 1] AS has_retention
+        FROM lineitem, orders WHERE o_orderkey = l_orderkey AND l_shipdate >= {BASE} GROUP BY o_custkey""",
+    # One row per client and fact, then one row per client again.
+    "client_facts": """SELECT client_code, 'industry' AS fact, industry AS word, NULL::DOUBLE AS amount FROM vw_industry
+        UNION ALL SELECT client_code, 'seen', financial_analysis, NULL FROM vw_fa
+        UNION ALL SELECT client_code, 'ordered', has_order, NULL FROM vw_has_order
+        UNION ALL SELECT client_code, 'kept', has_retention, NULL FROM vw_has_order
+        UNION ALL SELECT client_code, 'budget', NULL, budget_value FROM vw_budget WHERE client_code <> 1001
+        UNION ALL SELECT client_code, 'budget', NULL, 10000.0 FROM vw_base WHERE client_code = 1001
+        UNION ALL SELECT client_code, 'sold', NULL, order_value FROM vw_order WHERE client_code <> 1002
+        UNION ALL SELECT client_code, 'sold', NULL, 10000.0 FROM vw_base WHERE client_code = 1002
+        UNION ALL SELECT c_custkey, 'rep', concat('rep', s_suppkey, '@example.com'), NULL
+            FROM customer JOIN supplier ON s_suppkey = c_custkey % 10""",
+    "vw_crm_clients": """SELECT b.*, f.* EXCLUDE (code) FROM vw_base b LEFT JOIN (
+            SELECT client_code AS code, any_value(word) FILTER (fact = 'industry') AS industry,
+                   any_value(word) FILTER (fact = 'seen') AS financial_analysis,
+                   any_value(amount) FILTER (fact = 'budget') AS budget_value,
+                   ifnull(any_value(word) FILTER (fact = 'ordered'), 'N') AS has_order,
+                   any_value(amount) FILTER (fact = 'sold') AS order_value,
+                   ifnull(any_value(word) FILTER (fact = 'kept'), 'N') AS has_retention,
+                   any_value(word) FILTER (fact = 'rep') AS sales_rep_email
+            FROM client_facts GROUP BY client_code) f ON f.code = b.client_code""",
+    "vw_contacts": """SELECT event_id AS id, concat('Contact ', event_id) AS name, concat('u', event_id // 4, '@x.org') AS email,
+        '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
+        CASE WHEN event_id % 3 <> 0 THEN 'Buyer' WHEN event_id % 4 < 3
+             THEN (SELECT any_value(r_name[1] || lower(r_name[2:])) FROM region WHERE r_regionkey = event_id % 4) END AS job_title,
+        lpad(user_id::VARCHAR, 14, '0') AS client_taxid, CASE WHEN event_id % 5 <> 0 THEN event_id END AS id_crm,
+        ['S', 'N'][event_id % 2 + 1] AS is_primary
+        FROM events WHERE event_type = 'signup' AND user_id IN (SELECT c_custkey FROM customer)""",
+    # ---- the two sides of the change sets ----------------------------------------------------------------
+    "lead_a": f"""SELECT {', '.join(LEAD_DIFF_COLS)} FROM (
+        SELECT * REPLACE (upper(name) AS name, lpad(taxid, 14, '0') AS taxid, upper(address_street) AS address_street,
+            upper(address_complement) AS address_complement, upper(address_district) AS address_district,
+            upper(city) AS city, upper(state) AS state) FROM leads) t
+        SEMI JOIN (SELECT unnest(['Development/Budget', 'Activation', 'Retention/Expansion']) AS stage) synced USING (stage)""",
+    "lead_b": f"""SELECT {', '.join(LEAD_DIFF_COLS)} FROM (
+        SELECT * EXCLUDE (id), id_crm AS id, company_name AS name FROM (
+            SELECT * REPLACE (upper(company_name) AS company_name, upper(address_street) AS address_street,
+                upper(address_complement) AS address_complement, upper(address_district) AS address_district,
+                upper(city) AS city, upper(state) AS state) FROM vw_crm_clients)) t
+        SEMI JOIN leads USING (id)""",
+    "contact_a": """SELECT id, upper(name) AS name, upper(email) AS email, phone, upper(job_title) AS job_title,
+        ['N', 'S'][is_primary::INTEGER + 1] AS is_primary, client_code::BIGINT AS lead_id
+        FROM contacts WHERE client_code::BIGINT IN (SELECT client_code FROM leads)""",
+    "contact_b": """SELECT id_crm AS id, upper(name) AS name, upper(email) AS email, phone, upper(job_title) AS job_title,
+        is_primary, (SELECT any_value(id_crm) FROM vw_base WHERE taxid = client_taxid) AS lead_id
+        FROM vw_contacts WHERE id_crm IN (SELECT id FROM contacts)""",
     "stage_table": f"""SELECT i::BIGINT AS ordinal, {_STAGE_CANON}[i] AS canonical, {_STAGE_LIST}[i] AS alias
         FROM range(1, 9) t(i)""",
 }
@@ -231,36 +237,19 @@ def with_standins(body: str) -> str:
 # Query bodies, one per catalog key
 # ---------------------------------------------------------------------------
 
-# Normalisation applied to both sides of the lead / contact change sets:
-# column -> SQL template over the side's own column ({c}); id and name come
-# from differently named columns on each side.
-_LEAD_NORM = {"taxid": "lpad({c}, 14, '0')", "address_street": "upper({c})", "address_zipcode": "{c}",
-              "address_number": "{c}", "address_complement": "upper({c})", "address_district": "upper({c})",
-              "city": "upper({c})", "state": "upper({c})", "sales_rep": "{c}", "client_code": "{c}",
-              "tax_registration": "{c}", "financial_analysis": "{c}"}
-
-
-def _lead_side(source: str, id_col: str, name_col: str, where: str) -> str:
-    cols = [f"{id_col} AS id", f"upper({name_col}) AS name"]
-    cols += [f"{tpl.format(c=c)} AS {c}" for c, tpl in _LEAD_NORM.items()]
-    return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}"
-
-
-_LEAD_A = _lead_side("leads", "id", "name", "stage IN ('Development/Budget', 'Activation', 'Retention/Expansion')")
-_LEAD_B = _lead_side("vw_crm_clients", "id_crm", "company_name", "id_crm IS NOT NULL AND id_crm IN (SELECT id FROM leads)")
-
+def _long(side: str, fields: list[str]) -> str:
+    """(id, field, value) of a side."""
+    return (f"SELECT id, unnest([{', '.join(repr(c) for c in fields)}]) AS field, "
+            f"unnest([{', '.join(f'{c}::VARCHAR' for c in fields)}]) AS value FROM {side}")
 
-def _contact_side(t: str, select_id: str, lead_id: str, primary: str, source: str, where: str) -> str:
-    cols = [f"{select_id} AS id", f"upper({t}.name) AS name", f"upper({t}.email) AS email", f"{t}.phone AS phone",
-            f"upper({t}.job_title) AS job_title", f"upper({primary}) AS is_primary", f"{lead_id} AS lead_id"]
-    return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}"
 
+def _unlike(side: str, other: str, fields: list[str]) -> str:
+    """Rows of ``side`` for which ``other`` has no row of the same id that agrees in every field (null with null)."""
+    return f"""SELECT s.* FROM {side} s LEFT JOIN (
+            SELECT x.id AS same_id, count(*) AS n FROM ({_long(side, fields)}) x JOIN ({_long(other, fields)}) y
+            ON y.id = x.id AND y.field = x.field AND y.value IS NOT DISTINCT FROM x.value GROUP BY x.id) same
+        ON same.same_id = s.id WHERE ifnull(same.n, 0) < {len(fields)}"""
 
-_CONTACT_A = _contact_side("c", "c.id", "l.id", "CASE WHEN c.is_primary THEN 'S' ELSE 'N' END",
-                           "contacts c JOIN leads l ON CAST(c.client_code AS BIGINT) = l.client_code", "true")
-_CONTACT_B = _contact_side("con", "con.id_crm", "cli.id_crm", "con.is_primary",
-                           "vw_contacts con JOIN vw_base cli ON con.client_taxid = cli.taxid",
-                           "con.id_crm IS NOT NULL AND con.id_crm IN (SELECT id FROM contacts)")
 
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
@@ -270,9 +259,10 @@ ORACLE: dict[str, str] = {
         country, industry, sales_rep, client_code, tax_registration
         FROM vw_base b LEFT JOIN vw_industry i USING (client_code, branch_code)
         WHERE integrate_crm = 'Y' AND id_crm IS NULL""",
-    "lead_diff": f"{_LEAD_A}\nEXCEPT\n{_LEAD_B}\nUNION\n{_LEAD_B}\nEXCEPT\n{_LEAD_A}",
+    # The chained set difference leaves the ERP's rows that the CRM has not.
+    "lead_diff": _unlike("lead_b", "lead_a", LEAD_DIFF_COLS[1:]),
     "contact_view": "SELECT * FROM vw_contacts",
-    "contact_diff": f"{_CONTACT_A}\nEXCEPT\n{_CONTACT_B}\nUNION\n{_CONTACT_B}\nEXCEPT\n{_CONTACT_A}",
+    "contact_diff": _unlike("contact_b", "contact_a", ["name", "email", "phone", "job_title", "is_primary", "lead_id"]),
     "budget_value": "SELECT * FROM vw_budget",
     "order_value": "SELECT * FROM vw_order",
     "has_order": """SELECT br.client AS client_code, br.code AS branch_code,
@@ -307,13 +297,13 @@ ORACLE: dict[str, str] = {
         CASE WHEN b.client_code = 1002 THEN 10000.0 ELSE ov.order_value END AS order_value
         FROM vw_base b LEFT JOIN vw_budget bv USING (client_code, branch_code)
         LEFT JOIN vw_order ov USING (client_code, branch_code)""",
-    "budget_changes": """SELECT ld.id, cv.budget_value, ld.taxid
-        FROM leads ld JOIN vw_crm_clients cv ON cv.id_crm = ld.id
-        WHERE cv.budget_value IS NOT NULL AND coalesce(CAST(ld.budget_value AS DOUBLE), -1) <> cv.budget_value""",
-    "sold_changes": """SELECT ld.id, cv.order_value, cv.sales_rep_email
-        FROM leads ld JOIN vw_crm_clients cv ON cv.id_crm = ld.id
-        WHERE cv.budget_value IS NOT NULL AND ld.stage <> 'Activation'
-          AND coalesce(CAST(ld.order_value AS DOUBLE), -1) <> cv.order_value""",
+    "budget_changes": """SELECT id, budget_value, taxid FROM (
+            SELECT l.id, l.taxid, v.budget_value FROM vw_crm_clients v, leads l WHERE l.id = v.id_crm AND v.budget_value IS NOT NULL
+            EXCEPT SELECT id, taxid, budget_value::DOUBLE FROM leads) unlike""",
+    "sold_changes": """SELECT id_crm AS id, order_value, sales_rep_email FROM vw_crm_clients
+        WHERE budget_value IS NOT NULL AND order_value IS NOT NULL
+          AND id_crm IN (SELECT id FROM leads WHERE stage <> 'Activation')
+          AND (id_crm, order_value) NOT IN (SELECT (id, coalesce(order_value::DOUBLE, -1)) FROM leads)""",
 }
 
 

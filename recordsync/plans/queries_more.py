@@ -13,8 +13,8 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import setops as S
 from ..schemas import (ACTIVATION_STAGE, BUDGET_STAGE, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP,
-                       CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, MAX_LEN, RENAME_MAP, STAGES_CANONICAL,
-                       SYNCED_STAGES)
+                       CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, LEAD_DIFF_COLS, MAX_LEN, RENAME_MAP,
+                       STAGES_CANONICAL, SYNCED_STAGES)
 from ..sources.standins import DomainTables
 from . import views as V
 from .catalog import register
@@ -307,13 +307,13 @@ def _sym_diff(t: DomainTables) -> DataFrame:
 
 @register("dataset_fingerprint")
 def _dataset_fp(t: DomainTables) -> DataFrame:
-    return FP.dataset_fingerprint(V.lead_diff(t), V.DIFF_COLS)
+    return FP.dataset_fingerprint(V.lead_diff(t), LEAD_DIFF_COLS)
 
 
 @register("fingerprint_anti")
 def _fp_anti(t: DomainTables) -> DataFrame:
-    ledger = FP.with_row_fingerprint(V.crm_lead_rows(t), V.DIFF_COLS)
-    return FP.unseen(V.erp_lead_rows(t), ledger, V.DIFF_COLS).select("id", "fingerprint")
+    ledger = FP.with_row_fingerprint(V.crm_lead_rows(t), LEAD_DIFF_COLS)
+    return FP.unseen(V.erp_lead_rows(t), ledger, LEAD_DIFF_COLS).select("id", "fingerprint")
 
 
 @register("product_total")

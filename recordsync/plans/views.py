@@ -302,10 +302,6 @@ def client_view(t: DomainTables, base_ts=BASE_TS, budget_overrides=None, order_o
 # Change views
 # ---------------------------------------------------------------------------
 
-DIFF_COLS = ["id", "name", "taxid", "address_street", "address_zipcode", "address_number",
-             "address_complement", "address_district", "city", "state", "sales_rep", "client_code",
-             "tax_registration", "financial_analysis"]
-
 
 def _lead_side(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
     u = F.upper

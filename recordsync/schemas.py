@@ -23,6 +23,14 @@ STAGES_CANONICAL = [
     "Ativação",
     "Retenção/Expansão",
 ]
+# Fields of a lead that the two change sets compare, and that the field-level diff compares.
+LEAD_DIFF_COLS = ["id", "name", "taxid", "address_street", "address_zipcode", "address_number", "address_complement",
+                  "address_district", "city", "state", "sales_rep", "client_code", "tax_registration",
+                  "financial_analysis"]
+DIFF_FIELDS = ["name", "stage", "taxid", "industry", "source", "phone", "address_street", "address_zipcode",
+               "address_number", "address_complement", "address_district", "city", "state", "sales_rep",
+               "tax_registration", "financial_analysis"]
+
 # The same eight stages as the ERP views name them (last three are fixed by
 # the views; the first five are our translation).
 STAGES_ALIAS = [
