@@ -38,8 +38,10 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_known():
+    """Every key of the catalog has SQL; queries added from elsewhere may be beyond SQL."""
     import __spark_entry__ as E
-    assert set(E.oracle_sql()) == set(E.queries())
+    from recordsync.plans import catalog
+    assert set(catalog.queries()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
