@@ -13,8 +13,16 @@ Training is numpy in one task, on a sample of ``PER_CLASS`` labelled rows of
 each class with texts of up to ``TRAIN_BYTES`` (the documented bound; chosen
 by a hash of doc_id).  Labels are given to texts, not to windows, so every
 epoch trains on the window that scores worst at the time, and for clean texts
-on another one besides.  A quarter of the sample is kept back; on it the
-threshold of best F1 is found and mapped to the score 0.3.
+on another one besides.  A quarter of the sample is kept back.
+
+The threshold is a statistic of all labelled rows outside the held-out ones,
+whole texts of any length (``calibrate``).  They are scored in Spark and
+counted by class, by whether they were learned, by level (the binary logarithm
+of their number of windows) and by bins of their worst logit.  The worst of
+many windows is larger by chance, so a level takes ``slope`` off the logit; the
+slope and the threshold are those of best F1, and the threshold is mapped to
+the score 0.3.  Of each class and level the rows that were not learned are
+judged, and stand for the learned ones too; if all were learned, those are.
 
 Defined cases: texts without a word score 0; rows without a label are scored
 like others; several labels of one doc_id count as the largest; without
@@ -34,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytespans import LOWER, chunks, hashes, mixed, spans
-from .common import read, without
+from .common import read, small, without
 
 WINDOW, STRIDE = 24, 12
 HIDDEN, WIDTH = 8, 4
@@ -45,8 +53,13 @@ EPOCHS, BATCH, RATE = 8, 128, 0.01
 PER_CLASS = 1200
 TRAIN_BYTES = 12_000
 THRESHOLD = 0.3
-#: Rows of each class that the part kept back needs; else the whole sample is learned and judged.
+#: Rows of each class that the part kept back needs; else the whole sample is learned.
 FEW = 10
+#: Bins of logits in the statistic of the threshold, and the slopes tried, in bins a level.
+BIN, BINS = 0.05, 800
+SLOPES = range(41)
+#: Labels that are broadcast to the documents at most (16 bytes each).
+BROADCAST_LABELS = 500_000
 _BATCH_WINDOWS = 4096
 _BATCH_WORDS = 20_000
 
@@ -105,6 +118,15 @@ def windows(row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(texts, each), start, np.minimum(WINDOW, np.repeat(begin + n, each) - start)
 
 
+def levels(n: np.ndarray) -> np.ndarray:
+    """Binary logarithm of numbers of windows, rounded down."""
+    return np.frexp(np.maximum(1, n))[1].astype(np.int64) - 1
+
+
+def bins(logit: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(logit / BIN), -BINS, BINS).astype(np.int64)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -118,6 +140,7 @@ class Network:
     dense: dict[str, np.ndarray] = field(default_factory=dict)
     scale: float = 1.0
     middle: float = 0.0
+    slope: float = 0.0
 
     @classmethod
     def new(cls, odds_word: np.ndarray, odds_run: np.ndarray, rng: np.random.Generator) -> Network:
@@ -211,15 +234,21 @@ class Network:
             out[part] = self.forward(projected, words.of, start[part], length[part])[0]
         return out
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        """Score of every text of an Arrow column."""
-        worst = np.full(len(column), -np.inf)
+    def worst(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Largest logit (-inf without words) and level of every text of an Arrow column."""
+        worst, n = np.full(len(column), -np.inf), np.zeros(len(column), np.int64)
         for row, offsets, data in chunks(column):
             words = read_words(offsets, data)
             if len(words.row):
                 text, start, length = windows(words.row)
                 np.maximum.at(worst, row + text, self.logits(words, start, length))
-        mapped = _sigmoid(self.scale * (worst - self.middle) + np.log(THRESHOLD / (1 - THRESHOLD)))
+                np.add.at(n, row + text, 1)
+        return worst, levels(n)
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        """Score of every text of an Arrow column."""
+        worst, level = self.worst(column)
+        mapped = _sigmoid(self.scale * (worst - self.slope * level - self.middle) + np.log(THRESHOLD / (1 - THRESHOLD)))
         return np.where(np.isneginf(worst), 0.0, mapped)
 
 
@@ -240,12 +269,18 @@ def log_odds(words: Words, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return odds[0], odds[1]
 
 
-def train(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0, seed: int = 7) -> Network:
-    """A network for texts of both classes.  clean_weight: clean rows that one of the sample stands for,
-    by toxic ones."""
+def enough(toxic: np.ndarray, kept_back: np.ndarray) -> bool:
+    """Whether the part kept back has FEW rows of each class."""
+    return min(toxic[kept_back].sum(), (~toxic[kept_back]).sum()) >= FEW
+
+
+def train(texts: list[str], toxic: np.ndarray, kept_back: np.ndarray | None = None, seed: int = 7) -> Network:
+    """A network for texts of both classes, with the threshold that fits these texts.  kept_back: rows not to
+    learn (a random quarter, if None)."""
     rng = np.random.default_rng(seed)
-    kept_back = rng.random(len(texts)) < 0.25
-    if min(toxic[kept_back].sum(), (~toxic[kept_back]).sum()) < FEW:  # too few to find a threshold on
+    drawn = rng.random(len(texts)) < 0.25
+    kept_back = drawn if kept_back is None else kept_back.copy()
+    if not enough(toxic, kept_back):
         kept_back[:] = False
     learn = np.flatnonzero(~kept_back)
     column = pa.array(texts, pa.large_string())
@@ -289,7 +324,11 @@ def train(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0, seed:
                 v += 0.001 * (g * g - v)
                 net.dense[name] -= (RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
             _learn_tables(net, words, seen, to_words, squares)
-    _calibrate(net, text, net.logits(words, start, length), toxic, kept_back if kept_back.any() else ~kept_back, clean_weight)
+    worst = np.full(len(toxic), -np.inf)
+    np.maximum.at(worst, text, net.logits(words, start, length))
+    read = np.isfinite(worst)
+    calibrate(net, toxic[read], ~kept_back[read], levels(np.bincount(text, minlength=len(toxic)))[read], bins(worst[read]),
+              np.ones(read.sum()))
     return net
 
 
@@ -306,61 +345,100 @@ def _learn_tables(net: Network, words: Words, seen: np.ndarray, to_words: np.nda
         table[at] -= (0.05 * summed / np.sqrt(square[at])[:, None]).astype(np.float32)
 
 
-def _calibrate(net: Network, text: np.ndarray, logit: np.ndarray, toxic: np.ndarray, judged: np.ndarray,
-               clean_weight: float) -> None:
-    worst = np.full(len(toxic), -np.inf)
-    np.maximum.at(worst, text, logit)
-    use = judged & np.isfinite(worst)
-    order = np.argsort(-worst[use])
-    bad = toxic[use][order]
-    caught, wrong = np.cumsum(bad), np.cumsum(~bad) * clean_weight
-    f1 = 2 * caught / (caught + wrong + max(1, bad.sum()))
-    f1[caught + wrong > 2 * bad.sum()] = 0  # a network that learned nothing isn't to flag everything
-    best = int(np.argmax(f1))
-    ranked = worst[use][order]
-    below = ranked[best + 1] if best + 1 < len(ranked) else ranked[best] - 1
-    net.middle = float((ranked[best] + below) / 2)
-
-
-def sample(docs: DataFrame, labels: DataFrame, learns: Column, text: str) -> tuple[DataFrame | None, float, float]:
-    """(rows (doc_id, text, toxic), clean weight, share of toxic labels): a bounded sample of the labelled rows
-    that ``learns`` allows; None without labels of both classes."""
+def calibrate(net: Network, toxic: np.ndarray, learned: np.ndarray, level: np.ndarray, logit: np.ndarray,
+              n: np.ndarray) -> None:
+    """Slope and threshold of best F1.  n: texts of a class, learned or not, of a level and a bin of logits."""
+    _, cell = np.unique(np.stack([toxic, level]), axis=1, return_inverse=True)
+    cell = cell.reshape(-1)
+    every, fresh = np.bincount(cell, n), np.bincount(cell, n * ~learned)
+    stands = np.where(fresh > 0, every / np.maximum(1, fresh), 1.0)[cell]  # texts that a judged one stands for
+    judged = ~learned | (fresh == 0)[cell]
+    toxic, level, logit, n = toxic[judged], level[judged], logit[judged], (n * stands)[judged]
+    best = -1.0
+    for slope in SLOPES if len(n) else []:
+        at, of = np.unique(-(logit - slope * level), return_inverse=True)  # highest first
+        of = of.reshape(-1)
+        caught, wrong = (np.cumsum(np.bincount(of, n * x, len(at))) for x in (toxic, ~toxic))
+        bad = caught[-1]
+        f1 = 2 * caught / (caught + wrong + np.maximum(1e-9, bad))
+        f1[caught + wrong > 2 * bad] = 0  # a network that learned nothing isn't to flag everything
+        k = int(np.argmax(f1))
+        if f1[k] > best:
+            best = f1[k]
+            below = -at[k + 1] + 1 if k + 1 < len(at) else -at[k]  # upper end of the next bin
+            net.slope, net.middle = slope * BIN, (below - at[k]) / 2 * BIN
+
+
+def sample(docs: DataFrame, labels: DataFrame, learns: Column, text: str) -> tuple[DataFrame | None, DataFrame | None, float]:
+    """(sample, rows, share of toxic labels): a bounded sample of the labelled rows that ``learns`` allows (doc_id,
+    text, toxic, kept_back), and all of these rows (and taken: whether the sample has them); None without labels of
+    both classes."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") == 1).alias("toxic")).where(learns)
     n = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     total = sum(n.values())
     share = n.get(True, 0) / total if total else 0.0
     if len(n) < 2:
-        return None, 1.0, share
+        return None, None, share
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    taken = known.where(draw < F.when(F.col("toxic"), PER_CLASS / n[True]).otherwise(PER_CLASS / n[False]))
-    fit = docs.where(F.octet_length(F.col(f"`{text}`")).between(1, TRAIN_BYTES))
-    rows = fit.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(taken), "doc_id")  # 2 * PER_CLASS expected
-    return rows, max(1.0, n[False] / PER_CLASS) / max(1.0, n[True] / PER_CLASS), share
+    drawn = draw < F.when(F.col("toxic"), PER_CLASS / n[True]).otherwise(PER_CLASS / n[False])  # 2 * PER_CLASS expected
+    marked = small(known.select("doc_id", "toxic", drawn.alias("drawn"),
+                                (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4)) == 0).alias("kept_back")), BROADCAST_LABELS)
+    given = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
+    short = F.coalesce(F.octet_length("text").between(1, TRAIN_BYTES), F.lit(False))
+    taken = given.where(short).join(F.broadcast(marked.where("drawn").drop("drawn")), "doc_id")
+    return taken, given.join(marked, "doc_id").withColumn("taken", F.col("drawn") & short), share
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Network | None, float]:
-    """The network, trained in one task on the bounded sample, and the share of toxic labels."""
-    rows, weight, share = sample(docs, labels, ~held_out(), text)
-    if rows is None:
-        return None, share
-
+def learn_sample(rows: DataFrame) -> tuple[Network, bool] | None:
+    """The network, trained in one task on the sample, and whether some of its rows were kept back; None if it
+    lacks a class."""
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        texts: list[str] = []
-        toxic: list[bool] = []
+        parts: list[pd.DataFrame] = []
         for batch in batches:
-            room = 4 * PER_CLASS - len(texts)  # only repeated rows of sampled ids can come near
-            texts += batch.text.tolist()[:room]
-            toxic += batch.toxic.tolist()[:room]
-        if len(set(toxic)) == 2:
-            yield pd.DataFrame({"network": [pickle.dumps(train(texts, np.array(toxic, bool), weight))]})
+            room = 4 * PER_CLASS - sum(len(p) for p in parts)  # only repeated rows of sampled ids can come near
+            parts.append(batch.iloc[:room])
+        given = pd.concat(parts) if parts else None
+        if given is not None and given.toxic.nunique() == 2:
+            toxic, back = given.toxic.to_numpy(bool), given.kept_back.to_numpy(bool)
+            yield pd.DataFrame({"network": [pickle.dumps((train(given.text.tolist(), toxic, back), enough(toxic, back)))]})
     ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text")
     made = ordered.mapInPandas(learn, "network binary").collect()
-    return (pickle.loads(made[0].network) if made else None), share
+    return pickle.loads(made[0].network) if made else None
+
+
+def counted(rows: DataFrame, network: Network) -> DataFrame:
+    """(toxic, learned, level, logit, n): the labelled rows with words, by class, level and bin of their worst logit."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            worst, level = shared.value.worst(batch.column(2))
+            kept = np.isfinite(worst)
+            known = [batch.column(i).filter(pa.array(kept)) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([*known, pa.array(level[kept]), pa.array(bins(worst[kept]))],
+                                             ["toxic", "learned", "level", "logit"])
+    met = rows.select("toxic", "learned", "text").mapInArrow(run, "toxic boolean, learned boolean, level long, logit long")
+    return met.groupBy("toxic", "learned", "level", "logit").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Network | None, float]:
+    """The network, trained on the bounded sample and with the threshold of all labelled rows, and the share of
+    toxic labels."""
+    taken, rows, share = sample(docs, labels, ~held_out(), text)
+    made = learn_sample(taken) if taken is not None else None
+    if made is None:
+        return None, share
+    network, holds = made
+    seen = F.col("taken") & ~F.col("kept_back") if holds else F.col("taken")
+    found = counted(rows.withColumn("learned", seen), network).toPandas()  # a bounded number of bins
+    calibrate(network, found.toxic.to_numpy(bool), found.learned.to_numpy(bool), found.level.to_numpy(), found.logit.to_numpy(),
+              found.n.to_numpy(float))
+    return network, share
 
 
 def score(docs: DataFrame, network: Network | None, share: float = 0.0, text: str = "text",

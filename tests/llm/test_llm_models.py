@@ -130,6 +130,39 @@ def test_toxicity_learns_words_and_stems():
     assert scores[400] == scores[401] == 0 and scores[402] >= toxicity.THRESHOLD and np.isfinite(scores).all()
 
 
+def test_toxicity_threshold_of_all_labels():
+    """Long clean texts whose worst window scores as high as that of short toxic ones raise the threshold of long texts."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Network(*[np.zeros(1, np.float32)] * 4)
+    toxic = np.repeat([False, True, False], [3000, 300, 900])
+    level = np.repeat([2, 2, 12], [3000, 300, 900])
+    logit = np.concatenate([rng.normal(-6, 1, 3000), rng.normal(0, 1, 300), rng.normal(0, 1, 900)])
+    fresh = np.ones(len(toxic), bool)
+    toxicity.calibrate(net, toxic, ~fresh, level, toxicity.bins(logit), fresh.astype(float))
+    flagged = logit - net.slope * level >= net.middle
+    assert net.slope > 0 and flagged[toxic].mean() > 0.95 and flagged[~toxic].mean() < 0.02
+    assert np.array_equal(toxicity.levels(np.array([0, 1, 2, 3, 4, 1023, 1024])), [0, 0, 1, 1, 2, 9, 10])
+    # Learned rows count through the others of their class and level.
+    toxicity.calibrate(net, toxic, toxic & (logit < 0), level, toxicity.bins(np.where(toxic & (logit < 0), -50, logit)), fresh.astype(float))
+    assert (logit - net.slope * level >= net.middle)[toxic & (logit >= 0)].mean() > 0.95
+
+
+def test_toxicity_judges_long_texts(spark):
+    """Texts beyond the bound of the training sample take part in the threshold."""
+    texts, labels = toxic_texts(300, 8)
+    clean = [t for t, x in zip(*toxic_texts(1200, 9)) if not x]
+    long = [" ".join(clean[i::20] * 2) for i in range(20)]
+    assert min(len(t) for t in long) > toxicity.TRAIN_BYTES
+    docs = spark.createDataFrame(list(enumerate(texts + long)), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 300 and labels[i])) for i in range(320)], "doc_id long, toxic int")
+    taken, rows, _ = toxicity.sample(docs, marks, ~toxicity.held_out(), "text")
+    assert taken.where("doc_id >= 300").isEmpty() and not rows.where("doc_id >= 300").isEmpty()
+    net, _ = toxicity.fit(docs, marks)
+    found = toxicity.counted(rows.withColumn("learned", F.lit(False)), net).collect()
+    assert sum(r.n for r in found) == docs.where(~toxicity.held_out()).count()
+    assert sum(r.n for r in found if r.level >= 6) >= rows.where("doc_id >= 300").count()
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(3)
     net = toxicity.Network.new(np.zeros(1 << toxicity.BITS, np.float32), np.zeros(1 << toxicity.BITS, np.float32), rng)
