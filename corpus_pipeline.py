@@ -18,8 +18,11 @@ SHINGLE, RATIO = 5, (80, 100)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier (learned from the labels) doesn't predict to be toxic."""
+    """Documents that the classifier (learned from the labels) doesn't predict to be toxic; all of them, if there
+    is nothing to learn it from."""
     network, share = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    if network is None:
+        return docs
     return toxicity.score(docs, network, share).where("predicted = 0").select(*docs.columns)
 
 

@@ -11,7 +11,8 @@ document scores as its worst window.
 
 Training is numpy in one task, on a sample of ``PER_CLASS`` labelled rows of
 each class with texts of up to ``TRAIN_BYTES`` (the documented bound; chosen
-by a hash of doc_id).  Labels are given to texts, not to windows, so every
+by a hash of doc_id).  A class without such texts is learned from its shortest
+ones, up to ``PER_CLASS * TRAIN_BYTES`` bytes of text.  Labels are given to texts, not to windows, so every
 epoch trains on the window that scores worst at the time, and for clean texts
 on another one besides.  A quarter of the sample is kept back.
 
@@ -390,6 +391,24 @@ def sample(docs: DataFrame, labels: DataFrame, learns: Column, text: str) -> tup
     return taken, given.join(marked, "doc_id").withColumn("taken", F.col("drawn") & short), share
 
 
+def longer(taken: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``sample`` gives, with texts beyond TRAIN_BYTES for a class that has no others: the shortest, as many as
+    PER_CLASS such texts weigh (one of more is cut to that)."""
+    room = PER_CLASS * TRAIN_BYTES
+    ids = []
+    for toxic in {True, False} - {r.toxic for r in taken.select("toxic").distinct().collect()}:
+        sized = rows.where((F.col("toxic") == toxic) & (F.octet_length("text") > 0)).select(
+            "doc_id", F.octet_length("text").alias("size"))
+        used = 0
+        for r in sized.orderBy("size", "doc_id").limit(PER_CLASS).collect():
+            if not used or used + r.size <= room:
+                ids.append(r.doc_id)
+                used += r.size
+    marked = rows.withColumn("taken", F.col("taken") | F.col("doc_id").isin(ids) & (F.octet_length("text") > 0))
+    cut = marked.where("taken").select("doc_id", F.substring("text", 1, room).alias("text"), "toxic", "kept_back")
+    return cut, marked
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
@@ -431,6 +450,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[Network
     toxic labels."""
     taken, rows, share = sample(docs, labels, ~held_out(), text)
     made = learn_sample(taken) if taken is not None else None
+    if made is None and rows is not None:  # a class has no text within the bound
+        taken, rows = longer(taken, rows)
+        made = learn_sample(taken)
     if made is None:
         return None, share
     network, holds = made

@@ -163,6 +163,23 @@ def test_toxicity_judges_long_texts(spark):
     assert sum(r.n for r in found if r.level >= 6) >= rows.where("doc_id >= 300").count()
 
 
+def test_toxicity_without_a_network(spark, monkeypatch, tmp_path):
+    """A class of long texts alone is learned from them; with nothing to learn from, the pipeline rejects nothing."""
+    import corpus_pipeline as cp
+
+    texts, labels = toxic_texts(300, 6)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(x)) for i, x in enumerate(labels)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 60)
+    long = docs.where(F.octet_length("text") > 60)
+    net, share = toxicity.fit(long, marks.where("toxic = 1").unionByName(marks.where("toxic = 0").limit(60)))
+    assert net is not None and 0 < share < 1
+    flagged = {r.doc_id: r.predicted for r in toxicity.score(long, net, share).collect()}
+    assert 0 < sum(flagged.values()) < len(flagged)
+    marks.where("toxic = 1").write.parquet(f"{tmp_path}/labels.parquet")
+    assert cp.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(3)
     net = toxicity.Network.new(np.zeros(1 << toxicity.BITS, np.float32), np.zeros(1 << toxicity.BITS, np.float32), rng)
