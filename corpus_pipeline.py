@@ -27,14 +27,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id; of rows that repeat it, one.
-    Rows without an id have no group and stay."""
-    part = written(jaccard_join.join(docs, k=SHINGLE, ratio=RATIO))
-    gone = small(part.where("doc_id <> component_id").select("doc_id").distinct(), jaccard_join.BROADCAST_IDS)
-    kept = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    if not part.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """Of each group of near copies the document of the smallest id (the last are those without one); of rows equal
+    in id and text, one.  A group is what links connect, row by row: rows of one id with other texts are in other
+    groups."""
+    repeated = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if repeated.isEmpty():  # the id names the row
+        part = written(jaccard_join.join(docs, k=SHINGLE, ratio=RATIO))
+        gone = small(part.where("doc_id <> component_id").select("doc_id").distinct(), jaccard_join.BROADCAST_IDS)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))  # written, so that numbers stay
+    part = written(jaccard_join.join(rows, "__row", k=SHINGLE, ratio=RATIO))
+    key = row_key(F.col("doc_id"), F.col("text"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *key, F.to_json(F.struct(*rest)) if rest else F.lit(""), "__row")
+    listed = rows.select("__row", *key, order.alias("__order")).join(part, "__row")
+    worded = F.col("n_shingles") > 0  # texts without words link with nothing: only equal rows are copies
+    groups = [F.when(worded, F.col("component_id")), F.when(~worded, F.col("k1")), F.when(~worded, F.col("k2"))]
+    kept = listed.groupBy(*groups).agg(F.min("__order").alias("__least"))
+    gone = part.select("__row").join(kept.select(F.col("__least.__row").alias("__row")), "__row", "left_anti")
+    return rows.join(small(gone, jaccard_join.BROADCAST_IDS), "__row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

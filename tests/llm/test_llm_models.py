@@ -303,6 +303,19 @@ def test_page_edges(spark, page_model):
     assert sorted(r.n_chars for r in rows) == [0, len(got), len(got)]
 
 
+def test_near_copies_of_repeated_and_missing_ids(spark):
+    import corpus_pipeline as cp
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a, "s"), (1, b, "s"), (2, a + " more", "s"), (3, b + " more", "s"), (3, c, "s"), (4, c, "s"), (4, c, "s"),
+            (None, a, "s"), (None, d, "t"), (None, d, "s"), (5, "", "s"), (5, "", "s"), (6, "", "s"), (None, None, "s"), (None, None, "s")]
+    for n in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+        got = [tuple(r) for r in cp.drop_near_copies(spark, docs, "").collect()]
+        want = [(1, a, "s"), (1, b, "s"), (3, c, "s"), (None, d, "s"), (5, "", "s"), (6, "", "s"), (None, None, "s")]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
