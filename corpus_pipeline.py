@@ -7,7 +7,7 @@ slot and shard of each document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordsync.llm import jaccard_join, maglev, raking, toxicity, winnowing
@@ -17,13 +17,20 @@ from recordsync.llm.common import read, row_key, small, written
 SHINGLE, RATIO = 5, (80, 100)
 
 
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of these names (that an operator gives too) under others, and its own columns again."""
+    clash = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(clash), [F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier (learned from the labels) doesn't predict to be toxic; all of them, if there
     is nothing to learn it from."""
     network, share = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     if network is None:
         return docs
-    return toxicity.score(docs, network, share).where("predicted = 0").select(*docs.columns)
+    given, own = aside(docs, "score", "predicted")
+    return toxicity.score(given, network, share).where("predicted = 0").select(*own)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +57,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    marked = winnowing.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    return marked.where("NOT contaminated").select(*docs.columns)
+    given, own = aside(docs, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return winnowing.decontaminate(given, read(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*own)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

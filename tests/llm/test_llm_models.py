@@ -316,6 +316,17 @@ def test_near_copies_of_repeated_and_missing_ids(spark):
         assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_stages_keep_the_documents_own_columns(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").withColumns(
+        {"score": F.lit("mine"), "Predicted": F.lit(7), "n_words": F.lit(-1), "contaminated": F.lit("own")})
+    for stage in (cp.drop_toxic, cp.drop_contaminated):
+        kept = stage(spark, docs, SMOKE)
+        assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+        assert {tuple(r) for r in kept.select("score", "Predicted", "n_words", "contaminated").collect()} == {("mine", 7, -1, "own")}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
