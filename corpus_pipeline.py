@@ -85,7 +85,8 @@ STAGES = [
     ("sharding", place_in_shards),
 ]
 
-#: The classifier can't be put in SQL; the tests hold every stage against its operator's brute force.
+#: The classifier can't be put in SQL; a test holds run() against plain Python, given the network's scores, and the SQL
+#: of mixing and sharding.
 ORACLE_SQL = None
 
 

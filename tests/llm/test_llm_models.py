@@ -347,3 +347,56 @@ def test_pipeline_stages(spark):
         rows = spark.createDataFrame(kept.collect(), docs.schema)
     placed = cp.STAGES[-1][1](spark, rows, SMOKE)
     assert placed.count() == rows.count() and {"slot", "shard_id"} <= set(placed.columns)
+
+
+def test_pipeline_run_is_brute_force(spark, tmp_path):
+    """run() over planted copies, benchmark passages and toxic texts against plain Python (with the network's scores)
+    and the SQL of mixing and sharding."""
+    import corpus_pipeline as cp
+    import duckdb
+    from recordsync.llm import maglev
+
+    texts, labels = toxic_texts(240, 11)
+    rng = np.random.default_rng(12)
+    passages = [" ".join(f"q{i}w{j}" for j in range(14)) for i in range(3)]
+    clean = [t for t, x in zip(texts, labels) if not x]
+    near = [t + " tail" for t in clean[:25]] + clean[25:35]
+    leaks = [f"{clean[40 + i]} {passages[i % 3][: 40 + 10 * i]} end{i}" for i in range(9)]
+    rows = [(i, t, str(rng.choice(["en", "de"])), str(rng.choice(["web", "book", "wiki"]))) for i, t in enumerate(texts + near + leaks)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(labels[i])) for i in range(240)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    net, _ = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    scores = net.scores(pa.array([r[1] for r in rows]))
+    left = [r for r, s in zip(rows, scores) if s < toxicity.THRESHOLD]
+    assert 100 < len(left) < len(rows) - 40
+
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+    sets, group = [shingles(r[1]) for r in left], list(range(len(left)))
+    for i in range(len(left)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    kept = [r for i, r in enumerate(left) if group[i] == i]
+    assert len(kept) < len(left)
+
+    def tens(t):
+        w = t.split()
+        return {tuple(w[i:i + 10]) for i in range(len(w) - 9)}
+    asked = set().union(*map(tens, passages))
+    pure = [r for r in kept if not tens(r[1]) & asked]
+    assert 0 < len(kept) - len(pure) <= 9
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", pure)
+    mixed = {r[0] for r in con.execute(f"SELECT doc_id FROM ({raking.op5_sql()}) WHERE selected").fetchall()}
+    slots = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, slot, shard_id FROM ({maglev.op7_sql()})").fetchall()}
+    want = sorted((*r, *slots[r[0]]) for r in pure if r[0] in mixed)
+    got = sorted(tuple(r) for r in cp.run(spark, str(tmp_path)).select("doc_id", "text", "lang", "source", "slot", "shard_id").collect())
+    assert got == want and want
