@@ -73,9 +73,8 @@ def test_rules_are_ordered_and_within_reach():
     assert len(table) > 300 and [r.order for r in table] == list(range(len(table)))
     assert [r.level for r in table] == sorted(r.level for r in table)
     for r in table:
-        before, after = re.sub(r"\{\d,(\d)\}", lambda m: "+" * int(m.group(1)), r.pattern).split(">")
-        for side in (before, after):
-            assert side.count(" ") + 2 * side.count("+") <= REACH, r
+        widest = re.sub(r"\(\?: \[\^ \]\+\)\{\d,(\d)\}", lambda m: " w" * int(m.group(1)), r.pattern)
+        assert all(side.count(" ") <= REACH for side in widest.split(">")), r
 
 
 @pytest.mark.parametrize("text,label", [
