@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (dom_model, hard_negatives, jaccard_join, lattice, license_scan, line_index, lsh_forest, maglev,
-               piece_counts, raking, toxicity, winnowing)
+from . import (conversation_repair, dom_model, hard_negatives, jaccard_join, lattice, license_scan, line_index,
+               lsh_forest, maglev, piece_counts, raking, toxicity, winnowing)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op9_dom_model": dom_model.op9_dom_model,
         "op10_lattice": lattice.op10_lattice,
         "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_conversation_repair": conversation_repair.op12_conversation_repair,
         "op13_license_scan": license_scan.op13_license_scan,
     }
 
@@ -36,5 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_index": line_index.OP6_SQL,
         "op7_maglev_sharding": maglev.op7_sql(),
         "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op12_conversation_repair": conversation_repair.OP12_SQL,
         "op13_license_scan": license_scan.op13_sql(),
     }
