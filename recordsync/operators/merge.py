@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_key, stage_ordinal
+from .contacts import contact_merge  # noqa: F401
 from .joins import last_per_key
-from .quality import assign_ids
 
 
 def merge_snapshot(target: DataFrame, changes: DataFrame, keys: list[str], update_cols: list[str] | None = None,
@@ -115,76 +115,6 @@ def contact_route(incoming: DataFrame, target: DataFrame, email_col: str = "emai
                         .when(m == 0, "insert").when(m == 1, "update").otherwise("ambiguous")))
 
 
-def contact_merge(target: DataFrame, changes: DataFrame, order: str = "id_crm") -> DataFrame:
-    """Contact upsert/delete, in the arrival order of the changes.
-
-    ``target``: (code, name, email, phone, job_title_desc, branch_client,
-    is_primary, id_crm); ``changes``: (client, name, email, phone, job_title,
-    is_primary, id_crm, op) and ``order``, which is unique.  Op 'D' deletes the contacts with
-    the CRM id or the lower-case e-mail.  Any other op needs a client: where
-    contacts have the e-mail at that time, they and those with the CRM id are
-    updated; else (also without an e-mail) a contact is inserted, unless its
-    CRM id exists (M15).
-
-    Changes of one e-mail act in order: after its last delete the first add
-    inserts (without a delete only where the target lacks the e-mail), and the
-    last one sets the values.  CRM ids are matched with the target as it was
-    before the batch.  The target is read once for both keys of its rows.
-    """
-    ch = changes.withColumn("_cem", F.lower("email")).withColumn("_o", F.col(order))
-    is_del = F.coalesce(F.col("op"), F.lit("A")) == "D"
-    adds = ch.where(~is_del & F.col("client").isNotNull())
-    dels = ch.where(is_del)
-    t = target.withColumn("_em", F.lower("email"))
-    has = t.where(F.col("_em").isNotNull()).groupBy("_em").agg(F.lit(True).alias("_known"))
-    last_del = dels.where(F.col("_cem").isNotNull()).groupBy("_cem").agg(F.max("_o").alias("_del"))
-
-    # Adds after the last delete of their e-mail are what is left of it.
-    live = (adds.where(F.col("_cem").isNotNull()).join(last_del, "_cem", "left")
-            .where(F.col("_del").isNull() | (F.col("_o") > F.col("_del"))))
-    values = ["name", "phone", "job_title", "is_primary", "id_crm"]
-    row = F.struct("client", *values)
-    per_mail = live.groupBy("_cem", F.col("_del").isNotNull().alias("_gone")).agg(
-        F.min_by(row, "_o").alias("_first"), F.max_by(row, "_o").alias("_last"), F.max("_o").alias("_at"),
-        F.count(F.lit(1)).alias("_n")).join(has.withColumnRenamed("_em", "_cem"), "_cem", "left")
-    updates = F.coalesce(F.col("_known"), F.lit(False)) & ~F.col("_gone")
-
-    # What each target row meets: deletes by either key, updates by e-mail or by CRM id.
-    by_mail = per_mail.where(updates).select(F.col("_cem").alias("_em"), F.col("_last").alias("_m"), F.col("_at").alias("_mo"))
-    inserting = per_mail.where(~updates).select("_cem", F.col("_first.id_crm").alias("_iid"))
-    by_id = live.join(inserting, (live["_cem"] == inserting["_cem"]) & live["id_crm"].eqNullSafe(F.col("_iid")), "left_anti")
-    by_id = by_id.where(F.col("id_crm").isNotNull()).groupBy(F.col("id_crm").alias("_cid")).agg(
-        F.max_by(row, "_o").alias("_i"), F.max("_o").alias("_io"))
-    del_id = dels.where(F.col("id_crm").isNotNull()).select(F.col("id_crm").alias("_did")).distinct()
-    kept = (t.join(last_del.select(F.col("_cem").alias("_em")), "_em", "left_anti")
-            .join(del_id, F.col("id_crm") == F.col("_did"), "left_anti")
-            .join(by_mail, "_em", "left").join(by_id, F.col("id_crm") == F.col("_cid"), "left"))
-    use_id = F.col("_io").isNotNull() & (F.col("_mo").isNull() | (F.col("_io") > F.col("_mo")))
-    kept = kept.withColumn("_u", F.when(use_id, F.col("_i")).otherwise(F.col("_m")))
-
-    def to(value: Column, old: str) -> Column:
-        return F.when(F.col("_u").isNotNull(), value).otherwise(F.col(old)).alias(old)
-    updated = kept.select(
-        "code", to(F.col("_u.name"), "name"), "email", to(F.col("_u.phone"), "phone"),
-        to(F.upper("_u.job_title"), "job_title_desc"), "branch_client", to(F.col("_u.is_primary"), "is_primary"),
-        to(F.col("_u.id_crm"), "id_crm"))
-
-    title = F.when(F.col("_n") > 1, F.upper("_last.job_title")).otherwise(F.col("_last.job_title"))
-    mailed = per_mail.where(~updates).select(
-        F.col("_last.name").alias("name"), F.col("_cem").alias("email"), F.col("_last.phone").alias("phone"),
-        title.alias("job_title_desc"), F.col("_first.client").alias("branch_client"),
-        F.col("_last.is_primary").alias("is_primary"), F.col("_last.id_crm").alias("id_crm"),
-        F.col("_first.id_crm").alias("_iid"))
-    unmailed = adds.where(F.col("_cem").isNull()).select(
-        "name", "email", "phone", F.col("job_title").alias("job_title_desc"), F.col("client").alias("branch_client"),
-        "is_primary", "id_crm", F.col("id_crm").alias("_iid"))
-    new = mailed.unionByName(unmailed).join(
-        updated.select(F.col("id_crm").alias("_x")).where(F.col("_x").isNotNull()), F.col("_iid") == F.col("_x"), "left_anti")
-    start = target.agg(F.coalesce(F.max("code"), F.lit(0)).cast("bigint")).scalar()
-    ins = assign_ids(new, start, ["_iid", "email"], "code")
-    return updated.unionByName(ins.select(*updated.columns))
-
-
 def write_back(target: DataFrame, pairs: DataFrame, target_key: Column, pair_key: str,
                sets: dict[str, Column]) -> DataFrame:
     """M7/M8: ``UPDATE target SET ... WHERE key = pair.key`` as a left join.

@@ -232,41 +232,33 @@ ORACLE.update({
         ELSE stage END AS stage FROM leads""",
     "stage_route": """SELECT doc_id, lead_id, stage, CASE WHEN stage = 'Desenvolvimento/Orçamento' THEN 'insert_lead'
         WHEN stage = 'Ativação' THEN 'update_stage' ELSE 'ignore' END AS action FROM webhook_docs""",
-    # The changes of an address are applied one after the other: what is left of its contacts (orig, and
-    # whether a change set their values), and a new contact with its values.
-    "contact_merge": """WITH RECURSIVE asked AS (
-            SELECT *, lower(email) AS cem, row_number() OVER (PARTITION BY lower(email) ORDER BY id_crm) AS k FROM incoming_contacts),
-        state AS (
-            SELECT cem, 0::BIGINT AS k, cem IN (SELECT lower(email) FROM contact WHERE email IS NOT NULL) AS orig, false AS was_set,
-                   false AS fresh, NULL::BIGINT AS owner, NULL::BIGINT AS first_id, NULL::VARCHAR AS name, NULL::VARCHAR AS phone,
-                   NULL::VARCHAR AS title, NULL::VARCHAR AS prim, NULL::BIGINT AS id_crm
-            FROM (SELECT DISTINCT cem FROM asked WHERE cem IS NOT NULL)
+    # A plain replay: eight changes, whose addresses and CRM ids no others have, are applied one by one to the contacts
+    # of their block; a marker row stands for the block, from which contacts are inserted.
+    "contact_merge": """WITH RECURSIVE state AS (
+            SELECT code // 8 AS block, 0 AS k, false AS marker, code, name, email, phone, job_title_desc, branch_client, is_primary,
+                   id_crm, NULL::BIGINT AS arrived
+            FROM contact
             UNION ALL
-            SELECT s.cem, a.k, s.orig AND a.op <> 'D', s.was_set AND a.op <> 'D' OR s.orig AND a.op <> 'D',
-                   a.op <> 'D' AND (s.fresh OR NOT s.orig),
-                   CASE WHEN s.fresh THEN s.owner ELSE a.lead_id END, CASE WHEN s.fresh THEN s.first_id ELSE a.id_crm END,
-                   a.name, a.phone, CASE WHEN s.orig OR s.fresh THEN upper(a.job_title) ELSE a.job_title END,
-                   CASE WHEN a.is_primary THEN 'S' ELSE 'N' END, a.id_crm
-            FROM state s JOIN asked a ON a.cem = s.cem AND a.k = s.k + 1),
-        ended AS (SELECT * FROM state QUALIFY row_number() OVER (PARTITION BY cem ORDER BY k DESC) = 1),
-        left_over AS (
-            SELECT c.code, CASE WHEN e.was_set THEN e.name ELSE c.name END AS name, c.email,
-                   CASE WHEN e.was_set THEN e.phone ELSE c.phone END AS phone,
-                   CASE WHEN e.was_set THEN e.title ELSE c.job_title_desc END AS job_title_desc, c.branch_client,
-                   CASE WHEN e.was_set THEN e.prim ELSE c.is_primary END AS is_primary,
-                   CASE WHEN e.was_set THEN e.id_crm ELSE c.id_crm END AS id_crm
-            FROM contact c LEFT JOIN ended e ON lower(c.email) = e.cem
-            WHERE coalesce(e.orig, true) AND (c.id_crm IS NULL OR c.id_crm NOT IN (SELECT id_crm FROM asked WHERE op = 'D'))),
-        added AS (
-            SELECT first_id, name, cem AS email, phone, title AS job_title_desc, owner AS branch_client, prim AS is_primary, id_crm
-            FROM ended WHERE fresh
+            SELECT DISTINCT seq // 8, 0, true, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM contact_changes
             UNION ALL
-            SELECT id_crm, name, NULL, phone, job_title, lead_id, CASE WHEN is_primary THEN 'S' ELSE 'N' END, id_crm
-            FROM asked WHERE cem IS NULL AND op <> 'D' AND lead_id IS NOT NULL)
-        SELECT * FROM left_over
-        UNION ALL
-        SELECT (SELECT max(code) FROM contact) + row_number() OVER (ORDER BY first_id), name, email, phone, job_title_desc,
-               branch_client, is_primary, id_crm FROM added WHERE first_id NOT IN (SELECT id_crm FROM left_over WHERE id_crm IS NOT NULL)""",
+            SELECT block, k + 1, marker AND copy = 0, CASE WHEN copy = 0 THEN code END, CASE WHEN sets THEN c_name ELSE name END,
+                   CASE WHEN copy = 1 THEN lower(c_email) ELSE email END, CASE WHEN sets THEN c_phone ELSE phone END,
+                   CASE WHEN copy = 1 THEN c_title WHEN sets THEN upper(c_title) ELSE job_title_desc END,
+                   CASE WHEN copy = 1 THEN client ELSE branch_client END, CASE WHEN sets THEN c_primary ELSE is_primary END,
+                   CASE WHEN sets THEN c_id ELSE id_crm END, CASE WHEN copy = 1 THEN seq ELSE arrived END
+            FROM (SELECT *, unnest(CASE WHEN marker AND adds AND NOT mailed AND NOT numbered THEN [0, 1] ELSE [0] END) AS copy,
+                         copy = 1 OR adds AND mailed AND meets AS sets
+                  FROM (SELECT s.*, a.seq, a.client, a.name AS c_name, a.email AS c_email, a.phone AS c_phone, a.job_title AS c_title,
+                               a.is_primary AS c_primary, a.id_crm AS c_id, ifnull(a.op, 'A') <> 'D' AND a.client IS NOT NULL AS adds,
+                               ifnull(lower(s.email) = lower(a.email), false) OR ifnull(s.id_crm = a.id_crm, false) AS meets,
+                               ifnull(bool_or(lower(s.email) = lower(a.email)) OVER w, false) AS mailed,
+                               ifnull(bool_or(s.id_crm = a.id_crm) OVER w, false) AS numbered, ifnull(a.op = 'D', false) AS deletes
+                        FROM state s LEFT JOIN contact_changes a ON a.seq = s.block * 8 + s.k WHERE s.k < 8
+                        WINDOW w AS (PARTITION BY s.block))
+                  WHERE NOT (deletes AND meets)))
+        SELECT coalesce(code, (SELECT max(code) FROM contact) + row_number() OVER (PARTITION BY code IS NULL ORDER BY arrived)) AS code,
+               name, email, phone, job_title_desc, branch_client, is_primary, id_crm
+        FROM state WHERE k = 8 AND NOT marker""",
     "store_crm_id": """SELECT b.client, b.code, b.taxid, CASE WHEN p.taxid IS NOT NULL THEN p.id_crm ELSE b.id_crm END AS id_crm,
         CASE WHEN p.taxid IS NOT NULL THEN true ELSE b.integrate_crm END AS integrate_crm
         FROM branches b LEFT JOIN (SELECT cnpj AS taxid, max(id) AS id_crm FROM crm_export WHERE cnpj IS NOT NULL GROUP BY cnpj) p

@@ -80,26 +80,33 @@ STANDINS = {
         o_orderkey AS soi_number, o_orderdate AS create_date,
         CASE WHEN o_orderstatus = 'F' THEN 'C' ELSE o_orderstatus END AS status FROM orders""",
     "contact": """SELECT event_id AS code, 'Contact ' || event_id::VARCHAR AS name,
-        'u' || (event_id // 4)::VARCHAR || '@x.org' AS email, '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
+        'u' || (event_id - CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END)::VARCHAR || '@x.org' AS email, '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Buyer' END AS job_title_desc,
         (event_id % 4)::BIGINT AS job_title_code, user_id AS branch_client, 1::BIGINT AS branch_code,
         CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id END AS id_crm,
         CASE WHEN event_id % 2 = 0 THEN 'S' ELSE 'N' END AS is_primary
-        FROM events WHERE event_type = 'signup'""",
+        FROM events""",
     "contact_job_titles": """SELECT r_regionkey::BIGINT AS job_title_code, upper(r_name[1]) || lower(r_name[2:]) AS title
         FROM region WHERE r_regionkey < 3""",
     "contacts": """SELECT event_id AS id,
         CASE WHEN event_id % 7 = 0 THEN 'Contato ' || event_id::VARCHAR ELSE 'contact ' || event_id::VARCHAR END AS name,
-        'u' || (event_id // 4)::VARCHAR || '@x.org' AS email, '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
+        'u' || (event_id - CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END)::VARCHAR || '@x.org' AS email, '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'buyer' END AS job_title,
         user_id::VARCHAR AS client_code, (event_id % 2 = 0) AS is_primary
-        FROM events WHERE event_type = 'signup' AND event_id % 5 <> 0""",
+        FROM events WHERE event_id % 5 <> 0""",
     "incoming_contacts": """SELECT event_id AS id_crm, 'Contact ' || event_id::VARCHAR AS name,
-        CASE WHEN event_id % 9 = 0 THEN NULL ELSE upper('u' || (event_id // 4)::VARCHAR || '@x.org') END AS email,
+        CASE WHEN event_id % 9 = 0 THEN NULL ELSE upper('u' || (event_id - event_id % 8 + event_id % 4)::VARCHAR || '@x.org') END AS email,
         '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone, 'Buyer' AS job_title, user_id AS lead_id,
         (event_id % 2 = 0) AS is_primary, CASE WHEN event_id % 10 = 3 THEN 'D' ELSE 'A' END AS op,
         CASE WHEN event_id % 29 <> 0 THEN lpad(user_id::VARCHAR, 14, '0') END AS lead_taxid
-        FROM events WHERE event_type = 'click'""",
+        FROM events""",
+    "contact_changes": """SELECT event_id AS seq, CASE WHEN event_id % 31 <> 0 THEN user_id END AS client,
+        'Change ' || event_id::VARCHAR AS name,
+        CASE WHEN event_id % 9 <> 0 THEN upper('u' || (event_id - event_id % 8 + event_id % 8 // 3)::VARCHAR || '@x.org') END AS email,
+        '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone, CASE WHEN event_id % 4 <> 0 THEN 'Buyer' END AS job_title,
+        CASE WHEN event_id % 2 = 0 THEN 'S' ELSE 'N' END AS is_primary,
+        CASE WHEN event_id % 11 <> 0 THEN event_id - event_id % 8 + event_id % 4 * 2 + 1 END AS id_crm,
+        CASE WHEN event_id % 10 = 3 THEN 'D' WHEN event_id % 13 <> 0 THEN 'A' END AS op FROM events""",
     "leads": f"""SELECT c_custkey AS id,
         CASE WHEN c_custkey % 7 = 0 THEN c_name || ' LTDA' ELSE c_name END AS name,
         {_STAGE_LIST}[(c_custkey % 8 + 1)::INTEGER] AS stage,
@@ -179,13 +186,13 @@ STANDINS = {
                    ifnull(any_value(word) FILTER (fact = 'kept'), 'N') AS has_retention,
                    any_value(word) FILTER (fact = 'rep') AS sales_rep_email
             FROM client_facts GROUP BY client_code) f ON f.code = b.client_code""",
-    "vw_contacts": """SELECT event_id AS id, concat('Contact ', event_id) AS name, concat('u', event_id // 4, '@x.org') AS email,
+    "vw_contacts": """SELECT event_id AS id, concat('Contact ', event_id) AS name, concat('u', if(event_id % 4 = 3, event_id - 1, event_id), '@x.org') AS email,
         '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone,
         CASE WHEN event_id % 3 <> 0 THEN 'Buyer' WHEN event_id % 4 < 3
              THEN (SELECT any_value(r_name[1] || lower(r_name[2:])) FROM region WHERE r_regionkey = event_id % 4) END AS job_title,
         lpad(user_id::VARCHAR, 14, '0') AS client_taxid, CASE WHEN event_id % 5 <> 0 THEN event_id END AS id_crm,
         ['S', 'N'][event_id % 2 + 1] AS is_primary
-        FROM events WHERE event_type = 'signup' AND user_id IN (SELECT c_custkey FROM customer)""",
+        FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
     # ---- the two sides of the change sets ----------------------------------------------------------------
     "lead_a": f"""SELECT {', '.join(LEAD_DIFF_COLS)} FROM (
         SELECT * REPLACE (upper(name) AS name, lpad(taxid, 14, '0') AS taxid, upper(address_street) AS address_street,
@@ -344,11 +351,11 @@ STANDINS.update({
 
 STANDINS.update({
     "crm_contacts": """SELECT event_id AS id, user_id AS leadId, 'Contact ' || event_id::VARCHAR AS name,
-        CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'u' || (event_id // 4)::VARCHAR || '@x.org' END AS email,
+        CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'u' || (event_id - CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END)::VARCHAR || '@x.org' END AS email,
         '5521' || lpad(event_id::VARCHAR, 8, '0') AS phone1,
         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Buyer' END AS jobTitle,
         CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS mainContact
-        FROM events WHERE event_type = 'signup'""",
+        FROM events""",
     "lead_docs": """SELECT c_custkey AS id, list_filter([
         {'id': '_cod.gestores', 'value': (c_custkey % 10)::VARCHAR},
         {'id': '_inscricaoestadual', 'value': CASE WHEN c_custkey % 3 = 0 THEN 'ISENTO' WHEN c_custkey % 7 = 0 THEN '99'

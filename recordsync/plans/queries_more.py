@@ -12,6 +12,7 @@ from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import setops as S
+from ..operators.contacts import CONTACT
 from ..schemas import (ACTIVATION_STAGE, BUDGET_STAGE, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP,
                        CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, LEAD_DIFF_COLS, MAX_LEN, RENAME_MAP,
                        STAGES_CANONICAL, SYNCED_STAGES)
@@ -424,10 +425,8 @@ def _partial_update(t: DomainTables) -> DataFrame:
 
 @register("contact_merge")
 def _contact_merge(t: DomainTables) -> DataFrame:
-    ch = t.incoming_contacts.select(F.col("lead_id").alias("client"), "name", "email", "phone", "job_title",
-                                    F.when(F.col("is_primary"), "S").otherwise("N").alias("is_primary"), "id_crm", "op")
-    tgt = t.contact.select("code", "name", "email", "phone", "job_title_desc", "branch_client", "is_primary", "id_crm")
-    return M.contact_merge(tgt, ch)
+    """Contact changes applied in the order they arrive."""
+    return M.contact_merge(t.contact.select(*CONTACT), t.contact_changes, "seq")
 
 
 @register("store_crm_id")

@@ -15,7 +15,7 @@ Mapping (one rule per table):
 * person / sales_order / items / deliveries <- customer / orders / lineitem
 * budget / budget items / tiers / deliveries <- orders / lineitem
 * service orders <- orders
-* ERP contacts / CRM contacts / incoming contacts <- events (signup / click)
+* ERP contacts / CRM contacts / incoming contacts / contact changes <- events
 * leads (CRM copy of the ERP clients) <- customer with rule-based drift
 """
 
@@ -274,23 +274,24 @@ class DomainTables:
                         F.when(o.o_orderstatus == "F", "C").otherwise(o.o_orderstatus).alias("status"))
 
     # ---- contacts --------------------------------------------------------
-    def _signups(self) -> DataFrame:
-        e = self.raw("events")
-        return e.where(e.event_type == "signup")
-
     @staticmethod
-    def _email(event_id: Column) -> Column:
-        return F.concat(F.lit("u"), F.floor(event_id / 4).cast("string"), F.lit("@x.org"))
+    def _email(number: Column) -> Column:
+        return F.concat(F.lit("u"), number.cast("string"), F.lit("@x.org"))
+
+    @classmethod
+    def _own_email(cls, k: Column) -> Column:
+        """Of four contacts the last shares the third's address, so addresses have 0, 1 or 2 contacts."""
+        return cls._email(k - F.when(k % 4 == 3, 1).otherwise(0))
 
     @cached_property
     def contact(self) -> DataFrame:
         """ERP contact table."""
-        e = self._signups()
+        e = self.raw("events")
         k = e.event_id
         return e.select(
             k.alias("code"),
             F.concat(F.lit("Contact "), k.cast("string")).alias("name"),
-            self._email(k).alias("email"),
+            self._own_email(k).alias("email"),
             F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone"),
             F.when(k % 3 == 0, F.lit(None)).otherwise(F.lit("Buyer")).alias("job_title_desc"),
             (k % 4).cast("bigint").alias("job_title_code"),
@@ -309,13 +310,13 @@ class DomainTables:
     @cached_property
     def contacts(self) -> DataFrame:
         """CRM copy of the contacts (drifts from the ERP by rule)."""
-        e = self._signups().where(F.col("event_id") % 5 != 0)
+        e = self.raw("events").where(F.col("event_id") % 5 != 0)
         k = e.event_id
         return e.select(
             k.alias("id"),
             F.when(k % 7 == 0, F.concat(F.lit("Contato "), k.cast("string")))
              .otherwise(F.concat(F.lit("contact "), k.cast("string"))).alias("name"),
-            self._email(k).alias("email"),
+            self._own_email(k).alias("email"),
             F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone"),
             F.when(k % 3 == 0, F.lit(None)).otherwise(F.lit("buyer")).alias("job_title"),
             e.user_id.cast("string").alias("client_code"),
@@ -324,13 +325,13 @@ class DomainTables:
 
     @cached_property
     def incoming_contacts(self) -> DataFrame:
-        """Contacts arriving from the CRM (click events)."""
-        e = self.raw("events").where(F.col("event_type") == "click")
+        """Contacts arriving from the CRM; of eight, four addresses, each twice."""
+        e = self.raw("events")
         k = e.event_id
         return e.select(
             k.alias("id_crm"),
             F.concat(F.lit("Contact "), k.cast("string")).alias("name"),
-            F.when(k % 9 == 0, F.lit(None)).otherwise(F.upper(self._email(k))).alias("email"),
+            F.when(k % 9 == 0, F.lit(None)).otherwise(F.upper(self._email(k - k % 8 + k % 4))).alias("email"),
             F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone"),
             F.lit("Buyer").alias("job_title"),
             e.user_id.alias("lead_id"),
@@ -339,6 +340,18 @@ class DomainTables:
             F.when(k % 29 != 0, F.lpad(e.user_id.cast("string"), 14, "0")).alias("lead_taxid"),
         )
 
+    @cached_property
+    def contact_changes(self) -> DataFrame:
+        """Contact changes as they arrive (seq): of eight, addresses and CRM ids recur and cross; either may lack."""
+        e = self.raw("events")
+        k = e.event_id
+        return e.select(
+            k.alias("seq"), F.when(k % 31 != 0, e.user_id).alias("client"), F.concat(F.lit("Change "), k.cast("string")).alias("name"),
+            F.when(k % 9 != 0, F.upper(self._email(k - k % 8 + F.floor(k % 8 / 3)))).alias("email"),
+            F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone"),
+            F.when(k % 4 != 0, F.lit("Buyer")).alias("job_title"), F.when(k % 2 == 0, "S").otherwise("N").alias("is_primary"),
+            F.when(k % 11 != 0, k - k % 8 + (k % 4) * 2 + 1).alias("id_crm"), F.when(k % 10 == 3, "D").when(k % 13 != 0, "A").alias("op"))
+
     # ---- CRM leads -------------------------------------------------------
     @cached_property
     def leads(self) -> DataFrame:
@@ -453,12 +466,12 @@ class DomainTables:
     @cached_property
     def crm_contacts(self) -> DataFrame:
         """CRM contact export (CRM field names), one row per contact."""
-        e = self._signups()
+        e = self.raw("events")
         k = e.event_id
         return e.select(
             k.alias("id"), e.user_id.alias("leadId"),
             F.concat(F.lit("Contact "), k.cast("string")).alias("name"),
-            F.when(k % 9 == 0, F.lit(None)).otherwise(self._email(k)).alias("email"),
+            F.when(k % 9 == 0, F.lit(None)).otherwise(self._own_email(k)).alias("email"),
             F.concat(F.lit("5521"), F.lpad(k.cast("string"), 8, "0")).alias("phone1"),
             F.when(k % 3 == 0, F.lit(None)).otherwise(F.lit("Buyer")).alias("jobTitle"),
             F.when(k % 2 == 0, "true").otherwise("false").alias("mainContact"),
@@ -530,7 +543,7 @@ STAGE_KEYS = {
     "budget_item_delivery": "bit_bdg_number", "budget_item_quantity": "bit_bdg_number",
     "budget_item_quant_delivery": "bid_bdg_number", "service_order": "number", "service_order_item": "soi_number",
     "contact": "branch_client", "contact_job_titles": "job_title_code", "contacts": "id",
-    "incoming_contacts": "id_crm", "leads": "id", "crm_export": "id", "custom_field_rows": "leadId",
+    "incoming_contacts": "id_crm", "contact_changes": "seq", "leads": "id", "crm_export": "id", "custom_field_rows": "leadId",
     "sale_lines": "lead_id", "crm_contacts": "id", "lead_docs": "id", "webhook_docs": "lead_id",
 }
 
