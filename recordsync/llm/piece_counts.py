@@ -5,28 +5,37 @@ can be cut wherever two neighbours occur in no piece of the vocabulary, and
 its count is the sum of the parts' counts: between a character and the spaces
 that follow it, around a newline, and between an ASCII letter and an ASCII
 punctuation mark.  Each cut is proved against the vocabulary when it is loaded;
-one that a piece spans is not made.  The parts (pre-tokens) are grouped over
-the corpus, each distinct one is counted once by the library, and documents
-sum the counts of their pre-tokens without materialising ids.
+one that a piece spans is not made.  Each text is cut once into its distinct parts
+(pre-tokens) and their frequencies; each distinct one of the corpus is counted
+once by the library, and documents sum frequency times count over their
+pre-tokens without materialising ids.
 
 Defined cases: a null or empty text has 0 tokens; repeated rows get equal
-counts; an empty table gives no rows.
+counts; an empty table gives no rows; a very long text without spaces is one
+pre-token, which is joined by its hash; columns with the names of new
+ones are replaced.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import read, row_key, written
-from .token_sums import sums
+from . import token_sums
+from .common import read, written
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
+#: Characters of text cut at once (a longer text is a chunk of its own).
+CHUNK = 1 << 20
 
 _SPACE = " ▁"  # the library writes a space as the second of these
 _LETTER = "A-Za-z"
@@ -76,10 +85,41 @@ def pretoken_pattern(name: str = MODEL) -> str:
     return f"[{_SPACE}]*(?:{run}(?:{other}{run}?)*|(?:{other}{run}?)+)|[{_SPACE}]+|\n"
 
 
-def pretokens(text: Column, name: str = MODEL) -> Column:
-    """The pre-tokens in order; the library puts one space before a text that isn't empty."""
-    whole = F.when(F.length(text) > 0, F.concat(F.lit(" "), text)).otherwise(F.lit(""))
-    return F.regexp_extract_all(whole, F.lit(pretoken_pattern(name)), F.lit(0))
+def cut(rows: DataFrame, name: str = MODEL) -> DataFrame:
+    """``rows`` with ``tokens``, the distinct pre-tokens of ``__text``, and ``times``, how often each, in its place.
+
+    The library puts one space before a text that isn't empty."""
+    pattern = pretoken_pattern(name)
+    kept = rows.drop("__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = re.compile(pattern).findall
+        for batch in batches:
+            texts, start, held = batch.column("__text").to_pylist(), 0, 0
+            others = batch.drop_columns("__text")
+            for end, text in enumerate(texts, 1):
+                held += len(text or "")
+                if held > CHUNK or end == len(texts):
+                    yield counted(others.slice(start, end - start), texts[start:end], find)
+                    start, held = end, 0
+
+    def counted(others: pa.RecordBatch, texts: list[str | None], find: Callable) -> pa.RecordBatch:
+        tokens: list[str] = []
+        times: list[int] = []
+        ends = [0]
+        for text in texts:
+            met = Counter(find(" " + text)) if text else {}
+            tokens += met.keys()
+            times += met.values()
+            ends.append(len(tokens))
+        ends = pa.array(ends, pa.int32())
+        return pa.RecordBatch.from_arrays([*others.columns, pa.ListArray.from_arrays(ends, pa.array(tokens, pa.string())),
+                                           pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))],
+                                          [*others.schema.names, "tokens", "times"])
+
+    made = StructType([*kept.schema.fields, StructField("tokens", ArrayType(StringType())),
+                       StructField("times", ArrayType(IntegerType()))])
+    return rows.mapInArrow(run, made)
 
 
 def _count_pieces(name: str):
@@ -97,17 +137,24 @@ def count_tokens(docs: DataFrame, text: str = "text", name: str = MODEL, limit:
     """The columns ``keep`` of ``docs`` (all, if None) with n_bytes, n_tokens and over_limit."""
     made = ["n_bytes", "n_tokens", "over_limit"]
     kept = [f"`{c}`" for c in (docs.columns if keep is None else keep) if c.lower() not in made]
-    key = row_key(*[F.col(f"`{c}`") for c in docs.columns if dict(docs.dtypes)[c] in ("string", "bigint", "int")])
-    parts = docs.select(*key, pretokens(F.col(f"`{text}`"), name).alias("tokens"))
-    freqs = parts.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    body = F.col(f"`{text}`")
+    listed = docs.select(*kept, F.coalesce(F.octet_length(body), F.lit(0)).cast("long").alias("n_bytes"), body.alias("__text"),
+                         F.monotonically_increasing_id().alias("__row"))
+    parts = written(cut(listed, name))  # texts are read and cut once
+    met = parts.select("__row", F.inline(F.arrays_zip("tokens", "times"))).withColumnRenamed("tokens", "token")
+    freqs = met.groupBy("token").agg(F.sum("times").alias("freq"))
     values = written(freqs.mapInPandas(_count_pieces(name), "token string, freq long, n_tokens int"))
-    counted = sums(parts, values, ["n_tokens"]).select(
-        F.col("k1").alias("__c1"), F.col("k2").alias("__c2"), F.round("n_tokens").cast("long").alias("__n"))
-    rows = docs.select(*kept, F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long").alias("n_bytes"),
-                       key[0].alias("__k1"), key[1].alias("__k2"))
-    joined = rows.join(counted, (F.col("__k1") == F.col("__c1")) & (F.col("__k2") == F.col("__c2")), "left")
+    keyed = values.select(token_sums.join_key(F.col("token")).alias("key"), "freq", "n_tokens")
+    in_head = F.col("freq") >= token_sums.head_frequency(values, token_sums.HEAD)
+    known = F.broadcast(keyed.where(in_head).drop("freq"))
+    looked = met.select("__row", "times", token_sums.join_key(F.col("token")).alias("key")).join(known, "key", "left")
+    uses = (F.col("n_tokens") * F.col("times")).cast("long")
+    common = looked.where(F.col("n_tokens").isNotNull()).groupBy("__row").agg(F.sum(uses).alias("n"))
+    rare = looked.where(F.col("n_tokens").isNull()).drop("n_tokens").join(
+        keyed.where(~in_head).drop("freq").hint("shuffle_hash"), "key")
+    sums = common.unionByName(rare.groupBy("__row").agg(F.sum(uses).alias("n"))).groupBy("__row").agg(F.sum("n").alias("__n"))
     n = F.coalesce("__n", F.lit(0))
-    return joined.select(*kept, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
+    return parts.join(sums, "__row", "left").select(*kept, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
 
 
 def op4_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

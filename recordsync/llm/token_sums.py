@@ -2,18 +2,19 @@
 
 The value is worked out once per distinct token; documents join to it.  The
 most frequent tokens make up most of all occurrences; up to ``HEAD`` of them
-are broadcast, so they cause no shuffle and no hot key.  The rest are counted
+are broadcast (long ones by a hash), so they cause no shuffle and no hot key.  The rest are counted
 per document and joined by a shuffle on the token; none of them is as frequent
 as the tokens of the head.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most tokens that are broadcast (about 100 bytes each in a hash relation).
+#: Most tokens that are broadcast, and the bytes beyond which a token is joined by its hash: a bound of some 30 MB.
 HEAD = 200_000
+KEY_BYTES = 64
 _STEPS = 16  # of the frequency histogram, for each doubling
 
 
@@ -29,6 +30,12 @@ def head_frequency(values: DataFrame, head: int) -> float:
     return 0.0
 
 
+def join_key(token: Column) -> Column:
+    """The token, or for a long one 128 bits of its hash, after more bytes than a short one has."""
+    hashed = F.concat(F.lit("\0" * KEY_BYTES), F.hex(F.xxhash64(F.lit(1), token)), F.hex(F.xxhash64(F.lit(2), token)))
+    return F.when(F.octet_length(token) <= KEY_BYTES, token).otherwise(hashed)
+
+
 def sums(tokens: DataFrame, values: DataFrame, names: list[str], head: int = HEAD) -> DataFrame:
     """(k1, k2, n_rows, names): each name of ``values`` summed over a document's tokens.
 
@@ -37,6 +44,7 @@ def sums(tokens: DataFrame, values: DataFrame, names: list[str], head: int = HEA
     it is counted once for every row, whether or not ``values`` has it.
     """
     every = tokens.select("k1", "k2", F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
+    every, values = (df.withColumn("token", join_key(F.col("token"))) for df in (every, values))
     least = head_frequency(values, head)
     in_head = (F.col("freq") >= least) | (F.col("token") == "")
     known = F.broadcast(values.where(in_head).select("token", F.lit(True).alias("__head"), *names))

@@ -1,6 +1,7 @@
 """Token counts, lattice scores, toxicity, mixing, nearest neighbours, pages and the pipeline."""
 
 import math
+import random
 import re
 
 import numpy as np
@@ -33,6 +34,23 @@ def test_token_counts_are_the_library_s(spark, monkeypatch):
     assert piece_counts.count_tokens(df.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("head", [200_000, 3])
+def test_token_counts_of_long_texts_without_spaces(spark, monkeypatch, head):
+    """Each is one pre-token of its own, joined by a key of bounded length; clashing columns are replaced."""
+    monkeypatch.setattr(token_sums, "HEAD", head)
+    lib = piece_counts._library(piece_counts.MODEL)
+    rnd = random.Random(1)
+    texts = ["".join(chr(rnd.randrange(0x4E00, 0x4E80)) for _ in range(400)) for _ in range(1000)]
+    texts = texts[:40] * 25 + texts[40:]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
+    want = {t: len(lib.encode(t)) for t in set(texts)}
+    out = piece_counts.count_tokens(df)
+    assert out.columns == ["doc_id", "text", "n_bytes", "n_tokens", "over_limit"]
+    assert all(r.n_tokens == want[r.text] and r.n_bytes == 1200 for r in out.collect())
+    keys = df.select(token_sums.join_key(F.col("text")).alias("key")).distinct()
+    assert keys.count() == len(want) and keys.agg(F.max(F.octet_length("key"))).first()[0] <= token_sums.KEY_BYTES + 32
+
+
 def brute_marginal(word, vocab, logs):
     """Sum over all segmentations, one by one."""
     pieces = {}
