@@ -22,7 +22,7 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def written(df: DataFrame, *partition_by: str) -> DataFrame:
+def written(df: DataFrame, *partition_by: str, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of the cluster, read back.
 
     Cuts the lineage (a lost executor rereads files, it does not recompute)
@@ -32,6 +32,7 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     schema = df.schema
     w = df.write.mode("error")
+    w = w.option("compression", compression) if compression else w
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(schema).parquet(path)
 

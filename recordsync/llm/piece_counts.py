@@ -140,7 +140,7 @@ def count_tokens(docs: DataFrame, text: str = "text", name: str = MODEL, limit:
     body = F.col(f"`{text}`")
     listed = docs.select(*kept, F.coalesce(F.octet_length(body), F.lit(0)).cast("long").alias("n_bytes"), body.alias("__text"),
                          F.monotonically_increasing_id().alias("__row"))
-    parts = written(cut(listed, name))  # texts are read and cut once
+    parts = written(cut(listed, name), compression="zstd")  # texts are read and cut once
     met = parts.select("__row", F.inline(F.arrays_zip("tokens", "times"))).withColumnRenamed("tokens", "token")
     freqs = met.groupBy("token").agg(F.sum("times").alias("freq"))
     values = written(freqs.mapInPandas(_count_pieces(name), "token string, freq long, n_tokens int"))
