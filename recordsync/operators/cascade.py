@@ -9,11 +9,14 @@ own change DataFrame derived from one frame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_key, strip_punct, taxid_key
-from ..schemas import DEFAULTS
+from ..functions.text import normalize_key, strip_punct, taxid_key, taxid_too_long
+from ..schemas import DEFAULTS, NEW_CLIENT_REGISTRATION
+from ..session import cut_lineage
 from .joins import first_per_key
 from .merge import resolve_city
 from .quality import assign_ids
@@ -27,7 +30,7 @@ def _ne(a: Column, b: Column) -> Column:
 def format_registration(reg: Column, state: Column) -> Column:
     """registration formatting by state.  The source's body is not
     available, so only punctuation is removed (documented gap)."""
-    return strip_punct(F.coalesce(reg, F.lit("EXEMPT")))
+    return strip_punct(F.coalesce(reg, F.lit(NEW_CLIENT_REGISTRATION)))
 
 
 def branch_update(matched: DataFrame, cities: DataFrame, states: DataFrame) -> DataFrame:
@@ -61,22 +64,46 @@ def branch_update(matched: DataFrame, cities: DataFrame, states: DataFrame) -> D
         addr.alias("address_changed"), rep.alias("rep_changed"), ind.alias("industry_changed"))
 
 
+def industry_change(matched: DataFrame, industries: DataFrame) -> DataFrame:
+    """The industry that a client-branch gets where its lead names another one than the ERP shows: the least code
+    of that name, else the default; of several leads of a branch the one with the greatest CRM id."""
+    code = industries.groupBy(normalize_key(F.col("description")).alias("_ki")).agg(F.min("industry").alias("_code"))
+    name = normalize_key(F.col("industry"))
+    changed = matched.where(_ne(normalize_key(F.col("erp_industry")), name)).join(code, name == F.col("_ki"), "left")
+    new = F.coalesce(F.col("_code"), F.lit(DEFAULTS["industry"]).cast("bigint"))
+    return changed.groupBy(F.col("erp_client_code").alias("client"), F.col("erp_branch_code").alias("branch")).agg(
+        F.max_by(new, F.col("id")).alias("industry"))
+
+
+def rejected_leads(changes: DataFrame) -> DataFrame:
+    """Leads whose tax id is longer than the ERP's 14 characters: the source cuts it and so hits another client; here
+    they act on nothing and are kept with the reason (one row per lead)."""
+    return changes.where(taxid_too_long("taxid")).select("id", "taxid", F.lit("taxid_too_long").alias("reason"))
+
+
 def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, states: DataFrame,
-                industries: DataFrame | None = None) -> dict[str, DataFrame]:
+                industries: DataFrame | None = None, claim: Callable[[int], int] | None = None) -> dict[str, DataFrame]:
     """M9: leads whose tax id has no ERP branch become new clients.
 
     One lead per tax id (lowest CRM id), codes ``max(client) + rank`` by tax
     id (no single-task window), then the rows for clients, branches, the
     rep link, the billing address, the industry and the credit history are
-    projections of the same frame.
+    projections of the same frame.  Leads without a usable tax id are no
+    clients (see ``rejected_leads``).  ``claim`` reserves so many codes and
+    gives the one before the first (for micro-batches, see ``IdLedger``).
     """
     known = branches.select(taxid_key(F.col("taxid")).alias("_tk")).where(F.col("_tk").isNotNull())
-    c = changes.where(F.col("taxid").isNotNull()).withColumn("_tk", taxid_key(F.col("taxid")))
+    c = changes.withColumn("_tk", taxid_key(F.col("taxid"))).where(F.col("_tk").isNotNull())
     c = c.join(known, "_tk", "left_anti")
     c = first_per_key(c, ["_tk"], ["id"])
     c = resolve_city(c, "city", "state", cities, states)
-    start = branches.agg(F.coalesce(F.max("client"), F.lit(0)).cast("bigint")).scalar()
+    if claim:
+        c = cut_lineage(c)
+        start = claim(c.count())
+    else:
+        start = branches.agg(F.coalesce(F.max("client"), F.lit(0)).cast("bigint")).scalar()
     c = assign_ids(c, start, ["_tk"], "client")
+    state = F.coalesce(F.col("state_code").cast("string"), F.lit(DEFAULTS["state"]))
     u = F.upper
     base = c.select(
         "client", F.lit(1).cast("bigint").alias("code"), u("name").alias("description"),
@@ -84,17 +111,17 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
         F.coalesce(u("address_district"), F.lit(DEFAULTS["address_street"])).alias("district"),
         F.col("address_zipcode").alias("zipcode"),
         F.coalesce(F.col("city_code"), F.lit(DEFAULTS["city"]).cast("bigint")).alias("city"),
-        F.coalesce(F.col("state_code").cast("string"), F.lit(DEFAULTS["state"])).alias("state"),
+        state.alias("state"),
         F.coalesce(F.col("country_code"), F.lit(DEFAULTS["country"])).alias("country"),
         F.coalesce(F.col("sales_rep"), F.lit(DEFAULTS["sales_rep"]).cast("bigint")).alias("sales_rep"),
         F.col("phone"), F.col("_tk").alias("taxid"),
-        format_registration(F.col("tax_registration"), F.lit("XX")).alias("tax_registration"),
+        format_registration(F.col("tax_registration"), state).alias("tax_registration"),
         F.col("address_number").alias("number"), F.col("address_complement").alias("complement"),
         F.col("id").alias("id_crm"), F.lit(True).alias("integrate_crm"),
         F.col("financial_analysis"), F.col("industry"), F.col("address_street").alias("_street"),
-        F.col("sales_rep").alias("_rep"))
+        F.col("address_district").alias("_district"), F.col("sales_rep").alias("_rep"))
     out = {
-        "branches": base.drop("financial_analysis", "industry", "_street", "_rep"),
+        "branches": base.drop("financial_analysis", "industry", "_street", "_district", "_rep"),
         "clients": base.select(F.col("client").alias("client_code"), F.col("description").alias("company_name"),
                                "address", "district", "city", F.col("state").alias("state_code"), "zipcode",
                                "country", "number", "complement"),
@@ -106,7 +133,7 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
                                          F.col("_street").alias("billing_address"),
                                          F.col("zipcode").alias("billing_zipcode"), F.col("city").alias("city_code"),
                                          F.col("state").alias("state_code"), F.col("country").alias("country_code"),
-                                         F.col("district").alias("billing_district"),
+                                         F.upper("_district").alias("billing_district"),
                                          F.col("phone").alias("billing_phone"), "complement", "number"),
         "credit_limit_history": base.where(F.col("financial_analysis").isNotNull()).select(
             F.col("client").alias("client_code"), F.lit(1).cast("bigint").alias("sequence"),
@@ -122,7 +149,7 @@ def new_clients(changes: DataFrame, branches: DataFrame, cities: DataFrame, stat
 
 def client_cascade(changes: DataFrame, client_view: DataFrame, branches: DataFrame, cities: DataFrame,
                    states: DataFrame, history: DataFrame, industries: DataFrame | None = None,
-                   initial_load: bool = False) -> dict[str, DataFrame]:
+                   initial_load: bool = False, claim: Callable[[int], int] | None = None) -> dict[str, DataFrame]:
     """Everything a batch of CRM lead changes does to the ERP.
 
     ``changes`` are staged leads (lead schema), ``client_view`` the ERP
@@ -141,19 +168,16 @@ def client_cascade(changes: DataFrame, client_view: DataFrame, branches: DataFra
         return {"branches": linked}
     cv = client_view.select(*[F.col(c).alias(f"erp_{c}") for c in client_view.columns])
     matched = taxid_join(changes, "taxid", cv, "erp_taxid")
+    if claim:  # a micro-batch: small, and three tables come from it
+        matched = cut_lineage(matched)
     out = {"branch_updates": branch_update(matched, cities, states)}
     hist_rows = matched.where(F.col("financial_analysis").isNotNull()).select(
         F.col("erp_client_code").alias("client_code"), F.col("financial_analysis").alias("observations"),
         F.col("id").alias("lead_id"))
     out["credit_limit_history"] = next_sequence(history, hist_rows, "client_code", "sequence", "lead_id")
     if industries is not None:
-        ind = industries.groupBy(normalize_key(F.col("description")).alias("_ki")).agg(F.min("industry").alias("_code"))
-        chg = matched.where(_ne(normalize_key(F.col("erp_industry")), normalize_key(F.col("industry"))))
-        out["client_industries"] = (chg.join(ind, normalize_key(F.col("industry")) == F.col("_ki"), "left")
-                                    .select(F.col("erp_client_code").alias("client"),
-                                            F.col("erp_branch_code").alias("branch"),
-                                            F.coalesce(F.col("_code"), F.lit(DEFAULTS["industry"]).cast("bigint"))
-                                            .alias("industry")))
-    new = new_clients(changes, branches, cities, states, industries)
+        out["client_industries"] = industry_change(matched, industries)
+    new = new_clients(changes, branches, cities, states, industries, claim)
     out.update({f"new_{k}": v for k, v in new.items()})
+    out["rejects"] = rejected_leads(changes)
     return out

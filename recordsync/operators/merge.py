@@ -174,8 +174,10 @@ def stage_regression(leads: DataFrame, crm_state: DataFrame, stages: list[str],
     (or no CRM stage), or the CRM stage is earlier than the stored one; an
     unknown stage is quarantined instead of aborting (Q14).  The current CRM
     stage is looked up by tax id (``ltrim(lpad(.., 14, '0'))`` on both sides),
-    as the source does; one CRM row per tax id (the lowest CRM id)."""
-    from ..functions.text import taxid_key
+    as the source does; one CRM row per tax id (the lowest CRM id).  A stored
+    tax id longer than 14 characters can't be looked up: its lead comes with
+    the reason ``taxid_too_long`` and is to be looked at, not deleted."""
+    from ..functions.text import taxid_key, taxid_too_long
     from .joins import first_per_key
     m = F.create_map(*[x for a, c in alias_of.items() for x in (F.lit(a), F.lit(c))])
     cur = crm_state.where(F.col(crm_key).isNotNull()).select(
@@ -185,7 +187,8 @@ def stage_regression(leads: DataFrame, crm_state: DataFrame, stages: list[str],
     stored = F.coalesce(F.try_element_at(m, F.col(lead_stage_col)), F.col(lead_stage_col))
     o_now = stage_ordinal(F.col("_crm_stage"), stages)
     o_old = stage_ordinal(stored, stages)
-    reason = (F.when(F.col("_cid").isNull() | F.col("_crm_stage").isNull(), "missing_in_crm")
+    reason = (F.when(taxid_too_long(lead_key), "taxid_too_long")
+              .when(F.col("_cid").isNull() | F.col("_crm_stage").isNull(), "missing_in_crm")
               .when((o_now == 0) | (o_old == 0), "unknown_stage")
               .when(o_now < o_old, "stage_regressed"))
     return (j.withColumn("reason", reason).where(F.col("reason").isNotNull())

@@ -7,6 +7,8 @@ frame, and rejects keep a reason.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,12 +113,19 @@ def assign_ids(df: DataFrame, start: Column | int, order: list[str], out: str =
             .drop("_pid", "_pos", "_off"))
 
 
-def error_log_rows(rejects: DataFrame, existing_log: DataFrame, code: int, info: Column,
-                   created_by: str = "recordsync", order: list[str] | None = None) -> DataFrame:
+def error_log_rows(rejects: DataFrame, existing_log: DataFrame | None, code: int, info: Column,
+                   created_by: str = "recordsync", order: list[str] | None = None,
+                   claim: Callable[[int], int] | None = None) -> DataFrame:
     """Error-log records for rejects with ids continuing the log's
-    sequence (``max(log_id) + n``); the current maximum is a scalar sub-query."""
-    start = existing_log.agg(F.coalesce(F.max("log_id"), F.lit(0)).cast("bigint")).scalar()
+    sequence (``max(log_id) + n``); the current maximum is a scalar sub-query.
+    In micro-batches ``claim`` reserves the ids instead (see ``IdLedger``)."""
+    from ..session import cut_lineage
     rows = rejects.select(*(order or []), info.alias("error_info"))
+    if claim:
+        rows = cut_lineage(rows)
+        start = claim(rows.count())
+    else:
+        start = existing_log.agg(F.coalesce(F.max("log_id"), F.lit(0)).cast("bigint")).scalar()
     ids = assign_ids(rows, start, order or ["error_info"], "log_id")
     return ids.select("log_id", F.current_timestamp().alias("created_on"), F.lit(created_by).alias("created_by"),
                       F.lit(code).cast("bigint").alias("errorcode"), F.lit(None).cast("string").alias("callstack"),

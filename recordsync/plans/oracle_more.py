@@ -87,6 +87,15 @@ STANDINS.update({
     "field_diff_rows": f"""SELECT s.*, t.id AS tgt_id, concat_ws(',', {', '.join(f"CASE WHEN s.{c} <> t.{c} THEN '{c}' END" for c in DIFF_FIELDS)}) AS changed
         FROM staged_leads s LEFT JOIN leads t ON s.id = t.id
         WHERE t.id IS NULL OR {' OR '.join(f's.{c} <> t.{c}' for c in DIFF_FIELDS)}""",
+    "arrivals": """SELECT n.*, (SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk) AS client,
+            upper(name) AS description, coalesce(upper(address_street), 'X') AS address,
+            coalesce(upper(address_district), 'X') AS district, address_zipcode AS zipcode,
+            coalesce(r.city_code, 10000)::BIGINT AS city_of, coalesce(r.state_code::VARCHAR, 'XX') AS state_of,
+            coalesce(r.country_code, 'US') AS country
+        FROM (SELECT *, CASE WHEN length(taxid) <= 14 THEN ltrim(lpad(taxid, 14, '0')) END AS tk FROM staged_leads
+              QUALIFY row_number() OVER (PARTITION BY tk ORDER BY id) = 1) n
+        LEFT JOIN city_ref r ON upper(strip_accents(n.city)) = r.kc AND upper(strip_accents(n.state)) = r.ks
+        WHERE tk IS NOT NULL AND tk NOT IN (SELECT ltrim(lpad(taxid, 14, '0')) FROM branches WHERE length(taxid) <= 14)""",
     "matched": """SELECT s.*, cv.client_code AS erp_client_code, cv.branch_code AS erp_branch_code,
         cv.company_name AS erp_company_name, cv.address_street AS erp_address_street,
         cv.address_number AS erp_address_number, cv.address_complement AS erp_address_complement,
@@ -95,7 +104,7 @@ STANDINS.update({
         cv.industry AS erp_industry, cv.integrate_crm AS erp_integrate_crm, cv.id_crm AS erp_id_crm,
         cv.tax_registration AS erp_tax_registration
         FROM staged_leads s JOIN (SELECT b.*, i.industry FROM vw_base b LEFT JOIN vw_industry i USING (client_code, branch_code)) cv
-          ON ltrim(lpad(s.taxid, 14, '0')) = ltrim(lpad(cv.taxid, 14, '0'))""",
+          ON CASE WHEN length(s.taxid) <= 14 THEN ltrim(lpad(s.taxid, 14, '0')) END = CASE WHEN length(cv.taxid) <= 14 THEN ltrim(lpad(cv.taxid, 14, '0')) END""",
     "route": """SELECT i.*, coalesce(c.cnt, 0)::BIGINT AS matches,
         CASE WHEN i.email IS NULL THEN 'reject_no_email' WHEN coalesce(c.cnt, 0) = 0 THEN 'insert'
              WHEN c.cnt = 1 THEN 'update' ELSE 'ambiguous' END AS action
@@ -160,7 +169,7 @@ ORACLE.update({
         WHERE upper(strip_accents(m.description)) = upper(strip_accents(e.industry.value))), 10)::BIGINT AS industry_code
         FROM crm_export e""",
     "taxid_match": """SELECT e.id, b.client, b.code FROM crm_export e JOIN branches b
-        ON ltrim(lpad(e.cnpj, 14, '0')) = ltrim(lpad(b.taxid, 14, '0')) WHERE e.cnpj IS NOT NULL""",
+        ON CASE WHEN length(e.cnpj) <= 14 THEN ltrim(lpad(e.cnpj, 14, '0')) END = CASE WHEN length(b.taxid) <= 14 THEN ltrim(lpad(b.taxid, 14, '0')) END WHERE e.cnpj IS NOT NULL""",
     "contact_or_match": """SELECT c.code, max(i.id_crm) AS id_crm,
         coalesce(bool_or(lower(i.email) = lower(c.email)), false) AS by_email,
         coalesce(bool_or(i.id_crm = c.id_crm), false) AS by_id
@@ -218,12 +227,12 @@ ORACLE.update({
            for c in LEAD_COLUMNS if c not in DIFF_FIELDS and c != "id"])
         + " FROM leads t FULL OUTER JOIN field_diff_rows d ON t.id = d.id",
     "stage_regression": """SELECT l.id, l.stage AS stored_stage, c.stage AS crm_stage,
-        CASE WHEN c.id IS NULL OR c.stage IS NULL THEN 'missing_in_crm'
+        CASE WHEN length(l.taxid) > 14 THEN 'taxid_too_long' WHEN c.id IS NULL OR c.stage IS NULL THEN 'missing_in_crm'
              WHEN now_t.ordinal IS NULL OR old_t.ordinal IS NULL THEN 'unknown_stage'
              WHEN now_t.ordinal < old_t.ordinal THEN 'stage_regressed' END AS reason
         FROM leads l LEFT JOIN (SELECT * FROM crm_export WHERE cnpj IS NOT NULL
-                                QUALIFY row_number() OVER (PARTITION BY ltrim(lpad(cnpj, 14, '0')) ORDER BY id) = 1) c
-          ON ltrim(lpad(l.taxid, 14, '0')) = ltrim(lpad(c.cnpj, 14, '0'))
+                                QUALIFY row_number() OVER (PARTITION BY CASE WHEN length(cnpj) <= 14 THEN ltrim(lpad(cnpj, 14, '0')) END ORDER BY id) = 1) c
+          ON CASE WHEN length(l.taxid) <= 14 THEN ltrim(lpad(l.taxid, 14, '0')) END = CASE WHEN length(c.cnpj) <= 14 THEN ltrim(lpad(c.cnpj, 14, '0')) END
         LEFT JOIN stage_table now_t ON now_t.canonical = replace(c.stage, chr(160), ' ')
         LEFT JOIN stage_table old_t ON old_t.alias = l.stage
         WHERE c.id IS NULL OR c.stage IS NULL OR now_t.ordinal IS NULL OR old_t.ordinal IS NULL
@@ -282,25 +291,34 @@ ORACLE.update({
             coalesce(upper(strip_accents(erp_industry)) <> upper(strip_accents(industry)), false) AS ind,
             (erp_integrate_crm = 'N' OR erp_id_crm IS NULL) AS link
             FROM matched m LEFT JOIN city_ref r ON upper(strip_accents(m.city)) = r.kc AND upper(strip_accents(m.state)) = r.ks)""",
-    "new_clients": """WITH n0 AS (SELECT *, ltrim(lpad(taxid, 14, '0')) AS tk FROM staged_leads s WHERE taxid IS NOT NULL
-            AND NOT EXISTS (SELECT 1 FROM branches b WHERE ltrim(lpad(b.taxid, 14, '0')) = ltrim(lpad(s.taxid, 14, '0')))),
-        n1 AS (SELECT * FROM n0 QUALIFY row_number() OVER (PARTITION BY tk ORDER BY id) = 1),
-        n2 AS (SELECT n1.*, r.city_code, r.state_code, r.country_code FROM n1 LEFT JOIN city_ref r
-               ON upper(strip_accents(n1.city)) = r.kc AND upper(strip_accents(n1.state)) = r.ks)
-        SELECT (SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk) AS client, 1::BIGINT AS code,
-            upper(name) AS description, coalesce(upper(address_street), 'X') AS address,
-            coalesce(upper(address_district), 'X') AS district, address_zipcode AS zipcode,
-            coalesce(city_code, 10000)::BIGINT AS city, coalesce(state_code::VARCHAR, 'XX') AS state,
-            coalesce(country_code, 'US') AS country, coalesce(sales_rep, 99)::BIGINT AS sales_rep, phone, tk AS taxid,
+    "new_clients": """SELECT client, 1::BIGINT AS code, description, address, district, zipcode, city_of AS city, state_of AS state, country,
+            coalesce(sales_rep, 99)::BIGINT AS sales_rep, phone, tk AS taxid,
             replace(replace(coalesce(tax_registration, 'EXEMPT'), '.', ''), '-', '') AS tax_registration,
-            address_number AS number, address_complement AS complement, id AS id_crm, true AS integrate_crm FROM n2""",
+            address_number AS number, address_complement AS complement, id AS id_crm, true AS integrate_crm FROM arrivals""",
+    "new_client_companies": """SELECT client AS client_code, description AS company_name, address, district, city_of AS city, state_of AS state_code,
+            zipcode, country, address_number AS number, address_complement AS complement FROM arrivals""",
+    "new_client_reps": """SELECT client AS client_code, 1::BIGINT AS branch_code, sales_rep AS sales_rep_code, client AS from_to_client,
+            1::BIGINT AS from_to_branch FROM arrivals""",
+    "new_client_billing": """SELECT client AS client_code, 1::BIGINT AS branch_code, address_street AS billing_address,
+            zipcode AS billing_zipcode, city_of AS city_code, state_of AS state_code, country AS country_code,
+            upper(address_district) AS billing_district, phone AS billing_phone, address_complement AS complement,
+            address_number AS number FROM arrivals""",
+    "new_client_history": """SELECT client AS client_code, 1::BIGINT AS sequence, financial_analysis AS observations
+            FROM arrivals WHERE financial_analysis IS NOT NULL""",
+    "new_client_industries": """SELECT client, 1::BIGINT AS branch, min(m.industry) AS industry, 'A' AS status
+            FROM arrivals a JOIN industries m ON upper(strip_accents(m.description)) = upper(strip_accents(a.industry)) GROUP BY client""",
+    "lead_rejects": "SELECT id, taxid, 'taxid_too_long' AS reason FROM staged_leads WHERE length(taxid) > 14",
+    "industry_change": """SELECT erp_client_code AS client, erp_branch_code AS branch,
+            coalesce((SELECT min(industry) FROM industries
+                      WHERE upper(strip_accents(description)) = upper(strip_accents(arg_max(m.industry, m.id)))), 10)::BIGINT AS industry
+            FROM matched m WHERE upper(strip_accents(erp_industry)) <> upper(strip_accents(industry)) GROUP BY 1, 2""",
     "next_sequence": """SELECT m.erp_client_code AS client_code, m.financial_analysis AS observations, m.id AS lead_id,
         (coalesce((SELECT max(h.sequence) FROM credit_limit_history h WHERE h.client_code = m.erp_client_code), 0)
          + row_number() OVER (PARTITION BY m.erp_client_code ORDER BY m.id))::BIGINT AS sequence
         FROM matched m WHERE m.financial_analysis IS NOT NULL""",
     "insert_ignore": """SELECT id AS id_crm, name, lower(email) AS email FROM crm_contacts
         WHERE id NOT IN (SELECT id_crm FROM contact WHERE id_crm IS NOT NULL)""",
-    "error_log_rows": """SELECT row_number() OVER (ORDER BY id)::BIGINT AS log_id, -20012::BIGINT AS errorcode,
+    "error_log_rows": """SELECT (SELECT max(event_id) FROM events) + row_number() OVER (ORDER BY id) AS log_id, -20012::BIGINT AS errorcode,
         'missing: ' || failed AS error_info, id FROM validated WHERE failed <> ''""",
     "replace_product": """WITH cur AS (SELECT lead_id, product_id, CAST(sum(coalesce(final_value, 0)) AS DOUBLE) AS value
             FROM sale_lines GROUP BY 1, 2),
@@ -379,13 +397,10 @@ ORACLE.update({
     "stream_dedup": "SELECT doc_id, lead_id, kind, " + fp(["doc_id", "lead_id", "kind", "stage", "raw"])
         + " AS fingerprint FROM webhook_docs",
 })
-ORACLE["client_code_payload"] = ORACLE["new_clients"].replace(
-    "SELECT (SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk) AS client, 1::BIGINT AS code,",
-    "SELECT id AS lead_id, to_json({'Id': id, 'Fields': [{'field_name': '_cod.cliente', 'field_value': "
-    "((SELECT max(client) FROM branches) + row_number() OVER (ORDER BY tk))::VARCHAR}]}) AS payload, 1::BIGINT AS code,",
-    1)
-ORACLE["client_code_payload"] = "SELECT lead_id, payload FROM (" + ORACLE["client_code_payload"].replace(
-    "WITH n0 AS", "WITH n0 AS", 1) + ")"
+ORACLE["client_code_payload"] = """SELECT id AS lead_id,
+    to_json({'Id': id, 'Fields': [{'field_name': '_cod.cliente', 'field_value': client::VARCHAR}]}) AS payload FROM arrivals"""
+ORACLE["error_log_stream"] = ORACLE["error_log_rows"]
+ORACLE["cascade_stream"] = ORACLE["new_clients"]
 ORACLE["placeholder_contact_payload"] = f"""SELECT id AS lead_id, to_json({{'name': 'Dummy contact', 'leadId': id}}) AS payload
     FROM leads WHERE stage IN {SYNCED} AND id NOT IN (SELECT leadId FROM crm_contacts WHERE leadId IS NOT NULL)"""
 
@@ -471,3 +486,28 @@ ORACLE["converted_insert"] = f"""WITH d AS (SELECT * FROM webhook_docs
 
 ORACLE["stream_chain"] = ORACLE["contact_fanout"]
 
+_PREFIX = ("CASE WHEN event_id % 53 = 7 THEN 'misc_' ELSE CASE event_type WHEN 'click' THEN 'update_leads_in_erp_' WHEN 'purchase' "
+           "THEN 'converted_lead_' WHEN 'error' THEN 'lead_descartada_' WHEN 'view' THEN 'contato_update_erp_' "
+           "ELSE 'inserted_timeline_' END END")
+_KIND_FIELDS = {
+    "lead_update": ("user_id AS lead_id, concat('Company ', user_id) AS company, event_type AS stage, "
+                                   "concat('C', event_id % 25) AS city", "update_leads_in_erp_"),
+    "lead_converted": ("user_id AS lead_id, concat('Company ', user_id) AS company, event_type AS stage, "
+                                      "concat('C', event_id % 25) AS city", "converted_lead_"),
+    "contact_update": ("event_id AS id, concat('Person ', event_id) AS name, concat('p', event_id, '@x.org') AS email",
+                       "contato_update_erp_"),
+    "timeline": ("event_id AS id, user_id AS lead_id, concat('note ', event_id) AS text", "inserted_timeline_"),
+}
+_NEW_KEY = "event_id % 41 = 3"
+_NEW_FLOOR = "event_id % 43 = 5 AND event_type NOT IN ('view', 'signup')"
+for _kind, (_fields, _prefix) in _KIND_FIELDS.items():
+    ORACLE[f"kind_{_kind}"] = f"""SELECT concat('{_prefix}', event_id, '.json') AS file, {_fields} FROM events
+        WHERE {_PREFIX} = '{_prefix}' AND event_id % 37 <> 11 AND NOT ({_NEW_KEY}) AND NOT ({_NEW_FLOOR})"""
+ORACLE["dead_letters"] = f"""SELECT concat(prefix, event_id, '.json') AS file, kind,
+        CASE WHEN kind IS NULL THEN 'unknown kind' WHEN event_id % 37 = 11 THEN 'corrupt'
+             ELSE concat('unexpected: ', concat_ws(',', CASE WHEN {_NEW_FLOOR} THEN 'Lead.Address.Floor' END,
+                  CASE WHEN {_NEW_KEY} THEN if(event_type IN ('view', 'signup'), 'Score', 'Lead.Score') END)) END AS reason
+        FROM (SELECT *, {_PREFIX} AS prefix, CASE WHEN event_id % 53 <> 7 THEN CASE event_type WHEN 'click' THEN 'lead_update'
+              WHEN 'purchase' THEN 'lead_converted' WHEN 'error' THEN 'lead_discarded' WHEN 'view' THEN 'contact_update'
+              ELSE 'timeline' END END AS kind FROM events)
+        WHERE kind IS NULL OR kind <> 'lead_discarded' AND (event_id % 37 = 11 OR {_NEW_KEY} OR {_NEW_FLOOR})"""

@@ -110,7 +110,7 @@ STANDINS = {
     "leads": f"""SELECT c_custkey AS id,
         CASE WHEN c_custkey % 7 = 0 THEN c_name || ' LTDA' ELSE c_name END AS name,
         {_STAGE_LIST}[(c_custkey % 8 + 1)::INTEGER] AS stage,
-        c_custkey::VARCHAR AS taxid, c_mktsegment AS industry,
+        coalesce(CASE c_custkey % 41 WHEN 5 THEN '99' || lpad(c_custkey::VARCHAR, 14, '0') WHEN 6 THEN '9' || lpad(c_custkey::VARCHAR, 14, '0') END, c_custkey::VARCHAR) AS taxid, c_mktsegment AS industry,
         CASE WHEN c_custkey % 2 = 0 THEN 'ERP' ELSE 'Site' END AS source,
         '55119' || lpad(c_custkey::VARCHAR, 8, '0') AS phone,
         CASE WHEN c_custkey % 4 = 1 THEN lower('Rua ' || c_mktsegment || ' ' || c_nationkey::VARCHAR)
@@ -320,7 +320,8 @@ def oracle_queries() -> dict[str, str]:
 
 STANDINS.update({
     "crm_export": f"""SELECT c_custkey AS id, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE c_name END AS lead,
-        CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 7 = 3 THEN lpad((c_custkey + 90000000)::VARCHAR, 14, '0')
+        CASE WHEN c_custkey % 41 = 5 THEN '99' || lpad(c_custkey::VARCHAR, 14, '0') WHEN c_custkey % 41 = 6 THEN '9' || lpad(c_custkey::VARCHAR, 14, '0')
+             WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 7 = 3 THEN lpad((c_custkey + 90000000)::VARCHAR, 14, '0')
              ELSE lpad(c_custkey::VARCHAR, 14, '0') END AS cnpj,
         CASE WHEN c_custkey % 12 = 1
              THEN replace({_STAGE_CANON}[(CASE WHEN c_custkey % 10 = 0 AND c_custkey % 8 > 0 THEN c_custkey % 8 - 1 ELSE c_custkey % 8 END + 1)::INTEGER], ' ', chr(160))

@@ -458,10 +458,46 @@ def _branch_update(t: DomainTables) -> DataFrame:
     return branch_update(matched_changes(t), t.cities, t.states)
 
 
-@register("new_clients")
-def _new_clients(t: DomainTables) -> DataFrame:
+def _cascade(t: DomainTables) -> dict[str, DataFrame]:
     from ..operators.cascade import new_clients
-    return new_clients(staged_leads(t), t.branches, t.cities, t.states)["branches"]
+    return new_clients(staged_leads(t), t.branches, t.cities, t.states, t.industries)
+
+
+#: M9: the tables that new clients are rows of, by their keys.
+for _key, _table in {"new_clients": "branches", "new_client_companies": "clients", "new_client_reps": "sales_rep_branches",
+                     "new_client_billing": "billing_addresses", "new_client_history": "credit_limit_history",
+                     "new_client_industries": "client_industries"}.items():
+    register(_key)(lambda t, _table=_table: _cascade(t)[_table])
+
+
+@register("lead_rejects")
+def _lead_rejects(t: DomainTables) -> DataFrame:
+    """M9: leads that act on no client, with the reason."""
+    from ..operators.cascade import rejected_leads
+    return rejected_leads(staged_leads(t))
+
+
+@register("industry_change")
+def _industry_change(t: DomainTables) -> DataFrame:
+    """Industries that leads change at their clients."""
+    from ..operators.cascade import industry_change
+    return industry_change(matched_changes(t), t.industries)
+
+
+@register("cascade_stream")
+def _cascade_stream(t: DomainTables) -> DataFrame:
+    """The cascade per micro-batch, all its tables under one manifest; leads come in the order of their tax ids,
+    so that the blocks of client codes follow one another as in the batch."""
+    from ..streaming import ingest as I
+    from ..streaming.cascade import CascadeSink
+    root = _scratch(t, "cascade-stream")
+    leads = staged_leads(t)
+    I.land_in_order(leads, f"{root}/queue", 3, "taxid", "id")
+    sink = CascadeSink(f"{root}/erp", V.client_base(t).join(V.min_industry(t), V.KEYS, "left"), t.branches, t.cities, t.states,
+                       t.credit_limit_history, t.industries)
+    stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=leads.schema)
+    I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+    return sink.table(t.spark, "branches").drop("epoch")
 
 
 @register("next_sequence")
@@ -478,17 +514,33 @@ def _insert_ignore(t: DomainTables) -> DataFrame:
     return M.insert_ignore(t.contact.select("id_crm"), rows, ["id_crm"])
 
 
+_LOG_INFO = F.concat(F.lit("missing: "), F.array_join("failed_fields", ","))
+_LOG_CODE = -20012
+
+
 @register("error_log_rows")
 def _error_log_rows(t: DomainTables) -> DataFrame:
-    from ..schemas import ERROR_LOG_SCHEMA
-    v = validated_export(t)
-    rej = v.where(F.size("failed_fields") > 0)
-    empty = t.spark.createDataFrame([], ERROR_LOG_SCHEMA)
-    out = Q.error_log_rows(rej, empty, -20012, F.concat(F.lit("missing: "), F.array_join("failed_fields", ",")),
-                           order=["id"])
+    rejects = validated_export(t).where(F.size("failed_fields") > 0)
+    out = Q.error_log_rows(rejects, t.error_log, _LOG_CODE, _LOG_INFO, order=["id"])
     return out.select("log_id", "errorcode", "error_info", "id")
 
 
+@register("error_log_stream")
+def _error_log_stream(t: DomainTables) -> DataFrame:
+    """The same log, written by micro-batches that reserve their ids."""
+    from ..streaming import ingest as I
+    from ..streaming.epochs import ErrorLogSink
+    root = _scratch(t, "error-log-stream")
+    rejects = validated_export(t).where(F.size("failed_fields") > 0).select("id", "failed_fields")
+    I.land_in_order(rejects, f"{root}/queue", 3, "id")
+    start = t.error_log.agg(F.max("log_id")).first()[0]
+    sink = ErrorLogSink(f"{root}/log", start, _LOG_CODE, _LOG_INFO, ["id"])
+    stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=rejects.schema)
+    I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+    schema = "log_id bigint, errorcode bigint, error_info string, id bigint"
+    return sink.log(t.spark, schema).drop("epoch")
+
+
 @register("replace_product")
 def _replace_product(t: DomainTables) -> DataFrame:
     from ..schemas import BUDGET_PRODUCT_ID
@@ -760,3 +812,34 @@ def _stream_chain(t: DomainTables) -> DataFrame:
     q = S_.start_sync(S_.read_queue(t.spark, f"{root}/queue", max_files=1), f"{root}/ckpt", chain)
     q.awaitTermination()
     return t.spark.read.parquet(f"{root}/out/contacts").drop("epoch")
+
+
+# ---------------------------------------------------------------------------
+# Documents by kind (R1, Q-5)
+# ---------------------------------------------------------------------------
+
+def _queue(t: DomainTables):
+    """The queue read as a stream of three micro-batches and split into kinds; run once per set of tables."""
+    from ..streaming import ingest as I
+    from ..streaming.kinds import KindSink
+    if "_kind_sink" not in t.__dict__:
+        root = _scratch(t, "kinds")
+        I.land_in_order(t.queue_documents, f"{root}/queue", 3, "seq")
+        sink = KindSink(f"{root}/tables")
+        stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=t.queue_documents.schema)
+        I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+        t.__dict__["_kind_sink"] = sink
+    return t.__dict__["_kind_sink"]
+
+
+_LEAD_FIELDS = {"Lead.Id": "lead_id", "Lead.Company": "company", "Lead.Stage": "stage", "Lead.Address.City": "city"}
+for _kind, _fields in {"lead_update": _LEAD_FIELDS, "lead_converted": _LEAD_FIELDS,
+                       "contact_update": {"Id": "id", "Name": "name", "Email": "email"},
+                       "timeline": {"Id": "id", "LeadId": "lead_id", "Text": "text"}}.items():
+    register(f"kind_{_kind}")(lambda t, _kind=_kind, _fields=_fields: _queue(t).read(t.spark, _kind).select(
+        "file", *[F.col(path).alias(name) for path, name in _fields.items()]))
+
+
+@register("dead_letters")
+def _dead_letters(t: DomainTables) -> DataFrame:
+    return _queue(t).read(t.spark, "dead_letters").select("file", "kind", "reason")

@@ -6,6 +6,8 @@ results to agree; they are stated here once, in their natural order.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -63,7 +65,6 @@ DEFAULTS = {
     "phone": "5500000000",
     "financial_analysis": "Vazio.",
     "address_complement": "",
-    "tax_registration": EXEMPT_TEXT,
     "sales_rep": 99,
     "city": 10000,
     "state": "XX",
@@ -71,6 +72,8 @@ DEFAULTS = {
     "address_street": "X",
     "industry": 10,
 }
+#: Registration of a client that the cascade creates without one.
+NEW_CLIENT_REGISTRATION = "EXEMPT"
 DEFAULT_SALES_REP = 99
 DEFAULT_INDUSTRY = 10
 
@@ -225,3 +228,27 @@ WEBHOOK_DOC = T.StructType([
     T.StructField("received_at", T.TimestampType()),
     T.StructField("_corrupt_record", T.StringType()),
 ])
+
+
+class DocumentKind(NamedTuple):
+    """A kind of queue document: how its files' names begin, and its schema (none: the document is only archived)."""
+
+    prefix: str
+    schema: str | None
+
+
+_LEAD_DOCUMENT = (
+    "Lead struct<Id:bigint, Company:string, Stage:string, CpfCnpj:string, Phone:string, Industry:struct<value:string>, "
+    "Origin:struct<value:string>, Address:struct<ZipCode:string, AddAddressInformation:string, City:string, State:string>, "
+    "CustomFields:array<struct<id:string, value:string>>, "
+    "Contact:array<struct<Id:bigint, Name:string, Email:string, Phone:string, Position:string>>>")
+
+#: The file names that the queue's writers give each kind.
+DOCUMENT_KINDS = {
+    "lead_update": DocumentKind("update_leads_in_erp_", _LEAD_DOCUMENT),
+    "lead_converted": DocumentKind("converted_lead_", _LEAD_DOCUMENT),
+    "lead_discarded": DocumentKind("lead_descartada_", None),
+    "contact_update": DocumentKind("contato_update_erp_", "Id bigint, Name string, Email string, Phone string, Position string, "
+                                                          "lead_cnpj string"),
+    "timeline": DocumentKind("inserted_timeline_", "Id bigint, LeadId bigint, Text string"),
+}

@@ -353,6 +353,12 @@ class DomainTables:
             F.when(k % 11 != 0, k - k % 8 + (k % 4) * 2 + 1).alias("id_crm"), F.when(k % 10 == 3, "D").when(k % 13 != 0, "A").alias("op"))
 
     # ---- CRM leads -------------------------------------------------------
+    @staticmethod
+    def _long_taxid(k: Column) -> Column:
+        """Some leads carry tax ids of 15 and 16 characters, which no ERP column holds."""
+        return (F.when(k % 41 == 5, F.concat(F.lit("99"), F.lpad(k.cast("string"), 14, "0")))
+                .when(k % 41 == 6, F.concat(F.lit("9"), F.lpad(k.cast("string"), 14, "0"))))
+
     @cached_property
     def leads(self) -> DataFrame:
         c = self.raw("customer").where(F.col("c_custkey") % 3 != 0)
@@ -368,7 +374,7 @@ class DomainTables:
             k.alias("id"),
             F.when(k % 7 == 0, F.concat(F.col("c_name"), F.lit(" LTDA"))).otherwise(F.col("c_name")).alias("name"),
             F.element_at(stages, (k % 8 + 1).cast("int")).alias("stage"),
-            k.cast("string").alias("taxid"),
+            self._long_taxid(k).otherwise(k.cast("string")).alias("taxid"),
             F.col("c_mktsegment").alias("industry"),
             F.when(k % 2 == 0, "ERP").otherwise("Site").alias("source"),
             b["phone"].alias("phone"),
@@ -412,7 +418,7 @@ class DomainTables:
         return j.select(
             k.alias("id"),
             F.when(k % 23 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("lead"),
-            F.when(k % 29 == 0, F.lit(None)).when(k % 7 == 3, F.lpad((k + 90000000).cast("string"), 14, "0"))
+            self._long_taxid(k).when(k % 29 == 0, F.lit(None)).when(k % 7 == 3, F.lpad((k + 90000000).cast("string"), 14, "0"))
              .otherwise(F.lpad(k.cast("string"), 14, "0")).alias("cnpj"),
             stage.alias("stage"),
             F.struct(F.col("c_mktsegment").alias("value")).alias("industry"),
@@ -477,6 +483,34 @@ class DomainTables:
             F.when(k % 2 == 0, "true").otherwise("false").alias("mainContact"),
         )
 
+    @cached_property
+    def queue_documents(self) -> DataFrame:
+        """Queue documents (seq, file, body): the event's type tells the kind; some files have a foreign name, some bodies
+        are cut short or have a key that no schema knows."""
+        e = self.raw("events")
+        k = e.event_id
+
+        def text(*parts) -> Column:
+            return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+        prefix = F.when(k % 53 == 7, "misc_")
+        for event, kind in (("click", "update_leads_in_erp_"), ("purchase", "converted_lead_"), ("error", "lead_descartada_"),
+                            ("view", "contato_update_erp_"), ("signup", "inserted_timeline_")):
+            prefix = prefix.when(e.event_type == event, kind)
+        extra = F.when(k % 41 == 3, F.lit(',"Score":1')).otherwise(F.lit(""))
+        lead = text('{"Lead":{"Id":', e.user_id, ',"Company":"Company ', e.user_id, '","Stage":"', e.event_type, '","Address":{"City":"C',
+                    k % 25, '"', F.when(k % 43 == 5, F.lit(',"Floor":"2"')).otherwise(F.lit("")), '}', extra, '}}')
+        contact = text('{"Id":', k, ',"Name":"Person ', k, '","Email":"p', k, '@x.org"', extra, '}')
+        note = text('{"Id":', k, ',"LeadId":', e.user_id, ',"Text":"note ', k, '"', extra, '}')
+        body = F.when(e.event_type == "view", contact).when(e.event_type == "signup", note).otherwise(lead)
+        return e.select(k.alias("seq"), text(prefix, k, ".json").alias("file"),
+                        F.when(k % 37 == 11, F.substring(body, F.lit(1), F.length(body) - 3)).otherwise(body).alias("body"))
+
+    @cached_property
+    def error_log(self) -> DataFrame:
+        """The error log as it stands: one row per event."""
+        e = self.raw("events")
+        return e.select(F.col("event_id").alias("log_id"), e.ts.alias("created_on"), e.event_type.alias("error_info"))
+
     @cached_property
     def lead_docs(self) -> DataFrame:
         """Per CRM lead: its custom fields as an array of {id, value} in CRM
