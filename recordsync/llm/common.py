@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import string
 import uuid
 
@@ -14,6 +16,20 @@ from ..session import checkpoint_dir
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
+#: Tables written between two releases.
+RELEASE = 8
+_writes = itertools.count(1)
+
+
+def release(spark: SparkSession) -> None:
+    """Collect the driver's garbage: Spark's cleaner then drops the shuffles and broadcasts of finished steps, which it
+    does only for frames that were collected, and a driver with much memory left would keep them for long."""
+    gc.collect()
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,6 +47,8 @@ def written(df: DataFrame, *partition_by: str, compression: str | None = None) -
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     schema = df.schema
+    if next(_writes) % RELEASE == 0:
+        release(spark)
     w = df.write.mode("error")
     w = w.option("compression", compression) if compression else w
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
