@@ -26,6 +26,8 @@ from .common import read, without, written
 
 DIMS = ("source", "lang", "topic")
 ROUNDS = 10
+#: Up to so many cells (some 100 bytes each) are raked as one partition; more are shuffled at each step.
+ONE_PARTITION = 100_000
 ALPHA = 0.8
 RATE = 0.8
 SEED = "mix-1"
@@ -64,15 +66,22 @@ def tempered(cells: DataFrame, dim: str, alpha: float = ALPHA) -> DataFrame:
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (the dimensions and tokens) with ``raked``: tokens fitted to the targets' shares."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = cells.withColumn("raked", F.col("tokens").cast("double"))
+    total, n = cells.agg(F.sum("tokens"), F.count("*")).first()
+    total = total or 0
+
+    def gathered(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if n <= ONE_PARTITION else df  # one partition needs no shuffle at any step
+
+    targets = {d: gathered(t) for d, t in targets.items()}
+    now = gathered(cells).withColumn("raked", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for dim, target in targets.items():
             margin = now.groupBy(dim).agg(F.sum("raked").alias("__sum"))
             factor = margin.join(target.hint("shuffle_hash"), dim, "left").select(dim, F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0))
                                                              * F.lit(float(total)) / F.col("__sum")).otherwise(0.0).alias("__f"))
             # Written each time: the margin and its use read one small table, and no plan holds earlier steps twice.
-            now = written(now.join(factor.hint("shuffle_hash"), dim).withColumn("raked", F.col("raked") * F.col("__f")).drop("__f"))
+            now = gathered(written(now.join(factor.hint("shuffle_hash"), dim).withColumn(
+                "raked", F.col("raked") * F.col("__f")).drop("__f")))
     return now
 
 
