@@ -3,7 +3,7 @@ merges and payloads.  Each builder runs over whole stand-in tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -514,14 +514,17 @@ def _insert_ignore(t: DomainTables) -> DataFrame:
     return M.insert_ignore(t.contact.select("id_crm"), rows, ["id_crm"])
 
 
-_LOG_INFO = F.concat(F.lit("missing: "), F.array_join("failed_fields", ","))
 _LOG_CODE = -20012
 
 
+def _log_info() -> Column:
+    return F.concat(F.lit("missing: "), F.array_join("failed_fields", ","))
+
+
 @register("error_log_rows")
 def _error_log_rows(t: DomainTables) -> DataFrame:
     rejects = validated_export(t).where(F.size("failed_fields") > 0)
-    out = Q.error_log_rows(rejects, t.error_log, _LOG_CODE, _LOG_INFO, order=["id"])
+    out = Q.error_log_rows(rejects, t.error_log, _LOG_CODE, _log_info(), order=["id"])
     return out.select("log_id", "errorcode", "error_info", "id")
 
 
@@ -534,7 +537,7 @@ def _error_log_stream(t: DomainTables) -> DataFrame:
     rejects = validated_export(t).where(F.size("failed_fields") > 0).select("id", "failed_fields")
     I.land_in_order(rejects, f"{root}/queue", 3, "id")
     start = t.error_log.agg(F.max("log_id")).first()[0]
-    sink = ErrorLogSink(f"{root}/log", start, _LOG_CODE, _LOG_INFO, ["id"])
+    sink = ErrorLogSink(f"{root}/log", start, _LOG_CODE, _log_info(), ["id"])
     stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=rejects.schema)
     I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
     schema = "log_id bigint, errorcode bigint, error_info string, id bigint"
@@ -755,15 +758,16 @@ def _stream_upsert(t: DomainTables) -> DataFrame:
 def _stream_dedup(t: DomainTables) -> DataFrame:
     """Every document landed twice; the stream keeps one per fingerprint."""
     from ..streaming import ingest as S_
+    from ..streaming.dedup import LedgerDedup
     root = _scratch(t, "stream-dedup")
     S_.land_documents(t.webhook_docs, f"{root}/queue/a")
     S_.land_documents(t.webhook_docs, f"{root}/queue/b")
     s = S_.read_queue(t.spark, f"{root}/queue/*", max_files=2)
     # A fingerprint stays known for good, in the written ledger.
-    q = S_.start_sync(s, f"{root}/ckpt", S_.LedgerDedup(
-        f"{root}/out", ["doc_id", "lead_id", "kind", "stage", "raw"], ["doc_id", "lead_id", "kind"]))
+    sink = LedgerDedup(f"{root}/out", ["doc_id", "lead_id", "kind", "stage", "raw"], ["doc_id", "lead_id", "kind"])
+    q = S_.start_sync(s, f"{root}/ckpt", sink)
     q.awaitTermination()
-    return t.spark.read.parquet(f"{root}/out").drop("epoch")
+    return t.spark.read.parquet(sink.documents).drop("epoch")
 
 
 @register("client_code_payload")

@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import row_fingerprint
 from ..operators.merge import partial_update
 from ..session import cut_lineage
 from ..sources.webhook import LEAD_CUSTOM, LEAD_KEYS, is_synced, lead_update_fields
+from .levels import Levels, bucket_of
 
 CONTACT = T.StructType([
     T.StructField("Id", T.LongType()), T.StructField("LeadId", T.LongType()), T.StructField("Name", T.StringType()),
@@ -100,63 +100,25 @@ def doc_fields(raw_col: str = "raw") -> dict:
     return lead_update_fields(F.col(raw_col))
 
 
-def dedup_stream(stream: DataFrame, cols: list[str], watermark: str | None = "1 day") -> DataFrame:
-    """Drop repeated documents by content fingerprint; with a watermark
-    the dedup state is bounded (older keys are evicted)."""
-    s = stream.withColumn("fingerprint", row_fingerprint(*cols))
-    if watermark:
-        return s.withWatermark("received_at", watermark).dropDuplicatesWithinWatermark(["fingerprint"])
-    return s.dropDuplicates(["fingerprint"])
-
-
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``; None if nothing was written there yet (any other error is raised)."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-class LedgerDedup:
-    """R7 without unbounded state: a foreachBatch sink that writes the
-    documents whose fingerprint no earlier epoch has, with the fingerprint.
-    What is written is the ledger; it grows on storage, not in memory, and a
-    replayed epoch rewrites only its own folder."""
-
-    def __init__(self, root: str, fingerprint_of: list[str], keep: list[str]):
-        self.root, self.fingerprint_of, self.keep = root.rstrip("/"), fingerprint_of, keep
-
-    def __call__(self, batch: DataFrame, epoch: int) -> None:
-        new = batch.withColumn("fingerprint", row_fingerprint(*self.fingerprint_of)).select(*self.keep, "fingerprint")
-        new = new.dropDuplicates(["fingerprint"])
-        seen = _read_if_there(batch.sparkSession, self.root)
-        if seen is not None:
-            new = new.join(seen.where(F.col("epoch") < epoch).select("fingerprint"), "fingerprint", "left_anti")
-        new.select(*self.keep, "fingerprint").write.mode("overwrite").parquet(f"{self.root}/epoch={epoch}")
+_CHANGE = f"field string, value string, ord {ORDER_TYPE}, bucket int"
 
 
 class ChangeLogMerge:
-    """R6 at scale: append-only per-field change log instead of rewriting
-    the snapshot every micro-batch.
-
-    Each micro-batch writes, for every (key, field) it touches, the latest
-    value and its order (received_at, doc_id) to ``log/epoch=N`` — work and
-    output proportional to the batch, whatever the table size; a replayed
-    epoch rewrites only its own folder.  ``snapshot`` applies the whole log
-    to a base version with one grouped aggregate (newest order per key and
-    field wins, so batches may arrive in any order), and ``compact`` writes
-    that result as the next base so the log can restart.
+    """R6 at scale: a per-field change log in levels instead of rewriting the snapshot every micro-batch.
+
+    Each micro-batch writes, for every (key, field) it touches, the latest value and its order (received_at, doc_id), in
+    folders by key bucket: work and output proportional to the batch, whatever the table's size.  Segments are merged
+    bucket by bucket (newest order per key and field), so epochs may arrive in any order and a replayed epoch changes
+    nothing.  ``snapshot`` applies the log to a base version with one grouped aggregate; asked for some keys, it reads
+    the log of their buckets only.  ``compact`` writes that result, with the order of its values, as the next base.
     """
 
-    def __init__(self, root: str, key: str = "id"):
-        self.root, self.key = root.rstrip("/"), key
+    def __init__(self, root: str, key: str = "id", buckets: int = 32, fan: int = 4, key_type: str = "bigint"):
+        self.root, self.key, self.key_type, self.buckets = root.rstrip("/"), key, key_type, buckets
+        self.log = Levels(f"{self.root}/log", f"{key} {key_type}, {_CHANGE}", self._latest, fan)
 
-    @property
-    def log(self) -> str:
-        return f"{self.root}/log"
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy("bucket", self.key, "field").agg(F.max_by("value", "ord").alias("value"), F.max("ord").alias("ord"))
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         k = self.key
@@ -165,22 +127,34 @@ class ChangeLogMerge:
                             for c, (v, p) in fields.items()])
         rows = (batch.where(is_synced(F.col("raw")))
                 .select(F.col("lead_id").alias(k), F.struct("received_at", "doc_id").alias("ord"),
-                             F.explode(entries).alias("e"))
+                        F.explode(entries).alias("e"))
                 .where(F.col("e.present"))
-                .groupBy(k, F.col("e.field").alias("field"))
-                .agg(F.max_by(F.col("e.value"), F.col("ord")).alias("value"), F.max("ord").alias("ord")))
-        rows.write.mode("overwrite").parquet(f"{self.log}/epoch={epoch}")
-
-    def snapshot(self, spark: SparkSession, base: DataFrame, keep_order: bool = False) -> DataFrame:
+                .select(k, "ord", F.col("e.field").alias("field"), F.col("e.value").alias("value"),
+                        bucket_of(F.col(k), self.buckets).alias("bucket")))
+        self.log.add(epoch, self._latest(rows))
+
+    def changes(self, spark: SparkSession, keys: list | None = None) -> DataFrame | None:
+        """The latest (key, field, value, ord) of the log, of some keys only where they are given."""
+        buckets = None
+        if keys is not None:
+            asked = spark.createDataFrame([(x,) for x in keys], f"{self.key} {self.key_type}")
+            buckets = [r.b for r in asked.select(bucket_of(F.col(self.key), self.buckets).alias("b")).distinct().collect()]
+        rows = self.log.rows(spark, buckets)
+        if rows is None:
+            return None
+        rows = rows if keys is None else rows.where(F.col(self.key).isin(keys))
+        return self._latest(rows)
+
+    def snapshot(self, spark: SparkSession, base: DataFrame, keep_order: bool = False, keys: list | None = None) -> DataFrame:
         """``base`` with the log applied.  A base made by ``compact`` has the
         order of each value (``_o_<field>``); only newer entries replace it."""
         k = self.key
+        base = base if keys is None else base.where(F.col(k).isin(keys))
         columns = [c for c in base.columns if not c.startswith("_o_")]
         order_of = {c: F.col(f"_o_{c}") if f"_o_{c}" in base.columns else F.lit(None).cast(ORDER_TYPE) for c in LEAD_FIELDS}
-        log = _read_if_there(spark, self.log)
-        if log is None:  # no micro-batch written yet: nothing to apply
+        latest = self.changes(spark, keys)
+        if latest is None:  # no micro-batch written yet: nothing to apply
             return base.select(*columns, *([order_of[c].alias(f"_o_{c}") for c in LEAD_FIELDS] if keep_order else []))
-        latest = log.groupBy(k, "field").agg(F.max_by("value", "ord").alias("value"), F.max("ord").alias("ord"))
         wide = latest.groupBy(k).agg(*[x for c in LEAD_FIELDS for x in (
             F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"_v_{c}"),
             F.max(F.when(F.col("field") == c, F.col("ord"))).alias(f"_n_{c}"))])
@@ -196,8 +170,7 @@ class ChangeLogMerge:
 
     def compact(self, spark: SparkSession, base: DataFrame, version: str) -> str:
         """Write the applied snapshot, with the order of its values, as a new
-        base version (the log of the next period starts empty under a new
-        root)."""
+        base version; what the log still holds is not newer, so it changes nothing there."""
         path = f"{self.root}/base/v={version}"
         self.snapshot(spark, base, keep_order=True).write.mode("overwrite").parquet(path)
         return path
