@@ -30,13 +30,13 @@ def corrupt_split(docs: DataFrame, corrupt_col: str = "_corrupt_record") -> tupl
     return docs.where(F.col(corrupt_col).isNull()).drop(corrupt_col), bad
 
 
-def batch_name(kind: str, key: Column, batch_id: Column | None = None) -> Column:
+def batch_name(kind: str, key: Column, batch_id: Column | None = None, at: Column | None = None) -> Column:
     """Queue file name ``kind_<slug(key)>_<batch time>_<id>``.
 
     A batch id (e.g. the micro-batch epoch or a row fingerprint) is always
     part of the name, so two documents of the same second never overwrite
     each other."""
-    ts = F.date_format(F.current_timestamp(), "yyyy_MM_dd_HH_mm_ss")
+    ts = F.date_format(F.current_timestamp() if at is None else at, "yyyy_MM_dd_HH_mm_ss")
     parts = [F.lit(kind), slug(key), ts] + ([batch_id.cast("string")] if batch_id is not None else [])
     return F.concat_ws("_", *parts)
 

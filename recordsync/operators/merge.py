@@ -25,13 +25,17 @@ def merge_snapshot(target: DataFrame, changes: DataFrame, keys: list[str], updat
     Matched rows take the change's value for ``update_cols`` (default: all
     non-key columns the change carries); unmatched changes are inserted
     (``insert=False`` = update only); when ``delete_col`` is true on a change
-    the matched row is dropped.  ``changes`` must be unique on ``keys``.
+    the matched row is dropped.  ``changes`` must be unique on ``keys``: a
+    repeated key raises an error, as it has no defined result.
     """
     cols = target.columns
     upd = [c for c in (update_cols or [c for c in changes.columns if c in cols and c not in keys])]
     ch_cols = [c for c in changes.columns if c in cols or c == delete_col]
-    ch = changes.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in ch_cols if c not in keys],
-                        F.lit(True).alias("_in_c"))
+    rest = F.struct(*[F.col(c).alias(f"_n_{c}") for c in ch_cols if c not in keys], F.lit(True).alias("_in_c"))
+    once = changes.groupBy(*keys).agg(F.first(rest).alias("_r"), F.count(F.lit(1)).alias("_times"))  # the join's partitioning
+    twice = F.raise_error(F.concat(F.lit("merge_snapshot: a key has several changes: "), F.to_json(F.struct(*keys))))
+    once = once.withColumn("_r", F.when(F.col("_times") == 1, F.col("_r")).otherwise(twice.cast(once.schema["_r"].dataType)))
+    ch = once.select(*keys, "_r.*")
     t = target.withColumn("_in_t", F.lit(True))
     j = t.join(ch, keys, "full_outer")
     out = []
@@ -238,6 +242,7 @@ def contact_upsert(target: DataFrame, incoming: DataFrame, clients: DataFrame) -
         F.substring("job_title", 1, 30).alias("job_title"), F.col("client_code").cast("string").alias("client_code"),
         "is_primary", "action")
     upd = shaped.where(F.col("action") == "update").drop("action")
+    upd = first_per_key(upd, ["id"], [c for c in upd.columns if c != "id"])
     new = shaped.where(F.col("action") == "insert").drop("action").withColumn("_em", F.lower("email"))
     new = first_per_key(new, ["_em"], ["id"]).drop("_em")
     updated = merge_snapshot(target, upd, ["id"], insert=False)

@@ -110,6 +110,13 @@ def qualification_rows(leads: DataFrame, key: str) -> DataFrame:
     return x.select(key, F.col("qa.questionId").alias("question_id"), F.to_json(body).alias("payload"))
 
 
+def contact_insert_payload(contacts: DataFrame) -> DataFrame:
+    """Create-contact body per contact (id, name, email, phone, job_title, is_primary 'S'/'N') of a lead (lead_id)."""
+    body = F.struct(F.col("name"), F.col("email"), _s("phone").alias("phone1"), F.col("job_title").alias("jobTitle"),
+                    (F.upper("is_primary") == "S").alias("mainContact"), _s("lead_id").alias("leadId"))
+    return contacts.select("lead_id", F.col("id").alias("contact_id"), F.to_json(body).alias("payload"))
+
+
 def observation_payload(df: DataFrame, flag_col: str) -> DataFrame:
     """Observation text by flag: 'N' -> nested under lead, 'S' -> top level."""
     f = F.col(flag_col)

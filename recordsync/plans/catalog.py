@@ -27,19 +27,24 @@ def register(key: str):
     return deco
 
 
-_TABLES: dict[tuple[int, str], DomainTables] = {}
+_TABLES: dict[tuple[str, str], DomainTables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> DomainTables:
     """One set of (lazy) domain DataFrames per session and directory, so the
     stand-in plans are built and analysed once, not once per query."""
-    key = (id(spark), sf_dir)
+    key = (spark.conf.get("spark.app.id"), sf_dir)
     t = _TABLES.get(key)
     if t is None or t.spark is not spark:
         t = _TABLES[key] = DomainTables(spark, sf_dir)
     return t
 
 
+def use(t: DomainTables) -> None:
+    """Let the session's queries over ``t.sf_dir`` read ``t`` (a staged copy, say) from now on."""
+    _TABLES[t.spark.conf.get("spark.app.id"), t.sf_dir] = t
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from . import queries_more  # noqa: F401  (registers the remaining keys)
     return {k: (lambda spark, sf_dir, _f=f: _f(tables(spark, sf_dir))) for k, f in _REGISTRY.items()}

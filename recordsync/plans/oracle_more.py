@@ -180,7 +180,7 @@ ORACLE.update({
         FROM (SELECT id FROM leads WHERE id IS NOT NULL) n, (VALUES (100001, 200001), (100002, 200002), (100003, 200003)) qa(q, a)""",
     "lead_contacts": """SELECT l.id AS lead_id, l.taxid AS lead_taxid, c.id AS contact_id, c.name, c.email
         FROM leads l JOIN crm_contacts c ON l.id = c.leadId""",
-    "contact_fanout": f"""SELECT w.doc_id, w.lead_id, w.contact_id, w.contact_name, w.contact_email
+    "contact_fanout": f"""SELECT w.doc_id, w.lead_id, json_extract_string(d.raw, '$.Lead.CpfCnpj') AS lead_taxid, w.contact_id, w.contact_name, w.contact_email
         FROM webhook_contacts w JOIN webhook_docs d ON w.doc_id = d.doc_id
         WHERE d.stage IN {SYNCED_CANON} AND w.lead_id IN (SELECT id FROM leads)""",
     "first_match": """SELECT branch_client, code, email FROM contact c
@@ -357,7 +357,22 @@ ORACLE.update({
         FROM sale_lines s JOIN first f ON s.lead_id = f.lead_id AND s.sale_id = f.sale_id""",
     "option_domain": """SELECT DISTINCT f.value AS value FROM (SELECT unnest(CustomFields) AS f FROM lead_docs)
         WHERE f.id = '_cod.gestores'""",
-    "page_explode": "SELECT id, lead, floor(id / 500)::BIGINT AS page FROM crm_export",
+    "page_explode": """SELECT c_mktsegment AS listing, c_custkey // 100 + moved::BIGINT AS page, c_custkey AS id,
+            c_name || CASE WHEN moved THEN ' (moved)' ELSE '' END AS lead
+        FROM (SELECT *, c_custkey % 50 = 0 AND c_custkey // 100 < max(c_custkey // 100) OVER (PARTITION BY c_mktsegment) AS moved FROM customer)
+        WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')""",
+    "page_report": """WITH own AS (SELECT c_mktsegment AS listing, c_custkey // 100 AS page, c_custkey AS id FROM customer),
+        there AS (
+            SELECT listing, page, count(*) AS n FROM (
+                SELECT listing, page FROM own
+                UNION ALL SELECT listing, page + 1 FROM (SELECT *, max(page) OVER (PARTITION BY listing) AS top FROM own)
+                          WHERE id % 50 = 0 AND page < top)
+            WHERE NOT (listing = 'BUILDING' AND page = 0) GROUP BY 1, 2
+            UNION ALL SELECT listing, max(page) + 1, 0 FROM own WHERE listing <> 'AUTOMOBILE' GROUP BY 1)
+        SELECT listing, count(*) AS pages, sum(n)::BIGINT AS items, (max(page) + 1 - count(*))::BIGINT AS missing,
+               listing <> 'AUTOMOBILE' AS ended,
+               CASE listing WHEN 'BUILDING' THEN 'holed' WHEN 'AUTOMOBILE' THEN 'unfinished' ELSE 'complete' END AS status
+        FROM there GROUP BY listing""",
     "json_roundtrip": "SELECT * FROM insert_cands",
     "insert_payload": "SELECT client_code, " + drop_nulls("""to_json({'duplicityValidation': 'true', 'lead': {
         'name': name, 'industry': industry, 'address': address, 'zipcode': zipcode::VARCHAR, 'phone': phone::VARCHAR,
@@ -405,7 +420,8 @@ ORACLE["placeholder_contact_payload"] = f"""SELECT id AS lead_id, to_json({{'nam
     FROM leads WHERE stage IN {SYNCED} AND id NOT IN (SELECT leadId FROM crm_contacts WHERE leadId IS NOT NULL)"""
 
 
-def _partial_update_sql() -> str:
+def _doc_fields_sql() -> tuple[str, list[str]]:
+    """The field changes of webhook documents (p_<field>: present, v_<field>: value, o: order), and the fields."""
     keys = {"stage": ("$.Lead", "Stage"), "taxid": ("$.Lead", "CpfCnpj"), "industry": ("$.Lead.Industry", "value"),
             "source": ("$.Lead.Origin", "value"), "phone": ("$.Lead", "Phone"), "name": ("$.Lead", "Company"),
             "address_zipcode": ("$.Lead.Address", "ZipCode"),
@@ -431,16 +447,45 @@ def _partial_update_sql() -> str:
     fields = list(keys) + list(custom)
     f = ("SELECT lead_id, {'t': received_at, 'd': doc_id} AS o, " + ", ".join(cols)
          + f" FROM webhook_docs WHERE replace(json_extract_string(raw, '$.Lead.Stage'), chr(160), ' ') IN {SYNCED_CANON}")
+    return f, fields
+
+
+def _partial_update_sql() -> str:
+    f, fields = _doc_fields_sql()
     g = ("SELECT lead_id, " + ", ".join(f"bool_or(p_{c}) AS p_{c}, arg_max_null(v_{c}, o) FILTER (WHERE p_{c}) AS v_{c}"
                                        for c in fields) + " FROM f GROUP BY lead_id")
     out = ["l.id"] + [f"CASE WHEN g.p_{c} THEN g.v_{c} ELSE l.{c} END AS {c}" for c in
                       ["name", "phone", "stage", "taxid", "industry", "source", "address_zipcode", "address_complement",
                        "city", "state", "sales_rep", "tax_registration", "client_code", "financial_analysis"]]
-    return f"WITH f AS ({f}), g AS ({g}) SELECT " + ", ".join(out) + " FROM leads l LEFT JOIN g ON l.id = g.lead_id"
+    out += [f"CASE WHEN e.id IS NOT NULL THEN {new} ELSE l.{c} END AS {c}" for c, new in (
+        ("address_street", "e.street"), ("address_number", "coalesce(TRY_CAST(e.number AS INTEGER), 0)"),
+        ("address_district", "e.district"))]
+    return (f"WITH f AS ({f}), g AS ({g}) SELECT " + ", ".join(out) + " FROM leads l LEFT JOIN g ON l.id = g.lead_id "
+            "LEFT JOIN crm_export e ON e.id = g.lead_id")
+
+
+def _survivors_sql() -> str:
+    f, fields = _doc_fields_sql()
+    export = {"name": "lead", "stage": "(SELECT alias FROM stage_table WHERE canonical = replace(stage, chr(160), ' '))",
+              "taxid": "cnpj", "phone": strip("phone1"), "industry": "industry.value", "source": "source.value",
+              "address_street": "street", "address_number": "coalesce(TRY_CAST(number AS INTEGER), 0)", "address_district": "district",
+              "address_zipcode": strip("cep"), "address_complement": "complement", "city": "city", "state": "state"}
+    custom = ["sales_rep", "tax_registration", "financial_analysis", "client_code"]
+    default = {"phone": "5500000000", "financial_analysis": "Vazio.", "address_complement": "", "sales_rep": "99", "state": "XX",
+               "address_street": "X"}
+    said = [f"SELECT lead_id AS id, '{c}' AS field, v_{c}::VARCHAR AS value, 'document' AS source, 1 AS rank, o.t AS seen FROM f WHERE p_{c}"
+            for c in fields]
+    said += [f"SELECT id, '{c}', ({v})::VARCHAR, 'export', 2, NULL FROM crm_export WHERE ({v}) IS NOT NULL" for c, v in export.items()]
+    said += [f"SELECT lead_id, '{c}', {c}, 'custom field', 3, NULL FROM custom_fields_t WHERE {c} IS NOT NULL" for c in custom]
+    said += [f"SELECT id, '{c}', '{v}', 'default', 4, NULL FROM crm_export" for c, v in default.items()]
+    return (f"WITH f AS ({f} AND lead_id IN (SELECT id FROM crm_export)) SELECT id, field, value, source FROM ("
+            + " UNION ALL ".join(said) + ") QUALIFY row_number() OVER (PARTITION BY id, field "
+            "ORDER BY rank, seen DESC NULLS LAST, value DESC NULLS LAST) = 1")
 
 
 ORACLE["partial_update"] = _partial_update_sql()
-ORACLE["stream_upsert"] = ORACLE["partial_update"]
+ORACLE["stream_upsert"] = f"SELECT * EXCLUDE (address_street, address_number, address_district) FROM ({ORACLE['partial_update']})"
+ORACLE["lead_survivors"] = _survivors_sql()
 
 ORACLE["contact_upsert"] = """WITH inc AS (SELECT i.*, l.client_code FROM incoming_contacts i LEFT JOIN leads l ON i.lead_id = l.id
         WHERE i.email IS NOT NULL AND l.client_code IS NOT NULL),
@@ -511,3 +556,25 @@ ORACLE["dead_letters"] = f"""SELECT concat(prefix, event_id, '.json') AS file, k
               WHEN 'purchase' THEN 'lead_converted' WHEN 'error' THEN 'lead_discarded' WHEN 'view' THEN 'contact_update'
               ELSE 'timeline' END END AS kind FROM events)
         WHERE kind IS NULL OR kind <> 'lead_discarded' AND (event_id % 37 = 11 OR {_NEW_KEY} OR {_NEW_FLOOR})"""
+ORACLE["document_selection"] = f"SELECT file AS source_file, lead_id FROM ({ORACLE['kind_lead_converted']}) WHERE lead_id IN (SELECT id FROM leads)"
+ORACLE["batch_names"] = """SELECT doc_id, concat_ws('_', 'update_leads_in_erp', replace(replace(replace(replace(company, ' ', '_'), '/', ''), '.', ''), ',', ''),
+    strftime(received_at, '%Y_%m_%d_%H_%M_%S'), doc_id) AS file FROM webhook_docs"""
+ORACLE["outcome_class"] = """SELECT event_id, CASE WHEN event_id % 14 = 0 THEN 'ok_duplicate_client_code'
+    WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'error' ELSE 'ok' END AS outcome FROM events"""
+ORACLE["industry_load"] = """SELECT coalesce(n.code, i.industry) AS industry, coalesce(n.description, i.description) AS description
+    FROM industries i FULL JOIN (SELECT DISTINCT p_partkey % 8 AS code, concat('Trade ', p_partkey % 8) AS description FROM part) n
+      ON n.code = i.industry"""
+ORACLE["phone_digits"] = "SELECT id, regexp_replace(phone1, '[^0-9]', '', 'g') AS phone FROM crm_export"
+ORACLE["main_contact"] = """SELECT event_id * 10 + event_id % 5 AS id, CASE WHEN event_id % 5 < 3 AND event_id % 3 = event_id % 5
+    THEN 'S' ELSE 'N' END AS is_primary FROM events"""
+_CHECKED_CONTACTS = """(SELECT *, concat_ws(',', CASE WHEN id IS NULL OR id = 0 THEN 'id' END, CASE WHEN coalesce(name, '') = '' THEN 'name' END,
+    CASE WHEN coalesce(email, '') = '' THEN 'email' END, CASE WHEN coalesce(phone1, '') = '' THEN 'phone1' END,
+    CASE WHEN coalesce(jobTitle, '') = '' THEN 'jobTitle' END) AS missing FROM crm_contacts)"""
+_SYNCED_EXPORT = f"replace(stage, chr(160), ' ') IN {SYNCED_CANON}"
+ORACLE["reload_contacts"] = f"""SELECT id, leadId, name, email, phone1, jobTitle FROM {_CHECKED_CONTACTS}
+    WHERE missing = '' AND leadId IN (SELECT id FROM validated WHERE failed = '' AND {_SYNCED_EXPORT})"""
+ORACLE["reload_rejects"] = f"""SELECT 'lead' AS kind, id, failed AS reason FROM validated WHERE failed <> '' AND {_SYNCED_EXPORT}
+    UNION ALL SELECT 'contact', id, missing FROM {_CHECKED_CONTACTS} WHERE missing <> ''"""
+ORACLE["contact_insert_payload"] = "SELECT l.id AS lead_id, c.id AS contact_id, " + drop_nulls("""to_json({'name': c.name, 'email': c.email,
+    'phone1': c.phone, 'jobTitle': c.job_title, 'mainContact': c.is_primary = 'S', 'leadId': l.id::VARCHAR})""") + """ AS payload
+    FROM vw_contacts c JOIN crm_export l ON length(l.cnpj) <= 14 AND ltrim(lpad(l.cnpj, 14, '0')) = ltrim(lpad(c.client_taxid, 14, '0'))"""

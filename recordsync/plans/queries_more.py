@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import functions as X
 from ..operators import fingerprint as FP
@@ -13,6 +14,8 @@ from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import setops as S
 from ..operators.contacts import CONTACT
+from ..operators.payloads import contact_insert_payload
+from ..operators.survivorship import candidates, set_address, survivors
 from ..schemas import (ACTIVATION_STAGE, BUDGET_STAGE, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP,
                        CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, LEAD_DIFF_COLS, MAX_LEN, RENAME_MAP,
                        STAGES_CANONICAL, SYNCED_STAGES)
@@ -184,6 +187,14 @@ def _contact_fanout_join(t: DomainTables) -> DataFrame:
                     "email", "phone", "job_title", X.sn_to_bool(F.col("is_primary")).alias("is_primary"))
 
 
+@register("contact_insert_payload")
+def _contact_insert_payload(t: DomainTables) -> DataFrame:
+    """Create-contact bodies of the clients' contacts for the CRM leads that have their tax id."""
+    leads = t.crm_export.select(X.taxid_key("cnpj").alias("_tk"), F.col("id").alias("lead_id")).where(F.col("_tk").isNotNull())
+    contacts = V.contact_view(t).withColumn("_tk", X.taxid_key("client_taxid"))
+    return contact_insert_payload(J.salted_join(contacts, leads, ["_tk"], salt_buckets=8, salt_by=["id"]))
+
+
 def with_client(contacts: DataFrame, t: DomainTables) -> DataFrame:
     """The ERP client of a contact, by the tax id of its lead (the lowest client of a tax id)."""
     erp = V.client_base(t).select(X.taxid_key(F.col("taxid")).alias("_ck"), "client_code").where(F.col("_ck").isNotNull())
@@ -254,8 +265,9 @@ def _contact_fanout(t: DomainTables) -> DataFrame:
     docs = t.webhook_docs.where(F.col("stage").isin(*[ALIAS_TO_CANON[x] for x in SYNCED_STAGES]))
     accepted = t.leads.select("id")
     d = J.semi_restrict(docs, "lead_id", accepted, "id")
-    return d.select("doc_id", "lead_id", F.explode("contacts").alias("c")).select(
-        "doc_id", "lead_id", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
+    taxid = F.get_json_object("raw", "$.Lead.CpfCnpj").alias("lead_taxid")
+    return d.select("doc_id", "lead_id", taxid, F.explode("contacts").alias("c")).select(
+        "doc_id", "lead_id", "lead_taxid", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
         F.col("c.Email").alias("contact_email"))
 
 
@@ -291,7 +303,7 @@ BATCH = 10
 def next_batch(df: DataFrame, key: str, limit: int = BATCH) -> DataFrame:
     """``df`` with ``in_batch``: the ``limit`` smallest keys are sent in this run, the rest remains.
     The batch's keys (``limit`` rows) are broadcast; nothing is dropped."""
-    first = df.select(F.col(key).alias("_k")).orderBy("_k").limit(limit).withColumn("_in", F.lit(True))
+    first = df.select(F.col(key).alias("_k")).distinct().orderBy("_k").limit(limit).withColumn("_in", F.lit(True))
     return df.join(F.broadcast(first), F.col(key) == F.col("_k"), "left").select(
         *df.columns, F.coalesce("_in", F.lit(False)).alias("in_batch"))
 
@@ -420,7 +432,37 @@ def _partial_update(t: DomainTables) -> DataFrame:
     raw = F.col("raw")
     docs = t.webhook_docs.where(is_synced(raw)).select(F.col("lead_id").alias("id"), "raw",
                                                          F.struct("received_at", "doc_id").alias("_ord"))
-    return M.partial_update(t.leads, docs, "id", lead_update_fields(raw), "_ord").select(*PARTIAL_COLUMNS)
+    updated = M.partial_update(t.leads, docs, "id", lead_update_fields(raw), "_ord")
+    return set_address(updated, docs, t.crm_export.select("id", "street", "number", "district")).select(
+        *PARTIAL_COLUMNS, "address_street", "address_number", "address_district")
+
+
+#: Sources of a lead's fields, best first.
+PRECEDENCE = ["document", "export", "custom field", "default"]
+
+
+@register("lead_survivors")
+def _lead_survivors(t: DomainTables) -> DataFrame:
+    """Per lead of the CRM and field the value that survives, and its source."""
+    from ..schemas import DEFAULTS
+    from ..sources.webhook import is_synced, lead_update_fields
+    raw = F.col("raw")
+    fields = lead_update_fields(raw)
+    docs = t.webhook_docs.where(is_synced(raw)).join(t.crm_export.select(F.col("id").alias("lead_id")), "lead_id", "left_semi")
+    document = candidates(docs, "lead_id", "document", {f: v for f, (v, _) in fields.items()},
+                          F.col("received_at").cast("timestamp"), {f: p for f, (_, p) in fields.items()})
+    e = t.crm_export
+    export = candidates(e, "id", "export", {
+        "name": F.col("lead"), "stage": _canon_to_alias(F.col("stage")), "taxid": F.col("cnpj"), "phone": X.strip_punct("phone1"),
+        "industry": F.col("industry.value"), "source": F.col("source.value"), "address_street": F.col("street"),
+        "address_number": X.house_number("number"), "address_district": F.col("district"), "address_zipcode": X.strip_punct("cep"),
+        "address_complement": F.col("complement"), "city": F.col("city"), "state": F.col("state")})
+    custom = candidates(custom_field_table(t), "lead_id", "custom field", {
+        c: F.col(c) for c in ("sales_rep", "tax_registration", "financial_analysis", "client_code")})
+    default = candidates(e, "id", "default", {c: F.lit(DEFAULTS[c]) for c in (
+        "phone", "financial_analysis", "address_complement", "sales_rep", "state", "address_street")})
+    every = document.unionByName(export).unionByName(custom).unionByName(default)
+    return survivors(every, PRECEDENCE).withColumnRenamed("key", "id")
 
 
 @register("contact_merge")
@@ -559,21 +601,18 @@ def _replace_product(t: DomainTables) -> DataFrame:
 def _mark_values(t: DomainTables) -> DataFrame:
     """Set budget / order values; a lead the CRM already shows as sold
     (Activation, Retention) also takes the CRM stage."""
-    b = V.budget_changes(t).select(F.col("id").alias("_bid"), F.col("budget_value").alias("_bv"))
-    s = V.sold_changes(t).select(F.col("id").alias("_sid"), F.col("order_value").alias("_ov"))
+    new = V.value_changes(t).select(F.col("id").alias("_vid"), F.col("budget_value").alias("_bv"), F.col("order_value").alias("_ov"))
     crm = t.crm_export.select(F.col("id").alias("_cid"), _canon_to_alias(F.col("stage")).alias("_cstage"))
-    j = (t.leads.join(b, F.col("id") == F.col("_bid"), "left").join(s, F.col("id") == F.col("_sid"), "left")
-         .join(crm, F.col("id") == F.col("_cid"), "left"))
+    j = (t.leads.join(new, F.col("id") == F.col("_vid"), "left").join(crm, F.col("id") == F.col("_cid"), "left"))
     sold = F.col("_cstage").isin(ACTIVATION_STAGE, "Retention/Expansion")
     return j.select(
         "id",
         F.coalesce(F.col("_bv"), F.col("budget_value").cast("double")).alias("budget_value"),
         F.coalesce(F.col("_ov"), F.col("order_value").cast("double")).alias("order_value"),
-        F.when(F.col("_bid").isNotNull() & sold, F.col("_cstage")).otherwise(F.col("stage")).alias("stage"))
+        F.when(F.col("_bv").isNotNull() & sold, F.col("_cstage")).otherwise(F.col("stage")).alias("stage"))
 
 
-@register("full_reload")
-def _full_reload(t: DomainTables) -> DataFrame:
+def _reload(t: DomainTables) -> dict[str, DataFrame]:
     """Valid CRM leads of the synced stages in the lead schema, shaped
     as the full sync loads them (name cut to 40, street = first word, zip
     without punctuation, registration '99' shown as ISENTO)."""
@@ -590,7 +629,12 @@ def _full_reload(t: DomainTables) -> DataFrame:
             F.col("district").alias("address_district"), "city", "state",
             F.col("sales_rep").try_cast("bigint").alias("sales_rep"),
             F.when(reg == "99", F.lit("ISENTO")).otherwise(reg).alias("tax_registration"), "financial_analysis"]
-    return Q.full_reload(e, t.crm_contacts, proj, sales_rep=F.col("sales_rep"))["leads"]
+    return Q.full_reload(e, t.crm_contacts, proj, sales_rep=F.col("sales_rep"))
+
+
+@register("full_reload")
+def _full_reload(t: DomainTables) -> DataFrame:
+    return _reload(t)["leads"]
 
 
 # ---------------------------------------------------------------------------
@@ -630,15 +674,11 @@ def _array_append(t: DomainTables) -> DataFrame:
 def _sold_products(t: DomainTables) -> DataFrame:
     """Per lead, the products of its first sale (earliest date, then
     lowest sale id), one row each."""
-    s = t.sale_lines
-    sales = (s.groupBy("lead_id", "sale_id", "sale_date")
-             .agg(F.collect_list(F.struct("line", "product_id", "final_value")).alias("products")))
-    first = (sales.groupBy("lead_id")
-             .agg(F.min_by(F.struct("sale_id", "sale_date", "products"), F.struct("sale_date", "sale_id")).alias("f")))
-    return first.select("lead_id", F.col("f.sale_id").alias("sale_id"), F.col("f.sale_date").alias("sale_date"),
-                        F.explode("f.products").alias("p")).select(
-        "lead_id", "sale_id", "sale_date", F.col("p.line").alias("line"), F.col("p.product_id").alias("product_id"),
-        F.col("p.final_value").cast("double").alias("final_value"))
+    lines = t.sale_lines
+    first = lines.groupBy("lead_id").agg(F.min(F.struct("sale_date", "sale_id")).alias("f")).select(
+        "lead_id", F.col("f.sale_id").alias("sale_id"))  # the key alone; lines are read once more, for it
+    return lines.join(first, ["lead_id", "sale_id"]).select(
+        "lead_id", "sale_id", "sale_date", "line", "product_id", F.col("final_value").cast("double").alias("final_value"))
 
 
 @register("option_domain")
@@ -647,17 +687,26 @@ def _option_domain(t: DomainTables) -> DataFrame:
     return d.where(F.col("f.id") == CF_SALES_REP).select(F.col("f.value").alias("value")).distinct()
 
 
+def _landed(t: DomainTables) -> DataFrame:
+    """The CRM's listings, landed as JSON pages and read back."""
+    root = _scratch(t, "pages")
+    t.landed_pages.write.partitionBy("listing").json(root)
+    schema = T.StructType([f for f in t.landed_pages.schema if f.name != "listing"] + [T.StructField("listing", T.StringType())])
+    return t.spark.read.schema(schema).json(root)
+
+
 @register("page_explode")
 def _page_explode(t: DomainTables) -> DataFrame:
-    """CRM listing landed as pages of 500 (``{page, value: [...]}``) plus
-    an empty terminating page; exploded back to one row per lead."""
+    """The leads of complete listings, each from the last page it stands on."""
     from ..sources.readers import explode_pages
-    e = t.crm_export.select("id", "lead")
-    pages = e.groupBy(F.floor(F.col("id") / 500).alias("page")).agg(F.collect_list(F.struct("id", "lead")).alias("value"))
-    last = pages.agg((F.max("page") + 1).alias("page")).select("page", F.array().cast(pages.schema["value"].dataType)
-                                                                 .alias("value"))
-    x = explode_pages(pages.unionByName(last))
-    return x.select(F.col("item.id").alias("id"), F.col("item.lead").alias("lead"), F.col("page").cast("bigint"))
+    return explode_pages(_landed(t)).select("listing", "page", F.col("item.id").alias("id"), F.col("item.lead").alias("lead"))
+
+
+@register("page_report")
+def _page_report(t: DomainTables) -> DataFrame:
+    """What of each listing landed; unfinished and holed ones are held back."""
+    from ..sources.readers import listing_report
+    return listing_report(_landed(t))
 
 
 @register("json_roundtrip")
@@ -847,3 +896,68 @@ for _kind, _fields in {"lead_update": _LEAD_FIELDS, "lead_converted": _LEAD_FIEL
 @register("dead_letters")
 def _dead_letters(t: DomainTables) -> DataFrame:
     return _queue(t).read(t.spark, "dead_letters").select("file", "kind", "reason")
+
+
+@register("document_selection")
+def _document_selection(t: DomainTables) -> DataFrame:
+    """P10: the converted documents of leads that the ERP knows."""
+    from ..operators.documents import docs_for_leads
+    docs = _queue(t).read(t.spark, "lead_converted").withColumnRenamed("file", "source_file")
+    return docs_for_leads(docs, t.leads).select("source_file", F.col("Lead.Id").alias("lead_id"))
+
+
+@register("batch_names")
+def _batch_names(t: DomainTables) -> DataFrame:
+    """the queue file name of each document."""
+    from ..operators.documents import batch_name
+    d = t.webhook_docs
+    return d.select("doc_id", batch_name("update_leads_in_erp", F.col("company"), F.col("doc_id"), F.col("received_at")).alias("file"))
+
+
+@register("outcome_class")
+def _outcome_class(t: DomainTables) -> DataFrame:
+    """Q-7: outcomes of the calls that sent documents (the event's number plays status and message)."""
+    from ..operators.documents import classify_outcome
+    k = F.col("event_id")
+    status = F.when(k % 7 == 0, 400).when(k % 11 == 0, 500).otherwise(200 + k % 3)
+    message = F.when(k % 14 == 0, F.lit("Duplicated Keys: _cod.cliente")).when(k % 7 == 0, F.lit("Duplicated Keys: phone")).otherwise(F.lit("ok"))
+    return t.raw("events").select("event_id", classify_outcome(status, message).alias("outcome"))
+
+
+@register("industry_load")
+def _industry_load(t: DomainTables) -> DataFrame:
+    """The CRM's industry list loaded over the ERP's."""
+    from ..operators.documents import load_industries
+    listed = t.raw("part").select((F.col("p_partkey") % 8).alias("industry"), F.concat(F.lit("Trade "), F.col("p_partkey") % 8).alias("description"))
+    return load_industries(t.industries.select("industry", "description"), listed)
+
+
+@register("phone_digits")
+def _phone_digits(t: DomainTables) -> DataFrame:
+    """phones of the CRM's leads, digits alone."""
+    from ..operators.payloads import clean_digits
+    return t.crm_export.select("id", clean_digits("phone1").alias("phone"))
+
+
+@register("main_contact")
+def _main_contact(t: DomainTables) -> DataFrame:
+    """Whether a contact is the main one, searched in its lead's array of contacts."""
+    k = F.col("event_id")
+    listed = F.array(*[F.struct((k * 10 + i).alias("id"), F.when(k % 3 == i, "true").otherwise("false").alias("mainContact"))
+                       for i in range(3)])
+    asked = k * 10 + k % 5  # some are not in the list
+    return t.raw("events").select(asked.alias("id"), X.main_contact_flag(listed, asked).alias("is_primary"))
+
+
+@register("reload_contacts")
+def _reload_contacts(t: DomainTables) -> DataFrame:
+    """The contacts that the full reload keeps."""
+    return _reload(t)["contacts"].select("id", "leadId", "name", "email", "phone1", "jobTitle")
+
+
+@register("reload_rejects")
+def _reload_rejects(t: DomainTables) -> DataFrame:
+    """Leads and contacts that the full reload refuses, with the reason."""
+    out = _reload(t)
+    return out["lead_rejects"].select(F.lit("lead").alias("kind"), "id", "reason").unionByName(
+        out["contact_rejects"].select(F.lit("contact").alias("kind"), "id", "reason"))

@@ -395,6 +395,21 @@ def budget_changes(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
             .select("id", "budget_value", "taxid"))
 
 
+def value_changes(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
+    """V6 and V7 from one frame of both values per client: per lead the new budget and order value, NULL where the view
+    has no row for the lead."""
+    from ..schemas import ACTIVATION_STAGE
+    l = t.leads.select("id", "stage", F.col("budget_value").cast("double").alias("_lb"), F.col("order_value").cast("double").alias("_lo"))
+    e = (client_base(t).select("client_code", "branch_code", "id_crm")
+         .join(budget_value(t, base_ts), KEYS, "left").join(order_value(t, base_ts), KEYS, "left")
+         .select("id_crm", with_override(F.col("client_code"), F.col("budget_value"), BUDGET_VALUE_OVERRIDES).alias("bv"),
+                 with_override(F.col("client_code"), F.col("order_value"), ORDER_VALUE_OVERRIDES).alias("ov")))
+    budget = F.col("bv").isNotNull() & (F.coalesce("_lb", F.lit(-1.0)) != F.col("bv"))
+    sold = F.col("bv").isNotNull() & (F.col("stage") != ACTIVATION_STAGE) & (F.coalesce("_lo", F.lit(-1.0)) != F.col("ov"))
+    return l.join(e, l.id == e.id_crm).select("id", F.when(budget, F.col("bv")).alias("budget_value"),
+                                              F.when(sold, F.col("ov")).alias("order_value"))
+
+
 def sold_changes(t: DomainTables, base_ts=BASE_TS) -> DataFrame:
     """V7: leads not in Activation whose order value differs; like the source
     view it requires the *budget* value to be set (Q11)."""

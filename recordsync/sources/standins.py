@@ -505,6 +505,24 @@ class DomainTables:
         return e.select(k.alias("seq"), text(prefix, k, ".json").alias("file"),
                         F.when(k % 37 == 11, F.substring(body, F.lit(1), F.length(body) - 3)).otherwise(body).alias("body"))
 
+    @cached_property
+    def landed_pages(self) -> DataFrame:
+        """CRM listings (one per market segment) as landed pages (listing, page, value), 100 ids to a page.  Some leads moved
+        to the next page while the listing was read; one listing lacks its end, one a page."""
+        c = self.raw("customer")
+        page = F.floor(F.col("c_custkey") / 100)
+        item = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("lead"))
+        own = c.select(F.col("c_mktsegment").alias("listing"), page.alias("page"), item.alias("item"))
+        top = c.groupBy("c_mktsegment").agg(F.max(page).alias("_top"))
+        moved = c.where(F.col("c_custkey") % 50 == 0).join(top, "c_mktsegment").where(page < F.col("_top")).select(
+            F.col("c_mktsegment").alias("listing"), (page + 1).alias("page"),
+            F.struct(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(" (moved)")).alias("lead")).alias("item"))
+        full = own.unionByName(moved).groupBy("listing", "page").agg(F.collect_list("item").alias("value"))  # a page at most
+        full = full.where((F.col("listing") != "BUILDING") | (F.col("page") != 0))
+        ends = c.groupBy(F.col("c_mktsegment").alias("listing")).agg((F.max(page) + 1).alias("page")).where(
+            "listing <> 'AUTOMOBILE'").select("listing", "page", F.array().cast(full.schema["value"].dataType).alias("value"))
+        return full.unionByName(ends)
+
     @cached_property
     def error_log(self) -> DataFrame:
         """The error log as it stands: one row per event."""
@@ -584,8 +602,8 @@ STAGE_KEYS = {
 
 def stage(t: DomainTables, root: str, partitions: int | None = None, parallel: int = 8,
           bucketed: bool = True) -> DomainTables:
-    """Write every domain table once under ``root`` (shared storage) and
-    point ``t`` at the written copies.
+    """Write every domain table once under ``root`` (shared storage); the
+    result reads the written copies, ``t`` stays as it is.
 
     This is the staging step a deployment has anyway (the ERP/CRM extracts
     land as tables); queries then read domain tables instead of re-deriving
@@ -616,7 +634,8 @@ def stage(t: DomainTables, root: str, partitions: int | None = None, parallel: i
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         written = dict(zip(STAGE_KEYS, pool.map(write, STAGE_KEYS)))
+    staged = DomainTables(t.spark, t.sf_dir)
     for name, where in written.items():
-        t.__dict__[name] = t.spark.table(where) if bucketed else t.spark.read.parquet(where)
-    t.bucketed = bucketed
-    return t
+        staged.__dict__[name] = t.spark.table(where) if bucketed else t.spark.read.parquet(where)
+    staged.bucketed = bucketed
+    return staged

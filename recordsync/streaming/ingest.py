@@ -193,8 +193,9 @@ class LeadChangeChain:
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         self.leads(batch, epoch)
         docs = batch.where(is_synced(F.col("raw"))).join(self.accepted, F.col("lead_id") == F.col("_acc"), "left_semi")
-        out = docs.select("doc_id", "lead_id", F.explode("contacts").alias("c")).select(
-            "doc_id", "lead_id", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
+        taxid = F.get_json_object("raw", "$.Lead.CpfCnpj").alias("lead_taxid")
+        out = docs.select("doc_id", "lead_id", taxid, F.explode("contacts").alias("c")).select(
+            "doc_id", "lead_id", "lead_taxid", F.col("c.Id").alias("contact_id"), F.col("c.Name").alias("contact_name"),
             F.col("c.Email").alias("contact_email"))
         out.write.mode("overwrite").parquet(f"{self.root}/contacts/epoch={epoch}")
 

@@ -74,7 +74,7 @@ def test_staged_tables_give_same_results(spark, tmp_path):
     keys = ["lead_diff", "budget_value", "contact_merge", "field_diff"]
     before = {k: sorted(map(tuple, E.queries()[k](spark, SMOKE).collect())) for k in keys}
     t = DomainTables(spark, SMOKE)
-    stage(t, str(tmp_path / "staged"), partitions=3)
+    t = stage(t, str(tmp_path / "staged"), partitions=3)
     builders = {k: catalog._REGISTRY[k] for k in keys}
     for k in keys:
         assert sorted(map(tuple, builders[k](t).collect())) == before[k], k
