@@ -612,30 +612,41 @@ def stage(t: DomainTables, root: str, partitions: int | None = None, parallel: i
     at ``root``, registered in the session catalog), so joins and windows on
     that key (budget number, order number, client) read co-located buckets
     without a shuffle; otherwise rows are just hash-partitioned into files.
+    The rows of keys that hold a multiple of a bucket's share are written
+    beside, evenly over ``n`` files, and read with the others: such a table
+    is shuffled again, after partial aggregates, but no task has it all.
     The writes are independent Spark jobs, submitted from ``parallel``
     threads so small ones share the cluster instead of queueing.
     """
     import uuid
     from concurrent.futures import ThreadPoolExecutor
+
+    from ..operators.skew import hot_keys, split_hot
     n = partitions or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     root = root.rstrip("/")
     tag = uuid.uuid4().hex[:8]
     frames = {name: getattr(t, name) for name in STAGE_KEYS}  # plans built on this thread
 
-    def write(name: str) -> str:
-        path, key = f"{root}/{name}", STAGE_KEYS[name]
-        w = frames[name].repartition(n, key).write.mode("overwrite")
+    def write(name: str) -> tuple[str, str | None]:
+        path, key, rows, beside = f"{root}/{name}", STAGE_KEYS[name], frames[name], None
+        hot = hot_keys(rows, key, n)
+        if hot:  # a bucket is one task's: what would swell it goes beside the buckets, evenly
+            of_hot, rows = split_hot(rows, key, hot)
+            beside = f"{path}__hot"
+            of_hot.repartition(n).write.mode("overwrite").parquet(beside)
+        w = rows.repartition(n, key).write.mode("overwrite")
         if bucketed:
             table = f"rs_{tag}_{name}"
             w.bucketBy(n, key).option("path", path).saveAsTable(table)
-            return table
+            return table, beside
         w.parquet(path)
-        return path
+        return path, beside
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         written = dict(zip(STAGE_KEYS, pool.map(write, STAGE_KEYS)))
     staged = DomainTables(t.spark, t.sf_dir)
-    for name, where in written.items():
-        staged.__dict__[name] = t.spark.table(where) if bucketed else t.spark.read.parquet(where)
+    for name, (where, beside) in written.items():
+        table = t.spark.table(where) if bucketed else t.spark.read.parquet(where)
+        staged.__dict__[name] = table.unionByName(t.spark.read.parquet(beside)) if beside else table
     staged.bucketed = bucketed
     return staged
