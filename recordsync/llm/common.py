@@ -38,7 +38,7 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def written(df: DataFrame, *partition_by: str, compression: str | None = None) -> DataFrame:
+def written(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of the cluster, read back.
 
     Cuts the lineage (a lost executor rereads files, it does not recompute)
@@ -49,8 +49,7 @@ def written(df: DataFrame, *partition_by: str, compression: str | None = None) -
     schema = df.schema
     if next(_writes) % RELEASE == 0:
         release(spark)
-    w = df.write.mode("error")
-    w = w.option("compression", compression) if compression else w
+    w = df.write.mode("error").option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
