@@ -17,7 +17,7 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
 #: Tables written between two releases.
-RELEASE = 8
+RELEASE = 4
 _writes = itertools.count(1)
 
 
