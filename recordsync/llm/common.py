@@ -19,6 +19,8 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 #: Tables written between two releases.
 RELEASE = 4
 _writes = itertools.count(1)
+#: Characters of a plan's text that Spark keeps of each write, for as long as it lists its executions.
+PLAN_TEXT = "spark.sql.maxPlanStringLength", 20_000
 
 
 def release(spark: SparkSession) -> None:
@@ -50,7 +52,13 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     if next(_writes) % RELEASE == 0:
         release(spark)
     w = df.write.mode("error").option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    name, most = PLAN_TEXT
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)  # plans of joins by the dozen are told again at each of their steps
+    try:
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    finally:
+        spark.conf.set(name, before)
     return spark.read.schema(schema).parquet(path)
 
 
