@@ -8,13 +8,19 @@ is content with at least ``CUT`` make the main text, in page order.
 
 The weights are learned by gradient ascent of the conditional likelihood on
 labelled pages: the built-in ones of ``labelled_pages`` and up to
-``TRAIN_PAGES`` pages of the table that mark their article themselves with one
-``article`` or ``main`` element (chosen by a hash of the url).
+``TRAIN_PAGES`` pages of the table, of at most ``TRAIN_BYTES`` each, that mark
+their article themselves with one ``article`` or ``main`` element (chosen by a
+hash of the url).
 
 Defined cases: null or empty html gives an empty text; character references
-are decoded; ``br`` is white space; scripts, styles, form controls and hidden
-elements never count as text; unclosed and stray tags are repaired as browsers
-do for paragraphs, list items and table cells.
+are decoded; ``br`` is white space; scripts, styles, templates, graphics,
+embedded objects and form controls are no text, up to their own end, and leave
+the block around them whole; hidden elements are a feature for the model, their
+text is judged like any other; only the elements that browsers end a paragraph
+for end one, and elements that HTML doesn't know are part of their line; list
+items and table cells are repaired as browsers do; time is linear in the page's
+length and depth; repeated rows give equal rows; an empty table gives no rows;
+columns named ``text`` and ``n_chars`` are replaced.
 """
 
 from __future__ import annotations
@@ -37,15 +43,17 @@ EPOCHS, RATE, DECAY = 60, 0.4, 2e-4
 #: Weight of a built-in page, by that of a page of the table (whose shapes are alike).
 BUILT_IN = 3.0
 
-# Elements of HTML by their part in a page.
-SILENT = set("script style noscript template svg math head title iframe object embed audio video canvas map select option "
-             "optgroup textarea button input datalist".split())
+# Elements of HTML by their part in a page.  Elements that are in none of these sets are part of their line.
+SILENT = set("script style noscript template svg title iframe object audio video canvas map select option optgroup textarea "
+             "button datalist".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-             "strike strong sub sup time tt u var wbr br img".split())
+CLOSE_P = set("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+              "header hgroup hr li main menu nav ol p pre search section summary table ul".split())
+BLOCKS = CLOSE_P | set("body caption html legend tbody td tfoot th thead tr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-          "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th"}}
+          "th": {"td", "th"}, "tbody": {"tr", "td", "th"}}
 SCOPES = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "html", "main", "aside", "nav", "form"}
+P_SCOPES = SCOPES | {"td", "th", "li"}
 TAGS = [{"article", "main"}, {"nav", "menu"}, {"header"}, {"footer"}, {"aside"}, {"form", "fieldset", "dialog"}, {"p", "blockquote", "pre"},
         {"h1", "h2", "h3", "h4", "h5", "h6"}, {"li", "ul", "ol", "dl", "dt", "dd"}, {"table", "tr", "td", "th", "tbody"},
         {"div", "section"}, {"body", "html", ""}]
@@ -61,21 +69,24 @@ N_FEATURES = 1 + len(TAGS) + len(NAMES) + 7
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "children", "silent", "chars", "links", "ends", "label")
+    __slots__ = ("tag", "names", "parent", "children", "hidden", "chars", "links", "ends", "label")
 
-    def __init__(self, tag: str, names: str, parent: int, silent: bool, label: int | None):
-        self.tag, self.names, self.parent, self.silent, self.label = tag, names, parent, silent, label
+    def __init__(self, tag: str, names: str, parent: int, hidden: bool, label: int | None):
+        self.tag, self.names, self.parent, self.hidden, self.label = tag, names, parent, hidden, label
         self.children: list[int] = []
         self.chars = self.links = self.ends = 0
 
 
 class Page(HTMLParser):
-    """Elements (parents before children; inline ones are part of their block) and blocks (element, text)."""
+    """Block elements (parents before children; all others are part of their block's line) and blocks (element, text)."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("", "", -1, False, None)]
         self.stack: list[tuple[str, int]] = [("", 0)]
+        self.open: dict[str, list[int]] = {}  # by tag, its places on the stack
+        self.silent: list[str] = []  # a silent element, and all within it that isn't closed
+        self.within: dict[str, int] = {}  # how many of each those are
         self.blocks: list[tuple[int, str]] = []
         self.held: list[str] = []
         self.links = self.held_links = 0
@@ -86,7 +97,7 @@ class Page(HTMLParser):
     def _break(self) -> None:
         text = BLANK.sub(" ", "".join(self.held)).strip()
         at = self.stack[-1][1]
-        if text and not self.nodes[at].silent:
+        if text:
             self.blocks.append((at, text))
             node = self.nodes[at]
             node.chars += len(text)
@@ -94,60 +105,75 @@ class Page(HTMLParser):
             node.ends += len(SENTENCE.findall(text))
         self.held, self.held_links = [], 0
 
+    def _innermost(self, tags: set[str]) -> int:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
+    def _end_at(self, k: int) -> None:
+        """Ends the elements from place ``k`` of the stack on."""
+        self._break()
+        for tag, _ in self.stack[k:]:
+            self.open[tag].pop()
+        del self.stack[k:]
+
     def _close(self, tags: set[str], scopes: set[str]) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] in tags:
-                self._break()
-                del self.stack[k:]
-                return
-            if self.stack[k][0] in scopes:
-                return
+        k = self._innermost(tags)
+        if k > self._innermost(scopes - tags):
+            self._end_at(k)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        given = dict(attrs)
-        style = (given.get("style") or "").replace(" ", "")
-        hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-        silent = tag in SILENT or hidden
-        if tag in INLINE and not silent:
+        if self.silent or tag in SILENT:  # up to its own end, whatever stands in it
+            if tag not in VOID:
+                self.silent.append(tag)
+                self.within[tag] = self.within.get(tag, 0) + 1
+            return
+        if tag not in BLOCKS:
             self.links += tag == "a"
             if tag == "br":
                 self.held.append(" ")
             return
-        if tag in VOID:
-            if tag == "hr":
-                self._break()
+        if tag == "hr":
+            self._close({"p"}, P_SCOPES)
+            self._break()
             return
-        if tag in INLINE and silent:
-            tag = f"{tag}!"  # kept as an element of its own until its end
+        if tag in CLOSE_P:
+            self._close({"p"}, P_SCOPES)
         if tag in CLOSES:
-            self._close(CLOSES[tag], SCOPES - CLOSES[tag])
-        elif tag not in SILENT and not silent:
-            self._close({"p"}, SCOPES | {"td", "th", "li"})
+            self._close(CLOSES[tag], SCOPES)
         self._break()
-        up = self.stack[-1][1]
+        given = dict(attrs)
+        style = (given.get("style") or "").replace(" ", "")
+        hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
         names = " ".join(given.get(a) or "" for a in ("class", "id", "role", "itemprop")).lower()
-        label = given.get("data-y")
-        self.nodes.append(Node(tag, names, up, silent or self.nodes[up].silent, int(label) if label in ("0", "1") else None))
+        label, up = given.get("data-y"), self.stack[-1][1]
+        self.nodes.append(Node(tag, names, up, hidden or self.nodes[up].hidden, int(label) if label in ("0", "1") else None))
         self.nodes[up].children.append(len(self.nodes) - 1)
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append((tag, len(self.nodes) - 1))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in INLINE:
+        if tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in INLINE and not any(t == f"{tag}!" for t, _ in self.stack):
-            self.links = max(0, self.links - (tag == "a"))
-            return
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] in (tag, f"{tag}!"):
-                self._break()
-                del self.stack[k:]
+        if self.silent:
+            if self.within.get(tag):
+                while (ended := self.silent.pop()) != tag:
+                    self.within[ended] -= 1
+                self.within[tag] -= 1
                 return
+            if not self.open.get(tag):
+                return
+            self.silent, self.within = [], {}  # what is around it ends: it was never closed
+        if tag not in BLOCKS:
+            self.links = max(0, self.links - (tag == "a"))
+        elif self.open.get(tag):
+            self._end_at(self.open[tag][-1])
+        elif tag == "p":
+            self._break()
 
     def handle_data(self, data: str) -> None:
-        if not self.nodes[self.stack[-1][1]].silent:
+        if not self.silent:
             self.held.append(data)
             if self.links:
                 self.held_links += len(data)
@@ -167,7 +193,7 @@ def features(page: Page) -> np.ndarray:
         if n.names:
             for j, pattern in enumerate(NAMES):
                 x[i, 1 + len(TAGS) + j] = pattern.search(n.names) is not None
-        x[i, -1] = n.silent
+        x[i, -1] = n.hidden
     chars, links, ends = total.T
     x[:, -7] = np.log1p(chars) / 5
     x[:, -6] = links / np.maximum(1, chars)
@@ -229,7 +255,7 @@ def own_labels(page: Page) -> np.ndarray | None:
     aside = {"nav", "aside", "footer", "form", "header", "dialog"}
     for i, n in enumerate(page.nodes):
         inside = i == marks[0] or i > 0 and y[n.parent]
-        y[i] = bool(inside) and not n.silent and n.tag not in aside and not any(p.search(n.names) for p in NAMES[1:6])
+        y[i] = bool(inside) and not n.hidden and n.tag not in aside and not any(p.search(n.names) for p in NAMES[1:6])
     return y
 
 
@@ -281,6 +307,8 @@ def _shapes(texts: tuple[str, ...]) -> list[str]:
     table = "<table><tr><th>Year</th><th>Level</th></tr><tr><td>1953</td><td>4.2 m</td></tr></table>"
     points = "<ul><li>The road is closed.</li><li>The school stays open, for now.</li></ul>"
     title = "<h1>High water</h1>"
+    unseen = f"<p aria-hidden='true'>{texts[0]}</p>"
+    hidden = f"<div style='display: none'><p>{_TEXT[1]}</p></div>"
     brief = f"{title}{p}" + (points if len(texts) > 1 else "")
     body = brief if len(texts) < 3 else f"{title}{p}<h2>What comes next</h2><p>{_TEXT[0]} {_TEXT[1]}</p>{points}{table}<blockquote>{_TEXT[2]}</blockquote>"
 
@@ -309,6 +337,10 @@ def _shapes(texts: tuple[str, ...]) -> list[str]:
         shape(f"<main data-y='1'>{body}{drop(notes)}</main>", head.replace("<a href='/'>The Daily</a>", "<h1>The Daily</h1>"), foot),
         shape(f"<div class='article-body' data-y='1'>{body}</div>", bar, aside.replace("aside", "div") + notes + cookie),
         shape(f"<div role='main' data-y='1'>{body}</div>", nav + form, ad + share + foot),
+        shape(f"<article data-y='1'>{title}{p}{drop(hidden)}{p}</article>", nav + hidden, foot),
+        shape(f"<article data-y='1'>{title}{p}{drop(unseen)}{p}{drop(unseen)}</article>", head + nav, foot),
+        shape(f"<main data-y='1'>{drop(unseen)}{body}{drop(hidden)}{drop(unseen)}</main>", bar, notes + foot),
+        shape(f"<div data-y='1'>{body}{drop('<div hidden><p>You need to be signed in to see this. It takes a minute.</p></div>')}</div>", bar, foot),
     ]
 
 

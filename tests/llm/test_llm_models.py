@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -295,6 +296,29 @@ def test_pages_main_text(spark, page_model):
         assert page_model.extract(r.html) == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize("html,lines", [
+    ("<p>x <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> y</p>", ["x E=mc y"]),
+    ("<p>a <my-word>b</my-word> <nobr>c</nobr><picture><img></picture> d</p>", ["a b c d"]),
+    ("<p>a<svg><title>t</title><text>label</text></svg> b<script>var p='<p>';</script> c<button>ok</button> d</p>", ["a b c d"]),
+    ("<p>a<template><p>never</p><div>no</div></template> b</p><p>c</p>", ["a b", "c"]),
+    ("<p>a<div>b<p>c<ul><li>d<li>e</ul>f", ["a", "b", "c", "d", "e", "f"]),
+    ("<table><tr><td>1<td>2<tr><td><p>3</table>4", ["1", "2", "3", "4"]),
+    ("<p>a <span hidden>b</span> c</p><div hidden><p>d</p></div>", ["a b c", "d"]),
+    ("<div>a<button>never closed</div>b<select><option>x</select> c</p>d", ["a", "b c", "d"]),
+    ("<head><title>t</title><style>p{}</style><body>a<br>b<hr>c", ["a b", "c"]),
+    ("a</div></p>b<custom-card><p>c</p></custom-card>", ["a", "b", "c"])])
+def test_page_blocks(html, lines):
+    assert [text for _, text in dom_model.Page(html).blocks] == lines
+
+
+@pytest.mark.parametrize("shape", ["<div>" * 8000 + "x</b></i>" * 8000, "<blockquote>" * 8000 + "x" + "</blockquote>" * 8000,
+                                   "<p><li>" + "<blockquote>x</p>" * 8000, "<ul><li>" * 8000 + "x" + "</section>" * 8000])
+def test_page_time_is_linear_in_depth(shape):
+    started = time.perf_counter()
+    page = dom_model.Page(shape)
+    assert len(page.nodes) > 8000 and time.perf_counter() - started < 2
+
+
 def test_page_beliefs_are_brute_force():
     page = dom_model.Page("<div><p>a</p><ul><li>b<li>c</ul></div><footer>d</footer>")
     n, rng = len(page.nodes), np.random.default_rng(1)
