@@ -12,7 +12,9 @@ own length, found by the hash of the whole item at every position.
 
 Defined cases: null or wordless texts have no words, no windows and no hits;
 a null item_id counts as the empty string; items of equal id count once;
-equal document rows give equal result rows; an empty benchmark marks nothing.
+equal document rows give equal result rows; an empty benchmark marks nothing;
+an item of many words has a fingerprint for some words of it, each of a fixed
+size, so work and memory grow with its length, not with its square.
 """
 
 from __future__ import annotations
@@ -78,28 +80,28 @@ def hits(docs: DataFrame, bench: DataFrame, span: int = SPAN, k: int = K) -> Dat
     items = written(bench.select("item", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
                     .withColumn("n", F.size("words")).distinct())
     lengths = sorted(r.n for r in items.where(F.col("n") < span).select("n").distinct().collect())  # below span
-    long_items = fingerprints(items.where(F.col("n") >= span), ["item", "words", "n"], k, window, [])
-    prints = long_items
+    # A fingerprint's row carries 128 bits that name the item's words, not the words: they'd be as long again for each.
+    named = items.select("*", *row_key(F.to_json("words"))).withColumnsRenamed({"k1": "w1", "k2": "w2"})
+    names = ["item", "w1", "w2"]
+    prints = fingerprints(named.where(F.col("n") >= span), names, k, window, [])
     for m in lengths:
-        whole = items.where(F.col("n") == m).select("item", "words", "n", F.transform(
-            "words", lambda w: F.xxhash64(w)).alias("hashes"))
-        prints = prints.unionByName(whole.select("item", "words", "n", F.get(_grams(F.col("hashes"), m), F.lit(0)).alias(
-            "packed")).select("item", "words", "n", F.shiftrightunsigned("packed", POSITION_BITS).alias("hash"),
-                              F.lit(0).alias("pos")))
+        whole = named.where(F.col("n") == m).select(*names, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+        prints = prints.unionByName(whole.select(*names, F.get(_grams(F.col("hashes"), m), F.lit(0)).alias("packed")).select(
+            *names, F.shiftrightunsigned("packed", POSITION_BITS).alias("hash"), F.lit(0).alias("pos")))
     prints = written(prints)
     bounded = prints.count() <= BROADCAST_FINGERPRINTS
-    wanted = prints.select("hash", F.col("pos").alias("item_pos"), "item", F.xxhash64("words").alias("item_words"))
+    wanted = prints.select("hash", F.col("pos").alias("item_pos"), *names)
     wanted = F.broadcast(wanted) if bounded else wanted
     found = fingerprints(docs.select("k1", "k2", words_of(F.col("text")).alias("words")), ["k1", "k2"], k, window,
                          lengths).join(wanted, "hash")
-    diagonals = found.select("k1", "k2", "item", "item_words", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    diagonals = found.select("k1", "k2", *names, (F.col("pos") - F.col("item_pos")).alias("shift"))
     diagonals = written(diagonals.distinct())
 
     met = docs.join(diagonals.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     texts = met.select("k1", "k2", words_of(F.col("text")).alias("doc_words"))
-    known = items.select("item", F.xxhash64("words").alias("item_words"), "words", "n")
+    known = named.select(*names, "words", "n")
     known = F.broadcast(known) if bounded else known
-    side = diagonals.join(known, ["item", "item_words"]).join(texts, ["k1", "k2"])
+    side = diagonals.join(known, names).join(texts, ["k1", "k2"])
     same = F.transform("words", lambda w, j: F.coalesce(
         F.when(F.col("shift") + j >= 0, F.get(F.col("doc_words"), F.col("shift") + j) == w), F.lit(False)))
     compared = side.select("k1", "k2", "item", "shift", "n", F.least("n", F.lit(span)).alias("width"), same.alias("same"))
