@@ -27,7 +27,9 @@ the sizes of all sets (see ``boundary``).  Links then make components.
 
 Defined cases: texts without words have empty sets and link with nothing; null
 ids are not representatives and stay alone; rows of equal id count as one
-document with the sets of all its texts; an empty table gives no rows.
+document with the sets of all its texts; a very long text is one set, held by
+the task that reads it; an empty table gives no rows; columns with the names of
+new ones are not handed on.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ The base score is the word-unigram model of the contract, from the same counts.
 
 Defined cases: a null or empty text is its end alone; rows with equal values
 get equal scores; without training rows all counts are 0 and the first
-weights hold.
+weights hold; an empty table gives no rows; a very long text is read whole, and
+a very long word is joined by its hash; columns with the names of new ones are
+replaced.
 """
 
 from __future__ import annotations
@@ -229,7 +231,8 @@ def score(docs: DataFrame, held_out: Column, keep: list[str], text: str = "text"
     key = row_key(*[F.col(f"`{c}`") for c in docs.columns if dict(docs.dtypes)[c] in ("string", "bigint", "int")])
     summed = sums(docs.select(*key, tokens.alias("tokens")), values, names).select(
         F.col("k1").alias("__s1"), F.col("k2").alias("__s2"), *[F.col(x).alias(f"__{x}") for x in names])
-    kept = [f"`{c}`" for c in keep]
+    made = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kept = [f"`{c}`" for c in keep if c.lower() not in made]
     rows = docs.select(*kept, held_out.alias("held_out"), key[0].alias("__k1"), key[1].alias("__k2"))
     joined = rows.join(summed, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
     return joined.select(*kept, "held_out", F.round("__n_tokens").cast("long").alias("n_tokens"),

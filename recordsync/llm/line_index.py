@@ -12,7 +12,8 @@ the copies, so a line that every document holds overloads no task.
 A document is a doc_id (null is one of its own, the smallest); repeated rows
 of one doc_id count once and, with equal text, get equal results.  Null or
 empty texts have one empty line.  A table without lines of ``min_length`` code
-points loses nothing.
+points loses nothing.  An empty table gives no rows, a very long text is split
+whole, and columns with the names of new ones are replaced.
 """
 
 from __future__ import annotations

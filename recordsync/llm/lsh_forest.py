@@ -24,7 +24,8 @@ Recall falls with ``goal``; the tests measure it against brute force.
 Defined cases: vectors that are null, zero or hold null or non-finite
 components take no part, nor do those whose length is not the most common one
 (the larger, on a tie); repeated rows of one id with equal vectors are one;
-null ids take no part; fewer candidates than ``k`` give fewer rows.
+null ids take no part; fewer candidates than ``k`` give fewer rows; ties go to
+the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ factors stay in Spark; the driver sees sums and counts only.
 Defined cases: null source, language or id count as the empty string; a topic
 is the marker pattern with most matches, ties go to the first, none is
 ``prose``; a value without a target gets share 0 and is not drawn; documents
-without tokens take their cell's probability; an empty table gives no rows.
+without tokens take their cell's probability; rows of one id are drawn alike in
+a cell; an empty table gives no rows; columns with the names of new ones are
+replaced.
 """
 
 from __future__ import annotations

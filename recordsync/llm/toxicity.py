@@ -27,7 +27,11 @@ judged, and stand for the learned ones too; if all were learned, those are.
 
 Defined cases: texts without a word score 0; rows without a label are scored
 like others; several labels of one doc_id count as the largest; without
-labels of both classes every score is the share of toxic labels (0 if none).
+labels of both classes every score is the share of toxic labels (0 if none); a
+very long text is scored in all its windows, a few at a time; equal texts get
+equal scores; an empty table gives no rows; columns with the names of new ones
+are replaced.  To learn from, at most ``4 * PER_CLASS`` rows of a class are
+taken, should the hash draw more than expected.
 """
 
 from __future__ import annotations

@@ -104,6 +104,9 @@ def test_lattice_scores(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
     assert got[53].score > got[52].score
     assert lattice.score(df.where("false"), F.lit(False), ["doc_id"]).collect() == []
+    clash = lattice.score(df.withColumn("Score", F.lit("own")), F.col("doc_id") >= 50, ["doc_id", "Score"])
+    assert clash.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    assert {r.doc_id: r.score for r in clash.collect()} == {d: r.score for d, r in got.items()}
 
 
 def test_lattice_learns(spark):
@@ -217,6 +220,67 @@ def test_toxicity_gradients():
         assert math.isclose((values[0] - values[1]) / 2e-3, grad[name][at], rel_tol=0.02, abs_tol=1e-4), name
 
 
+def plain_toxicity(net, text):
+    """The network's score of a text, window by window, step by step and number by number."""
+    H, W = toxicity.HIDDEN, toxicity.WIDTH
+    data = np.frombuffer(text.encode(), np.uint8)
+    words = toxicity.read_words(np.array([0, len(data)]), data)
+    if not len(words.of):
+        return 0.0
+    d = {k: v.astype(float).tolist() for k, v in net.dense.items()}
+
+    def sig(v):
+        return 1 / (1 + math.exp(-v))
+
+    def entered(i):
+        """A word's inputs, times the input layer."""
+        runs = words.runs[words.first[i]:words.first[i + 1]].tolist()
+        odds = [float(net.odds_run[r]) for r in runs]
+        x = [float(v) for v in net.table_word[words.bucket[i]]]
+        x += [sum(float(net.table_run[r][j]) for r in runs) / len(runs) for j in range(W)]
+        x += [float(net.odds_word[words.bucket[i]]), max(odds), sum(odds) / len(odds)]
+        return [d["bias"][j] + sum(x[k] * d["inputs"][k][j] for k in range(len(x))) for j in range(6 * H)]
+    inputs = {i: entered(i) for i in set(words.of.tolist())}
+
+    def passed(given, side):
+        gates, state, h, states = d[f"gates_{side}"], d[f"state_{side}"], [0.0] * H, []
+        for x in given:
+            zr = [sig(x[j] + sum(h[k] * gates[k][j] for k in range(H))) for j in range(2 * H)]
+            c = [math.tanh(x[2 * H + j] + sum(zr[H + k] * h[k] * state[k][j] for k in range(H))) for j in range(H)]
+            h = [h[j] + zr[j] * (c[j] - h[j]) for j in range(H)]
+            states.append(h)
+        return states
+    worst, begin, of = -math.inf, 0, words.of.tolist()
+    count = 0
+    while True:
+        window = [inputs[i] for i in of[begin:begin + toxicity.WINDOW]]
+        forward = passed([x[:3 * H] for x in window], "f")
+        backward = passed([x[3 * H:] for x in window[::-1]], "b")[::-1]
+        states = [a + b for a, b in zip(forward, backward)]
+        asked = [math.exp(sum(a * b for a, b in zip(s, d["ask"]))) for s in states]
+        pooled = [sum(w * s[j] for w, s in zip(asked, states)) / sum(asked) for j in range(2 * H)]
+        worst = max(worst, sum(a * b for a, b in zip(pooled, d["out"])) + d["base"][0])
+        count += 1
+        if begin + toxicity.WINDOW >= len(of):
+            break
+        begin += toxicity.STRIDE
+    level = math.floor(math.log2(count))
+    return sig(net.scale * (worst - net.slope * level - net.middle) + math.log(toxicity.THRESHOLD / (1 - toxicity.THRESHOLD)))
+
+
+def test_toxicity_scores_are_the_plain_recurrence():
+    rng = np.random.default_rng(5)
+    size = 1 << toxicity.BITS
+    net = toxicity.Network.new(rng.standard_normal(size).astype(np.float32), rng.standard_normal(size).astype(np.float32), rng)
+    net.scale, net.middle, net.slope = 1.3, 0.2, 0.1
+    rnd = random.Random(1)
+    vocab = ["you", "fool", "kind", "é", "x1", "a", "wordy"]
+    texts = ["", " .", "You", "you FOOL", *[" ".join(rnd.choices(vocab, k=n)) for n in (
+        toxicity.WINDOW - 1, toxicity.WINDOW, toxicity.WINDOW + 1, 2 * toxicity.WINDOW + 5)]]
+    got = net.scores(pa.array([*texts, None]))
+    assert np.allclose(got, [*[plain_toxicity(net, t) for t in texts], 0.0], atol=2e-5)
+
+
 def test_toxicity_query_edges(spark):
     texts, labels = toxic_texts(240, 5)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(900, None, "x"), (901, "", "x"), (None, "he he", "x")],
