@@ -30,11 +30,6 @@ def normalize_key(c) -> Column:
     return F.upper(F.replace(remove_accents(c), F.lit("ß"), F.lit("ss")))
 
 
-def empty_to_null(c) -> Column:
-    """Oracle treats '' as NULL; make that explicit at ingest."""
-    return F.nullif(_c(c), F.lit(""))
-
-
 # F2 / F3 -------------------------------------------------------------------
 def pad_taxid(c, width: int = 14) -> Column:
     """left-pad with zeros to ``width``; longer input is cut, like lpad."""

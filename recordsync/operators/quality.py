@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import SYNCED_STAGES
-
-# Required CRM lead fields, in check order (nested ones as "parent.child").
-LEAD_REQUIRED = ["id", "lead", "cnpj", "industry.value", "source.value", "street", "cep", "number", "district",
-                 "city", "state"]
-CONTACT_REQUIRED = ["id", "name", "email", "phone1", "jobTitle"]
+from ..schemas import CONTACT_REQUIRED, LEAD_REQUIRED, SYNCED_STAGES
 
 
 def falsy(c: Column, dtype: T.DataType) -> Column:

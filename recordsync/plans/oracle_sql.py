@@ -140,7 +140,7 @@ STANDINS = {
         concat('client', c_custkey, '@example.com') AS email,
         CASE WHEN c_custkey % 3 = 0 THEN 'ISENTO' ELSE ((c_custkey * 7919) % 1000000)::VARCHAR END AS tax_registration,
         '55119' || lpad(c_custkey::VARCHAR, 8, '0') AS phone, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey END AS id_crm,
-        ['Y', 'N'][c_custkey % 2 + 1] AS integrate_crm
+        CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END AS integrate_crm
         FROM customer, nation, region WHERE n_nationkey = c_nationkey AND r_regionkey = n_regionkey""",
     "vw_industry": """SELECT c_custkey AS client_code, 1::BIGINT AS branch_code, list_min(CASE WHEN c_custkey % 3 = 0
             THEN [own, names[list_position(names, own) % 5 + 1]] ELSE [own] END) AS industry
@@ -191,7 +191,7 @@ STANDINS = {
         CASE WHEN event_id % 3 <> 0 THEN 'Buyer' WHEN event_id % 4 < 3
              THEN (SELECT any_value(r_name[1] || lower(r_name[2:])) FROM region WHERE r_regionkey = event_id % 4) END AS job_title,
         lpad(user_id::VARCHAR, 14, '0') AS client_taxid, CASE WHEN event_id % 5 <> 0 THEN event_id END AS id_crm,
-        ['S', 'N'][event_id % 2 + 1] AS is_primary
+        CASE WHEN event_id % 2 = 0 THEN 'S' ELSE 'N' END AS is_primary
         FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
     # ---- the two sides of the change sets ----------------------------------------------------------------
     "lead_a": f"""SELECT {', '.join(LEAD_DIFF_COLS)} FROM (

@@ -14,24 +14,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.text import nbsp_to_space, strip_punct, truncate
-from ..schemas import (CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION, STAGES_ALIAS,
+from ..schemas import (CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP, CF_TAX_REGISTRATION, LEAD_KEYS, STAGES_ALIAS,
                        STAGES_CANONICAL, SYNCED_STAGES)
 
 SYNCED_CANONICAL = [STAGES_CANONICAL[STAGES_ALIAS.index(s)] for s in SYNCED_STAGES]
 
-# lead column -> (parent object path, key)
-LEAD_KEYS = {
-    "stage": ("$.Lead", "Stage"),
-    "taxid": ("$.Lead", "CpfCnpj"),
-    "industry": ("$.Lead.Industry", "value"),
-    "source": ("$.Lead.Origin", "value"),
-    "phone": ("$.Lead", "Phone"),
-    "name": ("$.Lead", "Company"),
-    "address_zipcode": ("$.Lead.Address", "ZipCode"),
-    "address_complement": ("$.Lead.Address", "AddAddressInformation"),
-    "city": ("$.Lead.Address", "City"),
-    "state": ("$.Lead.Address", "State"),
-}
 # lead column -> custom field id
 LEAD_CUSTOM = {
     "sales_rep": CF_SALES_REP,
