@@ -106,18 +106,9 @@ def _key(kind: str, c: Column) -> Column:
     return F.when(c.isNotNull(), F.xxhash64(F.lit(kind), c))  # two keys of one hash only share a component
 
 
-def contact_merge(target: DataFrame, changes: DataFrame, order: str = "id_crm") -> DataFrame:
-    """Contact upsert/delete, in the arrival order of the changes.
-
-    ``target``: the columns CONTACT; ``changes``: (client, name, email, phone, job_title, is_primary, id_crm, op) and
-    ``order``, a unique long.  Op 'D' deletes the contacts that have the CRM id or the lower-case e-mail at that time.
-    Any other op needs a client: where contacts have the e-mail, they and those with the CRM id get the change's values
-    and CRM id; else (also without an e-mail) a contact is inserted, unless its CRM id is there (M15).  Codes of
-    inserted contacts go on from the greatest, in the order of arrival.
-
-    A component's events pass through one task as a sorted stream; held in memory are its contacts alone, and a change
-    takes constant time, so a component with a third of the changes is a task that reads as much, no more.
-    """
+def contacts_changed(target: DataFrame, changes: DataFrame, order: str = "id_crm") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What changes do to the contacts they meet: (the contacts they meet, as they were; those and new ones afterwards, new
+    ones without a code and with ``at``, the change that inserted them; the contacts that no change meets)."""
     title = F.col("job_title")
     events = changes.select(
         F.lit(None).cast("bigint").alias("code"), "name", "email", F.lower("email").alias("mail"), "phone",
@@ -149,7 +140,23 @@ def contact_merge(target: DataFrame, changes: DataFrame, order: str = "id_crm")
     replayed = stream.repartition("component").sortWithinPartitions("component", "kind", "at", "code").mapInArrow(
         _replayed(_arrow(target)), out)
     replayed = cut_lineage(replayed)
-    kept = known.where(~met).select(*CONTACT).unionByName(replayed.where("code IS NOT NULL").select(*CONTACT))
+    return touched.select(*CONTACT), replayed, known.where(~met).select(*CONTACT)
+
+
+def contact_merge(target: DataFrame, changes: DataFrame, order: str = "id_crm") -> DataFrame:
+    """Contact upsert/delete, in the arrival order of the changes.
+
+    ``target``: the columns CONTACT; ``changes``: (client, name, email, phone, job_title, is_primary, id_crm, op) and
+    ``order``, a unique long.  Op 'D' deletes the contacts that have the CRM id or the lower-case e-mail at that time.
+    Any other op needs a client: where contacts have the e-mail, they and those with the CRM id get the change's values
+    and CRM id; else (also without an e-mail) a contact is inserted, unless its CRM id is there (M15).  Codes of
+    inserted contacts go on from the greatest, in the order of arrival.
+
+    A component's events pass through one task as a sorted stream; held in memory are its contacts alone, and a change
+    takes constant time, so a component with a third of the changes is a task that reads as much, no more.
+    """
+    _, replayed, untouched = contacts_changed(target, changes, order)
+    kept = untouched.unionByName(replayed.where("code IS NOT NULL").select(*CONTACT))
     start = target.agg(F.coalesce(F.max("code"), F.lit(0)).cast("bigint")).scalar()
     fresh = assign_ids(replayed.where("code IS NULL").drop("code"), start, ["at"], "code")
     return kept.unionByName(fresh.select(*CONTACT))

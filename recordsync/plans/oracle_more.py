@@ -414,6 +414,9 @@ ORACLE.update({
 })
 ORACLE["client_code_payload"] = """SELECT id AS lead_id,
     to_json({'Id': id, 'Fields': [{'field_name': '_cod.cliente', 'field_value': client::VARCHAR}]}) AS payload FROM arrivals"""
+ORACLE["contact_merge_stream"] = ORACLE["contact_merge"].replace(
+    "SELECT coalesce(code, (SELECT max(code) FROM contact) + row_number() OVER (PARTITION BY code IS NULL ORDER BY arrived)) AS code,\n"
+    "               name,", "SELECT name,")
 ORACLE["error_log_stream"] = ORACLE["error_log_rows"]
 ORACLE["cascade_stream"] = ORACLE["new_clients"]
 ORACLE["placeholder_contact_payload"] = f"""SELECT id AS lead_id, to_json({{'name': 'Dummy contact', 'leadId': id}}) AS payload

@@ -111,3 +111,32 @@ def test_components_are_union_find(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {x: find(x) for x in root} and len(got) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_contact_stream_is_a_plain_replay(spark, tmp_path, monkeypatch):
+    """Micro-batches, one of them replayed and one cut off, give what all changes at once give; codes never come twice."""
+    from recordsync.streaming.contacts import ContactSink
+    from recordsync.streaming.epochs import EpochTables
+    rnd = random.Random(9)
+    mails, ids = [None, *[f"m{i}@x" for i in range(8)]], [None, *range(8)]
+    target = [(i, f"t{i}", rnd.choice(mails), "0", "T", i, "S", rnd.choice(ids)) for i in range(12)]
+    changes = [(i, 1, f"n{i}", rnd.choice(mails), str(i), "dev", "N", rnd.choice(ids), rnd.choice("AAAD")) for i in range(90)]
+    base = spark.createDataFrame(target, TARGET)
+    codes: set[int] = set()
+    for epoch in range(3):
+        batch = spark.createDataFrame(changes[epoch * 30:epoch * 30 + 30], CHANGES)
+        if epoch == 1:
+            with monkeypatch.context() as m:
+                m.setattr(EpochTables, "write_table", staticmethod(lambda rows, path: 1 / 0))
+                with pytest.raises(ZeroDivisionError):
+                    ContactSink(str(tmp_path), base, "seq")(batch, epoch)
+        sink = ContactSink(str(tmp_path), base, "seq")
+        sink(batch, epoch)
+        sink(batch, epoch)
+        now = sink.current(spark).collect()
+        assert sorted((tuple(r)[1:] for r in now), key=repr) == sorted(
+            (tuple(c[1:]) for c in plain(target, changes[:epoch * 30 + 30])), key=repr)
+        assert len({r.code for r in now}) == len(now)
+        fresh = {r.code for r in now if r.code > 11} - codes
+        assert not codes or not fresh or min(fresh) > max(codes)
+        codes |= fresh
