@@ -711,8 +711,8 @@ def _landed(t: DomainTables) -> DataFrame:
 @register("page_explode")
 def _page_explode(t: DomainTables) -> DataFrame:
     """The leads of complete listings, each from the last page it stands on."""
-    from ..sources.readers import explode_pages
-    return explode_pages(_landed(t)).select("listing", "page", F.col("item.id").alias("id"), F.col("item.lead").alias("lead"))
+    from ..sources.readers import explode_listings
+    return explode_listings(_landed(t)).select("listing", "page", F.col("item.id").alias("id"), F.col("item.lead").alias("lead"))
 
 
 @register("page_report")

@@ -95,6 +95,24 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType, glob: s
     return r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def explode_pages(pages: DataFrame, items_col: str = "value") -> DataFrame:
+    """Landed API pages ``{value: [...]}`` -> one row per item.
+
+    Empty pages (the end-of-listing marker) contribute no rows; the page
+    number is kept so completeness can be checked with ``page_completeness``.
+    """
+    return pages.select("*", F.posexplode(items_col).alias("pos", "item")).drop(items_col)
+
+
+def page_completeness(pages: DataFrame, page_col: str = "page", items_col: str = "value") -> DataFrame:
+    """Pages fetched, items seen, and whether an empty terminating page exists."""
+    return pages.agg(
+        F.count("*").alias("pages"),
+        F.sum(F.size(items_col)).cast("bigint").alias("items"),
+        F.max((F.size(items_col) == 0).cast("int")).cast("boolean").alias("complete"),
+    )
+
+
 def listing_report(pages: DataFrame, items_col: str = "value") -> DataFrame:
     """Per ``listing`` of landed pages (listing, page from 0, items): pages, items, the numbers missing between the
     first and the last page, whether an empty page ends it, and ``status``: complete, unfinished (no empty page at its end)
@@ -110,7 +128,7 @@ def listing_report(pages: DataFrame, items_col: str = "value") -> DataFrame:
                        F.when(missing > 0, "holed").when(ended, "complete").otherwise("unfinished").alias("status"))
 
 
-def explode_pages(pages: DataFrame, items_col: str = "value", item_key: str = "id") -> DataFrame:
+def explode_listings(pages: DataFrame, items_col: str = "value", item_key: str = "id") -> DataFrame:
     """The items of complete listings, (listing, page, item); a listing that is unfinished or holed is held back (see
     ``listing_report``).  An item that moved while the listing was read stands on two pages and is taken from the later."""
     complete = listing_report(pages, items_col).where("status = 'complete'").select("listing")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recordsync.operators import merge as M
 from recordsync.operators.cascade import new_clients, rejected_leads
 from recordsync.operators.survivorship import candidates, set_address, survivors
-from recordsync.sources.readers import explode_pages, listing_report
+from recordsync.sources.readers import explode_listings, listing_report
 
 
 def test_survivors(spark):
@@ -44,7 +44,7 @@ def test_landed_pages(spark):
     assert report == {"whole": (3, 4, 0, True, "complete"), "open": (2, 2, 0, False, "unfinished"), "holed": (3, 2, 1, True, "holed"),
                       "late": (2, 1, 1, True, "holed"), "empty": (1, 0, 0, True, "complete"), "again": (2, 1, 0, True, "complete"),
                       "past": (2, 1, 0, False, "unfinished")}
-    got = sorted((r.listing, r.page, r["item"].id, r["item"].lead) for r in explode_pages(pages).collect())
+    got = sorted((r.listing, r.page, r["item"].id, r["item"].lead) for r in explode_listings(pages).collect())
     assert got == [("again", 0, 9, "i"), ("whole", 0, 1, "a"), ("whole", 1, 2, "b moved"), ("whole", 1, 3, "c")]
 
 
