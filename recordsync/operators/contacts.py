@@ -8,6 +8,7 @@ graph that their keys make; each component's events stream through one task in o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,6 @@ from .components import components
 from .quality import assign_ids
 
 CONTACT = ["code", "name", "email", "phone", "job_title_desc", "branch_client", "is_primary", "id_crm"]
-_VALUES = ["name", "phone", "job_title_desc", "is_primary"]
 
 
 class _Group:
@@ -52,53 +52,75 @@ class _Replay:
             if key is not None:
                 del index[key][id(g)]
 
-    def contact(self, r: dict) -> None:
-        self._put(_Group(r["mail"], r["id_crm"], tuple(r[c] for c in _VALUES), 0, [(r["code"], r["email"], r["branch_client"], None)]))
+    def contact(self, r: _Row) -> None:
+        self._put(_Group(r.mail, r.id_crm, (r.name, r.phone, r.title, r.is_primary), 0, [(r.code, r.email, r.client, None)]))
 
-    def change(self, r: dict) -> None:
+    def change(self, r: _Row) -> None:
         self.now += 1
-        mail, id_crm = r["mail"], r["id_crm"]
-        same_mail, same_id = self.by_mail.get(mail), self.by_id.get(id_crm)
-        if r["op"] == "D":
-            for g in [*(same_mail or {}).values(), *(same_id or {}).values()]:
-                if id(g) in self.by_mail.get(g.mail, {}) or id(g) in self.by_id.get(g.id, {}):
-                    self._drop(g)
-        elif r["branch_client"] is None:
+        same_mail, same_id = self.by_mail.get(r.mail), self.by_id.get(r.id_crm)
+        if r.op == "D":
+            for g in {**(same_mail or {}), **(same_id or {})}.values():
+                self._drop(g)
+        elif r.client is None:
             return
         elif same_mail:
-            values = (r["name"], r["phone"], r["title_upper"], r["is_primary"])
-            members = [m for g in list(same_mail.values()) for m in g.members] if len(same_mail) > 1 else next(
-                iter(same_mail.values())).members
-            for g in list(same_mail.values()):
+            values = (r.name, r.phone, r.title_upper, r.is_primary)
+            met = list(same_mail.values())
+            members = met[0].members if len(met) == 1 else [m for g in met for m in g.members]
+            for g in met:
                 self._drop(g)
-            self._put(_Group(mail, id_crm, values, self.now, members))
-            if id_crm is not None:
-                self.id_values[id_crm] = self.now, values
+            self._put(_Group(r.mail, r.id_crm, values, self.now, members))
+            if r.id_crm is not None:
+                self.id_values[r.id_crm] = self.now, values
         elif not same_id:
-            self._put(_Group(mail, id_crm, tuple(r[c] for c in _VALUES), self.now, [(None, mail, r["branch_client"], r["at"])]))
+            self._put(_Group(r.mail, r.id_crm, (r.name, r.phone, r.title, r.is_primary), self.now, [(None, r.mail, r.client, r.at)]))
 
-    def contacts(self) -> Iterator[dict]:
-        groups = {id(g): g for index in (self.by_mail, self.by_id) for some in index.values() for g in some.values()}
+    def contacts(self) -> Iterator[tuple]:
+        """Rows of CONTACT and ``at``."""
+        groups = {i: g for index in (self.by_mail, self.by_id) for some in index.values() for i, g in some.items()}
         for g in [*groups.values(), *self.keyless]:
             at, values = self.id_values.get(g.id, (-1, None))
-            values = values if at > g.set_at else g.values
+            name, phone, title, primary = values if at > g.set_at else g.values
             for code, email, owner, arrived in g.members:
-                yield {"code": code, "email": email, "branch_client": owner, "id_crm": g.id, "at": arrived, **dict(zip(_VALUES, values))}
+                yield code, name, email, phone, title, owner, primary, g.id, arrived
+
+
+class _Row(NamedTuple):
+    """A contact (kind 0) or a change (kind 1) as it streams, in this order of columns."""
+
+    component: int
+    kind: int
+    at: int | None
+    code: int | None
+    name: str | None
+    email: str | None
+    mail: str | None
+    phone: str | None
+    title: str | None
+    title_upper: str | None
+    client: int | None
+    is_primary: str | None
+    id_crm: int | None
+    op: str | None
 
 
 def _replayed(schema: pa.Schema):
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         component, replay, out = None, _Replay(), []
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["component"] != component:
+            for r in map(_Row._make, zip(*[c.to_pylist() for c in batch.columns])):
+                if r.component != component:
                     out += replay.contacts()
-                    component, replay = r["component"], _Replay()
-                (replay.contact if r["kind"] == 0 else replay.change)(r)
+                    component, replay = r.component, _Replay()
+                (replay.contact if r.kind == 0 else replay.change)(r)
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema)
+                yield batch_of(out)
                 out = []
-        yield pa.RecordBatch.from_pylist([*out, *replay.contacts()], schema)
+        yield batch_of([*out, *replay.contacts()])
     return run
 
 
@@ -135,9 +157,11 @@ def contacts_changed(target: DataFrame, changes: DataFrame, order: str = "id_crm
 
     old = touched.select("*", F.lit(None).cast("string").alias("title_upper"), F.lit(None).cast("string").alias("op"),
                          F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("kind"))
+    columns = ["component", "kind", "at", "code", "name", "email", "mail", "phone", "job_title_desc", "title_upper", "branch_client",
+               "is_primary", "id_crm", "op"]  # as in _Row
     stream = placed(old).unionByName(placed(events.where("op IS NULL OR op <> 'D' OR _m IS NOT NULL OR _i IS NOT NULL")))
     out = ", ".join(f"{c} {target.schema[c].dataType.simpleString()}" for c in CONTACT) + ", at bigint"
-    replayed = stream.repartition("component").sortWithinPartitions("component", "kind", "at", "code").mapInArrow(
+    replayed = stream.repartition("component").sortWithinPartitions("component", "kind", "at", "code").select(*columns).mapInArrow(
         _replayed(_arrow(target)), out)
     replayed = cut_lineage(replayed)
     return touched.select(*CONTACT), replayed, known.where(~met).select(*CONTACT)
