@@ -1,13 +1,40 @@
-"""Connected components by joins: rounds of star contraction (logarithmically many), no row ever meets all its kin."""
+"""Connected components by joins: rounds of star contraction (logarithmically many), no row ever meets all its kin.
+
+Few links, of a micro-batch say, are not worth the rounds: up to a documented number one task joins them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
+#: Links (of 16 bytes) that one task takes; more are contracted by joins.
+IN_ONE_TASK = 500_000
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of links (a, b), the component named by its least node."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]  # halves the way
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(*[c.to_pylist() for c in batch.columns]):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    yield pa.RecordBatch.from_pydict({"node": pa.array(list(root), pa.int64()), "component": pa.array([find(x) for x in root], pa.int64())})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): for each node of ``edges`` (a, b: long) the least node that links lead to.
 
@@ -25,6 +52,8 @@ def components(edges: DataFrame) -> DataFrame:
         return n == nodes and e.join(centres, "a", "left_semi").isEmpty()
 
     current = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    if current.count() <= IN_ONE_TASK:
+        return cut_lineage(current.coalesce(1).mapInArrow(_joined, "node long, component long"))
     while not stars(current):
         large = both(current)
         least = large.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

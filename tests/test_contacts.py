@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from recordsync.operators import components as components_module
 from recordsync.operators.components import components
 from recordsync.operators.contacts import CONTACT, contact_merge
 
@@ -63,8 +64,10 @@ def test_contact_merge_in_order(spark, target, changes):
     assert merged(spark, target, changes) == expected(target, changes)
 
 
-def test_contact_merge_is_a_plain_replay(spark):
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_contact_merge_is_a_plain_replay(spark, monkeypatch, bound):
     """10,000 batches at once, each with keys of its own."""
+    monkeypatch.setattr(components_module, "IN_ONE_TASK", bound)
     rnd = random.Random(7)
     target, changes, want = [], [], []
     for b in range(10_000):
@@ -93,7 +96,9 @@ def test_contact_merge_of_one_hot_address(spark):
     assert merged(spark, target, changes) == expected(target, changes)
 
 
-def test_components_are_union_find(spark):
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_components_are_union_find(spark, monkeypatch, bound):
+    monkeypatch.setattr(components_module, "IN_ONE_TASK", bound)
     rnd = random.Random(3)
     edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [
         (2000, 2001 + i) for i in range(500)] + [(5, 5), (3000, 3000)]
