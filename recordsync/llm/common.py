@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import itertools
 import string
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,31 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+#: Lists that collect the paths of written tables (see intermediate).
+_collecting: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def intermediate() -> Iterator[list[str]]:
+    """The paths of the tables that are written meanwhile."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str], *keep: DataFrame) -> None:
+    """Delete written tables that nothing reads any more: all that came from them is written itself."""
+    kept = {getattr(df, "_written_to", None) for df in keep}
+    for path in paths:
+        if path not in kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    paths[:] = [p for p in paths if p in kept]
+
+
 def written(df: DataFrame, *partition_by: str, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of the cluster, read back.
 
@@ -60,7 +87,11 @@ def written(df: DataFrame, *partition_by: str, compression: str | None = None) -
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     finally:
         spark.conf.set(name, before)
-    return spark.read.schema(schema).parquet(path)
+    for paths in _collecting:
+        paths.append(path)
+    kept = spark.read.schema(schema).parquet(path)
+    kept._written_to = path
+    return kept
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytespans import BLANK, LOWER, chunks, hashes, mixed, spans
-from .common import partitions, read, small, written
+from .common import discard, intermediate, partitions, read, small, written
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 3, 90, 100
@@ -417,15 +417,17 @@ def heavy_edges(reps: DataFrame, docs: DataFrame, k: int, rule: Rule, light: int
     # A set is in the lists of its class of sizes and of the classes of its larger partners.
     flat = flat.select("id", "n", "element", F.explode(F.sequence("low", "high")).alias("bits"))
     count = flat.groupBy("bits", "element").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    lists = written(flat.join(count, ["bits", "element"]))
-    index = written(reps.select("id", "n", "sketch").join(lists.select("id").distinct(), "id", "left_semi").drop("n"))
-    pairs = written(heavy_pairs(lists, index, rule))
+    with intermediate() as scanned:
+        lists = written(flat.join(count, ["bits", "element"]))
+        index = written(reps.select("id", "n", "sketch").join(lists.select("id").distinct(), "id", "left_semi").drop("n"))
+        pairs = written(heavy_pairs(lists, index, rule))
     checked = written(verify(pairs, docs, k, rule))
     linked, refuted = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
     if refuted.isEmpty():
         return linked
     again = pairs.join(refuted, ["a", "b"], "left_semi").select("bits", "element").distinct()
     rescanned = written(lists.join(again, ["bits", "element"], "left_semi"))
+    discard(reps.sparkSession, scanned)
     index = written(finer_sketches(reps.join(rescanned.select("id").distinct(), "id", "left_semi"), docs, k, rule))
     more = heavy_pairs(rescanned, index, rule, components(linked))
     more = written(more.select("a", "b").distinct().join(refuted, ["a", "b"], "left_anti"))
@@ -438,7 +440,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = S
     spark, rule = docs.sparkSession, Rule(*ratio)
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_elements(named, k))
-    found = written(document_sets(named, k, rule, frequent))
+    with intermediate() as fat:
+        found = written(document_sets(named, k, rule, frequent))
     key = ["h1", "h2", "n"]
     whole = found.where("id IS NOT NULL AND n > 0")
     classes = written(whole.groupBy(*key).agg(F.min("id").alias("id")))
@@ -449,8 +452,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = S
     members = written(whole.select("id", *key).join(classes.withColumnRenamed("id", "rep"), key).select("id", "rep").distinct())
     first = members.groupBy("id").agg(F.min("rep").alias("first"))
     several = members.join(first, "id").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
-    edges = light_edges(reps, rule, light).unionByName(heavy_edges(reps, texts, k, rule, light)).unionByName(several)
-    part = components(edges)
+    found = written(found.select("id", "n"))
+    discard(spark, fat)  # the sets themselves; those of the representatives stay
+    with intermediate() as spent:
+        edges = light_edges(reps, rule, light).unionByName(heavy_edges(reps, texts, k, rule, light)).unionByName(several)
+        links = written(edges.select("a", "b").distinct())
+    discard(spark, spent, links)
+    part = components(links)
     of = first.join(part, first["first"] == part["node"], "left").select(
         "id", F.coalesce("component", "first").alias("component"))
     return found.select("id", "n").join(of, "id", "left").select(
