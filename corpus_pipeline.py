@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordsync.llm import jaccard_join, maglev, raking, toxicity, winnowing
-from recordsync.llm.common import read, row_key, small, written
+from recordsync.llm.common import discard, intermediate, read, row_key, small, written
 
 #: Near duplicates: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
 SHINGLE, RATIO = 5, (80, 100)
@@ -39,11 +39,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     groups."""
     repeated = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
     if repeated.isEmpty():  # the id names the row
-        part = written(jaccard_join.join(docs, k=SHINGLE, ratio=RATIO))
+        with intermediate() as spent:
+            part = written(jaccard_join.join(docs, k=SHINGLE, ratio=RATIO))
+        discard(spark, spent, part)
         gone = small(part.where("doc_id <> component_id").select("doc_id").distinct(), jaccard_join.BROADCAST_IDS)
         return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     rows = written(docs.withColumn("__row", F.monotonically_increasing_id()))  # written, so that numbers stay
-    part = written(jaccard_join.join(rows, "__row", k=SHINGLE, ratio=RATIO))
+    with intermediate() as spent:
+        part = written(jaccard_join.join(rows, "__row", k=SHINGLE, ratio=RATIO))
+    discard(spark, spent, part)
     key = row_key(F.col("doc_id"), F.col("text"))
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     order = F.struct(F.col("doc_id").isNull(), "doc_id", *key, F.to_json(F.struct(*rest)) if rest else F.lit(""), "__row")
