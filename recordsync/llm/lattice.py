@@ -28,16 +28,16 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, read, row_key, written
+from .common import read, written
 from .piece_counts import MODEL, _library
-from .token_sums import sums
+from .token_sums import cut, each, sums
 
 ROUNDS = 2
 #: Weight that a piece has besides its expected count, so that unseen pieces stay possible.
@@ -171,9 +171,9 @@ def expected_counts(words: list[str], times: np.ndarray, vocab: Vocabulary, logs
     return counts
 
 
-def words_of(text: Column) -> Column:
-    split = F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+")
-    return F.filter(split, lambda w: w != "")
+def words_of() -> Callable[[str], list[bytes]]:
+    """Cuts a text into its words: of bytes, ``lower`` touches A-Z and ``split`` cuts at the white space of ASCII alone."""
+    return lambda text: text.encode("utf-8", "surrogatepass").lower().split()
 
 
 def fit(words: DataFrame, ends: int, name: str, rounds: int) -> np.ndarray:
@@ -203,9 +203,15 @@ def fit(words: DataFrame, ends: int, name: str, rounds: int) -> np.ndarray:
 def score(docs: DataFrame, held_out: Column, keep: list[str], text: str = "text", name: str = MODEL,
           rounds: int = ROUNDS, word_arcs: bool = True) -> DataFrame:
     """The columns ``keep`` of ``docs`` with held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    tokens = words_of(F.col(f"`{text}`"))
-    met = docs.select((~held_out).cast("int").alias("trains"), F.explode(F.concat(F.array(F.lit("")), tokens)).alias("token"))
-    words = written(met.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.sum("trains").alias("c")))
+    made = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    kept = [f"`{c}`" for c in keep if c.lower() not in made]
+    listed = docs.select(*kept, held_out.alias("held_out"), F.col(f"`{text}`").alias("__text"),
+                         F.monotonically_increasing_id().alias("__row"))
+    parts = cut(listed, words_of)
+    trains = F.when(F.col("held_out"), 0).otherwise(1)
+    met = each(parts, "held_out").groupBy("token").agg(F.sum("times").alias("freq"), F.sum(F.col("times") * trains).alias("c"))
+    ends = parts.agg(F.count("*").alias("freq"), F.coalesce(F.sum(trains), F.lit(0)).alias("c")).select(F.lit("").alias("token"), "freq", "c")
+    words = written(met.unionByName(ends.where("freq > 0")))
     of = words.agg(F.sum("c").alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v"),
                    F.max(F.when(F.col("token") == "", F.col("c"))).alias("ends"),
                    F.sum(F.when(F.col("c") == 1, 1).otherwise(0)).alias("once")).first()
@@ -228,16 +234,13 @@ def score(docs: DataFrame, held_out: Column, keep: list[str], text: str = "text"
     names = ["n_tokens", "n_known", "base_score", "score"]
     values = written(words.mapInPandas(
         marginal, "token string, freq long, n_tokens long, n_known long, base_score double, score double"))
-    key = row_key(*[F.col(f"`{c}`") for c in docs.columns if dict(docs.dtypes)[c] in ("string", "bigint", "int")])
-    summed = sums(docs.select(*key, tokens.alias("tokens")), values, names).select(
-        F.col("k1").alias("__s1"), F.col("k2").alias("__s2"), *[F.col(x).alias(f"__{x}") for x in names])
-    made = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    kept = [f"`{c}`" for c in keep if c.lower() not in made]
-    rows = docs.select(*kept, held_out.alias("held_out"), key[0].alias("__k1"), key[1].alias("__k2"))
-    joined = rows.join(summed, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
-    return joined.select(*kept, "held_out", F.round("__n_tokens").cast("long").alias("n_tokens"),
-                         F.round("__n_known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-                         F.col("__base_score").alias("base_score"), F.col("__score").alias("score"))
+    end = values.where("token = ''").first()  # of every text, once
+    summed = sums(parts, values.where("token <> ''"), names).select("__row", *[F.col(x).alias(f"__{x}") for x in names])
+    joined = parts.join(summed, "__row", "left")
+    total = {x: F.coalesce(f"__{x}", F.lit(0)) + F.lit(end[x] if end else 0) for x in names}
+    return joined.select(*kept, "held_out", total["n_tokens"].cast("long").alias("n_tokens"),
+                         total["n_known"].cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                         total["base_score"].cast("double").alias("base_score"), total["score"].cast("double").alias("score"))
 
 
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:

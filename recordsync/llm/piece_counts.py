@@ -20,22 +20,17 @@ from __future__ import annotations
 
 import functools
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import token_sums
 from .common import read, written
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-#: Characters of text cut at once (a longer text is a chunk of its own).
-CHUNK = 1 << 20
 
 _SPACE = " ▁"  # the library writes a space as the second of these
 _LETTER = "A-Za-z"
@@ -85,43 +80,6 @@ def pretoken_pattern(name: str = MODEL) -> str:
     return f"[{_SPACE}]*(?:{run}(?:{other}{run}?)*|(?:{other}{run}?)+)|[{_SPACE}]+|\n"
 
 
-def cut(rows: DataFrame, name: str = MODEL) -> DataFrame:
-    """``rows`` with ``tokens``, the distinct pre-tokens of ``__text``, and ``times``, how often each, in its place.
-
-    The library puts one space before a text that isn't empty."""
-    pattern = pretoken_pattern(name)
-    kept = rows.drop("__text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(pattern).findall
-        for batch in batches:
-            texts, start, held = batch.column("__text").to_pylist(), 0, 0
-            others = batch.drop_columns("__text")
-            for end, text in enumerate(texts, 1):
-                held += len(text or "")
-                if held > CHUNK or end == len(texts):
-                    yield counted(others.slice(start, end - start), texts[start:end], find)
-                    start, held = end, 0
-
-    def counted(others: pa.RecordBatch, texts: list[str | None], find: Callable) -> pa.RecordBatch:
-        tokens: list[str] = []
-        times: list[int] = []
-        ends = [0]
-        for text in texts:
-            met = Counter(find(" " + text)) if text else {}
-            tokens += met.keys()
-            times += met.values()
-            ends.append(len(tokens))
-        ends = pa.array(ends, pa.int32())
-        return pa.RecordBatch.from_arrays([*others.columns, pa.ListArray.from_arrays(ends, pa.array(tokens, pa.string())),
-                                           pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))],
-                                          [*others.schema.names, "tokens", "times"])
-
-    made = StructType([*kept.schema.fields, StructField("tokens", ArrayType(StringType())),
-                       StructField("times", ArrayType(IntegerType()))])
-    return rows.mapInArrow(run, made)
-
-
 def _count_pieces(name: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lib = _library(name)
@@ -140,21 +98,18 @@ def count_tokens(docs: DataFrame, text: str = "text", name: str = MODEL, limit:
     body = F.col(f"`{text}`")
     listed = docs.select(*kept, F.coalesce(F.octet_length(body), F.lit(0)).cast("long").alias("n_bytes"), body.alias("__text"),
                          F.monotonically_increasing_id().alias("__row"))
-    parts = written(cut(listed, name))  # texts are read and cut once
-    met = parts.select("__row", F.inline(F.arrays_zip("tokens", "times"))).withColumnRenamed("tokens", "token")
-    freqs = met.groupBy("token").agg(F.sum("times").alias("freq"))
-    values = written(freqs.mapInPandas(_count_pieces(name), "token string, freq long, n_tokens int"))
-    keyed = values.select(token_sums.join_key(F.col("token")).alias("key"), "freq", "n_tokens")
-    in_head = F.col("freq") >= token_sums.head_frequency(values, token_sums.HEAD)
-    known = F.broadcast(keyed.where(in_head).drop("freq"))
-    looked = met.select("__row", "times", token_sums.join_key(F.col("token")).alias("key")).join(known, "key", "left")
-    uses = (F.col("n_tokens") * F.col("times")).cast("long")
-    common = looked.where(F.col("n_tokens").isNotNull()).groupBy("__row").agg(F.sum(uses).alias("n"))
-    rare = looked.where(F.col("n_tokens").isNull()).drop("n_tokens").join(
-        keyed.where(~in_head).drop("freq").hint("shuffle_hash"), "key")
-    sums = common.unionByName(rare.groupBy("__row").agg(F.sum(uses).alias("n"))).groupBy("__row").agg(F.sum("n").alias("__n"))
-    n = F.coalesce("__n", F.lit(0))
-    return parts.join(sums, "__row", "left").select(*kept, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
+    pattern = pretoken_pattern(name)
+
+    def tokens_of() -> Callable[[str], list[str]]:
+        find = re.compile(pattern).findall
+        return lambda body: find(" " + body)  # the library puts one space before a text that isn't empty
+
+    parts = token_sums.cut(listed, tokens_of)
+    freqs = token_sums.each(parts).groupBy("token").agg(F.sum("times").alias("freq"))
+    values = written(freqs.mapInPandas(_count_pieces(name), "token string, freq long, n_tokens long"))
+    counts = token_sums.sums(parts, values, ["n_tokens"], token_sums.HEAD).withColumnRenamed("n_tokens", "__n")
+    n = F.coalesce("__n", F.lit(0)).cast("long")
+    return parts.join(counts, "__row", "left").select(*kept, "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))
 
 
 def op4_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,27 @@
 """Sums over documents of a value that each distinct token has (used by token counts and by LM scoring).
 
-The value is worked out once per distinct token; documents join to it.  The
-most frequent tokens make up most of all occurrences; up to ``HEAD`` of them
-are broadcast (long ones by a hash), so they cause no shuffle and no hot key.  The rest are counted
-per document and joined by a shuffle on the token; none of them is as frequent
-as the tokens of the head.
+Each text is cut once, into its distinct tokens and how often each occurs.
+The value is worked out once per distinct token of the corpus; documents join
+to it.  The most frequent tokens make up most of all occurrences; up to
+``HEAD`` of them are broadcast (long ones by a hash), so they cause no shuffle
+and no hot key.  The rest are joined by a shuffle on the token; none of them is
+as frequent as the tokens of the head.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+from .common import written
 
+#: Characters of text cut at once (a longer text is a chunk of its own).
+CHUNK = 1 << 20
 #: Most tokens that are broadcast, and the bytes beyond which a token is joined by its hash: a bound of some 30 MB.
 HEAD = 200_000
 KEY_BYTES = 64
@@ -36,29 +46,58 @@ def join_key(token: Column) -> Column:
     return F.when(F.octet_length(token) <= KEY_BYTES, token).otherwise(hashed)
 
 
-def sums(tokens: DataFrame, values: DataFrame, names: list[str], head: int = HEAD) -> DataFrame:
-    """(k1, k2, n_rows, names): each name of ``values`` summed over a document's tokens.
-
-    tokens: k1, k2, tokens (array of string); a repeated (k1, k2) means the same tokens, and its sums
-    are those of one row.  values: token, freq, names.  The empty string stands for the document's end:
-    it is counted once for every row, whether or not ``values`` has it.
-    """
-    every = tokens.select("k1", "k2", F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
-    every, values = (df.withColumn("token", join_key(F.col("token"))) for df in (every, values))
-    least = head_frequency(values, head)
-    in_head = (F.col("freq") >= least) | (F.col("token") == "")
-    known = F.broadcast(values.where(in_head).select("token", F.lit(True).alias("__head"), *names))
-    zero = [F.coalesce(n, F.lit(0)).alias(n) for n in names]
-    looked = every.join(known, "token", "left")
-    common = looked.where(F.col("__head").isNotNull() | (F.col("token") == "")).groupBy("k1", "k2").agg(
-        F.sum(F.when(F.col("token") == "", 1).otherwise(0)).alias("n_rows"), *[F.sum(n).alias(n) for n in names])
-    common = common.select("k1", "k2", "n_rows", *zero)
-    if least > 0:
-        rare = every.where(F.col("token") != "").join(known.select("token"), "token", "left_anti")
-        per_doc = rare.repartition("token").groupBy("token", "k1", "k2").agg(F.count(F.lit(1)).alias("times"))
-        joined = per_doc.join(values.where(~in_head).select("token", *names).hint("shuffle_hash"), "token")
-        summed = joined.groupBy("k1", "k2").agg(F.lit(0).cast("long").alias("n_rows"),
-                                                *[F.sum(F.col(n) * F.col("times")).alias(n) for n in names])
-        common = common.unionByName(summed)
-    total = common.groupBy("k1", "k2").agg(F.sum("n_rows").alias("n_rows"), *[F.sum(n).alias(n) for n in names])
-    return total.select("k1", "k2", "n_rows", *[(F.col(n) / F.col("n_rows")).alias(n) for n in names])
+def cut(rows: DataFrame, tokens_of: Callable[[], Callable[[str], Iterable[str | bytes]]]) -> DataFrame:
+    """``rows`` with ``tokens``, the distinct tokens of ``__text``, and ``times``, how often each, in its place; written.
+    ``tokens_of`` makes the function that cuts a text, once in each task."""
+    kept = rows.drop("__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutting = tokens_of()
+        for batch in batches:
+            texts, start, held = batch.column("__text").to_pylist(), 0, 0
+            others = batch.drop_columns("__text")
+            for end, text in enumerate(texts, 1):
+                held += len(text or "")
+                if held > CHUNK or end == len(texts):
+                    yield counted(others.slice(start, end - start), texts[start:end], cutting)
+                    start, held = end, 0
+
+    def counted(others: pa.RecordBatch, texts: list[str | None], cutting: Callable) -> pa.RecordBatch:
+        tokens: list = []
+        times: list[int] = []
+        ends = [0]
+        for text in texts:
+            met = Counter(cutting(text)) if text else {}
+            tokens += met.keys()
+            times += met.values()
+            ends.append(len(tokens))
+        ends = pa.array(ends, pa.int32())
+        told = pa.array(tokens, pa.binary() if tokens and isinstance(tokens[0], bytes) else pa.string()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([*others.columns, pa.ListArray.from_arrays(ends, told),
+                                           pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))],
+                                          [*others.schema.names, "tokens", "times"])
+
+    made = StructType([*kept.schema.fields, StructField("tokens", ArrayType(StringType())),
+                       StructField("times", ArrayType(IntegerType()))])
+    return written(rows.mapInArrow(run, made), compression="zstd")
+
+
+def each(parts: DataFrame, *names: str) -> DataFrame:
+    """(names, token, times): the cut rows' tokens one by one."""
+    return parts.select(*names, F.inline(F.arrays_zip("tokens", "times"))).withColumnRenamed("tokens", "token")
+
+
+def sums(parts: DataFrame, values: DataFrame, names: list[str], most: int = HEAD) -> DataFrame:
+    """(__row, names): each name of ``values`` (token, freq, names) summed over the tokens of a row of ``parts`` (__row,
+    tokens, times), each as often as it occurs; rows without tokens are left out."""
+    keyed = values.select(join_key(F.col("token")).alias("key"), "freq", *names)
+    in_head = F.col("freq") >= head_frequency(values, most)
+    known = F.broadcast(keyed.where(in_head).select("key", F.lit(True).alias("__head"), *names))
+    met = each(parts, "__row").select("__row", "times", join_key(F.col("token")).alias("key"))
+    looked = met.join(known, "key", "left")
+    uses = [F.sum(F.col(n) * F.col("times")).alias(n) for n in names]
+    common = looked.where(F.col("__head").isNotNull()).groupBy("__row").agg(*uses)
+    rare = looked.where(F.col("__head").isNull()).select("__row", "times", "key").join(
+        keyed.where(~in_head).drop("freq").hint("shuffle_hash"), "key")
+    both = common.unionByName(rare.groupBy("__row").agg(*uses))
+    return both.groupBy("__row").agg(*[F.sum(n).alias(n) for n in names])
