@@ -477,10 +477,8 @@ def _contact_merge_stream(t: DomainTables) -> DataFrame:
     from ..streaming import ingest as I
     from ..streaming.contacts import ContactSink
     root = _scratch(t, "contact-stream")
-    I.land_in_order(t.contact_changes, f"{root}/queue", 3, "seq")
     sink = ContactSink(f"{root}/tables", t.contact, "seq")
-    stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=t.contact_changes.schema)
-    I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+    I.sync_in_order(t.contact_changes, f"{root}/queue", 3, ["seq"], f"{root}/ckpt", sink)
     return sink.current(t.spark).select(*[c for c in CONTACT if c != "code"])
 
 
@@ -547,11 +545,9 @@ def _cascade_stream(t: DomainTables) -> DataFrame:
     from ..streaming.cascade import CascadeSink
     root = _scratch(t, "cascade-stream")
     leads = staged_leads(t)
-    I.land_in_order(leads, f"{root}/queue", 3, "taxid", "id")
     sink = CascadeSink(f"{root}/erp", V.client_base(t).join(V.min_industry(t), V.KEYS, "left"), t.branches, t.cities, t.states,
                        t.credit_limit_history, t.industries)
-    stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=leads.schema)
-    I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+    I.sync_in_order(leads, f"{root}/queue", 3, ["taxid", "id"], f"{root}/ckpt", sink)
     return sink.table(t.spark, "branches").drop("epoch")
 
 
@@ -590,11 +586,9 @@ def _error_log_stream(t: DomainTables) -> DataFrame:
     from ..streaming.epochs import ErrorLogSink
     root = _scratch(t, "error-log-stream")
     rejects = validated_export(t).where(F.size("failed_fields") > 0).select("id", "failed_fields")
-    I.land_in_order(rejects, f"{root}/queue", 3, "id")
     start = t.error_log.agg(F.max("log_id")).first()[0]
     sink = ErrorLogSink(f"{root}/log", start, _LOG_CODE, _log_info(), ["id"])
-    stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=rejects.schema)
-    I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+    I.sync_in_order(rejects, f"{root}/queue", 3, ["id"], f"{root}/ckpt", sink)
     schema = "log_id bigint, errorcode bigint, error_info string, id bigint"
     return sink.log(t.spark, schema).drop("epoch")
 
@@ -795,8 +789,9 @@ def _stream_ingest(t: DomainTables) -> DataFrame:
     """Queue -> bounded micro-batches -> sink, checkpointed, archived."""
     from ..streaming import ingest as S_
     root = _scratch(t, "stream-ingest")
-    S_.land_documents(t.webhook_docs, f"{root}/queue")
-    s = S_.read_queue(t.spark, f"{root}/queue", max_files=1, archive_dir=f"{root}/archive")
+    files = S_.files_for(t.webhook_docs)
+    S_.land_documents(t.webhook_docs, f"{root}/queue", files)
+    s = S_.read_queue(t.spark, f"{root}/queue", max_files=files // 4, archive_dir=f"{root}/archive")
     q = S_.start_sync(s.select("doc_id", "lead_id", "kind", "stage"), f"{root}/ckpt", S_.append_sink(f"{root}/out"))
     q.awaitTermination()
     return t.spark.read.parquet(f"{root}/out").drop("epoch")
@@ -808,8 +803,9 @@ def _stream_upsert(t: DomainTables) -> DataFrame:
     (base + log) equals the batch ``partial_update``."""
     from ..streaming import ingest as S_
     root = _scratch(t, "stream-upsert")
-    S_.land_documents(t.webhook_docs, f"{root}/queue")
-    s = S_.read_queue(t.spark, f"{root}/queue", max_files=1)
+    files = S_.files_for(t.webhook_docs)
+    S_.land_documents(t.webhook_docs, f"{root}/queue", files)
+    s = S_.read_queue(t.spark, f"{root}/queue", max_files=files // 4)
     merge = S_.ChangeLogMerge(f"{root}/leads")
     q = S_.start_sync(s, f"{root}/ckpt", merge)
     q.awaitTermination()
@@ -822,9 +818,10 @@ def _stream_dedup(t: DomainTables) -> DataFrame:
     from ..streaming import ingest as S_
     from ..streaming.dedup import LedgerDedup
     root = _scratch(t, "stream-dedup")
-    S_.land_documents(t.webhook_docs, f"{root}/queue/a")
-    S_.land_documents(t.webhook_docs, f"{root}/queue/b")
-    s = S_.read_queue(t.spark, f"{root}/queue/*", max_files=2)
+    files = S_.files_for(t.webhook_docs)
+    S_.land_documents(t.webhook_docs, f"{root}/queue/a", files)
+    S_.land_documents(t.webhook_docs, f"{root}/queue/b", files)
+    s = S_.read_queue(t.spark, f"{root}/queue/*", max_files=files // 2)
     # A fingerprint stays known for good, in the written ledger.
     sink = LedgerDedup(f"{root}/out", ["doc_id", "lead_id", "kind", "stage", "raw"], ["doc_id", "lead_id", "kind"])
     q = S_.start_sync(s, f"{root}/ckpt", sink)
@@ -873,9 +870,10 @@ def _stream_chain(t: DomainTables) -> DataFrame:
     foreachBatch; the fan-out equals the batch ``contact_fanout``."""
     from ..streaming import ingest as S_
     root = _scratch(t, "stream-chain")
-    S_.land_documents(t.webhook_docs, f"{root}/queue")
+    files = S_.files_for(t.webhook_docs)
+    S_.land_documents(t.webhook_docs, f"{root}/queue", files)
     chain = S_.LeadChangeChain(f"{root}/out", t.leads.select("id"))
-    q = S_.start_sync(S_.read_queue(t.spark, f"{root}/queue", max_files=1), f"{root}/ckpt", chain)
+    q = S_.start_sync(S_.read_queue(t.spark, f"{root}/queue", max_files=files // 4), f"{root}/ckpt", chain)
     q.awaitTermination()
     return t.spark.read.parquet(f"{root}/out/contacts").drop("epoch")
 
@@ -890,10 +888,8 @@ def _queue(t: DomainTables):
     from ..streaming.kinds import KindSink
     if "_kind_sink" not in t.__dict__:
         root = _scratch(t, "kinds")
-        I.land_in_order(t.queue_documents, f"{root}/queue", 3, "seq")
         sink = KindSink(f"{root}/tables")
-        stream = I.read_queue(t.spark, f"{root}/queue", max_files=1, schema=t.queue_documents.schema)
-        I.start_sync(stream, f"{root}/ckpt", sink).awaitTermination()
+        I.sync_in_order(t.queue_documents, f"{root}/queue", 3, ["seq"], f"{root}/ckpt", sink)
         t.__dict__["_kind_sink"] = sink
     return t.__dict__["_kind_sink"]
 

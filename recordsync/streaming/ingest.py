@@ -11,14 +11,13 @@ loss writes the same result again).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import partial_update
-from ..session import cut_lineage
 from ..sources.webhook import LEAD_CUSTOM, LEAD_KEYS, is_synced, lead_update_fields
 from .levels import Levels, bucket_of
 
@@ -39,6 +38,15 @@ DOC_SCHEMA = T.StructType([
 ])
 
 
+#: Rows of a landed file at most (about); larger tables land as more files, so that no task sorts and writes more.
+FILE_ROWS = 200_000
+
+
+def files_for(rows: DataFrame, batches: int = 4, file_rows: int = FILE_ROWS) -> int:
+    """How many files ``rows`` land as: the same number for each of ``batches`` micro-batches, none beyond ``file_rows``."""
+    return batches * max(1, -(-rows.count() // (batches * file_rows)))
+
+
 def land_documents(docs: DataFrame, queue_dir: str, files: int = 4) -> str:
     """Write documents as JSON-lines files in time order (test/bench helper:
     one file per range of ``received_at``, like a queue filled over time)."""
@@ -47,13 +55,34 @@ def land_documents(docs: DataFrame, queue_dir: str, files: int = 4) -> str:
     return queue_dir
 
 
-def land_in_order(rows: DataFrame, queue_dir: str, files: int, *order: str) -> str:
-    """Write rows as ``files`` JSON-lines files one after the other, each with the next range of ``order``, so that a
-    stream takes them in that order (a file stream goes by modification time)."""
-    ranged = cut_lineage(rows.repartitionByRange(files, *order).withColumn("_file", F.spark_partition_id()))
-    for n in range(files):
-        ranged.where(F.col("_file") == n).drop("_file").coalesce(1).sortWithinPartitions(*order).write.mode("append").json(queue_dir)
-    return queue_dir
+def land_in_order(rows: DataFrame, queue_dir: str, batches: int, *order: str, file_rows: int = FILE_ROWS) -> Iterator[int]:
+    """Land rows as JSON-lines files in ``batches`` goes, each with the next range of ``order``; whoever asks for the next
+    number has dealt with the files of the last.
+
+    All goes are written by one job, in parallel, beside the queue, and moved into it go by go: a stream that is run after
+    each takes the goes in their order, whatever number of files they have and however fine the store's times are."""
+    spark, waiting = rows.sparkSession, f"{queue_dir.rstrip('/')}-waiting"
+    files = files_for(rows, batches, file_rows)
+    go = F.floor(F.spark_partition_id() * batches / files)
+    ranged = rows.repartitionByRange(files, *order).withColumn("__go", go).sortWithinPartitions("__go", *order)
+    ranged.write.mode("errorifexists").partitionBy("__go").json(waiting)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    queue = jvm.org.apache.hadoop.fs.Path(queue_dir)
+    fs = queue.getFileSystem(conf)
+    fs.mkdirs(queue)
+    for n in range(batches):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{waiting}/__go={n}")
+        for file in fs.listStatus(folder) if fs.exists(folder) else []:
+            if not fs.rename(file.getPath(), queue):
+                raise OSError(f"{file.getPath()} could not be moved to {queue_dir}")
+        yield n
+
+
+def sync_in_order(rows: DataFrame, queue_dir: str, batches: int, order: list[str], checkpoint: str,
+                  apply_fn: Callable[[DataFrame, int], None]) -> None:
+    """Land rows go by go (see ``land_in_order``) and apply each as a micro-batch of its own."""
+    for _ in land_in_order(rows, queue_dir, batches, *order):
+        start_sync(read_queue(rows.sparkSession, queue_dir, schema=rows.schema), checkpoint, apply_fn).awaitTermination()
 
 
 def read_queue(spark: SparkSession, queue_dir: str, glob: str = "*.json", max_files: int | None = None,
