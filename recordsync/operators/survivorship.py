@@ -6,6 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Documents that one task expands to candidates (about).
+TASK_ROWS = 200_000
+
+
+def dealt_evenly(df: DataFrame, rows: int, *keys: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` (of up to ``rows`` rows) by the hash of ``keys``, which together are rarely one, in tasks of ``task_rows``: what
+    is expanded and sorted for an aggregate then doesn't grow with the splits of the files, and Spark, which would go by the
+    bytes of texts not yet expanded, puts no partitions together."""
+    return df.repartition(max(1, -(-rows // task_rows)), *keys)
+
+
 def candidates(df: DataFrame, key: str, source: str, fields: dict[str, Column], order: Column | None = None,
                present: dict[str, Column] | None = None) -> DataFrame:
     """(key, field, value, source, order) of one source: the fields that it has (not null, or ``present``)."""

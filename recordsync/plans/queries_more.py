@@ -15,7 +15,7 @@ from ..operators import quality as Q
 from ..operators import setops as S
 from ..operators.contacts import CONTACT
 from ..operators.payloads import contact_insert_payload
-from ..operators.survivorship import candidates, set_address, survivors
+from ..operators.survivorship import TASK_ROWS, candidates, dealt_evenly, set_address, survivors
 from ..schemas import (ACTIVATION_STAGE, BUDGET_STAGE, CF_CLIENT_CODE, CF_FINANCIAL_ANALYSIS, CF_SALES_REP,
                        CF_TAX_REGISTRATION, DEFAULTS, LEAD_COLUMNS, LEAD_DIFF_COLS, MAX_LEN, RENAME_MAP,
                        STAGES_CANONICAL, SYNCED_STAGES)
@@ -449,9 +449,10 @@ def _lead_survivors(t: DomainTables) -> DataFrame:
     raw = F.col("raw")
     fields = lead_update_fields(raw)
     docs = t.webhook_docs.where(is_synced(raw)).join(t.crm_export.select(F.col("id").alias("lead_id")), "lead_id", "left_semi")
+    docs = dealt_evenly(docs.select("lead_id", "doc_id", "received_at", "raw"), t.webhook_docs.count(), "lead_id", "doc_id")
     document = candidates(docs, "lead_id", "document", {f: v for f, (v, _) in fields.items()},
                           F.col("received_at").cast("timestamp"), {f: p for f, (_, p) in fields.items()})
-    e = t.crm_export
+    e = dealt_evenly(t.crm_export, t.crm_export.count(), "id", "lead", "cnpj", task_rows=TASK_ROWS // 4)  # 13 values each
     export = candidates(e, "id", "export", {
         "name": F.col("lead"), "stage": _canon_to_alias(F.col("stage")), "taxid": F.col("cnpj"), "phone": X.strip_punct("phone1"),
         "industry": F.col("industry.value"), "source": F.col("source.value"), "address_street": F.col("street"),

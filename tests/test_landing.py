@@ -2,8 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from recordsync.operators.survivorship import dealt_evenly
+from recordsync.plans import catalog
+from recordsync.sources.standins import DomainTables
 from recordsync.streaming import ingest as I
 
+from conftest import SMOKE
+
 
 def _queue(spark, path):
     return spark.read.schema("id bigint, name string").json(path).select("id", F.input_file_name().alias("file")).collect()
@@ -39,3 +44,13 @@ def test_goes_are_micro_batches(spark, tmp_path):
     I.sync_in_order(rows, f"{tmp_path}/queue", 3, ["id"], f"{tmp_path}/ckpt", lambda b, e: met.append((e, [r.id for r in b.collect()])))
     assert [e for e, _ in met] == [0, 1, 2]
     assert [x for _, ids in met for x in sorted(ids)] == list(range(30))
+
+
+def test_survivor_documents_are_dealt_evenly(spark, capsys):
+    catalog.queries()
+    catalog._REGISTRY["lead_survivors"](DomainTables(spark, SMOKE)).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(lead_id" in plan and plan.count("REPARTITION_BY_NUM") >= 2  # documents and export
+    rows = spark.range(1000).select((F.col("id") % 2).alias("lead"), "id")
+    sizes = [r["count"] for r in dealt_evenly(rows, 1000, "lead", "id", task_rows=100).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 200  # one lead has half of the rows
