@@ -133,19 +133,18 @@ def contacts_changed(target: DataFrame, changes: DataFrame, order: str = "id_crm
     ones without a code and with ``at``, the change that inserted them; the contacts that no change meets)."""
     title = F.col("job_title")
     events = changes.select(
-        F.lit(None).cast("bigint").alias("code"), "name", "email", F.lower("email").alias("mail"), "phone",
-        title.alias("job_title_desc"), F.upper(title).alias("title_upper"), F.col("client").cast("bigint").alias("branch_client"),
+        F.lit(None).cast("bigint").alias("code"), "name", "email", "phone", title.alias("job_title_desc"), F.col("client").cast("bigint").alias("branch_client"),
         "is_primary", F.col("id_crm").cast("bigint").alias("id_crm"), F.col("op").alias("op"),
         F.col(order).cast("bigint").alias("at"), F.lit(1).alias("kind"),
         _key("mail", F.lower("email")).alias("_m"), _key("id", F.col("id_crm").cast("bigint")).alias("_i"))
     keys = cut_lineage(events.select(F.explode(F.array_compact(F.array("_m", "_i"))).alias("key")).distinct())
     known = target.select(
-        *CONTACT, F.lower("email").alias("mail"), _key("mail", F.lower("email")).alias("_m"),
+        *CONTACT, _key("mail", F.lower("email")).alias("_m"),
         _key("id", F.col("id_crm").cast("bigint")).alias("_i"))
     for c in ("_m", "_i"):  # only keys that some change has matter
         known = known.join(keys.select(F.col("key").alias(c), F.lit(True).alias(f"{c}_met")), c, "left")
     met = F.col("_m_met").isNotNull() | F.col("_i_met").isNotNull()
-    touched = cut_lineage(known.where(met).select(*CONTACT, "mail", F.when(F.col("_m_met"), F.col("_m")).alias("_m"),
+    touched = cut_lineage(known.where(met).select(*CONTACT, F.when(F.col("_m_met"), F.col("_m")).alias("_m"),
                                                   F.when(F.col("_i_met"), F.col("_i")).alias("_i")))
     pairs = events.select("_m", "_i").unionByName(touched.select("_m", "_i"))
     of = components(pairs.where("_m IS NOT NULL AND _i IS NOT NULL").select(F.col("_m").alias("a"), F.col("_i").alias("b")))
@@ -155,14 +154,14 @@ def contacts_changed(target: DataFrame, changes: DataFrame, order: str = "id_crm
         j = df.withColumn("_k", key).join(of.withColumnRenamed("node", "_k"), "_k", "left")
         return j.withColumn("component", F.coalesce("component", "_k", F.xxhash64(F.lit("none"), "at"))).drop("_k", "_m", "_i")
 
-    old = touched.select("*", F.lit(None).cast("string").alias("title_upper"), F.lit(None).cast("string").alias("op"),
-                         F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("kind"))
+    old = touched.select("*", F.lit(None).cast("string").alias("op"), F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("kind"))
     columns = ["component", "kind", "at", "code", "name", "email", "mail", "phone", "job_title_desc", "title_upper", "branch_client",
                "is_primary", "id_crm", "op"]  # as in _Row
     stream = placed(old).unionByName(placed(events.where("op IS NULL OR op <> 'D' OR _m IS NOT NULL OR _i IS NOT NULL")))
     out = ", ".join(f"{c} {target.schema[c].dataType.simpleString()}" for c in CONTACT) + ", at bigint"
-    replayed = stream.repartition("component").sortWithinPartitions("component", "kind", "at", "code").select(*columns).mapInArrow(
-        _replayed(_arrow(target)), out)
+    dealt = stream.repartition("component").sortWithinPartitions("component", "kind", "at", "code")
+    derived = {"mail": F.lower("email"), "title_upper": F.upper("job_title_desc")}  # behind the sort: neither dealt nor spilled
+    replayed = dealt.withColumns(derived).select(*columns).mapInArrow(_replayed(_arrow(target)), out)
     replayed = cut_lineage(replayed)
     return touched.select(*CONTACT), replayed, known.where(~met).select(*CONTACT)
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.contacts import CONTACT, contacts_changed
 from ..operators.quality import assign_ids
-from ..session import cut_lineage
 from .epochs import EpochTables, IdLedger
 
 
@@ -27,7 +26,7 @@ class ContactSink:
         spark = batch.sparkSession
         if epoch in self.tables.manifests(spark):
             return
-        met, after, _ = contacts_changed(self.current(spark, epoch), cut_lineage(batch), self.order)
+        met, after, _ = contacts_changed(self.current(spark, epoch), batch, self.order)
         new = after.where("code IS NULL").drop("code")
         start = self.codes.claim(spark, epoch, new.count())
         rows = after.where("code IS NOT NULL").unionByName(assign_ids(new, start, ["at"], "code"), allowMissingColumns=True)

@@ -145,3 +145,22 @@ def test_contact_stream_is_a_plain_replay(spark, tmp_path, monkeypatch):
         fresh = {r.code for r in now if r.code > 11} - codes
         assert not codes or not fresh or min(fresh) > max(codes)
         codes |= fresh
+
+
+def test_derived_columns_are_not_written(spark, monkeypatch):
+    """Lower-case e-mails and upper-case titles follow from other columns: they are made behind the last shuffle."""
+    from recordsync.operators import contacts as C
+    cut, seen = C.cut_lineage, []
+    monkeypatch.setattr(C, "cut_lineage", lambda df: seen.append(df.columns) or cut(df))
+    target = spark.createDataFrame([(1, "A", "a@x", None, None, 1, "S", 5)], _schema_of(C.CONTACT))
+    changes = spark.createDataFrame(
+        [(1, 1, "B", "A@x", None, "Boss", "N", 6, "A")],
+        "seq long, client long, name string, email string, phone string, job_title string, is_primary string, id_crm long, op string")
+    _, after, _ = C.contacts_changed(target, changes, "seq")
+    assert [(r.code, r.name, r.job_title_desc, r.id_crm) for r in after.collect()] == [(1, "B", "BOSS", 6)]
+    assert seen and not any({"mail", "title_upper"} & set(columns) for columns in seen)
+
+
+def _schema_of(columns):
+    longs = {"code", "branch_client", "id_crm"}
+    return ", ".join(f"{c} {'long' if c in longs else 'string'}" for c in columns)
