@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import gc
-import itertools
 import string
 import uuid
 from collections.abc import Iterator
@@ -18,11 +17,8 @@ from ..session import checkpoint_dir
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
-#: Tables written between two releases.
-RELEASE = 4
-_writes = itertools.count(1)
 #: Characters of a plan's text that Spark keeps of each write, for as long as it lists its executions.
-PLAN_TEXT = "spark.sql.maxPlanStringLength", 20_000
+PLAN_TEXT = "spark.sql.maxPlanStringLength", 2_000
 
 
 def release(spark: SparkSession) -> None:
@@ -76,8 +72,7 @@ def written(df: DataFrame, *partition_by: str, compression: str | None = None) -
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     schema = df.schema
-    if next(_writes) % RELEASE == 0:
-        release(spark)
+    release(spark)  # each time: the driver keeps the plans, broadcasts and generated classes of one step, not of several
     w = df.write.mode("error")
     w = w.option("compression", compression) if compression else w
     name, most = PLAN_TEXT

@@ -506,3 +506,13 @@ def test_pipeline_run_is_brute_force(spark, tmp_path):
     want = sorted((*r, *slots[r[0]]) for r in pure if r[0] in mixed)
     got = sorted(tuple(r) for r in cp.run(spark, str(tmp_path)).select("doc_id", "text", "lang", "source", "slot", "shard_id").collect())
     assert got == want and want
+
+
+def test_driver_is_tidied_before_each_table(spark, monkeypatch):
+    """The plans, broadcasts and generated classes of earlier steps are dropped before each table, not every fourth one."""
+    from recordsync.llm import common
+    times = []
+    monkeypatch.setattr(common, "release", lambda s: times.append(s))
+    for n in range(3):
+        assert common.written(spark.range(n)).count() == n
+    assert len(times) == 3
