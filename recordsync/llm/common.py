@@ -21,6 +21,10 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 PLAN_TEXT = "spark.sql.maxPlanStringLength", 2_000
 
 
+#: Bytes of an Arrow batch between Spark and Python; by default 64 MB, which each task holds several times outside the heap.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def release(spark: SparkSession) -> None:
     """Collect the driver's garbage: Spark's cleaner then drops the shuffles and broadcasts of finished steps, which it
     does only for frames that were collected, and a driver with much memory left would keep them for long."""
@@ -89,6 +93,18 @@ def written(df: DataFrame, *partition_by: str, compression: str | None = None) -
     return kept
 
 
+@contextlib.contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile hands rows to Python in batches of about BATCH_BYTES (a longer row is a batch of its own)."""
+    name, most = BATCH_BYTES
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` written out, and broadcast in joins if it has at most ``rows`` rows; else Spark shuffles it."""
     kept = written(df)

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytespans import BLANK, LOWER, chunks, hashes, mixed, spans
-from .common import discard, intermediate, partitions, read, small, written
+from .common import discard, intermediate, partitions, read, short_batches, small, written
 from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 3, 90, 100
@@ -58,6 +58,8 @@ LARGEST_LIGHT = 64
 FINER = 5
 #: Ids that a semi join broadcasts at most (8 bytes each).
 BROADCAST_IDS = 500_000
+#: Elements of several texts that a task holds to count them.
+COUNTED = 1 << 22
 #: Most frequent elements that are moved to the end of every prefix (8 bytes each, broadcast).
 FREQUENT = 200_000
 
@@ -162,13 +164,24 @@ def _set_hash(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def frequent_elements(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(elements, levels): the most frequent elements with the level of their frequency, at most FREQUENT.
-    Counts are over all documents (a batch reports what 3 of its texts have); only the order of prefixes
+    Counts are over all documents (a task reports what 3 of some COUNTED elements' texts have); only the order of prefixes
     depends on them, so a low count costs time and no link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            met = [value for _, _, value in shingle_sets(batch.column("text"), k)]
+        met: list[np.ndarray] = []
+
+        def reported() -> pa.RecordBatch:
             value, n = np.unique(np.concatenate(met) if met else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(value[n > 2])), pa.array(n[n > 2])], ["element", "n"])
+            met.clear()
+            return pa.RecordBatch.from_arrays([pa.array(_signed(value[n > 2])), pa.array(n[n > 2])], ["element", "n"])
+        held = 0
+        for batch in batches:
+            for _, _, value in shingle_sets(batch.column("text"), k):
+                met.append(value)
+                held += len(value)
+                if held >= COUNTED:
+                    yield reported()
+                    held = 0
+        yield reported()
     counted = docs.select("text").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     counted = written(counted.select("element", F.floor(F.log2("n") * 4).cast("int").alias("level")))
     bins = {r.level: r["count"] for r in counted.groupBy("level").count().collect()}  # 256 rows at most
@@ -437,6 +450,11 @@ def heavy_edges(reps: DataFrame, docs: DataFrame, k: int, rule: Rule, light: int
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE,
          ratio: tuple[int, int] = (NUMERATOR, DENOMINATOR)) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
+    with short_batches(docs.sparkSession):  # sets and sketches are long rows
+        return _joined(docs, doc_id, text, k, ratio)
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, k: int, ratio: tuple[int, int]) -> DataFrame:
     spark, rule = docs.sparkSession, Rule(*ratio)
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_elements(named, k))

@@ -6,10 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from recordsync.llm import components, jaccard_join, line_index, maglev, winnowing
+from recordsync.llm import common, components, jaccard_join, line_index, maglev, winnowing
 
 BLANK_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -70,6 +71,38 @@ def test_jaccard_join_null_id_and_empty_table(spark):
     assert jaccard_join.join(df.where("false")).collect() == []
 
 
+def test_join_hands_over_short_batches(spark, monkeypatch):
+    """Long rows go to Python a few MB at a time, not 64 MB, while the join runs; afterwards the session is as it was."""
+    name, most = common.BATCH_BYTES
+    before, seen = spark.conf.get(name), []
+    rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(docs, k, inner=jaccard_join.frequent_elements):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+        seen.extend(r.size for r in rows.mapInArrow(run, "size long").collect())
+        return inner(docs, k)
+    monkeypatch.setattr(jaccard_join, "frequent_elements", sizes)
+    df = spark.createDataFrame([(2, "a b c d"), (1, "a b c d")], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.join(df).collect()} == {1}
+    assert sum(seen) >= 30_000_000 and max(seen) <= 1.1 * most
+    assert spark.conf.get(name) == before
+
+
+def test_frequent_elements_count_over_batches(spark):
+    """What three texts share is counted even if they come in batches of their own."""
+    rows = spark.createDataFrame([("a b c",)] * 5, "text string").coalesce(1)
+    name, _ = common.BATCH_BYTES
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 1)
+        found, _ = jaccard_join.frequent_elements(rows, 3)
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == 1
+
+
 def test_subsets_and_sketch_keep_every_link():
     """A link's sets share a subset that both emit, and their sketches differ in no more than the sets do."""
     rule, rng = jaccard_join.Rule(90, 100), np.random.default_rng(5)
