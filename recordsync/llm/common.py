@@ -8,6 +8,7 @@ import string
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,23 @@ PLAN_TEXT = "spark.sql.maxPlanStringLength", 2_000
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
+#: What ``jcmd`` knows as System.trim_native_heap (Java 17.0.9 and later, with the GNU C library).
+TRIM = "com.sun.management:type=DiagnosticCommand", "systemTrimNativeHeap"
+
+
+def trim(spark: SparkSession) -> None:
+    """Hand back to the system what is free in the driver's JVM outside its heap: the C library keeps it apart for the
+    threads that had it, and a job of many joins has hundreds of them."""
+    jvm, (bean, command) = spark._jvm, TRIM
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    kind = jvm.java.lang.Class.forName("javax.management.MBeanServer")  # the server's own class can't be called from outside
+    invoke = next(m for m in kind.getMethods() if m.getName() == "invoke")
+    given = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+    given[0], given[1] = jvm.javax.management.ObjectName(bean), command
+    with contextlib.suppress(Py4JJavaError):  # a JVM that doesn't know the command
+        invoke.invoke(server, given)
+
+
 def release(spark: SparkSession) -> None:
     """Collect the driver's garbage: Spark's cleaner then drops the shuffles and broadcasts of finished steps, which it
     does only for frames that were collected, and a driver with much memory left would keep them for long."""
@@ -32,6 +50,7 @@ def release(spark: SparkSession) -> None:
     jvm = getattr(spark, "_jvm", None)
     if jvm is not None:
         jvm.System.gc()
+        trim(spark)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
